@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing, secrets
+from . import bpe, langid, mixing, quality, secrets
 
 
 def queries() -> dict:
-    return {"op9_secrets": secrets.op9_secrets, "op10_mixing": mixing.op10_mixing}
+    return {
+        "op2_bpe": bpe.op2_bpe,
+        "op7_quality": quality.op7_quality,
+        "op8_langid": langid.op8_langid,
+        "op9_secrets": secrets.op9_secrets,
+        "op10_mixing": mixing.op10_mixing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
