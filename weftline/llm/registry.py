@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, mixing, quality, secrets
+from . import bpe, langid, mixing, quality, secrets, simhash
 
 
 def queries() -> dict:
     return {
         "op2_bpe": bpe.op2_bpe,
+        "op6_simhash": simhash.op6_simhash,
         "op7_quality": quality.op7_quality,
         "op8_langid": langid.op8_langid,
         "op9_secrets": secrets.op9_secrets,
