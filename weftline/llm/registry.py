@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, mixing, quality, secrets, simhash
+from . import bpe, langid, mixing, quality, secrets, simhash, substring, suffixes
 
 
 def queries() -> dict:
     return {
+        "op1_suffixes": suffixes.op1_suffixes,
         "op2_bpe": bpe.op2_bpe,
+        "op5_substring": substring.op5_substring,
         "op6_simhash": simhash.op6_simhash,
         "op7_quality": quality.op7_quality,
         "op8_langid": langid.op8_langid,
