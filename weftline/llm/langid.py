@@ -42,8 +42,11 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     n = F.octet_length("raw")
     at = F.pmod(F.conv(F.substring("draw", 1, 8), 16, 10).cast("long"), F.greatest(n - per_doc + 1, F.lit(1))).cast("int")
     slim = slim.select("lang", "draw", F.substring("raw", at + 1, F.lit(per_doc)).alias("raw"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "raw"))
-    rows = slim.withColumn("rank", rank).where(F.col("rank") <= per_lang).select("lang", "rank", "raw").collect()
+    # the first ranks are taken among parts of a language, so a language with most of the rows meets in no one task
+    part = Window.partitionBy("lang", F.substring("draw", -1, 1)).orderBy("draw", "raw")
+    slim = slim.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= per_lang)
+    slim = slim.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "raw"))).where(F.col("rank") <= per_lang)
+    rows = slim.select("lang", "rank", "raw").collect()
     out: dict[str, bytes] = {}
     for r in sorted(rows, key=lambda r: (r.lang, -r["rank"])):
         out[r.lang] = out.get(r.lang, b"") + letters(bytes(r.raw).decode("utf-8", "ignore")) + b"\n"
