@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from .common import lean_batches, table
 
 #: Distinct words that a worker remembers, and bytes of text that one round of merges takes.
-CACHE = 150_000
+CACHE = 400_000
 CHUNK = 4 << 20
 #: Words of more symbols than this are merged one by one with a heap: rounds over them would be quadratic.
 LONG = 256
@@ -69,41 +69,56 @@ class WordBPE:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.ranks[at], len(self.keys))
 
-    def merge(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each pre-token. A round merges the lowest-ranked pair of every word that has one left."""
+    def merge(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each pre-token. A round merges the lowest-ranked pair of every word that has one left.
+
+        Ranks are looked up once and then only where a merge has changed a pair."""
         raw = [w.encode() for w in words]
-        out: list[np.ndarray | None] = [None] * len(raw)
-        short = [i for i, w in enumerate(raw) if len(w) <= LONG]
-        for i, w in enumerate(raw):
-            if len(w) > LONG:
-                out[i] = self._by_heap(w)
-        flat = np.frombuffer(b"".join(raw[i] for i in short), dtype=np.uint8)
-        lengths = np.array([len(raw[i]) for i in short], dtype=np.int64)
-        sym, owner = self.inner[flat], np.repeat(np.array(short, dtype=np.int64), lengths)
+        short = np.array([i for i, w in enumerate(raw) if len(w) <= LONG], dtype=np.int64)
+        flat = np.frombuffer(b"".join([w for w in raw if len(w) <= LONG]), dtype=np.uint8)
+        lengths = np.array([len(w) for w in raw if len(w) <= LONG], dtype=np.int64)
+        sym, owner = self.inner[flat], np.repeat(short, lengths)
         ends = np.cumsum(lengths) - 1
         sym[ends] = self.last[flat[ends]]
         none = len(self.keys)
+        rank = np.full(len(sym), none, dtype=np.int64)
+        pairs = np.flatnonzero(owner[:-1] == owner[1:])
+        rank[pairs] = self.rank_of(sym[pairs] * self.size + sym[pairs + 1])
+        owners, syms = [], []
         while len(sym):
-            joined = np.zeros(len(sym), dtype=bool)
-            joined[:-1] = owner[:-1] == owner[1:]
-            rank = np.full(len(sym), none, dtype=np.int64)
-            pairs = np.flatnonzero(joined)
-            rank[pairs] = self.rank_of(sym[pairs] * self.size + sym[pairs + 1])
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            least = np.minimum.reduceat(rank, starts)
             sizes = np.diff(np.r_[starts, len(sym)])
-            done = np.repeat(least == none, sizes)
-            for a, n in zip(starts[least == none].tolist(), sizes[least == none].tolist()):
-                out[owner[a]] = sym[a : a + n]
-            hit = (rank == np.repeat(least, sizes)) & ~done
-            run = np.arange(len(sym)) - np.maximum.accumulate(np.where(hit & ~np.r_[False, hit[:-1]], np.arange(len(sym)), 0))
-            hit &= run % 2 == 0  # of overlapping pairs of one symbol the left one is merged
+            least = np.minimum.reduceat(rank, starts)
+            spread = np.repeat(least, sizes)
+            done = spread == none
+            owners.append(owner[done])
+            syms.append(sym[done])
+            hit = (rank == spread) & ~done
+            first = hit & ~np.r_[False, hit[:-1]]
+            place = np.arange(len(sym))
+            hit &= (place - np.maximum.accumulate(np.where(first, place, 0))) % 2 == 0  # of overlapping pairs the left one
             at = np.flatnonzero(hit)
             sym[at] = self.made[rank[at]]
             keep = ~done
             keep[at + 1] = False
-            sym, owner = sym[keep], owner[keep]
-        return out
+            moved = np.cumsum(keep) - 1
+            at = moved[at]
+            sym, owner, rank = sym[keep], owner[keep], rank[keep]
+            stale = np.concatenate([at, at[at > 0] - 1])
+            rank[stale] = none
+            stale = stale[stale + 1 < len(sym)]
+            stale = stale[owner[stale] == owner[stale + 1]]
+            rank[stale] = self.rank_of(sym[stale] * self.size + sym[stale + 1])
+        for i, w in enumerate(raw):
+            if len(w) > LONG:
+                syms.append(self._by_heap(w))
+                owners.append(np.full(len(syms[-1]), i, dtype=np.int64))
+        if not syms:
+            return [b""] * len(raw)
+        owner = np.concatenate(owners)
+        packed = np.concatenate(syms)[np.argsort(owner, kind="stable")].astype("<u4").tobytes()
+        cuts = np.concatenate(([0], 4 * np.cumsum(np.bincount(owner, minlength=len(raw))))).tolist()
+        return [packed[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _by_heap(self, word: bytes) -> np.ndarray:
         """The same for one long word, in n log n."""
@@ -148,9 +163,9 @@ class WordBPE:
     def _learn(self, chunks: set[str]) -> None:
         tokens = [self.words.findall(c) for c in chunks]
         distinct = list(dict.fromkeys(chain.from_iterable(tokens)))
-        ids = {w: i.astype("<u4").tobytes() for w, i in zip(distinct, self.merge(distinct))}
+        ids = dict(zip(distinct, self.merge(distinct)))
         for c, t in zip(chunks, tokens):
-            self.known[c] = b"".join([ids[w] for w in t])
+            self.known[c] = ids[t[0]] if len(t) == 1 else b"".join([ids[w] for w in t])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers. Null and empty texts have none."""
