@@ -22,6 +22,8 @@ CACHE = 150_000
 INNER, OUTER, SLACK = 2.5, 7.0, 1.0
 #: Rows that a language or script needs for bands of its own; those of all rows serve the rest.
 LEAST_ROWS = 200
+#: A table of bands with so many rows at most is broadcast; a larger one is joined as the optimiser sees fit.
+MOST_BROADCAST = 10_000
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens")
 _MEASURES = ("chars_per_token", "byte_share", "token_entropy")
@@ -186,6 +188,8 @@ def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> D
     Fences widen for short texts. Where no row has passed the base rules, these alone decide.
     """
     own = edges.where("_group IS NOT NULL")
+    if edges.count() <= MOST_BROADCAST:
+        own = F.broadcast(own)
     rest = edges.where("_group IS NULL").select(*[F.col(f"_{m}_q").alias(f"_{m}_all") for m in _MEASURES])
     common = {m: rest.select(f"_{m}_all").scalar() for m in _MEASURES}
     joined = rows.join(own.drop("_n"), rows[group] == own["_group"], "left")
@@ -206,7 +210,7 @@ def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> D
 def op7_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", group_of().alias("_by"))
     rows = Stored(measured(docs).drop("text")).df
-    return judged(rows, "_by", bands(rows, "_by")).select("doc_id", *_COUNTS[:-1], F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"), *_MEASURES)
+    return judged(rows, "_by", Stored(bands(rows, "_by")).df).select("doc_id", *_COUNTS[:-1], F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"), *_MEASURES)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
