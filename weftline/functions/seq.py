@@ -120,11 +120,15 @@ def _lit(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
-def kmers(rows: DataFrame, seq: str, k: int, *keys: str) -> DataFrame:
-    """The k-mer multiset of each sequence: ``keys, kmer, occ, pos``; equal k-mers of a sequence are numbered."""
+def kmers(rows: DataFrame, seq: str, k: int, *keys: str, among: DataFrame | None = None) -> DataFrame:
+    """The k-mer multiset of each sequence: ``keys, kmer, occ, pos``; equal k-mers of a sequence are numbered.
+
+    With ``among`` (``kmer``) only those k-mers are kept, before anything is numbered."""
     s = F.col(seq)
     places = F.when(F.length(s) >= k, F.sequence(F.lit(1), F.length(s) - k + 1)).otherwise(F.array().cast("array<int>"))
     out = rows.select(*keys, F.explode(F.transform(places, lambda i: F.struct(i.alias("pos"), F.substring(s, i, F.lit(k)).alias("kmer")))).alias("k")).select(*keys, "k.kmer", "k.pos")
+    if among is not None:
+        out = out.join(among.select("kmer").distinct(), "kmer", "left_semi")
     return out.withColumn("occ", F.row_number().over(Window.partitionBy(*keys, "kmer").orderBy("pos")))
 
 
