@@ -16,7 +16,11 @@ COSINE = 0.95
 #: Neighbours of a node above the ground level and on it, beam while building, first beam while searching.
 M, M0, EF_BUILD, EF = 12, 24, 48, 48
 #: An audit compares so many queries with brute force; the beam doubles until this share of true links is found.
-AUDIT, RECALL = 256, 0.995
+AUDIT, RECALL = 512, 0.98
+#: Places of a node for links that reconnect islands, and links of each island.
+SPARE, BRIDGES = 4, 4
+#: A beam of one in so many of a shard's vectors costs more than comparing with all of them, which then is done.
+WIDE = 8
 #: Vectors of a shard at most, shards at least, queries of a block.
 SHARD, SHARDS, BLOCK = 50_000, 6, 100_000
 #: Search works on single precision and keeps what is this close to the threshold for the check in double precision.
@@ -47,6 +51,36 @@ class Graph:
             batch = queue[at : at + max(1, min(at, 1024))]
             self._insert(batch, at)
             at += len(batch)
+        if n:
+            self._reconnect()
+
+    def _reconnect(self) -> None:
+        """Bridges to nodes that can't be reached on the ground level: a tight group may link to itself alone."""
+        n = len(self.ids)
+        ground = self.layers[0] = np.concatenate([self.layers[0], np.full((n, SPARE), -1, dtype=np.int32)], axis=1)
+        reached = np.zeros(n, dtype=bool)
+
+        def spread(frontier: np.ndarray) -> np.ndarray:
+            found = [frontier]
+            while len(frontier):
+                reached[frontier] = True
+                around = np.unique(ground[frontier])
+                frontier = around[(around >= 0)]
+                frontier = frontier[~reached[frontier]]
+                found.append(frontier)
+            return np.concatenate(found)
+
+        spread(np.array([self.entry]))
+        while not reached.all():
+            island = spread(np.flatnonzero(~reached)[:1])
+            main = np.setdiff1d(np.flatnonzero(reached), island)
+            some = island[np.linspace(0, len(island) - 1, min(BRIDGES, len(island))).astype(np.int64)]
+            for u in some:
+                for r in main[np.argsort(-(self.unit[main] @ self.unit[u]), kind="stable")[:64]]:
+                    free = np.flatnonzero(ground[r, -SPARE:] < 0)
+                    if len(free):
+                        ground[r, ground.shape[1] - SPARE + free[0]] = u
+                        break
 
     def _insert(self, batch: np.ndarray, before: int) -> None:
         for l in range(len(self.layers) - 1, -1, -1):
@@ -166,18 +200,24 @@ class Graph:
         return ids, sims
 
     def within(self, queries: np.ndarray, cosine: float, ef: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, node) near the threshold. A query whose beam holds nothing else is searched with a wider one."""
+        """Pairs (query, node) near the threshold. A query whose beam holds nothing else is searched with a wider one,
+        at last with all of the shard."""
         n, out = len(self.ids), []
         left = np.arange(len(queries))
         while len(left):
-            ef = min(ef, n)
+            if WIDE * ef >= n:
+                for s in range(0, len(left), 2048):
+                    part = left[s : s + 2048]
+                    r, c = np.nonzero(queries[part] @ self.unit.T >= cosine - SLOP)
+                    out.append(np.column_stack([part[r], c]))
+                break
             again = []
             step = max(1, min(_GROUP * 8, (1 << 24) // ef))
             for s in range(0, len(left), step):
                 part = left[s : s + step]
                 ids, sims = self.search(queries[part], ef)
                 hit = sims >= cosine - SLOP
-                full = hit.all(axis=1) & (ef < n)
+                full = hit.all(axis=1)
                 again.append(part[full])
                 r, c = np.nonzero(hit & ~full[:, None])
                 out.append(np.column_stack([part[r], ids[r, c]]))
@@ -189,7 +229,7 @@ class Graph:
         """``within`` with beams widened until the audit passes; also the recall that was measured and the beam.
 
         The audit takes the queries with the smallest hashes of their ids and compares all their links with brute
-        force over the shard. A beam as wide as the shard is brute force itself."""
+        force over the shard. Beams that are wide for the shard end in brute force themselves."""
         chosen = np.argsort((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20), kind="stable")[:AUDIT]
         exact = queries[chosen] @ self.unit.T >= cosine
         ef = EF
@@ -198,7 +238,7 @@ class Graph:
             hits = np.zeros_like(exact)
             hits[q, node] = True
             recall = float((hits & exact).sum() / max(1, exact.sum()))
-            if recall >= RECALL or ef >= len(self.ids):
+            if recall >= RECALL or WIDE * ef >= len(self.ids):
                 return *self.within(queries, cosine, ef), recall, ef
             ef *= 2
 
