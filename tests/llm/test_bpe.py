@@ -42,6 +42,10 @@ def test_random_words(library):
     check(["".join(rng.choice(letters) for _ in range(rng.randrange(400))) for _ in range(300)], library)
 
 
+def test_letters_of_newer_unicode(library):
+    check(["a\u1c89B \ua7cbx y", "x\u0558\U00010d50\U00010d70 <|endoftext|> z", "\U000323b0\U000323b1 1\uffff"], library)
+
+
 def test_frames(spark):
     docs = spark.createDataFrame([(i, t, b"x") for i, t in enumerate(TEXTS)], "doc_id long, text string, ids binary")
     got = bpe.decode(bpe.encode(docs)).collect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -36,6 +36,19 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+def _unassigned() -> str:
+    """A character class of all code points without a meaning in this Python's Unicode tables."""
+    ranges, start = [], None
+    for c in range(128, 0x110001):
+        free = c < 0x110000 and unicodedata.category(chr(c)) == "Cn"
+        if free and start is None:
+            start = c
+        elif not free and start is not None:
+            ranges.append(f"\\U{start:08x}-\\U{c - 1:08x}")
+            start = None
+    return "[" + "".join(ranges) + "]"
+
+
 class WordBPE:
     """A byte-level BPE vocabulary with word ends, as its tokenizer file describes it."""
 
@@ -61,6 +74,9 @@ class WordBPE:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
         self.words = regex.compile(split.replace(r"\s", r"\p{White_Space}"), regex.V0)
         self.breaks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
+        #: letters that this Python's Unicode tables don't know yet: the library's own rules split texts with these
+        self.unknown = regex.compile(_unassigned())
+        self.path = path
         self.spaces = regex.compile(r"\p{White_Space}+")
         self.known: dict[str, bytes] = {}
 
@@ -160,6 +176,18 @@ class WordBPE:
             return [x for x in self.spaces.split(text) if x]
         return text.split()
 
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def _split_by_library(self, text: str) -> list[str]:
+        """Pre-tokens of a text by the library's normalizer and pattern, whose Unicode tables are newer."""
+        byte = {c: b for b, c in enumerate(_byte_letters())}
+        parts = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(byte[c] for c in s).decode("utf-8", "replace") for s, _ in parts]
+
     def _learn(self, chunks: set[str]) -> None:
         tokens = [self.words.findall(c) for c in chunks]
         distinct = list(dict.fromkeys(chain.from_iterable(tokens)))
@@ -173,9 +201,14 @@ class WordBPE:
         for text in texts:
             own: list = []
             for k, piece in enumerate(self.breaks.split(text) if text and "<|" in text else [text or ""]):
-                own.append(piece if k % 2 else self._chunks(self.normal(piece)))
+                if k % 2:
+                    own.append(self.special[piece].to_bytes(4, "little"))
+                elif not piece.isascii() and self.unknown.search(piece):
+                    own.append(b"".join(self.merge(self._split_by_library(piece))))
+                else:
+                    own.append(self._chunks(self.normal(piece)))
             parts.append(own)
-        lists = [p for own in parts for p in own if not isinstance(p, str)]
+        lists = [p for own in parts for p in own if not isinstance(p, bytes)]
         fresh = set(chain.from_iterable(lists)) - self.known.keys()
         if len(self.known) + len(fresh) > CACHE:
             self.known.clear()
@@ -183,7 +216,7 @@ class WordBPE:
         if fresh:
             self._learn(fresh)
         known = self.known.__getitem__
-        return [b"".join(self.special[p].to_bytes(4, "little") if isinstance(p, str) else b"".join(map(known, p)) for p in own) for own in parts]
+        return [b"".join(p if isinstance(p, bytes) else b"".join(map(known, p)) for p in own) for own in parts]
 
     def decode(self, ids: bytes) -> str:
         """The tokens' own strings with a space between, as a tokenizer without a decoder gives them."""
