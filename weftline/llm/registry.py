@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, hnsw, langid, mixing, quality, secrets, simhash, substring, suffixes
+from . import bpe, hnsw, langid, mixing, quality, secrets, simhash, substring, suffixes, tokencounts
 
 
 def queries() -> dict:
     return {
         "op1_suffixes": suffixes.op1_suffixes,
         "op2_bpe": bpe.op2_bpe,
+        "op3_token_counts": tokencounts.op3_token_counts,
         "op4_embeddings": hnsw.op4_embeddings,
         "op5_substring": substring.op5_substring,
         "op6_simhash": simhash.op6_simhash,
