@@ -31,6 +31,8 @@ ENCODINGS = (
 ALPHA = 0.05
 BINS = 50
 MOST_BINS = 4000
+#: Matches of a text whose lengths are summed together.
+STRIDE = 128
 
 
 def _let(value: Column, body: callable) -> Column:
@@ -42,10 +44,20 @@ def _spans_of(pieces: Column) -> Column:
     hits, gaps = pieces["hits"], pieces["gaps"]
     ends = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(F.length(g).alias("g"), F.length(h).alias("h"), h.alias("m")))
 
+    total = lambda part: F.aggregate(part, F.lit(0), lambda a, y: a + y["g"] + y["h"])
+
     def located(rows: Column) -> Column:
-        before = lambda i: F.aggregate(F.slice(rows, F.lit(1), i), F.lit(0), lambda a, y: a + y["g"] + y["h"])
-        starts = F.transform(rows, lambda x, i: F.struct((before(i) + x["g"]).alias("start"), x["h"].alias("n"), x["m"].alias("m")))
-        return F.transform(starts, lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["n"]).alias("end"), x["m"].alias("m")))
+        # prefix sums in two levels, as a text may hold very many matches
+        count = F.ceil(F.size(rows) / F.lit(STRIDE)).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda b: total(F.slice(rows, b * STRIDE + 1, F.lit(STRIDE))))
+        before = _let(blocks, lambda sums: F.transform(sums, lambda _, b: F.aggregate(F.slice(sums, F.lit(1), b), F.lit(0), lambda a, y: a + y)))
+        return _let(before, lambda base: starts(rows, base))
+
+    def starts(rows: Column, base: Column) -> Column:
+        block = lambda i: F.floor(i / F.lit(STRIDE)).cast("int")
+        at = lambda x, i: F.element_at(base, block(i) + 1) + total(F.slice(rows, block(i) * STRIDE + 1, i % STRIDE)) + x["g"]
+        found = F.transform(rows, lambda x, i: F.struct(at(x, i).alias("start"), x["h"].alias("n"), x["m"].alias("m")))
+        return F.transform(found, lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["n"]).alias("end"), x["m"].alias("m")))
 
     return _let(ends, located)
 
