@@ -24,6 +24,8 @@ from .common import Stored, lean_batches
 BLOCK = 1 << 20
 SLICE = 4 << 20
 MOST = 20_000
+#: Fragments whose digests a task remembers.
+REMEMBERED = 300_000
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -159,15 +161,24 @@ def _marks(docs: DataFrame, unit: Unit) -> DataFrame:
 _FRAGMENT = "tid binary, sym long, fid binary, lo int, n int, frag binary"
 
 
-def _fragments(rows: list[tuple], piece: Callable, window: int):
-    """Arrow batches of fragments; ``rows`` are (text, tid, sym, lo, hi, shift)."""
+def _fragments(rows: Iterator[tuple], piece: Callable, window: int, sent: set[bytes]):
+    """Arrow batches of fragments; ``rows`` are (text, tid, sym, lo, hi, shift).
+
+    The bytes of a fragment that the task has ``sent`` before are null: copies of a text lie in one task."""
     out: list[list] = [[], [], [], [], [], []]
     size = 0
     for i, tid, sym, lo, hi, shift in rows:
         frag = piece(i, lo, hi + window)
-        for column, x in zip(out, (tid, sym, hashlib.md5(frag).digest(), lo + shift, hi - lo + 1, frag)):
+        fid = hashlib.md5(frag).digest()
+        if fid in sent:
+            frag = None
+        else:
+            if len(sent) >= REMEMBERED:
+                sent.clear()
+            sent.add(fid)
+        for column, x in zip(out, (tid, sym, fid, lo + shift, hi - lo + 1, frag)):
             column.append(x)
-        size += len(frag)
+        size += 64 + len(frag or b"")
         if size >= SLICE:
             yield _fragment_batch(out)
             out, size = [[], [], [], [], [], []], 0
@@ -184,6 +195,7 @@ def _cut(texts: DataFrame, unit: Unit) -> DataFrame:
     """Fragments of texts at their marks (``tid, text, marks``)."""
 
     def run(batches):
+        sent: set[bytes] = set()
         for batch in batches:
             tids, raw, marks = batch.column(0).to_pylist(), _raw(batch.column(1)), batch.column(2)
             counts = np.diff(marks.offsets.to_numpy())
@@ -193,7 +205,7 @@ def _cut(texts: DataFrame, unit: Unit) -> DataFrame:
             for a, b in slices([len(r) for r in raw]):
                 _, _, piece = unit.load(raw[a:b])
                 rows = ((i - a, tids[i], sym[j], lo[j], hi[j], 0) for i in range(a, b) for j in range(ends[i] - int(counts[i]), ends[i]))
-                yield from _fragments(rows, piece, unit.window)
+                yield from _fragments(rows, piece, unit.window, sent)
 
     return texts.select("tid", "text", "marks").mapInArrow(run, _FRAGMENT)
 
@@ -202,13 +214,14 @@ def _cut_again(frags: DataFrame, unit: Unit, k: int) -> DataFrame:
     """Fragments of fragments, on anchors of k symbols."""
 
     def run(batches):
+        sent: set[bytes] = set()
         for batch in batches:
             tids, los, raw = batch.column(0).to_pylist(), batch.column(3).to_pylist(), _raw(batch.column(5))
             for a, b in slices([len(r) for r in raw]):
                 symbols, lengths, piece = unit.load(raw[a:b])
                 whose, sym, lo, hi = anchored(symbols, lengths, unit.window, k)
                 rows = ((i, tids[a + i], s, x, y, los[a + i]) for i, s, x, y in zip(whose.tolist(), sym.view(np.int64).tolist(), lo.tolist(), hi.tolist()))
-                yield from _fragments(rows, piece, unit.window)
+                yield from _fragments(rows, piece, unit.window, sent)
 
     return frags.mapInArrow(run, _FRAGMENT)
 
@@ -246,10 +259,14 @@ def _grouped(frags: DataFrame, unit: Unit, engine: Callable) -> DataFrame:
         if syms:
             yield flush(syms, fids, held, counts)
 
-    ready = frags.select("sym", "fid", "n", "frag").repartition("sym").sortWithinPartitions("sym", "fid")
+    ready = frags.where("frag IS NOT NULL").select("sym", "fid", "n", "frag").repartition("sym").sortWithinPartitions("sym", "fid")
     return ready.mapInArrow(run, "sym long, fid binary, a int, b int")
 
 
+def _twice(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("sym").count().where("count > 1").select("sym")
+
+
 def repeated(docs: DataFrame, unit: Unit, engine: Callable, most: int = MOST) -> DataFrame:
     """``tid, spans``: stretches (start, end) covered by windows that occur more than once, sorted, for each text
     that has any. ``docs`` holds ``tid`` (equal for equal texts alone) and ``text``.
@@ -259,29 +276,32 @@ def repeated(docs: DataFrame, unit: Unit, engine: Callable, most: int = MOST) ->
     """
     lean_batches(docs.sparkSession)
     marks = Stored(_marks(docs, unit)).df
-    twice = marks.groupBy("sym").count().where("count > 1").select("sym")
+    # stored, so that both sides of a join are plain exchanges and a frequent anchor's rows can be split
+    twice = Stored(_twice(marks)).df
     kept = marks.join(twice, "sym", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("sym", "lo", "hi")).alias("marks"))
     frags = Stored(_cut(docs.join(kept, "tid"), unit)).df
     k, found = unit.k, None
     while True:
         counts = Stored(frags.groupBy("sym", "fid").agg(F.count("*").alias("times"))).df
         sizes = counts.groupBy("sym").agg(F.count("*").alias("size"))
-        hot = sizes.where(F.col("size") > most).select("sym")
+        hot = Stored(sizes.where(F.col("size") > most).select("sym")).df
         more = k < unit.window and not hot.isEmpty()
         cool = frags.join(hot, "sym", "left_anti") if more else frags
         stretches = Stored(_grouped(cool, unit, engine)).df
         same = counts.where("times > 1").select("sym", "fid", F.lit(True).alias("same"))
+        verdicts = Stored(same.join(stretches, ["sym", "fid"], "full_outer")).df
         placed = (
             cool.drop("frag")
-            .join(same.join(stretches, ["sym", "fid"], "full_outer"), ["sym", "fid"])
+            .join(verdicts, ["sym", "fid"])
             .select("tid", F.when(F.col("same"), F.col("lo")).otherwise(F.col("lo") + F.col("a")).alias("start"), F.when(F.col("same"), F.col("lo") + F.col("n") - 1 + unit.window).otherwise(F.col("lo") + F.col("b")).alias("end"))
         )
         found = placed if found is None else found.unionByName(placed)
         if not more:
             return found.groupBy("tid").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
         k = min(2 * k, unit.window)
-        again = Stored(_cut_again(frags.join(hot, "sym", "left_semi").select("tid", "sym", "fid", "lo", "n", "frag"), unit, k)).df
-        twice = again.groupBy("sym").count().where("count > 1").select("sym")
+        bytes_ = frags.where("frag IS NOT NULL").join(hot, "sym", "left_semi").select("sym", "fid", "frag").dropDuplicates(["sym", "fid"])
+        again = Stored(_cut_again(frags.drop("frag").join(bytes_, ["sym", "fid"]).select("tid", "sym", "fid", "lo", "n", "frag"), unit, k)).df
+        twice = Stored(_twice(again)).df
         frags = Stored(again.join(twice, "sym", "left_semi").select("tid", "sym", "fid", "lo", "n", "frag")).df
 
 
