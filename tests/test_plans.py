@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.plans import assembly, curation, driver_queries
+from weftline.functions.seq import CODONS
+from weftline.plans import assembly, curation, driver_queries, frames, genomes
 from weftline.plans.stages import Plan
 from weftline.streaming import streams
 
@@ -58,6 +59,40 @@ def test_reads_to_orthologs(spark, tmp_path):
         assert rows[locus].nf in nt and rows[locus].p in protein
 
 
+def test_frames_of_baits(spark):
+    rng = random.Random(7)
+    codons = ["GCT", "AAA", "GGT", "CCA", "ACT", "GAA", "TTC", "CAC"]
+    word = "".join(rng.choice(codons) for _ in range(40))
+    protein = "".join(dict(zip(codons, "AKGPTEFH"))[word[i : i + 3]] for i in range(0, 120, 3))
+    rows = spark.createDataFrame([("sp.LG1.9.5", "G" + word), ("sp.LG2.1.3", "TAATTAATTAATTAATTAATTAATTAATTAATTAATTAAT")], "name string, seq string")
+    markers = spark.createDataFrame([("LG1", 5, 9, "g1")], "chrom string, start long, end long, gene string")
+    fitted, bad = frames.predict_frames(rows, markers, spark.createDataFrame([("g1", "p", protein)], "gene string, prot_id string, aa string"), most_stops=3)
+    got = {r.name: r for r in fitted.collect()}
+    assert got["sp.LG1.9.5"].aa == protein and got["sp.LG1.9.5"].dna == word
+    assert [r.name for r in bad.collect()] in (["sp.LG2.1.3"], [])
+    assert [r.name for r in frames.predict_frames(rows, markers, spark.createDataFrame([], "gene string, prot_id string, aa string"), most_stops=0)[1].collect()] == ["sp.LG2.1.3"]
+
+
+def test_orthologs_in_other_genomes(spark):
+    rng = random.Random(9)
+    aa = {c: a for c, a in CODONS.items() if a != "*"}
+    codons = sorted(aa)
+    pad = lambda: "".join(rng.choices("ACGT", k=90))
+    loci, own, other = [], [], []
+    for k in range(2):
+        word = "".join(rng.choice(codons) for _ in range(60))
+        loci.append((f"l{k}", word, "".join(aa[word[i : i + 3]] for i in range(0, 180, 3))))
+        own.append((f"c{k}", pad() + word + pad()))
+        turned = word[::-1].translate(str.maketrans("ACGT", "TGCA"))
+        other.append(("s1", f"d{k}", pad() + (turned if k else word) + pad()))
+    out = genomes.extract_orthologs(spark.createDataFrame(loci, "locus string, nt string, aa string"), spark.createDataFrame(own, "name string, seq string"), spark.createDataFrame(other, "sample string, name string, seq string"))
+    got = {r.locus: r for r in out.collect()}
+    assert set(got) == {"l0", "l1"}
+    for locus, nt, protein in loci:
+        assert protein in got[locus].aa or got[locus].aa in protein
+        assert len(got[locus].dna) >= 150
+
+
 def test_curation(spark):
     rng = random.Random(5)
     base = "".join(rng.choices("ACGT", k=150))
