@@ -174,10 +174,9 @@ def bands(rows: DataFrame, group: str, prefix: str = "") -> DataFrame:
 
     Taken over all rows that pass the base rules, by mergeable quantile sketches."""
     quartiles = [F.percentile_approx(prefix + m, [0.25, 0.5, 0.75], 2000).alias(f"_{m}_q") for m in _MEASURES]
-    passed = rows.where(~base_failed(prefix))
-    own = passed.groupBy(F.col(group).alias("_group")).agg(*quartiles, F.count("*").alias("_n")).where(F.col("_n") >= LEAST_ROWS)
-    everything = passed.agg(*quartiles, F.count("*").alias("_n")).select(F.lit(None).cast("string").alias("_group"), *[f"_{m}_q" for m in _MEASURES], "_n")
-    return own.unionByName(everything)
+    # one pass for both: each group and, at the next level of the rollup, all rows
+    found = rows.where(~base_failed(prefix)).withColumn("_group", F.col(group)).rollup("_group").agg(*quartiles, F.count("*").alias("_n"), F.grouping("_group").alias("_all"))
+    return found.where((F.col("_all") == 1) | (F.col("_group").isNotNull() & (F.col("_n") >= LEAST_ROWS))).drop("_all")
 
 
 def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> DataFrame:
