@@ -19,7 +19,7 @@ SPACES = b" \t\n\x0b\x0c\r"
 CHUNK = 4 << 20
 CACHE = 150_000
 #: Fences of the bands in interquartile ranges from the quartiles, and their slack for short texts (per root token).
-INNER, OUTER, SLACK = 2.5, 7.0, 1.0
+INNER, OUTER, SLACK = 1.5, 7.0, 1.0
 #: Rows that a language or script needs for bands of its own; those of all rows serve the rest.
 LEAST_ROWS = 200
 #: A table of bands with so many rows at most is broadcast; a larger one is joined as the optimiser sees fit.
@@ -183,7 +183,7 @@ def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> D
     """``rows`` with ``_base_failed`` and ``_kept``.
 
     Beyond an outer fence one measure rejects: few or many characters per token, or much byte fallback. Between the
-    inner and the outer fence of characters per token the entropy of the tokens has to be in its lower half too.
+    inner and the outer fence of characters per token the entropy of the tokens has to be in its lowest quarter too.
     Fences widen for short texts. Where no row has passed the base rules, these alone decide.
     """
     own = edges.where("_group IS NOT NULL")
@@ -200,7 +200,7 @@ def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> D
     cpt, byte, entropy = (F.col(prefix + m) for m in _MEASURES)
     below = lambda k: cpt < at("chars_per_token", 0) - k * range_("chars_per_token") - slack
     above = lambda k: cpt > at("chars_per_token", 2) + k * range_("chars_per_token") + 2 * slack
-    rejected = below(OUTER) | above(2 * OUTER) | (byte > at("byte_share", 2) + 2 * OUTER * range_("byte_share") + slack) | (below(INNER) & (entropy < at("token_entropy", 1)))
+    rejected = below(OUTER) | above(2 * OUTER) | (byte > at("byte_share", 2) + 2 * OUTER * range_("byte_share") + slack) | (below(INNER) & (entropy < at("token_entropy", 0)))
     fails = base_failed(prefix)
     out = joined.withColumns({"_base_failed": fails, "_kept": ~fails & ~F.coalesce(rejected, F.lit(False))})
     return out.drop("_group", *[f"_{m}_{x}" for m in _MEASURES for x in "qb"])
