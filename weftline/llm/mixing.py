@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table, word_count
+from .common import Stored, table, word_count
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -13,6 +13,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = (3, 2)
 MOST = 2
 SEED = 20
+#: A table of sources with so many rows at most is broadcast.
+MOST_BROADCAST = 10_000
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most: int = MOST) -> DataFrame:
     """Target of each source: ``source, source_size, target``.
@@ -50,9 +52,10 @@ def copies(rate: Column, *seed: Column) -> Column:
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` with ``_mix_size``, ``_mix_source_size``, ``_mix_target`` and ``_mix_copies`` beside their columns.
 
-    The sizes are aggregated before they are shuffled, and the table of sources is joined as the optimiser
-    sees fit; a source that holds a third of all rows meets in no single task. The draw hashes the key and the
-    text's own hash, so reruns agree whatever the partitions are and equal rows share their fate. A null text
+    The sizes are aggregated before they are shuffled. The table of sources is broadcast if it has few rows, so
+    the texts aren't shuffled and a source that holds a third of all rows meets in no single task; a longer one is
+    joined as the optimiser sees fit. The draw hashes the key, so reruns
+    agree whatever the partitions are and rows of one key share their fate. A null text
     has size 0, a null key draws as the empty string, a null source is a source of its own.
     """
     sized = docs.withColumn("_mix_size", word_count(F.col(text)))
@@ -60,6 +63,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     targets = source_targets(slim).select(
         F.col("source").alias("_mix_source"), F.col("source_size").alias("_mix_source_size"), F.col("target").alias("_mix_target")
     )
+    targets = Stored(targets).df
+    if targets.count() <= MOST_BROADCAST:
+        targets = F.broadcast(targets)
     rate = F.when(F.col("_mix_source_size") > 0, F.col("_mix_target") / F.col("_mix_source_size")).otherwise(F.lit(0.0))
     return (
         sized.join(targets, F.col(source).eqNullSafe(F.col("_mix_source")), "left")
