@@ -4,11 +4,10 @@ import hashlib
 import random
 import re
 
-import numpy as np
 import pytest
 
 import corpus_pipeline
-from weftline.llm import bpe, mixing, quality, simhash
+from weftline.llm import bpe, mixing, simhash
 
 ASSIGN = re.compile(r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 

@@ -36,19 +36,6 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
-def _unassigned() -> str:
-    """A character class of all code points without a meaning in this Python's Unicode tables."""
-    ranges, start = [], None
-    for c in range(128, 0x110001):
-        free = c < 0x110000 and unicodedata.category(chr(c)) == "Cn"
-        if free and start is None:
-            start = c
-        elif not free and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{c - 1:08x}")
-            start = None
-    return "[" + "".join(ranges) + "]"
-
-
 class WordBPE:
     """A byte-level BPE vocabulary with word ends, as its tokenizer file describes it."""
 
@@ -74,8 +61,7 @@ class WordBPE:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
         self.words = regex.compile(split.replace(r"\s", r"\p{White_Space}"), regex.V0)
         self.breaks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        #: letters that this Python's Unicode tables don't know yet: the library's own rules split texts with these
-        self.unknown = regex.compile(_unassigned())
+        self.assigned: set[str] = set(map(chr, range(128)))
         self.path = path
         self.spaces = regex.compile(r"\p{White_Space}+")
         self.known: dict[str, bytes] = {}
@@ -182,6 +168,14 @@ class WordBPE:
 
         return Tokenizer.from_file(self.path)
 
+    def _has_newer(self, text: str) -> bool:
+        """Whether a text has code points that this Python's Unicode tables don't know yet: the library's own rules
+        split those texts. Characters once looked up are remembered."""
+        fresh = set(text) - self.assigned
+        newer = {c for c in fresh if unicodedata.category(c) == "Cn"}
+        self.assigned |= fresh - newer
+        return bool(newer)
+
     def _split_by_library(self, text: str) -> list[str]:
         """Pre-tokens of a text by the library's normalizer and pattern, whose Unicode tables are newer."""
         byte = {c: b for b, c in enumerate(_byte_letters())}
@@ -203,7 +197,7 @@ class WordBPE:
             for k, piece in enumerate(self.breaks.split(text) if text and "<|" in text else [text or ""]):
                 if k % 2:
                     own.append(self.special[piece].to_bytes(4, "little"))
-                elif not piece.isascii() and self.unknown.search(piece):
+                elif not piece.isascii() and self._has_newer(piece):
                     own.append(b"".join(self.merge(self._split_by_library(piece))))
                 else:
                     own.append(self._chunks(self.normal(piece)))
