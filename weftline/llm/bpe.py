@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean_batches, table
+from .common import give_back, lean_batches, table
 
 #: Distinct words that a worker remembers, and bytes of text that one round of merges takes.
 CACHE = 400_000
@@ -257,6 +257,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: st
                 if decoded:
                     columns.append(pa.array(map(bpe.decode, packed), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *names])
+        give_back()
 
     lean_batches(docs.sparkSession)
     return kept.mapInArrow(run, schema)

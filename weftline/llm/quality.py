@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -10,14 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Stored, lean_batches, table
+from .common import Stored, give_back, lean_batches, table
 
 #: Fixed values of the contract.
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 SPACES = b" \t\n\x0b\x0c\r"
 CHUNK = 4 << 20
-CACHE = 150_000
+CACHE = 200_000
 #: Fences of the bands in interquartile ranges from the quartiles, and their slack for short texts (per root token).
 INNER, OUTER, SLACK = 1.5, 7.0, 1.0
 #: Rows that a language or script needs for bands of its own; those of all rows serve the rest.
@@ -44,18 +45,17 @@ class Pieces:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}
 
-    def tokens(self, words: list[bytes]) -> list[np.ndarray]:
+    def tokens(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word's tokens, packed as 32-bit integers."""
         fresh = [w for w in words if w not in self.known]
         if len(self.known) + len(fresh) > CACHE:
             self.known.clear()
             fresh = words
-        found = {w: np.array(t, dtype=np.int32) for w, t in zip(fresh, self.model.encode([w.decode("utf-8", "replace") for w in fresh], num_threads=1))}
-        out = [found[w] if w in found else self.known[w] for w in words]
-        if len(self.known) + len(found) <= CACHE:
-            self.known |= found
-        return out
+        coded = self.model.encode([w.decode("utf-8", "replace") for w in fresh], num_threads=1)
+        self.known.update(zip(fresh, [array("i", t).tobytes() for t in coded]))
+        return [self.known[w] for w in words]
 
 
 @lru_cache(maxsize=1)
@@ -111,8 +111,8 @@ def measure(texts: list[str | None], path: str) -> dict[str, np.ndarray]:
     out["n_repeat_words"] = repeated_words(flat, owner, n)
     vocab = pieces(path)
     tokens = vocab.tokens(list(rank))
-    length = np.array([len(t) for t in tokens], dtype=np.int64)
-    pool = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int32)
+    length = np.array([len(t) for t in tokens], dtype=np.int64) // 4
+    pool = np.frombuffer(b"".join(tokens), dtype=np.int32)
     start = np.cumsum(length) - length
     width = max(1, len(rank))
     pairs, times = np.unique(owner * width + flat, return_counts=True)
@@ -151,6 +151,7 @@ def measured(docs: DataFrame, text: str = "text", path: str | None = None, prefi
                     part = batch.slice(start, i + 1 - start)
                     yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(found[c]) for c in (*_COUNTS, *_MEASURES))], names=[*part.schema.names, *names])
                     start, total = i + 1, 0
+        give_back()
 
     lean_batches(docs.sparkSession)
     return kept.mapInArrow(run, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Stored, connected_components, lean_batches, table
+from .common import Stored, connected_components, give_back, lean_batches, table
 
 #: Fixed values of the contract: words of a shingle, seed of XXH64, differing bits that link.
 SHINGLE = 3
@@ -64,6 +64,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", to: str = "fingerprin
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fingerprints(texts).view(np.int64))], names=[*batch.schema.names, to])
+        give_back()
 
     lean_batches(docs.sparkSession)
     return kept.mapInArrow(run, schema)
