@@ -173,8 +173,9 @@ def base_failed(prefix: str = "") -> Column:
 def bands(rows: DataFrame, group: str, prefix: str = "") -> DataFrame:
     """Quartiles of each measure for each group, and for all rows (group null): one row per language or script.
 
-    Taken over all rows that pass the base rules, by mergeable quantile sketches."""
-    quartiles = [F.percentile_approx(prefix + m, [0.25, 0.5, 0.75], 2000).alias(f"_{m}_q") for m in _MEASURES]
+    Taken over all rows that pass the base rules, exactly on values of three digits: counts of these are what is
+    merged, so reruns agree and the state is bounded by the measures' ranges."""
+    quartiles = [F.percentile(F.round(prefix + m, 3), [0.25, 0.5, 0.75]).alias(f"_{m}_q") for m in _MEASURES]
     # one pass for both: each group and, at the next level of the rollup, all rows
     found = rows.where(~base_failed(prefix)).withColumn("_group", F.col(group)).rollup("_group").agg(*quartiles, F.count("*").alias("_n"), F.grouping("_group").alias("_all"))
     return found.where((F.col("_all") == 1) | (F.col("_group").isNotNull() & (F.col("_n") >= LEAST_ROWS))).drop("_all")
