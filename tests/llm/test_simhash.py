@@ -72,3 +72,35 @@ def test_stage_keeps_one_of_each(spark):
     assert got.columns == docs.columns
     assert sorted((r.doc_id for r in got.collect()), key=str) == [3, 7, 8, 8, None]
     assert simhash.stage(spark, docs.limit(0), "").collect() == []
+
+
+def five_word_components(texts):
+    """Smallest index that each text reaches over pairs of five-word shingle sets with a Jaccard similarity of 0.8."""
+    words = [t.lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    return [find(i) for i in range(len(texts))]
+
+
+def test_stage_removes_edited_copies(spark):
+    rng = random.Random(3)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(60, 300))]
+        texts.append(" ".join(words))
+        for edits in (1, 1, 2, 4, 8):
+            for _ in range(edits):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(3000)}"
+            texts.append(" ".join(words))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in simhash.stage(spark, docs, "").collect()} == set(five_word_components(texts))

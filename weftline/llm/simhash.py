@@ -17,6 +17,12 @@ RADIUS = 2
 #: Segments of the embedding; a count takes four bits of a cell's number.
 SEGMENTS = 8
 _BLOCK = 1 << 17
+#: Near copies in the pipeline: words of a shingle, and the Jaccard similarity of two shingle sets, a ratio of integers.
+NEAR_SHINGLE, NEAR = 5, (4, 5)
+#: Bands of minima that find candidates, and minima of a band: at the similarity 0.8 a pair is missed with probability 7e-5.
+BANDS, MINIMA = 24, 5
+#: Rounds at most in which the texts of a bucket are compared with one of them, and how many pairs a text may leave for the last.
+HUBS, FEW = 4, 8
 
 
 def _majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -33,21 +39,30 @@ def _majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * counts > sizes[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
-def fingerprints(texts: list[str | None]) -> np.ndarray:
-    """64-bit fingerprints of texts; zero for a text without a word, null included."""
+def _words(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "replace").lower().split() if text else []
+
+
+def _shingles(words: list[bytes], shingle: int) -> np.ndarray:
+    """Hashes of the runs of ``shingle`` words; a shorter text (not an empty one) is one run."""
     from xxhash import xxh64_intdigest as xxh64
 
+    line = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    k = min(shingle, len(words))
+    spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())
+    return np.array([xxh64(line[a:b], SEED) for a, b in spans], dtype=np.uint64)
+
+
+def fingerprints(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
+    """64-bit fingerprints of texts; zero for a text without a word, null included."""
     out, parts, sizes, at = np.zeros(len(texts), dtype=np.uint64), [], [], []
     for i, text in enumerate(texts):
-        words = text.encode("utf-8", "replace").lower().split() if text else []
+        words = _words(text)
         if not words:
             continue
-        line = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        k = min(SHINGLE, len(words))
-        spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())
-        parts.append(np.array([xxh64(line[a:b], SEED) for a, b in spans], dtype=np.uint64))
+        parts.append(_shingles(words, shingle))
         sizes.append(len(parts[-1]))
         at.append(i)
     if parts:
@@ -124,16 +139,143 @@ def op6_simhash(spark, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _bands(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For consecutive runs of hashes (none empty), a hash of the minima of each band: one row a run."""
+    from xxhash import xxh64_intdigest as xxh64
+
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros((len(sizes), BANDS), dtype=np.uint64)
+    for k in range(BANDS * MINIMA):
+        mask, factor = (np.uint64(xxh64(f"{x}{k}", SEED)) for x in "mf")
+        low = np.minimum.reduceat((hashes ^ mask) * (factor | np.uint64(1)), starts)
+        mixed = (out[:, k % BANDS] ^ low) * np.uint64(0x9E3779B97F4A7C15)
+        out[:, k % BANDS] = mixed ^ (mixed >> np.uint64(29))
+    return out
+
+
+def with_bands(docs: DataFrame, text: str, node: str, bands: str, shingle: int = NEAR_SHINGLE) -> DataFrame:
+    """``docs`` without the text but with a hash of its words and its bands, none for a text without a word."""
+    from xxhash import xxh64_intdigest as xxh64
+
+    kept = docs.drop(text)
+    schema = T.StructType(kept.schema.fields + [T.StructField(node, T.LongType()), T.StructField(bands, T.ArrayType(T.LongType()))])
+
+    def run(batches):
+        for batch in batches:
+            found, nodes, parts, at = [[]] * batch.num_rows, [], [], []
+
+            def settle():
+                if parts:
+                    rows = _bands(np.concatenate(parts), np.array([len(p) for p in parts])).view(np.int64).tolist()
+                    for i, row in zip(at, rows):
+                        found[i] = row
+                    parts.clear()
+                    at.clear()
+
+            total = 0
+            for i, value in enumerate(batch.column(batch.schema.get_field_index(text)).to_pylist()):
+                words = _words(value)
+                nodes.append(xxh64(b" ".join(words), SEED))
+                if words:
+                    parts.append(_shingles(words, shingle))
+                    at.append(i)
+                    total += len(words)
+                if total >= _BLOCK:
+                    settle()
+                    total = 0
+            settle()
+            rest = batch.drop_columns([text])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))], names=[*rest.schema.names, node, bands])
+        give_back()
+
+    lean_batches(docs.sparkSession)
+    return docs.mapInArrow(run, schema)
+
+
+def _sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """``node, shingles``: the sorted distinct shingle hashes of ``text``, packed."""
+
+    def run(batches):
+        for batch in batches:
+            packed = [np.unique(_shingles(_words(t), shingle)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "shingles"])
+        give_back()
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs ``a, b`` whose shingle sets have the Jaccard similarity (a ratio of integers) at least."""
+    up, down = similarity
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True)) if up * max(len(x), len(y)) <= down * min(len(x), len(y)) else 0
+                keep.append(down * both >= up * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
+
+    joined = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    return joined.mapInArrow(run, "a long, b long")
+
+
+def near_copies(docs: DataFrame, marked: DataFrame, row: list[str], text: str = "text", shingle: int = NEAR_SHINGLE, similarity: tuple[int, int] = NEAR) -> DataFrame:
+    """``node, component`` for the texts that have a near copy: components over all pairs with the similarity.
+
+    ``marked`` (stored) has ``node`` and ``bands`` for the rows of ``docs``, which the columns ``row`` name. At the
+    similarity 0.8 fingerprints of 64 bits differ in ten bits on average and in more than sixteen at times, and a grid of
+    that radius would compare nearly all with all. So candidates share a band of minima, and each pair is checked
+    by its sets of shingles. In the first rounds each text meets one text of its buckets, which unites a large group
+    with few pairs; the last compares every two texts of a bucket that are not united yet, so the components are
+    those of all candidates.
+    """
+    nodes = marked.where(F.size("bands") > 0).groupBy("node").agg(F.min(F.struct(*row)).alias("r"), F.first("bands").alias("bands"))
+    places = nodes.select("node", "r", F.posexplode("bands").alias("k", "v")).select("node", "r", F.xxhash64("k", "v").alias("bucket"))
+    full = places.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    entries = Stored(places.join(full, "bucket"))
+    firsts = entries.df.select("node", "r.*").distinct()
+    sets = Stored(_sets(docs.select(*row, F.col(text).alias("text")).join(firsts, row).dropDuplicates(["node"]), shingle))
+    edges, roots = None, None
+    for k in range(HUBS + 1):
+        rooted = entries.df.select("bucket", "node")
+        rooted = rooted.withColumn("root", F.col("node")) if roots is None else rooted.join(roots, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("root"))
+        rooted = Stored(rooted)
+        sized = rooted.df.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node")).alias("one"))
+        mixed = sized.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"), F.min("one").alias("hub")).where("m > 1")
+        some = mixed.agg(F.coalesce(F.sum(((F.col("s") * F.col("s") - F.col("q")) / 2)), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0))).first()
+        last = k == HUBS or (k > 0 and some[0] <= FEW * some[1])
+        if last:
+            left = rooted.df.join(mixed.select("bucket"), "bucket")
+            pairs = left.toDF("bucket", "a", "ra").join(left.toDF("bucket", "b", "rb"), "bucket").where("a < b AND ra <> rb").select("a", "b").distinct()
+        else:
+            met = rooted.df.join(mixed.select("bucket", F.col("hub.node").alias("hub")), "bucket").where("node <> hub")
+            met = met.groupBy("node", "hub").agg(F.count("*").alias("n")).groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best"))
+            pairs = met.select(F.least("node", "best.hub").alias("a"), F.greatest("node", "best.hub").alias("b")).distinct()
+        found = Stored(_similar(pairs, sets.df, similarity)).df
+        edges = found if edges is None else edges.unionByName(found)
+        roots = connected_components(edges)
+        rooted.drop()
+        if last:
+            break
+    entries.drop()
+    sets.drop()
+    return roots
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one with the smallest id, then the smallest hash of its row.
+    """One document of each component of near copies: the one with the smallest id, then the smallest hash of its row.
 
-    Two hashes of all columns stand for a row, so texts are not stored beside their fingerprints; they are
+    Two hashes of all columns stand for a row, so texts are not stored beside their bands; they are
     shuffled once, for the semi-join whose partitioning also serves to leave one of rows that are equal throughout.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     named = docs.withColumns({"_sh_a": F.xxhash64(*columns), "_sh_b": F.xxhash64(F.lit(1), *columns)})
-    marked = Stored(with_fingerprints(named.select("doc_id", "text", "_sh_a", "_sh_b")).drop("text")).df
-    placed = marked.join(near_duplicates(marked), F.col("fingerprint") == F.col("_fp"))
+    marked = Stored(with_bands(named.select("doc_id", "text", "_sh_a", "_sh_b"), "text", "node", "bands")).df
+    roots = near_copies(named, marked, ["_sh_a", "_sh_b"])
+    placed = marked.drop("bands").join(roots, "node", "left").withColumn("_root", F.coalesce("component", "node"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_sh_a", "_sh_b")
     chosen = placed.groupBy("_root").agg(F.min_by(F.struct("_sh_a", "_sh_b"), order).alias("c")).select("c.*")
     return named.join(chosen, ["_sh_a", "_sh_b"], "left_semi").dropDuplicates(["_sh_a", "_sh_b"]).select(*columns)
