@@ -75,3 +75,23 @@ def test_empty_and_hopeless_tables(spark):
     assert quality.stage(spark, docs, "").collect() == []
     docs = spark.createDataFrame([(1, None, None), (2, "a", "en")], "doc_id long, text string, lang string")
     assert quality.stage(spark, docs, "").collect() == []
+
+
+def test_a_small_language_has_bands_of_its_own(spark):
+    import random
+
+    rng = random.Random(5)
+
+    def texts(parts, n):
+        vocabulary = ["".join(rng.choices(parts, k=rng.randrange(1, 5))) for _ in range(400)]
+        return [" ".join(rng.choices(vocabulary, k=rng.randrange(150, 300))) for _ in range(n)]
+
+    large, small = texts(["th", "er", "in", "on", "an", "re", "ed", "at"], 260), texts(["漢字", "文章", "日本", "東京"], 60)
+    junk = [" ".join(rng.choice(["#$%#", "||<>", "$$&&", w]) for w in p.split()) for p in large[:10]]
+    rows = [(i, t, "en") for i, t in enumerate(large)] + [(1000 + i, t, "xx") for i, t in enumerate(texts(["th", "er", "in", "on", "an", "re"], 60))]
+    rows += [(2000 + i, t, "ja") for i, t in enumerate(small)] + [(3000 + i, t, "xx") for i, t in enumerate(junk)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality.stage(spark, docs, "").select("doc_id").collect()}
+    assert len(kept & set(range(2000, 2060))) >= 58
+    assert len(kept & set(range(1000, 1060))) >= 58
+    assert not kept & set(range(3000, 3010))

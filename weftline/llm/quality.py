@@ -21,8 +21,9 @@ CHUNK = 4 << 20
 CACHE = 200_000
 #: Fences of the bands in interquartile ranges from the quartiles, and their slack for short texts (per root token).
 INNER, OUTER, SLACK = 1.5, 7.0, 1.0
-#: Rows that a language or script needs for bands of its own; those of all rows serve the rest.
-LEAST_ROWS = 200
+#: The pooled interquartile range counts as so many rows of each group; a group's fences lie further out by this over
+#: the root of its rows, as far as few rows leave its quartiles uncertain.
+PRIOR, UNSURE = 8, 2.0
 #: A table of bands with so many rows at most is broadcast; a larger one is joined as the optimiser sees fit.
 MOST_BROADCAST = 10_000
 
@@ -171,14 +172,18 @@ def base_failed(prefix: str = "") -> Column:
 
 
 def bands(rows: DataFrame, group: str, prefix: str = "") -> DataFrame:
-    """Quartiles of each measure for each group, and for all rows (group null): one row per language or script.
+    """Quartiles of each measure and the width that its fences go by: one row per language or script.
 
     Taken over all rows that pass the base rules, exactly on values of three digits: counts of these are what is
-    merged, so reruns agree and the state is bounded by the measures' ranges."""
+    merged, so reruns agree and the state is bounded by the measures' ranges. Each group has its own quartiles,
+    however small it is; its width shrinks smoothly towards the mean of the groups' own interquartile ranges."""
     quartiles = [F.percentile(F.round(prefix + m, 3), [0.25, 0.5, 0.75]).alias(f"_{m}_q") for m in _MEASURES]
-    # one pass for both: each group and, at the next level of the rollup, all rows
-    found = rows.where(~base_failed(prefix)).withColumn("_group", F.col(group)).rollup("_group").agg(*quartiles, F.count("*").alias("_n"), F.grouping("_group").alias("_all"))
-    return found.where((F.col("_all") == 1) | (F.col("_group").isNotNull() & (F.col("_n") >= LEAST_ROWS))).drop("_all")
+    found = Stored(rows.where(~base_failed(prefix)).groupBy(F.col(group).alias("_group")).agg(*quartiles, F.count("*").alias("_n"))).df
+    own = lambda m: F.element_at(f"_{m}_q", 3) - F.element_at(f"_{m}_q", 1)
+    pooled = found.agg(*[(F.sum(own(m) * F.col("_n")) / F.sum("_n")).alias(f"_{m}_p") for m in _MEASURES])
+    few = 1 + UNSURE / F.sqrt(F.col("_n").cast("double"))
+    width = {f"_{m}_w": (F.col("_n") * own(m) + PRIOR * F.col(f"_{m}_p")) / (F.col("_n") + PRIOR) * few for m in _MEASURES}
+    return found.crossJoin(F.broadcast(pooled)).withColumns(width).drop(*[f"_{m}_p" for m in _MEASURES])
 
 
 def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> DataFrame:
@@ -186,18 +191,14 @@ def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> D
 
     Beyond an outer fence one measure rejects: few or many characters per token, or much byte fallback. Between the
     inner and the outer fence of characters per token the entropy of the tokens has to be in its lowest quarter too.
-    Fences widen for short texts. Where no row has passed the base rules, these alone decide.
+    Fences widen for short texts. Where no row of a group has passed the base rules, these alone decide.
     """
-    own = edges.where("_group IS NOT NULL")
+    own = edges.drop("_n")
     if edges.count() <= MOST_BROADCAST:
         own = F.broadcast(own)
-    rest = edges.where("_group IS NULL").select(*[F.col(f"_{m}_q").alias(f"_{m}_all") for m in _MEASURES])
-    common = {m: rest.select(f"_{m}_all").scalar() for m in _MEASURES}
-    joined = rows.join(own.drop("_n"), rows[group] == own["_group"], "left")
-    q = {m: F.coalesce(F.col(f"_{m}_q"), common[m]) for m in _MEASURES}
-    joined = joined.withColumns({f"_{m}_b": q[m] for m in _MEASURES})
-    at = lambda m, i: F.element_at(F.col(f"_{m}_b"), i + 1)
-    range_ = lambda m: at(m, 2) - at(m, 0)
+    joined = rows.join(own, rows[group] == own["_group"], "left")
+    at = lambda m, i: F.element_at(F.col(f"_{m}_q"), i + 1)
+    range_ = lambda m: F.col(f"_{m}_w")
     slack = SLACK / F.sqrt(F.greatest(F.col(prefix + "n_tokens"), F.lit(1)).cast("double"))
     cpt, byte, entropy = (F.col(prefix + m) for m in _MEASURES)
     below = lambda k: cpt < at("chars_per_token", 0) - k * range_("chars_per_token") - slack
@@ -205,7 +206,7 @@ def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> D
     rejected = below(OUTER) | above(2 * OUTER) | (byte > at("byte_share", 2) + 2 * OUTER * range_("byte_share") + slack) | (below(INNER) & (entropy < at("token_entropy", 0)))
     fails = base_failed(prefix)
     out = joined.withColumns({"_base_failed": fails, "_kept": ~fails & ~F.coalesce(rejected, F.lit(False))})
-    return out.drop("_group", *[f"_{m}_{x}" for m in _MEASURES for x in "qb"])
+    return out.drop("_group", *[f"_{m}_{x}" for m in _MEASURES for x in "qw"])
 
 
 def op7_quality(spark, sf_dir: str) -> DataFrame:
