@@ -95,3 +95,16 @@ def test_a_small_language_has_bands_of_its_own(spark):
     assert len(kept & set(range(2000, 2060))) >= 58
     assert len(kept & set(range(1000, 1060))) >= 58
     assert not kept & set(range(3000, 3010))
+
+
+def test_word_lists_of_low_entropy_go(spark):
+    import random
+
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices(["th", "er", "in", "on", "an", "re", "ed", "at"], k=rng.randrange(1, 5))) for _ in range(400)]
+    prose = [" ".join(rng.choices(vocabulary, k=rng.randrange(60, 300))) for _ in range(300)]
+    lists = [" ".join(rng.choices(vocabulary[:12], k=250)) for _ in range(10)]
+    docs = spark.createDataFrame([(i, t, "fr") for i, t in enumerate(prose + lists)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality.stage(spark, docs, "").select("doc_id").collect()}
+    assert len(kept & set(range(300))) >= 297
+    assert not kept & set(range(300, 310))

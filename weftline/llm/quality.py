@@ -19,8 +19,9 @@ WINDOW = 8
 SPACES = b" \t\n\x0b\x0c\r"
 CHUNK = 4 << 20
 CACHE = 200_000
-#: Fences of the bands in interquartile ranges from the quartiles, and their slack for short texts (per root token).
-INNER, OUTER, SLACK = 1.5, 7.0, 1.0
+#: Fences of the bands in widths from the quartiles: few characters per token, many, byte fallback, low entropy; their
+#: slack for short texts per root token, and that of the entropy.
+LOW, HIGH, BYTES, ENTROPY, SLACK, ENTROPY_SLACK = 3.0, 6.0, 3.0, 2.0, 0.5, 1.0
 #: The pooled interquartile range counts as so many rows of each group; a group's fences lie further out by this over
 #: the root of its rows, as far as few rows leave its quartiles uncertain.
 PRIOR, UNSURE = 8, 2.0
@@ -171,42 +172,50 @@ def base_failed(prefix: str = "") -> Column:
     return (words < 20) | (100 * repeats > 30 * words)
 
 
+def _length_class(prefix: str) -> Column:
+    return F.floor(F.log2(F.greatest(F.col(prefix + "n_tokens"), F.lit(1)).cast("double"))).cast("int")
+
+
 def bands(rows: DataFrame, group: str, prefix: str = "") -> DataFrame:
-    """Quartiles of each measure and the width that its fences go by: one row per language or script.
+    """Quartiles of each measure and the width that its fences go by: one row per language or script
+    and class of lengths (doublings of the tokens, as entropy grows with them).
 
     Taken over all rows that pass the base rules, exactly on values of three digits: counts of these are what is
     merged, so reruns agree and the state is bounded by the measures' ranges. Each group has its own quartiles,
-    however small it is; its width shrinks smoothly towards the mean of the groups' own interquartile ranges."""
+    however small it is; its width shrinks smoothly towards the mean of the groups' own
+    interquartile ranges in its class."""
     quartiles = [F.percentile(F.round(prefix + m, 3), [0.25, 0.5, 0.75]).alias(f"_{m}_q") for m in _MEASURES]
-    found = Stored(rows.where(~base_failed(prefix)).groupBy(F.col(group).alias("_group")).agg(*quartiles, F.count("*").alias("_n"))).df
+    found = Stored(rows.where(~base_failed(prefix)).groupBy(F.col(group).alias("_group"), _length_class(prefix).alias("_class")).agg(*quartiles, F.count("*").alias("_n"))).df
     own = lambda m: F.element_at(f"_{m}_q", 3) - F.element_at(f"_{m}_q", 1)
-    pooled = found.agg(*[(F.sum(own(m) * F.col("_n")) / F.sum("_n")).alias(f"_{m}_p") for m in _MEASURES])
+    pooled = found.groupBy("_class").agg(*[(F.sum(own(m) * F.col("_n")) / F.sum("_n")).alias(f"_{m}_p") for m in _MEASURES])
     few = 1 + UNSURE / F.sqrt(F.col("_n").cast("double"))
     width = {f"_{m}_w": (F.col("_n") * own(m) + PRIOR * F.col(f"_{m}_p")) / (F.col("_n") + PRIOR) * few for m in _MEASURES}
-    return found.crossJoin(F.broadcast(pooled)).withColumns(width).drop(*[f"_{m}_p" for m in _MEASURES])
+    return found.join(pooled, "_class").withColumns(width).drop(*[f"_{m}_p" for m in _MEASURES])
 
 
 def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> DataFrame:
     """``rows`` with ``_base_failed`` and ``_kept``.
 
-    Beyond an outer fence one measure rejects: few or many characters per token, or much byte fallback. Between the
-    inner and the outer fence of characters per token the entropy of the tokens has to be in its lowest quarter too.
-    Fences widen for short texts. Where no row of a group has passed the base rules, these alone decide.
+    Each fence rejects by itself: few or many characters per token, much byte fallback, or low entropy of the tokens,
+    all among texts of like length. Fences widen for short texts. Where no row of a group has passed the base rules,
+    these alone decide.
     """
     own = edges.drop("_n")
     if edges.count() <= MOST_BROADCAST:
         own = F.broadcast(own)
-    joined = rows.join(own, rows[group] == own["_group"], "left")
+    joined = rows.join(own, (rows[group] == own["_group"]) & (_length_class(prefix) == own["_class"]), "left")
     at = lambda m, i: F.element_at(F.col(f"_{m}_q"), i + 1)
     range_ = lambda m: F.col(f"_{m}_w")
-    slack = SLACK / F.sqrt(F.greatest(F.col(prefix + "n_tokens"), F.lit(1)).cast("double"))
+    root = F.sqrt(F.greatest(F.col(prefix + "n_tokens"), F.lit(1)).cast("double"))
+    slack = SLACK / root
     cpt, byte, entropy = (F.col(prefix + m) for m in _MEASURES)
-    below = lambda k: cpt < at("chars_per_token", 0) - k * range_("chars_per_token") - slack
-    above = lambda k: cpt > at("chars_per_token", 2) + k * range_("chars_per_token") + 2 * slack
-    rejected = below(OUTER) | above(2 * OUTER) | (byte > at("byte_share", 2) + 2 * OUTER * range_("byte_share") + slack) | (below(INNER) & (entropy < at("token_entropy", 0)))
+    rejected = cpt < at("chars_per_token", 0) - LOW * range_("chars_per_token") - slack
+    rejected |= cpt > at("chars_per_token", 2) + HIGH * range_("chars_per_token") + slack
+    rejected |= byte > at("byte_share", 2) + BYTES * range_("byte_share") + slack
+    rejected |= entropy < at("token_entropy", 0) - ENTROPY * range_("token_entropy") - ENTROPY_SLACK / root
     fails = base_failed(prefix)
     out = joined.withColumns({"_base_failed": fails, "_kept": ~fails & ~F.coalesce(rejected, F.lit(False))})
-    return out.drop("_group", *[f"_{m}_{x}" for m in _MEASURES for x in "qw"])
+    return out.drop("_group", "_class", *[f"_{m}_{x}" for m in _MEASURES for x in "qw"])
 
 
 def op7_quality(spark, sf_dir: str) -> DataFrame:
