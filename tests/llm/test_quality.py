@@ -108,3 +108,10 @@ def test_word_lists_of_low_entropy_go(spark):
     kept = {r.doc_id for r in quality.stage(spark, docs, "").select("doc_id").collect()}
     assert len(kept & set(range(300))) >= 297
     assert not kept & set(range(300, 310))
+
+
+def test_script_of_most_letters(spark):
+    cases = [("漢字文章東京 A", "Han"), ("See https://a.b Καλημέρα κόσμε, καλημέρα σε όλους", "Greek"), ("漢字 これはひらがなです", "Hiragana"), ("한국어 문장 USB", "Hangul")]
+    cases += [("abc αβγ", "Latin"), ("plain prose α", "Latin"), ("12 34 !?", "other"), ("", "other"), (None, "other")]
+    docs = spark.createDataFrame([(t, None, w) for t, w in cases] + [("漢字", "en", "en")], "text string, lang string, want string")
+    assert all(r.got == r.want for r in docs.select("want", quality.group_of().alias("got")).collect())

@@ -160,10 +160,11 @@ def measured(docs: DataFrame, text: str = "text", path: str | None = None, prefi
 
 
 def group_of(text: str = "text", lang: str | None = "lang") -> Column:
-    """The language if the row names one, else the script of most of the kinds of letters that the text starts with."""
-    script = F.lit("other")
-    for name in reversed(_SCRIPTS):
-        script = F.when(F.col(text).rlike(rf"\p{{Is{name}}}"), F.lit(name)).otherwise(script)
+    """The language if the row names one, else the script of most of the text's letters (ties: the order of
+    ``_SCRIPTS``); ``other`` for a text without letters of these."""
+    found = lambda name: F.coalesce(F.length(F.regexp_replace(text, rf"\P{{Is{name}}}+", "")), F.lit(0))
+    most = F.array_max(F.array(*[F.struct(found(name).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("name")) for k, name in enumerate(_SCRIPTS)]))
+    script = F.when(most["n"] > 0, most["name"]).otherwise("other")
     return F.coalesce(F.col(lang), script) if lang else script
 
 
