@@ -78,3 +78,23 @@ def test_beams_widen_past_a_large_group():
     graph = hnsw.Graph(np.arange(800), vectors)
     q, _ = graph.within(graph.unit, 0.95, 16)
     assert np.bincount(q, minlength=800)[:400].min() >= 396
+
+
+def test_audit_does_not_count_own_ids():
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(1500, 24))
+    vectors[1400:] = vectors[:100] + 0.02 * rng.normal(size=(100, 24))
+    graph = hnsw.Graph(np.arange(1500), vectors.astype(np.float32))
+    whole = graph.within
+
+    def blind(queries, cosine, ef):  # finds nothing but the query itself, until the beam is wide
+        return whole(queries, cosine, ef) if hnsw.WIDE * ef >= 1500 else (np.arange(len(queries)), (queries @ graph.unit.T).argmax(axis=1))
+
+    graph.within = blind
+    q, node, _, _ = graph.audited(graph.unit, graph.ids, 0.95)
+    hits = np.zeros((1500, 1500), dtype=bool)
+    hits[q, node] = True
+    assert hits[np.arange(100), 1400 + np.arange(100)].all()
+    few = hnsw.Graph(np.arange(1500), vectors[np.r_[:1400, :100]].astype(np.float32) * np.r_[np.ones(1400), -np.ones(100)].astype(np.float32)[:, None])
+    few.within = lambda queries, cosine, ef: (np.array([ef]), np.array([0]))
+    assert few.audited(few.unit, few.ids, 0.95)[0].tolist() == [1500]

@@ -15,8 +15,9 @@ from .common import Stored, connected_components, table
 COSINE = 0.95
 #: Neighbours of a node above the ground level and on it, beam while building, first beam while searching.
 M, M0, EF_BUILD, EF = 12, 24, 48, 48
-#: An audit compares so many queries with brute force; the beam doubles until this share of true links is found.
-AUDIT, RECALL = 512, 0.98
+#: An audit compares so many queries at a time with brute force, until so many have a true link; the beam doubles until
+#: this share of their true links is found.
+AUDIT, LINKED, RECALL = 512, 64, 0.98
 #: Places of a node for links that reconnect islands, and links of each island.
 SPARE, BRIDGES = 4, 4
 #: A beam of one in so many of a shard's vectors costs more than comparing with all of them, which then is done.
@@ -228,16 +229,28 @@ class Graph:
     def audited(self, queries: np.ndarray, keys: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, float, int]:
         """``within`` with beams widened until the audit passes; also the recall that was measured and the beam.
 
-        The audit takes the queries with the smallest hashes of their ids and compares all their links with brute
-        force over the shard. Beams that are wide for the shard end in brute force themselves."""
-        chosen = np.argsort((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20), kind="stable")[:AUDIT]
-        exact = queries[chosen] @ self.unit.T >= cosine
+        The audit takes the queries in the order of hashes of their ids and compares their links with brute force over
+        the shard, those with themselves left out, until enough have a true link; recall is the mean over these. A
+        block with too few is compared by brute force throughout. Beams that are wide for the shard end there too."""
+        order = np.argsort((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20), kind="stable")
+        chosen, truth, at = [], [], 0
+        while at < len(order) and sum(map(len, chosen)) < LINKED:
+            part = order[at : at + AUDIT]
+            exact = queries[part] @ self.unit.T >= cosine
+            exact &= keys[part][:, None] != self.ids
+            some = exact.any(axis=1)
+            chosen.append(part[some])
+            truth.append(exact[some])
+            at += len(part)
+        chosen, exact = np.concatenate(chosen), np.concatenate(truth)
+        if len(chosen) < LINKED:
+            return *self.within(queries, cosine, len(self.ids)), 1.0, len(self.ids)
         ef = EF
         while True:
             q, node = self.within(queries[chosen], cosine, ef)
             hits = np.zeros_like(exact)
             hits[q, node] = True
-            recall = float((hits & exact).sum() / max(1, exact.sum()))
+            recall = float(((hits & exact).sum(axis=1) / exact.sum(axis=1)).mean())
             if recall >= RECALL or WIDE * ef >= len(self.ids):
                 return *self.within(queries, cosine, ef), recall, ef
             ef *= 2
