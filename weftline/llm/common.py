@@ -8,16 +8,30 @@ import ctypes
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed by the contract of the corpus tables: a word is a maximal run without these.
 WORD = r"[^\x20\x09-\x0D]+"
 _SEPARATORS = "\t\n\x0b\x0c\r"
 
+#: Bytes of words that a worker remembers. The words of the slice at hand come on top and are bounded by the slice.
+REMEMBERED_BYTES = 64 << 20
+
 _written: dict[str, SparkSession] = {}
 
 
+def fresh(columns: list[str], prefix: str) -> str:
+    """The prefix, with underscores before it until no column's name starts with it; names have no case."""
+    while any(c.lower().startswith(prefix.lower()) for c in columns):
+        prefix = "_" + prefix
+    return prefix
+
+
+def quoted(columns: list[str]) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,10 +43,13 @@ def word_count(text) -> "F.Column":
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A session that names none (tests) gets one of its own."""
+    """The folder that driver and executors share. A local session that names none (tests) gets one of its own; on a
+    cluster it must be named, as a folder of one machine would be written where nobody else reads."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="weftline-"))
         named = sc.getCheckpointDir()
     return named.rstrip("/")
@@ -74,10 +91,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     ``edges`` holds ``a`` and ``b`` of one orderable type. Alternating large-star and small-star rounds: each
     node's edges are hung on its smallest neighbour until the edge set is a forest of stars. A round is a few
     shuffles of at most the edges themselves, so neither a hub nor a long chain meets in one task beyond a
-    partial aggregate. Each round is written to the shared folder, which keeps the lineage short.
+    partial aggregate. Each round is written to the shared folder, which keeps the lineage short. Edges with a null
+    end, repeated edges and loops add nothing; without edges there are no rows.
     """
     spark = edges.sparkSession
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()  # an edge with a null end goes here
     now = Stored(edges)
     seen = None
     for _ in range(max_rounds):
@@ -117,9 +135,3 @@ def give_back() -> None:
     """Hand freed memory back to the system at a task's end: workers are reused, and an idle one keeps its pages."""
     with contextlib.suppress(OSError, AttributeError):  # not this C library
         ctypes.CDLL(None).malloc_trim(0)
-
-
-def lean_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches of a few hundred rows: texts can be long, and a worker holds a batch at a time."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
