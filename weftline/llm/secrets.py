@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import Stored, fresh, quoted, table
 
 #: The patterns of the contract; letters of the keywords in either case, ASCII only.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -27,6 +27,11 @@ ENCODINGS = (
     ("base64", _UPPER + _LOWER + _DIGITS + "+/"),
     ("base64url", _UPPER + _LOWER + _DIGITS + "-_"),
 )
+#: Index of coincidence that ordinary strings have at least (English prose: 0.067); in small alphabets, where even
+#: random strings come near it, so many times that of random strings. Strings made of words and numbers lie above.
+COINCIDENCE, LEAST_EXCESS = 0.05, 1.6
+#: A string that fails the tests of randomness at this level is no secret, however even its letters are.
+FAILS = 0.001
 #: Level of the false-discovery control, and bins to the unit of -ln p in its histogram.
 ALPHA = 0.05
 BINS = 50
@@ -79,40 +84,57 @@ def _two_sided(z: Column) -> Column:
     return F.least(F.lit(1.0), 2 * _upper_normal(F.abs(z)))
 
 
-def _encoded(match: Column, per: callable) -> Column:
-    """``per(alphabet)`` of the narrowest encoding that holds the string."""
-    out = F.lit(None)
+def _alphabet(body: Column) -> Column:
+    """Alphabet of the narrowest encoding that holds the string; null if none does."""
+    out = F.lit(None).cast("string")
     for _, alphabet in reversed(ENCODINGS):
-        out = F.when(F.length(F.translate(match, alphabet, "")) == 0, per(alphabet)).otherwise(out)
+        out = F.when(F.length(F.translate(body, alphabet, "")) == 0, F.lit(alphabet)).otherwise(out)
     return out
 
 
 def randomness(match: Column) -> Column:
-    """p-value of a string's being uniformly random in its encoding; null if it is in none.
-
-    Chi-squared uniformity over the alphabet (Wilson-Hilferty), runs above and below the alphabet's middle, and
-    lag-one serial correlation of the symbols' ranks, put together by Fisher's method. Every step is linear
-    in the string's length. A sequence without a test (all symbols on one side) counts as p = 1e-9.
+    """(p_random, p_ordinary) of a string in its encoding; null if it is in none.
+
+    ``p_random`` is the p-value of its being uniformly random: chi-squared uniformity over the alphabet
+    (Wilson-Hilferty), runs above and below the alphabet's middle, and lag-one serial correlation of the symbols' ranks,
+    put together by Fisher's method. A sequence without a test (all symbols on one side) counts as p = 1e-9.
+    ``p_ordinary`` is the p-value of its being an ordinary string: the chance that one with the coincidence
+    ``COINCIDENCE`` has symbols as even as these (chi-squared, not central, by its normal approximation). Every step
+    is linear in the string's length.
     """
-    def battery(alphabet: str, body: Column) -> Column:
-        k, half = len(alphabet), len(alphabet) // 2
-        n = F.length(body).cast("double")
-        seen = F.transform(F.array(*map(F.lit, alphabet)), lambda c: n - F.length(F.replace(body, c, F.lit(""))))
-        squares = F.aggregate(seen, F.lit(0.0), lambda a, x: a + x * x)
-        chi = squares * k / n - n
-        df = k - 1.0
-        p_chi = _upper_normal((F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5)
-        bits = F.translate(body, alphabet, "0" * half + "1" * (k - half))
+
+    def battery(v: Column) -> Column:
+        body, letters = v["body"], v["letters"]
+        n, k = F.length(body).cast("double"), F.length(letters).cast("double")
+        half = F.floor(k / 2).cast("int")
+        seen = F.transform(F.split(letters, ""), lambda c: n - F.length(F.replace(body, c, F.lit(""))))
+        chi = F.aggregate(seen, F.lit(0.0), lambda a, x: a + x * x) * k / n - n
+        halves = F.concat(F.repeat(F.lit("0"), half), F.repeat(F.lit("1"), F.length(letters) - half))
+        bits = F.call_function("translate", body, letters, halves)
+        ranks = F.transform(F.split(body, ""), lambda c: F.instr(letters, c).cast("double"))
+        return F.struct(n.alias("n"), k.alias("k"), chi.alias("chi"), bits.alias("bits"), ranks.alias("ranks"))
+
+    def combined(v: Column) -> Column:
+        n, k, chi, bits = (v[c] for c in ("n", "k", "chi", "bits"))
+        df = k - 1
+        p_chi = _upper_normal((F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df)))
         ones = F.length(F.replace(bits, F.lit("0"), F.lit(""))).cast("double")
-        runs, mu = F.regexp_count(bits, F.lit("0+|1+")), 2 * ones * (n - ones) / n + 1
+        mu = 2 * ones * (n - ones) / n + 1
         var = (mu - 1) * (mu - 2) / (n - 1)
-        p_runs = F.when(var > 0, _two_sided((runs - mu) / F.sqrt(var))).otherwise(F.lit(1e-9))
-        centred = lambda ranks: _let(F.aggregate(ranks, F.lit(0.0), lambda a, x: a + x) / F.size(ranks), lambda mean: F.transform(ranks, lambda x: x - mean))
-        ranks = F.transform(F.split(body, ""), lambda c: F.instr(F.lit(alphabet), c).cast("double"))
-        p_lag = _let(_let(ranks, centred), _serial)
-        return _let(F.array(p_chi, p_runs, p_lag), _fisher)
+        p_runs = F.when(var > 0, _two_sided((F.regexp_count(bits, F.lit("0+|1+")) - mu) / F.sqrt(var))).otherwise(F.lit(1e-9))
+        p_lag = _let(_let(v["ranks"], _centred), _serial)
+        excess = n * (F.greatest(F.lit(COINCIDENCE) * k, F.lit(LEAST_EXCESS)) - 1)
+        p_ordinary = 1 - _upper_normal((chi - df - excess) / F.sqrt(2 * (df + 2 * excess)))
+        return F.struct(_let(F.array(p_chi, p_runs, p_lag), _fisher).alias("p_random"), p_ordinary.alias("p_ordinary"))
+
+    encoded = lambda body: F.struct(body.alias("body"), _alphabet(body).alias("letters"))
+    tested = lambda v: F.when(v["letters"].isNotNull(), _let(_let(v, battery), combined))
+    return _let(_let(F.rtrim(F.translate(match, "=", " ")), encoded), tested)
+
 
-    return _let(F.rtrim(F.translate(match, "=", " ")), lambda body: _encoded(body, lambda alphabet: battery(alphabet, body)))
+def _centred(ranks: Column) -> Column:
+    mean = F.aggregate(ranks, F.lit(0.0), lambda a, x: a + x) / F.size(ranks)
+    return _let(mean, lambda m: F.transform(ranks, lambda x: x - m))
 
 
 def _serial(off: Column) -> Column:
@@ -130,24 +152,34 @@ def _fisher(ps: Column) -> Column:
 
 
 def _candidates(text: Column) -> Column:
-    """Strings of a text that may be random: array of (start, end, stratum, bin). They hold a letter and a digit."""
-    mixed = F.filter(_found(text, CANDIDATE), lambda x: x["m"].rlike("[0-9]") & x["m"].rlike("[A-Za-z]"))
-    tested = F.transform(mixed, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.floor(2 * F.log2((x["end"] - x["start"]).cast("double"))).cast("int").alias("stratum"), randomness(x["m"]).alias("p")))
-    binned = F.transform(tested, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["stratum"].alias("stratum"), F.least(F.lit(MOST_BINS), F.floor(-F.ln(F.greatest(x["p"], F.lit(1e-300))) * BINS)).cast("int").alias("bin"), x["p"].alias("p")))
-    return F.filter(binned, lambda x: x["p"].isNotNull())
+    """Strings of a text that may be secrets: array of (start, end, stratum, bin), bins of -ln p of being ordinary.
+
+    They hold a letter and a digit, or letters of both cases. Digits alone and letters of one case alone are out of
+    scope: numbers of all kinds are as even as random ones."""
+    mixed = F.filter(_found(text, CANDIDATE), lambda x: x["m"].rlike("[0-9].*[A-Za-z]|[A-Za-z].*[0-9]|[a-z].*[A-Z]|[A-Z].*[a-z]"))
+    tested = F.transform(mixed, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), randomness(x["m"]).alias("p")))
+    return F.transform(
+        F.filter(tested, lambda x: x["p"].isNotNull()),
+        lambda x: F.struct(
+            x["start"].alias("start"),
+            x["end"].alias("end"),
+            F.floor(2 * F.log2((x["end"] - x["start"]).cast("double"))).cast("int").alias("stratum"),
+            F.when(x["p"]["p_random"] < FAILS, F.lit(0)).otherwise(F.least(F.lit(MOST_BINS), F.floor(-F.ln(F.greatest(x["p"]["p_ordinary"], F.lit(1e-300))) * BINS)).cast("int")).alias("bin"),
+        ),
+    )
 
 
-def rejections(docs: DataFrame, text: str = "text", alpha: float = ALPHA) -> DataFrame:
-    """From which bin of -ln p a stratum of lengths is held not to be random: ``stratum, bin``.
+def discoveries(candidates: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """From which bin of -ln p on a stratum's strings are reported: ``stratum, bin``.
 
-    Benjamini-Hochberg within each stratum (two to a doubling of the length), on a histogram of the whole
-    corpus: at most strata x bins rows reach the windows, whatever the corpus is.
+    ``candidates`` has ``stratum`` and ``bin``. Benjamini-Hochberg within each stratum of lengths (two to a doubling),
+    so that of the strings that it reports a share of ``alpha`` at most is expected to be ordinary. It runs on a
+    histogram of the whole corpus: at most strata x bins rows reach the windows, whatever the corpus is.
     """
-    found = docs.select(F.explode(_candidates(F.coalesce(F.col(text), F.lit("")))).alias("c")).select("c.stratum", "c.bin")
-    counts = found.groupBy("stratum", "bin").count()
+    counts = candidates.groupBy("stratum", "bin").count()
     total = Window.partitionBy("stratum")
-    lower = total.orderBy(F.col("bin").desc())
-    ranked = counts.withColumn("rank", F.sum("count").over(lower)).withColumn("m", F.sum("count").over(total))
+    upwards = total.orderBy(F.col("bin").desc())
+    ranked = counts.withColumn("rank", F.sum("count").over(upwards)).withColumn("m", F.sum("count").over(total))
     return ranked.where(F.exp(-F.col("bin") / F.lit(float(BINS))) <= alpha * F.col("rank") / F.col("m")).groupBy("stratum").agg(F.min("bin").alias("bin"))
 
 
@@ -155,22 +187,36 @@ def _of_kind(found: Column, kind: int) -> Column:
     return F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
 
 
+def scan(docs: DataFrame, text: str, prefix: str) -> DataFrame:
+    """``docs`` with the spans of the fixed patterns and the strings that are to be judged: one pass over the texts."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    assign = F.filter(_found(body, ASSIGN), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 1)) >= 6)
+    kinds = [assign, _found(body, ACCESS), _found(body, HEX)]
+    return docs.withColumns({f"{prefix}_base": F.concat(*[_of_kind(a, k) for k, a in enumerate(kinds)]), f"{prefix}_more": _candidates(body)})
+
+
+def decide(scanned: DataFrame, prefix: str, to: str, alpha: float = ALPHA) -> DataFrame:
+    """What ``scan`` gave (stored, as it is read twice) with all spans in ``to``."""
+    base, more, known = (f"{prefix}_{x}" for x in ("base", "more", "edges"))
+    found = scanned.select(F.explode(more).alias("c")).select("c.stratum", "c.bin")
+    edges = discoveries(found, alpha).agg(F.map_from_entries(F.collect_list(F.struct("stratum", "bin")))).scalar()
+    held = F.col(base)
+    reported = lambda x: (x["bin"] >= F.coalesce(F.element_at(F.col(known), x["stratum"]), F.lit(MOST_BINS + 1))) & ~F.exists(held, lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"]))
+    random = F.filter(F.col(more), reported)
+    return scanned.withColumn(known, edges).withColumn(to, F.array_sort(F.concat(held, _of_kind(random, len(KINDS) - 1)))).drop(base, more, known)
+
+
 def find_secrets(docs: DataFrame, text: str = "text", alpha: float = ALPHA, to: str = "_secret_spans") -> DataFrame:
     """``docs`` with an array of (start, kind, end), by start and kind, in code points with the end exclusive.
 
-    Kinds 0 to 2 are the fixed patterns (assign, access, hex); 3 is a string that the randomness tests could not
-    tell from random characters, unless a pattern's span holds it. Null and empty texts have none.
+    Kinds 0 to 2 are the fixed patterns (assign, access, hex); 3 is a string that is too even for an ordinary one, with
+    the false discoveries of each stratum of lengths controlled, unless a pattern's span holds it. Null and empty
+    texts have none; equal texts have the same. A column called ``to`` is replaced, other columns may have any names.
+    The rows are stored with what was found, so texts are searched once.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
-    assign = F.filter(_found(body, ASSIGN), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 1)) >= 6)
-    kinds = [assign, _found(body, ACCESS), _found(body, HEX)]
-    spans = [_of_kind(a, k) for k, a in enumerate(kinds)]
-    marked = docs.withColumns({f"{to}_base": F.concat(*spans), f"{to}_c": _candidates(body)})
-    edges = rejections(docs, text, alpha).agg(F.map_from_entries(F.collect_list(F.struct("stratum", "bin"))).alias("edges")).scalar()
-    marked = marked.withColumn(f"{to}_e", edges)
-    held, edges = F.col(f"{to}_base"), F.col(f"{to}_e")
-    random = F.filter(F.col(f"{to}_c"), lambda x: (x["bin"] < F.coalesce(F.element_at(edges, x["stratum"]), F.lit(MOST_BINS + 1))) & ~F.exists(held, lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"])))
-    return marked.withColumn(to, F.array_sort(F.concat(held, _of_kind(random, len(KINDS) - 1)))).drop(f"{to}_base", f"{to}_c", f"{to}_e")
+    docs = docs.drop(to)
+    prefix = fresh([*docs.columns, to], "_s")
+    return decide(Stored(scan(docs, text, prefix)).df, prefix, to, alpha)
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
@@ -190,8 +236,9 @@ def _listed(spans: Column) -> Column:
 
 
 def op9_secrets(spark, sf_dir: str) -> DataFrame:
-    docs = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    spans = F.col("_secret_spans")
+    scanned = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "_s").drop("text")
+    docs = decide(Stored(scanned).df, "_s", "found")
+    spans = F.col("found")
     count = lambda k: F.size(F.filter(spans, lambda x: x["kind"] == k)).cast("long")
     return docs.select(
         "doc_id",
@@ -205,7 +252,8 @@ def op9_secrets(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are struck out of the texts; every document stays."""
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    found = find_secrets(docs)
-    return found.select(*kept, redact(F.col("text"), F.col("_secret_spans")).alias("text")).select(*docs.columns)
+    """Secrets are struck out of the texts; every document stays, null texts as they are. Columns may have any names."""
+    prefix = fresh(docs.columns, "_s")
+    found = decide(Stored(scan(docs, "text", prefix)).df, prefix, f"{prefix}_spans")
+    clean = redact(F.col("text"), F.col(f"{prefix}_spans"))
+    return found.select(*[clean.alias(c) if c == "text" else q for c, q in zip(docs.columns, quoted(docs.columns))])
