@@ -1,4 +1,11 @@
+import hashlib
 import random
+import re
+import zlib
+
+import pytest
+import zstandard
+from pyspark.sql import functions as F
 
 from weftline.llm import langid
 
@@ -36,6 +43,45 @@ def test_edges(spark):
     assert langid.classify("text", ()) == ("und", 0.0)
 
 
-def test_sample_is_bounded(spark):
-    docs = spark.createDataFrame([(i, "word " * 400, "en") for i in range(50)], "doc_id long, text string, lang string")
-    assert len(langid.learn(docs, per_lang=5, per_doc=100)["en"]) <= 5 * 101
+def test_sample_is_bounded_in_rows_and_takes_whole_texts(spark):
+    docs = spark.createDataFrame([(i, f"word {'abcdefghij'[i % 10]} " * 400, "en") for i in range(500)] + [(900, "long " * 20000, "en")], "doc_id long, text string, lang string")
+    held = langid.learn(docs, per_lang=5)["en"].split(b"\n")[:-1]
+    assert len(held) == 5 and all(len(x.split()) == 800 for x in held)
+
+
+def test_too_many_languages_are_an_error(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError):
+        langid.learn(docs)
+
+
+def plain(text, dictionaries):
+    """The language by sizes of blocks of letters, compressed one by one with a fresh compressor."""
+    letters = re.sub(r"[\W\d_]+", " ", (text or "").lower()).strip().encode()
+    if not letters:
+        return "und", 0.0
+    sizes = []
+    for lang, raw in dictionaries.items():
+        held = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held.precompute_compress(level=langid.LEVEL)
+        size = 0
+        for a in range(0, len(letters), 512):
+            size += len(zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=held, write_checksum=False, write_content_size=False, write_dict_id=False).compress(letters[a : a + 512]))
+        sizes.append((size, lang))
+    sizes.sort()
+    return sizes[0][1], min(1.0, max(0.0, 1 - sizes[0][0] / sizes[1][0]))
+
+
+def test_query_equals_the_plain_version(spark, tmp_path):
+    rows = [(i, t, lang if i % 7 else None, "s", 0) for i, t, lang, _ in corpus(150, 4)]
+    rows += [(900, None, "en", "s", 0), (901, "", "de", "s", 0), (902, "12 34", None, "s", 0), (None, "der die das und", "de", "s", 0), (3, rows[3][1], "fr", "s", 0), (903, "mit " * 1_100_000, None, "s", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    fold = lambda i: i is not None and zlib.crc32(str(i).encode()) % 3 == 1
+    taught = [r for r in rows if r[0] is not None and not fold(r[0]) and r[2] and r[1] and len(r[1]) <= langid.LONGEST]
+    draw = lambda r: int(hashlib.md5(f"{r[0]}|{hashlib.md5(r[1].encode()).hexdigest()}".encode()).hexdigest()[:13], 16)
+    dictionaries = {}
+    for lang in sorted({r[2] for r in taught}):
+        some = sorted((draw(r), r[1]) for r in taught if r[2] == lang)[: langid.SAMPLE_DOCS]
+        dictionaries[lang] = b"".join(langid.letters(t) + b"\n" for _, t in some[::-1])
+    got = sorted(((r.doc_id, r.held_out, r.lang_pred, r.score) for r in langid.op8_langid(spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted(((r[0], fold(r[0]), *plain(r[1], dictionaries)) for r in rows), key=str)

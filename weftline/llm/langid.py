@@ -6,15 +6,17 @@ import re
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean_batches, table
+from .common import table
 
-#: Bound of the sample: documents of each language, and bytes taken of each.
-SAMPLE_DOCS = 800
-SAMPLE_BYTES = 500
+#: Bound of the sample that dictionaries are made of: whole texts of so many documents of each language, none of which is
+#: longer than this in bytes; and how many languages there may be.
+SAMPLE_DOCS = 200
+LONGEST = 1 << 16
+MOST_LANGS = 256
 LEVEL = 3
 #: Texts are coded in blocks, so the dictionary counts as much at their end as at their start.
 BLOCK = 512
@@ -30,27 +32,30 @@ def letters(text: str) -> bytes:
     return " ".join(_LETTERS.findall(text.lower())).encode("utf-8", "replace")
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = SAMPLE_DOCS, per_doc: int = SAMPLE_BYTES) -> dict[str, bytes]:
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = SAMPLE_DOCS, longest: int = LONGEST) -> dict[str, bytes]:
     """A dictionary of raw content for each non-null language.
 
-    The sample is bounded: ``per_lang`` documents of each language, those with the smallest hash of their key
-    and text, and ``per_doc`` bytes of each from a place that the hash chooses. Rows are cut to size before
-    they reach the driver. Null and empty texts are passed over.
+    The sample is bounded in rows: ``per_lang`` documents of each language, those with the smallest hash of their key
+    and text among the ones of ``longest`` bytes at most. Sampled texts are taken whole. A language's rows are counted
+    first and a share of the hashes is drawn that holds more than enough of them, so no language is ranked in one task.
+    Null and empty texts are passed over, repeated rows once each; more than ``MOST_LANGS`` languages are an error.
     """
-    draw = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.md5(F.col(text))))
-    slim = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), draw.alias("draw"), F.encode(F.col(text), "utf-8").alias("raw"))
-    n = F.octet_length("raw")
-    at = F.pmod(F.conv(F.substring("draw", 1, 8), 16, 10).cast("long"), F.greatest(n - per_doc + 1, F.lit(1))).cast("int")
-    slim = slim.select("lang", "draw", F.substring("raw", at + 1, F.lit(per_doc)).alias("raw"))
-    # the first ranks are taken among parts of a language, so a language with most of the rows meets in no one task
-    part = Window.partitionBy("lang", F.substring("draw", -1, 1)).orderBy("draw", "raw")
-    slim = slim.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= per_lang)
-    slim = slim.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "raw"))).where(F.col("rank") <= per_lang)
-    rows = slim.select("lang", "rank", "raw").collect()
-    out: dict[str, bytes] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, -r["rank"])):
-        out[r.lang] = out.get(r.lang, b"") + letters(bytes(r.raw).decode("utf-8", "ignore")) + b"\n"
-    return out
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.md5(F.col(text)))), 1, 13), 16, 10).cast("long")
+    known = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0) & (F.octet_length(text) <= longest))
+    rows = known.groupBy(F.col(lang).alias("lang")).count().limit(MOST_LANGS + 1).collect()
+    if len(rows) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    if not rows:
+        return {}
+    # of n rows drawn with the probability p, fewer than per_lang are left once in a great many runs
+    share = {r.lang: min(1.0, (per_lang + 6 * per_lang**0.5 + 10) / r["count"]) for r in rows}
+    limit = F.create_map(*[F.lit(x) for lang_, p in share.items() for x in (lang_, int(p * (1 << 52)))])
+    some = known.where(draw < F.element_at(limit, F.col(lang))).select(F.col(lang).alias("lang"), draw.alias("draw"), F.col(text).alias("text")).collect()
+    by: dict[str, list[tuple[int, str]]] = {}
+    for r in some:
+        by.setdefault(r.lang, []).append((r.draw, r.text))
+    # the first of the draw come last, as the end of a dictionary is found first
+    return {k: b"".join(letters(t) + b"\n" for _, t in sorted(v)[:per_lang][::-1]) for k, v in sorted(by.items())}
 
 
 @lru_cache(maxsize=2)
@@ -94,7 +99,6 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
             extra = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[1] < margin for f in found], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *names])
 
-    lean_batches(docs.sparkSession)
     return kept.mapInArrow(run, schema)
 
 
