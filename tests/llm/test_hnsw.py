@@ -64,7 +64,7 @@ def test_recall_and_repeatable_graphs():
     graph = hnsw.Graph(ids, vectors)
     again = hnsw.Graph(ids[::-1], vectors[::-1])
     assert all((a == b).all() for a, b in zip(graph.layers, again.layers))
-    q, node, recall, ef = graph.audited(graph.unit, graph.ids, 0.95)
+    (q, node), recall, ef = graph.audited(graph.unit, graph.ids, 0.95)
     true = graph.unit @ graph.unit.T >= 0.95
     hits = np.zeros_like(true)
     hits[q, node] = True
@@ -87,14 +87,64 @@ def test_audit_does_not_count_own_ids():
     graph = hnsw.Graph(np.arange(1500), vectors.astype(np.float32))
     whole = graph.within
 
-    def blind(queries, cosine, ef):  # finds nothing but the query itself, until the beam is wide
+    def blind(queries, cosine, ef, most=0):  # finds nothing but the query itself, until the beam is wide
         return whole(queries, cosine, ef) if hnsw.WIDE * ef >= 1500 else (np.arange(len(queries)), (queries @ graph.unit.T).argmax(axis=1))
 
     graph.within = blind
-    q, node, _, _ = graph.audited(graph.unit, graph.ids, 0.95)
+    (q, node), _, _ = graph.audited(graph.unit, graph.ids, 0.95)
     hits = np.zeros((1500, 1500), dtype=bool)
     hits[q, node] = True
     assert hits[np.arange(100), 1400 + np.arange(100)].all()
     few = hnsw.Graph(np.arange(1500), vectors[np.r_[:1400, :100]].astype(np.float32) * np.r_[np.ones(1400), -np.ones(100)].astype(np.float32)[:, None])
     few.within = lambda queries, cosine, ef: (np.array([ef]), np.array([0]))
-    assert few.audited(few.unit, few.ids, 0.95)[0].tolist() == [1500]
+    assert few.audited(few.unit, few.ids, 0.95)[0][0].tolist() == [1500]
+
+
+def clusters(seed, n, dim=16, spread=0.075):
+    """Vectors about centres, many of whose cosines lie about 0.95, with ids in no order and vectors of another length."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // 6, dim))
+    rows = [list(map(float, np.float32(c / np.linalg.norm(c) + spread * rng.normal(size=dim)))) for c in np.repeat(centres, 6, axis=0)]
+    rows += [[1.0, float(k)] for k in range(3)]
+    return list(zip(rng.permutation(len(rows)).tolist(), rows))
+
+
+def test_links_count_at_both_ends_over_shards(spark):
+    data = clusters(3, 1800)
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    rows = hnsw.near_duplicates(frame, shards=4).collect()
+    want = brute(data)
+    got = sorted((r.id, r.n_links, r.component_id) for r in rows)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    found, true = sum(g[1] for g in got), sum(w[1] for w in want)
+    assert found % 2 == 0 and 0.98 * true <= found <= true
+    assert min(r.audit_recall for r in rows) >= hnsw.RECALL
+    small = [r for r in clusters(4, 300)]
+    frame = spark.createDataFrame(small, "vec_id long, embedding array<float>")
+    assert sorted((r.id, r.n_links, r.component_id) for r in hnsw.near_duplicates(frame, shards=3).collect()) == brute(small)
+
+
+def test_shards_of_very_many_links_are_compared_by_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
+    raw = (rng.normal(size=12) + 0.02 * rng.normal(size=(500, 12))).astype(np.float32)
+    a, b = hnsw.Graph(np.arange(0, 500, 2), raw[::2]), hnsw.Graph(np.arange(1, 500, 2), raw[1::2])
+    for one, two in ((a, b), (a, a)):
+        keys, recall = hnsw._pairs(one, two, 0.95)
+        many = np.sort(np.concatenate([p * len(two.ids) + q for p, q in hnsw._blocks(one, two, 0.95)]))
+        assert (keys == many).all() and len(keys) > 20000
+    monkeypatch.setattr(hnsw.Graph, "audited", lambda *_: (None, 1.0, 0))
+    assert hnsw._pairs(a, b, 0.95)[0] is None
+
+
+def test_islands_are_all_reached():
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 8))
+    raw = (np.repeat(centres, 60, axis=0) + 1e-3 * rng.normal(size=(2400, 8))).astype(np.float32)
+    graph = hnsw.Graph(np.arange(2400), raw)
+    reached, frontier = np.zeros(2400, dtype=bool), np.array([graph.entry])
+    while len(frontier):
+        reached[frontier] = True
+        around = np.unique(graph.layers[0][frontier])
+        around = around[around >= 0]
+        frontier = around[~reached[around]]
+    assert reached.all()

@@ -22,8 +22,15 @@ AUDIT, LINKED, RECALL = 512, 64, 0.98
 SPARE, BRIDGES = 4, 4
 #: A beam of one in so many of a shard's vectors costs more than comparing with all of them, which then is done.
 WIDE = 8
-#: Vectors of a shard at most, shards at least, queries of a block.
-SHARD, SHARDS, BLOCK = 50_000, 6, 100_000
+#: Bytes of vectors of a shard at most, and shards at least.
+SHARD_BYTES, SHARDS = 32 << 20, 6
+#: Partitions that the tasks are dealt to at most.
+DEALT = 20_000
+#: Cosines that are worked out at once.
+CELLS = 1 << 23
+#: Links of two shards that a task holds as pairs; where a search finds more, the shards are compared throughout, by
+#: blocks, and links are only counted.
+PAIRS = 1 << 22
 #: Search works on single precision and keeps what is this close to the threshold for the check in double precision.
 SLOP = 1e-4
 _GROUP, _EXPAND = 512, 4
@@ -56,9 +63,12 @@ class Graph:
             self._reconnect()
 
     def _reconnect(self) -> None:
-        """Bridges to nodes that can't be reached on the ground level: a tight group may link to itself alone."""
+        """Bridges to nodes that can't be reached on the ground level: a tight group may link to itself alone.
+
+        Islands are found first; then a few nodes of each, the one that reaches the rest among them, are searched for
+        from the entry and hung on the closest nodes found that have a place left. Where none has, all get more."""
         n = len(self.ids)
-        ground = self.layers[0] = np.concatenate([self.layers[0], np.full((n, SPARE), -1, dtype=np.int32)], axis=1)
+        ground = np.concatenate([self.layers[0], np.full((n, SPARE), -1, dtype=np.int32)], axis=1)
         reached = np.zeros(n, dtype=bool)
 
         def spread(frontier: np.ndarray) -> np.ndarray:
@@ -66,22 +76,38 @@ class Graph:
             while len(frontier):
                 reached[frontier] = True
                 around = np.unique(ground[frontier])
-                frontier = around[(around >= 0)]
-                frontier = frontier[~reached[frontier]]
+                around = around[around >= 0]
+                frontier = around[~reached[around]]
                 found.append(frontier)
             return np.concatenate(found)
 
         spread(np.array([self.entry]))
-        while not reached.all():
-            island = spread(np.flatnonzero(~reached)[:1])
-            main = np.setdiff1d(np.flatnonzero(reached), island)
-            some = island[np.linspace(0, len(island) - 1, min(BRIDGES, len(island))).astype(np.int64)]
-            for u in some:
-                for r in main[np.argsort(-(self.unit[main] @ self.unit[u]), kind="stable")[:64]]:
-                    free = np.flatnonzero(ground[r, -SPARE:] < 0)
-                    if len(free):
-                        ground[r, ground.shape[1] - SPARE + free[0]] = u
-                        break
+        nodes, at = [], 0
+        while at < n:
+            if reached[at]:
+                at += 1 if at + 1 < n and not reached[at + 1] else max(1, int(np.argmin(reached[at:])) if not reached[at:].all() else n - at)
+                continue
+            island = spread(np.array([at]))
+            nodes.append(island[np.linspace(0, len(island) - 1, min(BRIDGES, len(island))).astype(np.int64)])
+        self.layers[0] = ground
+        if not nodes:
+            return
+        nodes = np.concatenate(nodes)
+        near, sims = self.search(self.unit[nodes], min(64, n))
+        near = np.take_along_axis(near, np.argsort(-sims, axis=1, kind="stable"), axis=1)
+        used = np.zeros(n, dtype=np.int64)
+        places: list[tuple[int, int, int]] = []
+        for u, row in zip(nodes.tolist(), near.tolist()):
+            row = [r for r in row if r >= 0]
+            r = next((r for r in row if used[r] < SPARE), min(row, key=lambda r: used[r]))
+            places.append((r, int(used[r]), u))
+            used[r] += 1
+        more = max(0, int(used.max()) - SPARE)
+        width = ground.shape[1] - SPARE
+        ground = np.concatenate([ground, np.full((n, more), -1, dtype=np.int32)], axis=1)
+        for r, k, u in places:
+            ground[r, width + k] = u
+        self.layers[0] = ground
 
     def _insert(self, batch: np.ndarray, before: int) -> None:
         for l in range(len(self.layers) - 1, -1, -1):
@@ -200,33 +226,35 @@ class Graph:
             ids[live], sims[live], done[live] = (np.take_along_axis(x, best, axis=1) for x in (all_ids, all_sims, all_done))
         return ids, sims
 
-    def within(self, queries: np.ndarray, cosine: float, ef: int) -> tuple[np.ndarray, np.ndarray]:
+    def within(self, queries: np.ndarray, cosine: float, ef: int, most: int = PAIRS) -> tuple[np.ndarray, np.ndarray] | None:
         """Pairs (query, node) near the threshold. A query whose beam holds nothing else is searched with a wider one,
-        at last with all of the shard."""
-        n, out = len(self.ids), []
+        at last with all of the shard. None if there are more than ``most``."""
+        n, out, total = len(self.ids), [], 0
         left = np.arange(len(queries))
         while len(left):
-            if WIDE * ef >= n:
-                for s in range(0, len(left), 2048):
-                    part = left[s : s + 2048]
-                    r, c = np.nonzero(queries[part] @ self.unit.T >= cosine - SLOP)
-                    out.append(np.column_stack([part[r], c]))
-                break
+            whole = WIDE * ef >= n
             again = []
-            step = max(1, min(_GROUP * 8, (1 << 24) // ef))
+            step = max(1, CELLS // n) if whole else max(1, min(_GROUP * 8, (1 << 24) // ef))
             for s in range(0, len(left), step):
                 part = left[s : s + step]
-                ids, sims = self.search(queries[part], ef)
-                hit = sims >= cosine - SLOP
-                full = hit.all(axis=1)
-                again.append(part[full])
-                r, c = np.nonzero(hit & ~full[:, None])
-                out.append(np.column_stack([part[r], ids[r, c]]))
-            left, ef = np.concatenate(again), 2 * ef
+                if whole:
+                    r, c = np.nonzero(queries[part] @ self.unit.T >= cosine - SLOP)
+                    out.append(np.column_stack([part[r], c]))
+                else:
+                    ids, sims = self.search(queries[part], ef)
+                    hit = sims >= cosine - SLOP
+                    full = hit.all(axis=1)
+                    again.append(part[full])
+                    r, c = np.nonzero(hit & ~full[:, None])
+                    out.append(np.column_stack([part[r], ids[r, c]]))
+                total += len(r)
+                if total > most:
+                    return None
+            left, ef = np.concatenate(again) if again else left[:0], 2 * ef
         pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
         return pairs[:, 0], pairs[:, 1]
 
-    def audited(self, queries: np.ndarray, keys: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, float, int]:
+    def audited(self, queries: np.ndarray, keys: np.ndarray, cosine: float) -> tuple[tuple[np.ndarray, np.ndarray] | None, float, int]:
         """``within`` with beams widened until the audit passes; also the recall that was measured and the beam.
 
         The audit takes the queries in the order of hashes of their ids and compares their links with brute force over
@@ -234,25 +262,28 @@ class Graph:
         block with too few is compared by brute force throughout. Beams that are wide for the shard end there too."""
         order = np.argsort((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20), kind="stable")
         chosen, truth, at = [], [], 0
+        step = max(16, min(AUDIT, CELLS // max(1, len(self.ids))))
         while at < len(order) and sum(map(len, chosen)) < LINKED:
-            part = order[at : at + AUDIT]
+            part = order[at : at + step]
             exact = queries[part] @ self.unit.T >= cosine
             exact &= keys[part][:, None] != self.ids
             some = exact.any(axis=1)
             chosen.append(part[some])
             truth.append(exact[some])
             at += len(part)
-        chosen, exact = np.concatenate(chosen), np.concatenate(truth)
+        chosen, exact = (np.concatenate(x) for x in (chosen, truth)) if chosen else (order, np.zeros((0, len(self.ids)), dtype=bool))
         if len(chosen) < LINKED:
-            return *self.within(queries, cosine, len(self.ids)), 1.0, len(self.ids)
+            return self.within(queries, cosine, len(self.ids)), 1.0, len(self.ids)
         ef = EF
         while True:
-            q, node = self.within(queries[chosen], cosine, ef)
+            found = self.within(queries[chosen], cosine, ef)
+            if found is None:
+                return None, 1.0, ef
             hits = np.zeros_like(exact)
-            hits[q, node] = True
+            hits[found] = True
             recall = float(((hits & exact).sum(axis=1) / exact.sum(axis=1)).mean())
             if recall >= RECALL or WIDE * ef >= len(self.ids):
-                return *self.within(queries, cosine, ef), recall, ef
+                return self.within(queries, cosine, ef), recall, ef
             ef *= 2
 
 
@@ -282,15 +313,26 @@ def packed(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -
 
 
 def _build(kind: str):
+    """The graph of one shard as a row: what can be computed from the vectors is left out."""
+
     def build(rows: pa.Table) -> pa.Table:
         dim = rows.column("dim")[0].as_py()
+        order = np.argsort(rows.column("rep").to_numpy(), kind="stable")
         graph = Graph(rows.column("rep").to_numpy(), _unpack(rows.column("vec"), kind, dim))
-        times = rows.column("times").to_numpy()[np.argsort(rows.column("rep").to_numpy(), kind="stable")]
-        return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([rows.column("shard")[0].as_py()], pa.int32()), "graph": pa.array([pickle.dumps((graph, times))], pa.large_binary()).cast(pa.binary())})
+        packed = pickle.dumps((graph.ids, graph.raw, graph.layers, graph.entry, rows.column("times").to_numpy()[order]))
+        return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([rows.column("shard")[0].as_py()], pa.int32()), "graph": pa.array([packed], pa.binary())})
 
     return build
 
 
+def _loaded(packed: bytes) -> tuple[Graph, np.ndarray]:
+    graph = Graph.__new__(Graph)
+    graph.ids, graph.raw, graph.layers, graph.entry, times = pickle.loads(packed)
+    unit = graph.raw.astype(np.float64)
+    graph.unit = (unit / np.linalg.norm(unit, axis=1, keepdims=True)).astype(np.float32)
+    return graph, times
+
+
 def _forest(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Smallest id that each node reaches over the links, by label passing with pointer jumps. Nodes are places in ``ids`` (sorted)."""
     root = np.arange(len(ids))
@@ -307,72 +349,127 @@ def _forest(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _search(kind: str, cosine: float):
-    out = {"id": pa.int64(), "links": pa.int64(), "root": pa.int64(), "recall": pa.float64(), "ef": pa.int64()}
+def _verified(a: Graph, b: Graph, p: np.ndarray, q: np.ndarray, cosine: float) -> np.ndarray:
+    """Which of the pairs (node of a, node of b) have the cosine in double precision; a node is none with itself."""
+    ok = a.ids[p] != b.ids[q]
+    for s in range(0, len(p), 1 << 16):
+        x, y = (g.raw[n[s : s + (1 << 16)]].astype(np.float64) for g, n in ((a, p), (b, q)))
+        x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, y))
+        ok[s : s + (1 << 16)] &= np.einsum("nd,nd->n", x, y) >= cosine
+    return ok
+
+
+def _pairs(a: Graph, b: Graph, cosine: float) -> tuple[np.ndarray, float]:
+    """Links between the nodes of two shards as numbers p * len(b) + q, found from either end, and the lower recall of
+    the two audits. Too many for a task: None."""
+    recalls, found = [], []
+    for queries, graph, turned in ((a, b, False), (b, a, True)):
+        if turned and a is b:
+            break
+        links, recall, _ = graph.audited(queries.unit, queries.ids, cosine)
+        if links is None:
+            return None, 1.0
+        recalls.append(recall)
+        p, q = links[::-1] if turned else links
+        found.append(p * len(b.ids) + q)
+    keys = np.unique(np.concatenate(found))
+    p, q = keys // len(b.ids), keys % len(b.ids)
+    if a is b:  # each pair once, whichever end it was found from
+        p, q = np.minimum(p, q), np.maximum(p, q)
+        keys = np.unique(p * len(b.ids) + q)
+        p, q = keys // len(b.ids), keys % len(b.ids)
+    return keys[_verified(a, b, p, q, cosine)], min(recalls)
+
+
+def _blocks(a: Graph, b: Graph, cosine: float):
+    """All links between the nodes of two shards, some rows of the first at a time."""
+    rows = max(1, CELLS // len(b.ids))
+    for s in range(0, len(a.ids), rows):
+        p, q = np.nonzero(a.unit[s : s + rows] @ b.unit.T >= cosine - SLOP)
+        p = p + s
+        if a is b:
+            p, q = p[p < q], q[p < q]
+        ok = _verified(a, b, p, q, cosine)
+        yield p[ok], q[ok]
+
 
-    def search(index: pa.Table, queries: pa.Table) -> pa.Table:
-        if not index.num_rows or not queries.num_rows:
+def _search(kind: str, cosine: float):
+    """Links between two shards: for each node that has any their number and a root of its component among them, and a
+    row without an id that holds the recall of the audits."""
+    out = {"id": pa.int64(), "links": pa.int64(), "root": pa.int64(), "recall": pa.float64(), "shard": pa.int32()}
+
+    def search(rows: pa.Table) -> pa.Table:
+        shards = dict(zip(rows.column("shard").to_pylist(), rows.column("graph").to_pylist()))
+        numbers = sorted({rows.column("low")[0].as_py(), rows.column("high")[0].as_py()})
+        if len(shards) < len(numbers):  # the other shard has no vector of this length
             return pa.table({k: pa.array([], t) for k, t in out.items()})
-        graph, times = pickle.loads(index.column("graph")[0].as_py())
-        keys = queries.column("rep").to_numpy()
-        raw = _unpack(queries.column("vec"), kind, queries.column("dim")[0].as_py()).astype(np.float64)
-        unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
-        q, node, recall, ef = graph.audited(unit.astype(np.float32), keys, cosine)
-        other = keys[q] != graph.ids[node]
-        q, node = q[other], node[other]
-        exact = np.zeros(len(q))
-        for s in range(0, len(q), 1 << 16):
-            theirs = graph.raw[node[s : s + (1 << 16)]].astype(np.float64)
-            exact[s : s + (1 << 16)] = np.einsum("nd,nd->n", unit[q[s : s + (1 << 16)]], theirs) / np.linalg.norm(theirs, axis=1)
-        q, node = q[exact >= cosine], node[exact >= cosine]
-        links = np.bincount(q, weights=times[node], minlength=len(keys)).astype(np.int64)
-        linked = np.unique(np.concatenate([keys[q], graph.ids[node]]))
-        roots = linked[_forest(np.searchsorted(linked, keys[q]), np.searchsorted(linked, graph.ids[node]), linked)]
-        count = np.zeros(len(linked), dtype=np.int64)
-        mine = np.flatnonzero(links)
-        count[np.searchsorted(linked, keys[mine])] = links[mine]
-        n = len(linked)
-        return pa.table({"id": pa.array(linked), "links": pa.array(count), "root": pa.array(roots), "recall": pa.array(np.full(n, recall)), "ef": pa.array(np.full(n, ef, dtype=np.int64))})
+        loaded = [_loaded(shards[n]) for n in numbers]
+        (a, times_a), (b, times_b) = loaded[0], loaded[-1]
+        keys, recall = _pairs(a, b, cosine)
+        blocks = _blocks(a, b, cosine) if keys is None else [(keys // len(b.ids), keys % len(b.ids))]
+        ids = a.ids if a is b else np.unique(np.concatenate([a.ids, b.ids]))
+        links, root = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+        for p, q in blocks:
+            x, y = np.searchsorted(ids, a.ids[p]), np.searchsorted(ids, b.ids[q])
+            links += np.bincount(x, weights=times_b[q], minlength=len(ids)).astype(np.int64) + np.bincount(y, weights=times_a[p], minlength=len(ids)).astype(np.int64)
+            root = _forest(np.concatenate([x, np.arange(len(ids))]), np.concatenate([y, root]), ids)
+        some = np.flatnonzero(links)
+        n, m = len(some), len(numbers)
+        return pa.table(
+            {
+                "id": pa.array([*ids[some].tolist(), *[None] * m], pa.int64()),
+                "links": pa.array([*links[some].tolist(), *[0] * m], pa.int64()),
+                "root": pa.array([*ids[root[some]].tolist(), *[None] * m], pa.int64()),
+                "recall": pa.array([None] * n + [recall] * m, pa.float64()),
+                "shard": pa.array([None] * n + numbers, pa.int32()),
+            },
+            schema=pa.schema(list(out.items())),
+        )
 
     return search
 
 
-def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, shard_rows: int = SHARD, shards: int = SHARDS) -> DataFrame:
-    """``id, n_links, component_id`` for each row of ``vectors``.
+def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, shard_bytes: int = SHARD_BYTES, shards: int = SHARDS) -> DataFrame:
+    """``id, n_links, component_id, audit_recall`` for each row of ``vectors``.
 
     Equal vectors are one node with a multiplicity, found by an aggregate. Each shard's graph is built once and
-    written to the shared folder; every block of queries is sent to every shard. What a search returns is a count
+    written to the shared folder. Every two shards are dealt to a task with both graphs, which searches each for the
+    nodes of the other, so a link counts at both its ends if either end finds it. What a search returns is a count
     for each vector and a forest over its links, not the links, so a group of near copies makes no more rows than
-    it has vectors. Vectors of different lengths are never compared. Rows that link with nothing are their own
-    component; an empty table gives no rows.
+    it has vectors. A graph is sent once for each other shard: bytes shuffled are those of the vectors times the number
+    of shards, which is their bytes over ``shard_bytes``. ``audit_recall`` is the lowest recall that an audit of the
+    vector's shard measured, of links from one end alone. Vectors of different lengths are never compared. Rows that link
+    with nothing are their own component; an empty table gives no rows.
     """
     single = "float" in dict(vectors.dtypes)[vector]
     kind = "<f4" if single else "<f8"
     rows = Stored(packed(vectors, key, vector)).df
     nodes = Stored(rows.where("vid IS NOT NULL").groupBy("vid").agg(F.min("id").alias("rep"), F.count("*").alias("times"), F.first("dim").alias("dim"), F.first("vec").alias("vec"))).df
-    total = nodes.count()
+    total = nodes.agg(F.sum(F.octet_length("vec"))).first()[0]
     if not total:
-        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    many = max(shards, -(-total // shard_rows))
-    blocks = -(-total // BLOCK)
-    placed = nodes.withColumn("shard", F.pmod(F.xxhash64("vid"), F.lit(many)).cast("int"))
-    graphs = Stored(placed.select("dim", "shard", "rep", "times", "vec").groupBy("dim", "shard").applyInArrow(_build(kind), "dim int, shard int, graph binary")).df
-    sent = nodes.select("dim", F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("shard"), F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int").alias("block"), "rep", "vec")
-    index = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    by = ["dim", "shard", "block"]
-    found = Stored(index.groupBy(*by).cogroup(sent.groupBy(*by)).applyInArrow(_search(kind, cosine), "id long, links long, root long, recall double, ef long")).df
-    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    roots = connected_components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(None).cast("double").alias("audit_recall"))
+    many = max(shards, -(-total // shard_bytes))
+    shard = F.pmod(F.xxhash64("vid"), F.lit(many)).cast("int")
+    graphs = Stored(nodes.select("dim", shard.alias("shard"), "rep", "times", "vec").groupBy("dim", "shard").applyInArrow(_build(kind), "dim int, shard int, graph binary")).df
+    other = F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("other")
+    dealt = graphs.select("dim", "shard", "graph", other).select("dim", "shard", "graph", F.least("shard", "other").alias("low"), F.greatest("shard", "other").alias("high"))
+    tasks = dealt.repartition(min(many * (many + 1), DEALT), "dim", "low", "high")
+    found = Stored(tasks.groupBy("dim", "low", "high").applyInArrow(_search(kind, cosine), "id long, links long, root long, recall double, shard int")).df
+    linked = found.where("id IS NOT NULL")
+    counts = linked.groupBy("id").agg(F.sum("links").alias("links"))
+    roots = connected_components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    audits = found.where("id IS NULL").groupBy("shard").agg(F.min("recall").alias("audit_recall"))
     known = (
-        nodes.select("vid", "rep", "times")
-        .join(counts, nodes.rep == counts.id, "left")
+        nodes.select("vid", "rep", "times", shard.alias("shard"))
+        .join(counts, F.col("rep") == counts.id, "left")
         .join(roots, F.col("rep") == roots.node, "left")
-        .select("vid", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        .join(audits, "shard", "left")
+        .select("vid", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"), "audit_recall")
     )
     joined = rows.join(known, "vid", "left")
-    return joined.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    return joined.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"), "audit_recall")
 
 
 def op4_embeddings(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "embeddings"))
-    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"), "audit_recall")
