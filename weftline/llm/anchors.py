@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, lean_batches
+from .common import Stored, fresh, quoted
 
 #: Symbols to a block of the sliding minimum, bytes of text to a slice, distinct fragments that a group may hold.
 BLOCK = 1 << 20
 SLICE = 4 << 20
-MOST = 20_000
+MOST = 1_000
 #: Fragments whose digests a task remembers.
 REMEMBERED = 300_000
 _BASE = 0x9E3779B97F4A7C15
@@ -274,22 +274,27 @@ def repeated(docs: DataFrame, unit: Unit, engine: Callable, most: int = MOST) ->
     Equal fragments are counted by a partial aggregate and need no engine. What is collected for a text is
     bounded by that text.
     """
-    lean_batches(docs.sparkSession)
-    marks = Stored(_marks(docs, unit)).df
+    held: list[Stored] = []
+
+    def stored(df: DataFrame) -> DataFrame:
+        held.append(Stored(df))
+        return held[-1].df
+
+    marks = stored(_marks(docs, unit))
     # stored, so that both sides of a join are plain exchanges and a frequent anchor's rows can be split
-    twice = Stored(_twice(marks)).df
+    twice = stored(_twice(marks))
     kept = marks.join(twice, "sym", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("sym", "lo", "hi")).alias("marks"))
-    frags = Stored(_cut(docs.join(kept, "tid"), unit)).df
+    frags = stored(_cut(docs.join(kept, "tid"), unit))
     k, found = unit.k, None
     while True:
-        counts = Stored(frags.groupBy("sym", "fid").agg(F.count("*").alias("times"))).df
+        counts = stored(frags.groupBy("sym", "fid").agg(F.count("*").alias("times")))
         sizes = counts.groupBy("sym").agg(F.count("*").alias("size"))
-        hot = Stored(sizes.where(F.col("size") > most).select("sym")).df
+        hot = stored(sizes.where(F.col("size") > most).select("sym"))
         more = k < unit.window and not hot.isEmpty()
         cool = frags.join(hot, "sym", "left_anti") if more else frags
-        stretches = Stored(_grouped(cool, unit, engine)).df
+        stretches = stored(_grouped(cool, unit, engine))
         same = counts.where("times > 1").select("sym", "fid", F.lit(True).alias("same"))
-        verdicts = Stored(same.join(stretches, ["sym", "fid"], "full_outer")).df
+        verdicts = stored(same.join(stretches, ["sym", "fid"], "full_outer"))
         placed = (
             cool.drop("frag")
             .join(verdicts, ["sym", "fid"])
@@ -297,12 +302,15 @@ def repeated(docs: DataFrame, unit: Unit, engine: Callable, most: int = MOST) ->
         )
         found = placed if found is None else found.unionByName(placed)
         if not more:
-            return found.groupBy("tid").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
+            out = Stored(found.groupBy("tid").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))).df
+            for table in held:
+                table.drop()
+            return out
         k = min(2 * k, unit.window)
         bytes_ = frags.where("frag IS NOT NULL").join(hot, "sym", "left_semi").select("sym", "fid", "frag").dropDuplicates(["sym", "fid"])
-        again = Stored(_cut_again(frags.drop("frag").join(bytes_, ["sym", "fid"]).select("tid", "sym", "fid", "lo", "n", "frag"), unit, k)).df
-        twice = Stored(_twice(again)).df
-        frags = Stored(again.join(twice, "sym", "left_semi").select("tid", "sym", "fid", "lo", "n", "frag")).df
+        again = stored(_cut_again(frags.drop("frag").join(bytes_, ["sym", "fid"]).select("tid", "sym", "fid", "lo", "n", "frag"), unit, k))
+        twice = stored(_twice(again))
+        frags = stored(again.join(twice, "sym", "left_semi").select("tid", "sym", "fid", "lo", "n", "frag"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -325,9 +333,10 @@ def strike_out(docs: DataFrame, unit: Unit, engine: Callable, keep: Callable, te
     new = ["spans", "n_symbols", "kept"]
     kept = docs.drop(*new)
     names = kept.columns
-    named = kept.select(F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("_wl_tid"), *[F.col(f"`{c}`") for c in names])
-    spans = repeated(named.select(F.col("_wl_tid").alias("tid"), F.coalesce(F.col(text), F.lit("")).alias("text")), unit, engine, most)
-    joined = named.join(spans.select(F.col("tid").alias("_wl_tid"), F.col("spans").alias("_wl_spans")), "_wl_tid", "left").select(*[F.col(f"`{c}`") for c in names], "_wl_spans")
+    tid, found_ = (f"{fresh(names, '_wl')}_{x}" for x in ("tid", "spans"))
+    named = kept.select(F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias(tid), *quoted(names))
+    spans = repeated(named.select(F.col(tid).alias("tid"), F.coalesce(F.col(text), F.lit("")).alias("text")), unit, engine, most)
+    joined = named.join(spans.select(F.col("tid").alias(tid), F.col("spans").alias(found_)), tid, "left").select(*quoted(names), found_)
     place = names.index(text)
 
     def run(batches):

@@ -58,7 +58,8 @@ def keep_words(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, bytes]:
 def dedup(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with ``spans`` (in words), ``n_symbols`` (words) and ``kept``: the words outside the spans, joined
     by one space. A span is covered by windows of 35 words that start anywhere else too, the same text included.
-    Null and empty texts have no words."""
+    Null and empty texts have no words, equal texts lose all windows that they have, an empty table gives no rows, and
+    texts of any length are cut into fragments first."""
     return strike_out(docs, WORD_UNIT, doubling, keep_words, text, **options)
 
 

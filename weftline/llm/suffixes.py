@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import BYTE_UNIT, BYTES, grams, strike_out
+from .anchors import BYTE_UNIT, BYTES, grams, mix, strike_out
 from .common import table
 
 #: A phrase ends where a run of this many bytes has a hash with so many zero bits: 64 bytes on average.
@@ -102,47 +104,91 @@ def common_prefixes(text: list[int], sa: list[int]) -> list[int]:
     return out
 
 
-def phrase_matches(flat: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Phrase starts of some byte strings laid end to end, and how many phrases from each on are found elsewhere.
+def phrases(flat: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Phrase starts of some byte strings laid end to end, and a symbol for each: equal phrases have equal symbols.
 
-    Phrases are cut by their own content, so equal strings are cut alike. The suffix array stands over the
-    sequence of phrases, a separator after each string; the longest match of a suffix is the longer of the
-    common prefixes with its two neighbours in the array.
-    """
+    Phrases are cut by their own content, so equal strings are cut alike. The last start of each string begins no
+    whole phrase; its symbol is the separator 1."""
     if len(flat) < CUT:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int64), []
     h = grams(BYTES[flat], CUT)
     cuts = np.flatnonzero((h >> np.uint64(64 - CUT_BITS)) == 0)
     cuts = cuts[owner[cuts] == owner[cuts + CUT - 1]]
     if not len(cuts):
-        return cuts, cuts
+        return cuts, []
     raw = flat.tobytes()
     joined = np.r_[owner[cuts[1:]] == owner[cuts[:-1]], False]
     ends = np.r_[cuts[1:] + CUT, 0].tolist()
     rank: dict[bytes, int] = {}
-    symbols = [2 + rank.setdefault(raw[a:b], len(rank)) if same else 1 for a, b, same in zip(cuts.tolist(), ends, joined.tolist())]
-    sa = suffix_array(symbols + [0])
-    lcp = common_prefixes(symbols + [0], sa)
-    best = [0] * (len(symbols) + 1)
-    for at in range(1, len(sa)):
-        best[sa[at]] = max(best[sa[at]], lcp[at])
-        best[sa[at - 1]] = max(best[sa[at - 1]], lcp[at])
-    return cuts, np.minimum(np.array(best[:-1], dtype=np.int64), _next_stop(joined) - np.arange(len(cuts)))
-
-
-def _next_stop(joined: np.ndarray) -> np.ndarray:
-    """For each phrase start the next one, itself included, that ends its string's phrases."""
-    stops = np.flatnonzero(~joined)
-    return stops[np.searchsorted(stops, np.arange(len(joined)))]
+    return cuts, [2 + rank.setdefault(raw[a:b], len(rank)) if same else 1 for a, b, same in zip(cuts.tolist(), ends, joined.tolist())]
+
+
+class Runs:
+    """Runs of phrases that are equal, read off the suffix array of the sequence of phrases and its common prefixes."""
+
+    def __init__(self, symbols: list[int]):
+        sa = suffix_array(symbols + [0])
+        self.shared = np.array(common_prefixes(symbols + [0], sa), dtype=np.int64)
+        self.place = np.empty(len(sa), dtype=np.int64)
+        self.place[np.array(sa)] = np.arange(len(sa))
+
+    def of(self, start: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For the runs of ``n`` phrases from some starts on: a number that equal runs have in common, and whether there
+        is another one. Suffixes that share n phrases lie side by side in the array."""
+        split = self.shared < n
+        number = np.cumsum(split)
+        alone = split & np.r_[split[1:], True]
+        at = self.place[start]
+        return number[at], ~alone[at]
+
+
+def _edges(flat: np.ndarray) -> Callable:
+    """Hashes of the runs of bytes between two places, from sums over the bytes times odd powers."""
+    powers = np.full(len(flat) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64)
+    powers[0] = 1
+    powers = np.cumprod(powers, dtype=np.uint64)
+    sums = np.zeros(len(flat) + 1, dtype=np.uint64)
+    np.cumsum(BYTES[flat] * powers[:-1], dtype=np.uint64, out=sums[1:])
+    last = np.uint64(len(flat))
+    return lambda a, b: (sums[b] - sums[a]) * powers[(last - a.astype(np.uint64)).astype(np.int64)]
+
+
+def _confirmed(raw: bytes, at: np.ndarray, key: np.ndarray, window: int) -> np.ndarray:
+    """Which of the windows at ``at`` are equal to another one, byte by byte. ``key`` brings them together.
+
+    Each window is compared with the first of its key; windows one after the other at the same distance from theirs
+    are compared in one stretch. Should one differ, a key's windows are told apart by their bytes."""
+    order = np.argsort(key, kind="stable")
+    first = np.r_[True, key[order[1:]] != key[order[:-1]]] if len(order) else np.zeros(0, dtype=bool)
+    leader = np.empty(len(at), dtype=np.int64)
+    leader[order] = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+    sizes = np.bincount(leader, minlength=len(at))
+    repeated = sizes[leader] > 1
+    follows = np.flatnonzero(repeated & (leader != np.arange(len(at))))
+    if not len(follows):
+        return repeated
+    distance = at[follows] - at[leader[follows]]
+    new = np.flatnonzero(np.r_[True, (np.diff(at[follows]) != 1) | (np.diff(distance) != 0)]) if len(follows) else follows
+    ends = np.r_[new[1:], len(follows)]
+    starts, stops, gaps = at[follows[new]].tolist(), (at[follows[ends - 1]] + window).tolist(), distance[new].tolist()
+    if all(raw[a:b] == raw[a - d : b - d] for a, b, d in zip(starts, stops, gaps)):
+        return repeated
+    seen: dict[bytes, int] = {}
+    whole = [raw[a : a + window] for a in at.tolist()]
+    for w in whole:
+        seen[w] = seen.get(w, 0) + 1
+    return np.array([seen[w] > 1 for w in whole], dtype=bool)
 
 
 def by_suffix_arrays(raw: list[bytes], window: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last start of the windows of each fragment that another fragment has too; -1 for none.
 
-    A window can repeat only if all its whole phrases do, one after the other: the suffix array tells. What
-    passes is compared as whole windows of bytes by their 64-bit hashes (sound below 2048 bytes for this modulus).
+    A window is a tail of a phrase, whole phrases, and a head of one. The suffix array says which windows have
+    their whole phrases, all together, somewhere else, and numbers equal runs of them; windows of one number with
+    tails and heads alike are brought together and compared byte by byte. A window without a whole phrase is a tail alone.
     """
-    flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    joined = b"".join(raw)
+    flat = np.frombuffer(joined, dtype=np.uint8)
     lengths = np.array([len(r) for r in raw], dtype=np.int64)
     starts = np.cumsum(lengths) - lengths
     owner = np.repeat(np.arange(len(raw)), lengths)
@@ -150,16 +196,26 @@ def by_suffix_arrays(raw: list[bytes], window: int, counts: np.ndarray) -> tuple
     last = first.copy()
     n = len(flat) - window + 1
     at = np.flatnonzero(owner[:n] == owner[window - 1 :]) if n > 0 else np.zeros(0, dtype=np.int64)
-    cuts, matched = phrase_matches(flat, owner)
-    if len(cuts) and len(at):
-        low = np.searchsorted(cuts, at)
-        whole = np.searchsorted(cuts, at + window - CUT, side="right") - low - 1
-        at = at[(whole <= 0) | (matched[np.minimum(low, len(cuts) - 1)] >= whole)]
+    cuts, symbols = phrases(flat, owner)
+    low = np.searchsorted(cuts, at)
+    whole = np.maximum(np.searchsorted(cuts, at + window - CUT, side="right") - low - 1, 0)
+    run = np.zeros(len(at), dtype=np.int64)
+    maybe = whole == 0
+    if whole.any():
+        runs = Runs(symbols)
+        for k in np.unique(whole[whole > 0]).tolist():
+            some = np.flatnonzero(whole == k)
+            run[some], maybe[some] = runs.of(low[some], k)
+    at, low, whole, run = at[maybe], low[maybe], whole[maybe], run[maybe]
     if len(at):
-        h = grams(BYTES[flat], window)[at]
-        ordered = np.sort(h)
-        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        at = at[twice[np.minimum(np.searchsorted(twice, h), len(twice) - 1)] == h] if len(twice) else at[:0]
+        between = _edges(flat)
+        some = whole > 0
+        bounds = np.r_[cuts, 0]
+        head = np.where(some, bounds[np.minimum(low, len(cuts))], at + window)
+        foot = np.where(some, bounds[np.minimum(low + whole, len(cuts))], at + window)
+        with np.errstate(over="ignore"):
+            key = mix(between(at, head) + mix(between(foot, at + window) + run.astype(np.uint64)) + (whole * 4096 + head - at).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        at = at[_confirmed(joined, at, key, window)]
     offset = at - starts[owner[at]]
     last[owner[at]] = offset
     first[owner[at][::-1]] = offset[::-1]
