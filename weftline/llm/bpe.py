@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, lean_batches, table
+from .common import REMEMBERED_BYTES, give_back, table
 
 #: Distinct words that a worker remembers, and bytes of text that one round of merges takes.
 CACHE = 400_000
@@ -65,6 +65,7 @@ class WordBPE:
         self.path = path
         self.spaces = regex.compile(r"\p{White_Space}+")
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def rank_of(self, keys: np.ndarray) -> np.ndarray:
         """Rank of each pair; one past the last for a pair that isn't merged."""
@@ -204,11 +205,12 @@ class WordBPE:
             parts.append(own)
         lists = [p for own in parts for p in own if not isinstance(p, bytes)]
         fresh = set(chain.from_iterable(lists)) - self.known.keys()
-        if len(self.known) + len(fresh) > CACHE:
+        if len(self.known) + len(fresh) > CACHE or self.held + sum(map(len, fresh)) > REMEMBERED_BYTES:
             self.known.clear()
-            fresh = set(chain.from_iterable(lists))
+            self.held, fresh = 0, set(chain.from_iterable(lists))
         if fresh:
             self._learn(fresh)
+            self.held += sum(map(len, fresh))
         known = self.known.__getitem__
         return [b"".join(p if isinstance(p, bytes) else b"".join(map(known, p)) for p in own) for own in parts]
 
@@ -259,7 +261,6 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: st
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *names])
         give_back()
 
-    lean_batches(docs.sparkSession)
     return kept.mapInArrow(run, schema)
 
 
@@ -275,7 +276,6 @@ def decode(frame: DataFrame, ids: str = "ids", decoded: str = "decoded", path: s
             texts = [bpe.decode(x or b"") for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, decoded])
 
-    lean_batches(frame.sparkSession)
     return kept.mapInArrow(run, schema)
 
 
@@ -290,6 +290,7 @@ def op2_bpe(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their ids and the number of these."""
+    """The documents with ``ids`` and ``n_tokens``, the number of these; columns with those names are replaced. Null and
+    empty texts have no ids; equal texts have the same; texts of any length are taken whole."""
     coded = encode(docs, ids="ids")
     return coded.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))

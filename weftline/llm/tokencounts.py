@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .anchors import slices
-from .common import lean_batches, table
+from .common import REMEMBERED_BYTES, table
 
 #: Words that a worker remembers; bytes of a word above which it is scored by itself and not in the trie.
 CACHE = 400_000
@@ -59,14 +60,18 @@ class Unigram:
         self.value = {p: s * _COUNT - 1 for p, s in pieces.items()}
         self.longest = max(map(len, pieces))
         self.known: dict[bytes, int] = {}
+        self.held = 0
         self.tables = {}
         by: dict[int, list[bytes]] = {}
         for p in pieces:
             by.setdefault(len(p), []).append(p)
         for n, group in sorted(by.items()):
-            keys = self._hash(np.frombuffer(b"".join(group), dtype=np.uint8).reshape(-1, n))
+            rows = np.frombuffer(b"".join(group), dtype=np.uint8).reshape(-1, n)
+            keys = self._hash(rows)
             order = np.argsort(keys)
-            self.tables[n] = (keys[order], np.array([self.value[p] for p in group], dtype=np.int64)[order], self._sieve(keys))
+            if (np.diff(keys[order].astype(object)) == 0).any():
+                raise ValueError("two pieces of one hash")
+            self.tables[n] = (keys[order], np.array([self.value[p] for p in group], dtype=np.int64)[order], self._sieve(keys), rows[order])
 
     @staticmethod
     def _hash(rows: np.ndarray) -> np.ndarray:
@@ -85,13 +90,16 @@ class Unigram:
         sieve[self._slot(keys)] = True
         return sieve
 
-    def _values(self, n: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the keys that are pieces of length n, and their values."""
-        pieces, values, sieve = self.tables[n]
+    def _values(self, n: int, keys: np.ndarray, spelled: Callable) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the keys that are pieces of length n, and their values. ``spelled(at)`` are the bytes at places: what
+        the hash finds counts if its bytes are the piece's."""
+        pieces, values, sieve, rows = self.tables[n]
         at = np.flatnonzero(sieve[self._slot(keys)])
         slot = np.minimum(np.searchsorted(pieces, keys[at]), len(pieces) - 1)
         ok = pieces[slot] == keys[at]
-        return at[ok], values[slot[ok]]
+        at, slot = at[ok], slot[ok]
+        same = (spelled(at) == rows[slot]).all(axis=1)
+        return at[same], values[slot[same]]
 
     def counts(self, words: list[bytes]) -> list[int]:
         """Tokens of each word (distinct, with its leading mark). Words in order are the trie's leaves in order: a node
@@ -121,7 +129,7 @@ class Unigram:
                 if length > d:
                     break
                 keys = hashes[d][nodes] - hashes[d - length][nodes] * powers[length]
-                at, worth = self._values(length, keys)
+                at, worth = self._values(length, keys, lambda x: flat[nodes[x], d - length : d])
                 own[at] = np.maximum(own[at], best[d - length][nodes[at]] + worth)
             value[nodes] = own
             # a word that shares the prefix takes the value of the word that brought it
@@ -161,9 +169,10 @@ class Unigram:
         """Words and tokens of each text (UTF-8)."""
         split = [r.split() for r in raw]
         fresh = set(chain.from_iterable(split)) - self.known.keys()
-        if len(self.known) + len(fresh) > CACHE:
+        if len(self.known) + len(fresh) > CACHE or self.held + sum(map(len, fresh)) > REMEMBERED_BYTES:
             self.known.clear()
-            fresh = set(chain.from_iterable(split))
+            self.held, fresh = 0, set(chain.from_iterable(split))
+        self.held += sum(map(len, fresh))
         short = [w for w in fresh if len(w) <= LONG]
         self.known.update(zip(short, self.counts([SPACE + w for w in short])))
         self.known.update((w, self.count_alone(SPACE + w)) for w in fresh if len(w) > LONG)
@@ -194,7 +203,6 @@ def count_tokens(docs: DataFrame, text: str = "text", path: str | None = None, w
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n, pa.int64()), pa.array(t, pa.int64())], names=[*part.schema.names, words, tokens])
 
-    lean_batches(docs.sparkSession)
     return kept.mapInArrow(run, schema)
 
 
