@@ -52,6 +52,7 @@ def test_taxa_and_division(spark):
     rows = frame(spark, "locus string, taxon string, ord int", ("l1", "a", 1), ("l1", "a", 2), ("l1", "b", 3), ("l2", "a", 1), ("l2", "a", 2), ("l3", "c", 1))
     need = frame(spark, "taxon string", ("a",), ("b",))
     assert got(relational.divide(rows, need, "locus", "taxon")) == [("l1",)]
+    assert len(got(relational.divide(rows, need.limit(0), "locus", "taxon"))) == rows.select("locus").distinct().count()
     assert got(relational.pick_taxa(rows, drop_duplicates=True), "locus", "taxon", "ord") == [("l1", "a", 1), ("l1", "b", 3)]
     assert got(relational.pick_taxa(rows, essential=need, min_seq=3), "locus") == [("l1",)] * 3
     with pytest.raises(ValueError):
@@ -229,8 +230,18 @@ def test_overlaps(spark):
     assert tuple(row) == (3.0, 9.0, 12.0)
     edges = frame(spark, "a_len int, a_first int, b_first int, olp int", (30, 0, 0, 12), (30, 0, 1, 12), (30, 0, 2, 13))
     assert got(contigs.same_phase(edges), "b_first") == [(0,)]
-    two = frame(spark, "sample string, locus string, contig string, seq string, stq long, edq long", ("s", "l", "c1", "A" * 20 + "ACGTTGCAACGGTC", 0, 10), ("s", "l", "c2", "ACGTTGCAACGGTC" + "T" * 20, 10, 20), ("s", "l", "c3", "G" * 40, 40, 60))
-    assert got(contigs.inferred_overlaps(two), "src", "dst") == [("c1", "c2")]
+    cols = "sample string, locus string, contig string, seq string, stq long, edq long, sts long, eds long, query_len int"
+    same, other = "ACGTTGCAACGGTC", "ACGTTGCAATTTTTTTTT"
+    two = frame(spark, cols, ("s", "l", "c1", "A" * 20 + same, 0, 10, 0, 30, 30), ("s", "l", "c2", same + "T" * 20, 8, 18, 4, 34, 30), ("s", "l", "c3", "G" * 40, 12, 22, 4, 34, 30), ("s", "l", "in", "A" * 15, 2, 7, 0, 15, 30))
+    assert got(contigs.inferred_overlaps(two), "src", "dst", "olp", "shared") == [("c1", "c2", 14, 6)]
+    known = frame(spark, "sample string, locus string, src string, dst string", ("s", "l", "c2", "c1"))
+    assert got(contigs.inferred_overlaps(two, known)) == []
+    # two shared 9-mers are not enough for ends of 18 bases, nor do tails of over 50 bases pass
+    few = frame(spark, cols, ("s", "l", "c1", "A" * 24 + "CC" + other[:9] + "GGGGGGG", 0, 10, 0, 30, 30), ("s", "l", "c2", other + "T" * 20, 8, 18, 6, 36, 30))
+    assert got(contigs.inferred_overlaps(few)) == []
+    # a contig that is aligned to an end reaches beyond it by its unaligned end
+    spots = contigs.placed(frame(spark, cols, ("s", "l", "x", "A" * 50, 0, 10, 7, 37, 10), ("s", "l", "y", "A" * 50, 3, 8, 7, 22, 10)))
+    assert got(spots, "contig", "lo", "hi") == [("x", -7, 42), ("y", 9, 23)]
 
 
 def test_best_contigs_and_assembly(spark):
@@ -258,7 +269,7 @@ def test_statistics(spark):
     assert got(stats.sample_summary(rows, blocks))[0][:2] == ("a", 1)
     depth = frame(spark, "sample string, chrom string, pos long, depth long", ("s", "c", 1, 4), ("s", "c", 2, 6))
     flags = frame(spark, "sample string, total long, duplicates long, mapped long", ("s", 200, 20, 150))
-    assert got(stats.map_statistics(depth, flags)) == [("s", 200, 150, 75.0, 20, 10.0, 5.0)]
+    assert got(stats.map_statistics(depth, flags)) == [("s", 200, 150, 20, 130, 65.0, 5.0)]
     reads = frame(spark, "sample string, mate int, seq string, qual string", ("s", 1, "ACGTACGTACGTACGTACGTACGT" + stats.ADAPTORS[0][:10], "I" * 34), ("s", 2, "ACGTACGTACGTACGTACGTAC", "I" * 21 + "#"), ("s", 1, "ACG", "III"))
     assert got(stats.trim_reads(reads), "seq") == [("ACGTACGTACGTACGTACGTA",), ("ACGTACGTACGTACGTACGTACGT",)]
 
@@ -333,3 +344,20 @@ def test_likelihoods(spark):
     assert got(trees.clocklike(rows), "locus") == [("keep",)]
     tests = frame(spark, "locus string, p double, constrained_best boolean", ("a", 0.06, False), ("b", 0.05, False), ("c", None, True))
     assert got(trees.monophyletic(tests), "locus") == [("a",), ("c",)]
+
+
+def test_null_scores_never_win(spark):
+    rows = frame(spark, "k string, bits double, target string", ("a", None, "x"), ("a", 50.0, "y"), ("a", 50.0, None), ("b", None, "z"), ("c", 7.0, "u"), ("c", 3.0, "v"))
+    assert got(relational.best_per_key(rows, ["k"], [-F.col("bits"), "target"]), "k", "target") == [("a", "y"), ("b", "z"), ("c", "u")]
+    out = relational.best_and_second(rows, ["k"], "bits", 1, ["target"])
+    assert sorted(map(tuple, out.select("k", "n", "best", "second", "unique_best").collect()), key=str) == [("a", 3, 50.0, 50.0, False), ("b", 1, None, None, False), ("c", 2, 7.0, 3.0, True)]
+
+
+def test_sides_that_lack_rows(spark):
+    a = frame(spark, "locus string, taxon string", ("l", "x"), ("l", "y"), ("m", "x"))
+    b = frame(spark, "locus string, taxon string", ("l", "x"), ("l", "z"), ("n", "x"))
+    assert got(al.flank_sides(a, b)) == [("l", 1, 1, 1), ("m", 0, 1, 0), ("n", 0, 0, 1)]
+    one, two = (frame(spark, "locus string, newick string", *((x, f"({x});") for x in s)) for s in ("ab", "ba"))
+    assert got(trees.paired_trees(one, two), "locus", "constrained") == [("a", "(a);"), ("b", "(b);")]
+    with pytest.raises(Exception, match="no tree"):
+        trees.paired_trees(one, two.limit(1)).collect()

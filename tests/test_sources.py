@@ -67,7 +67,7 @@ def test_hits_edges_reports(spark, tmp_path):
     s = readers.alignment_report(spark, put(c, "s", "x\nsugar: l1 0 5 . c1 0 15 + 40 88.5\npt: 4 1 3\npt: -2 1 3\nsugar: l1 1 2 . c2 9 3 - 7 60\n")).orderBy("ord").collect()
     assert [(r.contig, r.score, r.sim, len(r.pt)) for r in s] == [("c1", 40.0, 88.5, 2), ("c2", 7.0, 60.0, 0)]
     assert readers.trimming_report(spark, put(d, "t", "a\nProcessed reads: 1,234\nProcessed bases: 99 bp\n")).first()[1:] == (1234, 99)
-    put(e, "s1.txt", "100 + 0 in total (x)\n5 + 0 duplicates\n90 + 0 mapped (90%)\n")
+    put(e, "s1.txt", "98 + 2 in total (x)\n5 + 0 duplicates\n89 + 1 mapped (90%)\n")
     assert readers.flagstat(spark, str(e)).first() == ("s1", 100, 5, 90)
     put(f, "s1.depth", "LG1\t1\t5\nLG1\t2\t7\n")
     assert readers.depth_table(spark, str(f)).agg(F.sum("depth")).first()[0] == 12
@@ -108,5 +108,27 @@ def test_sinks(spark, tmp_path):
     snps = spark.createDataFrame([("a", ["0", "."], ["1", "."], ["1", "-"])], "taxon string, a1 array<string>, a2 array<string>, sums array<string>")
     sinks.write_snps(snps, str(tmp_path / "s"))
     assert [r.value for r in spark.read.text(str(tmp_path / "s/structure")).collect()] == ["a\t0\t-9", "a\t1\t-9"]
+    whole = lambda x: [r.value.strip() for r in spark.read.text(str(tmp_path / "s" / x)).collect()]
+    assert whole("nexus") == ["#NEXUS", "Begin characters;", "Dimensions ntax=2 nchar=2;", 'Format symbols="012" missing=?;', "Matrix", "a_1\t0?", "a_2\t1?", ";", "End;"]
+    assert whole("sums") == ["#NEXUS", "Begin data;", "Dimensions ntax=1 nchar=2;", 'Format datatype=integerdata symbols="012" gap=-;', "Matrix", "a\t1-", ";", "End;"]
+    assert whole("table") == ["a\t1\t-"]
+    sinks.write_enriched(spark.createDataFrame([("s2", 3, 30.0), ("s1", 1, 10.0)], "sample string, n long, pct double"), 10, str(tmp_path / "e"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "e")).collect()] == ["total\t10", "", "sample\tn\tpct", "s1\t1\t10.00", "s2\t3\t30.00"]
     sinks.write_report(spark.createDataFrame([("a", None)], "x string, y int"), str(tmp_path / "r"))
     assert [r.value for r in spark.read.text(str(tmp_path / "r")).collect()] == ["x\ty", "a\tNA"]
+
+
+def test_reads_in_files_of_bounded_bytes(spark, tmp_path):
+    rows = spark.range(600).select((F.col("id") % 3).cast("string").alias("sample"), (F.col("id") % 2 + 1).cast("int").alias("mate"), F.concat(F.lit("r"), F.floor(F.col("id") / 2).cast("string")).alias("read_id"), F.lit("ACGT" * 10).alias("seq"), F.lit("IIII" * 10).alias("qual"))
+    sinks.write_reads(rows, str(tmp_path / "r"), most_bytes=3000)
+    sizes = [p.stat().st_size for p in (tmp_path / "r").rglob("part-*")]
+    assert max(sizes) < 1.5 * 3000 and len(sizes) >= 3 * 2 * 3
+    back = readers.reads(spark, str(tmp_path / "r"))
+    key = ["sample", "mate", "read_id", "seq", "qual"]
+    assert sorted(map(tuple, back.select(key).collect())) == sorted(map(tuple, rows.select(key).collect()))
+    assert readers.read_pairs(back, by="read_id").count() == readers.read_pairs(back, by="read_id").distinct().count()
+    for s, n in (("a", 2), ("b", 3)):
+        (tmp_path / "g" / s).mkdir(parents=True)
+        for k in range(n):
+            (tmp_path / "g" / s / f"{k}.fq.gz").write_bytes(b"x")
+    assert [tuple(r) for r in readers.unpaired_folders(spark, str(tmp_path / "g")).collect()] == [("b", 3)]

@@ -120,16 +120,37 @@ def _lit(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
-def kmers(rows: DataFrame, seq: str, k: int, *keys: str, among: DataFrame | None = None) -> DataFrame:
-    """The k-mer multiset of each sequence: ``keys, kmer, occ, pos``; equal k-mers of a sequence are numbered.
+def kmer_list(s, k: int) -> Column:
+    """The k-mers of a string from left to right."""
+    s = _col(s)
+    return F.when(F.length(s) >= k, F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: F.substring(s, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+
+
+def shared_kmers(a, b, k: int) -> Column:
+    """Size of the intersection of two short strings' k-mer multisets."""
+    one, two = kmer_list(a, k), kmer_list(b, k)
+    times = lambda kmers_, x: F.size(F.filter(kmers_, lambda y: y == x))
+    return F.aggregate(F.transform(F.array_distinct(one), lambda x: F.least(times(one, x), times(two, x))), F.lit(0), lambda n, x: n + x)
+
+
+def kmer_counts(rows: DataFrame, seq: str, k: int, *keys: str, among: DataFrame | None = None) -> DataFrame:
+    """How often each k-mer occurs in each sequence: ``keys, kmer, times``. An aggregate: nothing is numbered.
 
-    With ``among`` (``kmer``) only those k-mers are kept, before anything is numbered."""
-    s = F.col(seq)
-    places = F.when(F.length(s) >= k, F.sequence(F.lit(1), F.length(s) - k + 1)).otherwise(F.array().cast("array<int>"))
-    out = rows.select(*keys, F.explode(F.transform(places, lambda i: F.struct(i.alias("pos"), F.substring(s, i, F.lit(k)).alias("kmer")))).alias("k")).select(*keys, "k.kmer", "k.pos")
+    With ``among`` (``kmer``) only those k-mers are kept, before anything is counted."""
+    out = rows.select(*keys, F.explode(kmer_list(seq, k)).alias("kmer"))
     if among is not None:
         out = out.join(among.select("kmer").distinct(), "kmer", "left_semi")
-    return out.withColumn("occ", F.row_number().over(Window.partitionBy(*keys, "kmer").orderBy("pos")))
+    return out.groupBy(*keys, "kmer").agg(F.count("*").alias("times"))
+
+
+def kmer_places(rows: DataFrame, seq: str, k: int, *keys: str) -> DataFrame:
+    """Each k-mer of each sequence with its place, from 1: ``keys, kmer, pos``."""
+    return rows.select(*keys, F.posexplode(kmer_list(seq, k)).alias("_i", "kmer")).select(*keys, "kmer", (F.col("_i") + 1).alias("pos"))
+
+
+def kmers(rows: DataFrame, seq: str, k: int, *keys: str) -> DataFrame:
+    """The k-mer multiset of each sequence: ``keys, kmer, pos, occ``; equal k-mers of a sequence are numbered."""
+    return kmer_places(rows, seq, k, *keys).withColumn("occ", F.row_number().over(Window.partitionBy(*keys, "kmer").orderBy("pos")))
 
 
 def count_letters(s, letters: str) -> Column:

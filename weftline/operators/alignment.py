@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.functions.seq import chars, count_letters, coverage, degap, leading_gaps, nucleotide_distance, p_distance, thread_back, trailing_gaps, translate
+from weftline.functions.seq import chars, count_letters, coverage, degap, nucleotide_distance, p_distance, thread_back, translate
 
 
 def cells(rows: DataFrame, seq: str = "seq", *keys: str) -> DataFrame:
@@ -225,6 +225,16 @@ def flank_blocks(flanked: DataFrame, coding: DataFrame, most_deviation: int = 3,
     return out.join(widest, key).select(key, "taxon", "is_ref", pad(F.lpad, "left", "_l").alias("left"), pad(F.rpad, "coding", "_c").alias("coding"), pad(F.rpad, "right", "_r").alias("right"))
 
 
+def flank_sides(flanked: DataFrame, coding: DataFrame, key: str = "locus") -> DataFrame:
+    """What each side of the join of flanked and coding rows lacks: ``key, both, only_flanked, only_coding`` (taxa). A key
+    with nothing in ``both`` is in one of the tables alone."""
+    one = flanked.select(key, "taxon").distinct().withColumn("_f", F.lit(True))
+    two = coding.select(key, "taxon").distinct().withColumn("_c", F.lit(True))
+    sides = one.join(two, [key, "taxon"], "full_outer")
+    f, c = F.col("_f").isNotNull(), F.col("_c").isNotNull()
+    return sides.groupBy(key).agg(F.count_if(f & c).alias("both"), F.count_if(f & ~c).alias("only_flanked"), F.count_if(c & ~f).alias("only_coding"))
+
+
 def reversed_block(rows: DataFrame, seq: str = "seq") -> DataFrame:
     """A left flank turned round, so that rules for right flanks serve it too; applied twice it is the identity."""
     return rows.withColumn(seq, F.reverse(seq))
@@ -428,8 +438,3 @@ def align_proteins(rows: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["locus", "contig", "stq", "edq", "sts", "eds", "strand", "score", "sim"])
 
     return rows.select("locus", "contig", "seq", "protein").mapInPandas(run, "locus string, contig string, stq long, edq long, sts long, eds long, strand string, score double, sim double")
-
-
-def gap_ends(seq) -> Column:
-    """Leading and trailing gaps of a row."""
-    return F.struct(leading_gaps(seq).alias("leading"), trailing_gaps(seq).alias("trailing"))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import count
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.functions.seq import codon_position, count_stops, hamming, kmers, strip_trailing_stops, translate
+from weftline.functions.seq import codon_position, count_stops, hamming, shared_kmers, strip_trailing_stops, translate
 from weftline.sources.readers import ambiguous_share
 
 from .relational import best_per_key
@@ -36,26 +34,46 @@ def surviving_edges(edges: DataFrame, contigs: DataFrame) -> DataFrame:
     return edges
 
 
-def contig_pairs(contigs: DataFrame) -> DataFrame:
-    """Pairs of contigs of a locus by where they lie on the reference, the first one first: ``src, dst`` and their columns.
-
-    ``contigs`` holds ``sample, locus, contig, seq, stq, edq`` (reference amino acids). Pairs of which one holds the
-    other's stretch are left out."""
-    a, b = (contigs.select(*LOCUS, *[F.col(c).alias(f"{p}_{c}") for c in ("contig", "seq", "stq", "edq")]) for p in "ab")
-    before = (F.col("a_stq") < F.col("b_stq")) | ((F.col("a_stq") == F.col("b_stq")) & (F.col("a_contig") < F.col("b_contig")))
-    return a.join(b, LOCUS).where((F.col("a_contig") != F.col("b_contig")) & before & (F.col("a_edq") < F.col("b_edq")))
-
-
-def inferred_overlaps(contigs: DataFrame, tails: int = 50, least: int = 9, most: int = 25, error: float = 0.05, k: int = 9) -> DataFrame:
-    """Pairs of contigs that may overlap: near each other on the reference (ends in nucleotides), tails short, and sharing
-    enough k-mers of the first one's end and the second one's start: ``sample, locus, src, dst, shared``."""
-    pairs = contig_pairs(contigs)
-    near = F.abs((F.col("b_stq") - F.col("a_edq")) * 3) <= tails
-    pairs = pairs.where(near).withColumn("pair", F.xxhash64("sample", "locus", "a_contig", "b_contig"))
-    one = kmers(pairs.select("pair", *LOCUS, "a_contig", "b_contig", F.expr(f"right(a_seq, {most})").alias("s")), "s", k, "pair", *LOCUS, "a_contig", "b_contig")
-    two = kmers(pairs.select("pair", F.expr(f"left(b_seq, {most})").alias("s")), "s", k, "pair").select("pair", "kmer", "occ")
-    shared = one.join(two, ["pair", "kmer", "occ"]).groupBy(*LOCUS, F.col("a_contig").alias("src"), F.col("b_contig").alias("dst")).agg(F.count("*").alias("shared"))
-    return shared.where(F.col("shared") >= max(1, int((least - k + 1) * (1 - error))))
+def placed(contigs: DataFrame, dropoff: int = 2) -> DataFrame:
+    """Where each contig lies on its reference, in bases: ``tail_l, tail_r`` (unaligned ends), ``lo, hi``.
+
+    ``contigs`` holds ``stq, edq`` (amino acids of the reference), ``sts, eds`` (bases of the contig; ends are exclusive)
+    and ``query_len`` (amino acids). A contig that is aligned to an end of the reference, but for ``dropoff`` bases,
+    reaches beyond it by its unaligned end; elsewhere unaligned ends don't count."""
+    tails = contigs.withColumns({"tail_l": F.col("sts"), "tail_r": F.length("seq") - F.col("eds")})
+    lo, hi = F.col("stq") * 3, F.col("edq") * 3 - 1
+    at_start, at_end = lo <= dropoff, hi >= F.col("query_len") * 3 - 1 - dropoff
+    return tails.withColumns({"lo": F.when(at_start, lo - F.col("tail_l")).otherwise(lo), "hi": F.when(at_end, hi + F.col("tail_r")).otherwise(hi)})
+
+
+def contig_pairs(contigs: DataFrame, dropoff: int = 2) -> DataFrame:
+    """Pairs of contigs of a locus by where they lie on the reference, the left one first: ``sample, locus`` and the
+    columns of both with ``a_`` and ``b_``. The left one starts earlier and ends earlier: where one holds the other, or
+    both start or end at one place, there is no pair."""
+    columns = ("contig", "seq", "stq", "edq", "tail_l", "tail_r", "lo", "hi")
+    spots = placed(contigs, dropoff)
+    a, b = (spots.select(*LOCUS, *[F.col(c).alias(f"{p}_{c}") for c in columns]) for p in "ab")
+    return a.join(b, LOCUS).where((F.col("a_lo") < F.col("b_lo")) & (F.col("a_hi") < F.col("b_hi")))
+
+
+def inferred_overlaps(contigs: DataFrame, known: DataFrame | None = None, tails: int = 50, least: int = 9, most: int = 25, error: float = 0.05, dropoff: int = 2) -> DataFrame:
+    """Overlaps that the places on the reference imply: ``sample, locus, src, dst, olp, shared``.
+
+    The overlap is the stretch of the reference that both cover and the unaligned ends that lie in it (``tails`` bases
+    together at most). It has ``least`` to ``most`` bases, and the end of the left contig and the start of the
+    right one share as many ``least``-mers as that many bases with a share of ``error`` wrong can lose. Pairs in
+    ``known`` (``sample, locus, src, dst``, either way round) are left out: their overlap has been found before."""
+    inner = F.col("a_tail_r") + F.col("b_tail_l")
+    pairs = contig_pairs(contigs, dropoff).where(inner <= tails).withColumn("olp", ((F.col("a_edq") - F.col("b_stq")) * 3 + inner).cast("int"))
+    pairs = pairs.where(F.col("olp").between(least, most))
+    if known is not None:
+        ends = known.select(*LOCUS, F.col("src").alias("a_contig"), F.col("dst").alias("b_contig"))
+        ends = ends.unionByName(known.select(*LOCUS, F.col("dst").alias("a_contig"), F.col("src").alias("b_contig")))
+        pairs = pairs.join(ends, [*LOCUS, "a_contig", "b_contig"], "left_anti")
+    shared = shared_kmers(F.expr("right(a_seq, olp)"), F.expr("left(b_seq, olp)"), least)
+    enough = F.greatest(F.lit(1), F.col("olp") - least + 1 - least * F.floor(F.col("olp") * error))
+    found = pairs.select(*LOCUS, F.col("a_contig").alias("src"), F.col("b_contig").alias("dst"), "olp", shared.alias("shared"), enough.alias("_enough"))
+    return found.where(F.col("shared") >= F.col("_enough")).drop("_enough")
 
 
 def drop_busy_nodes(edges: DataFrame, most: int = 5) -> DataFrame:
@@ -109,37 +127,48 @@ def overlap_scores(pt: Column, n: Column, from_end: bool = False) -> Column:
 def _reduce(edges: list[tuple[str, str]], score: dict[str, float], lost: dict[tuple[str, str], float]) -> list[tuple[str, str]]:
     """Bubbles and tips taken out of one graph until nothing changes. Of several ways the one with the highest total
     (nodes less overlaps) stays, the smallest names on ties; an edge to a node that is gone goes too."""
-    alive = set(edges)
-
-    def chain(first: str, forward: bool) -> list[str]:
+    after: dict[str, set[str]] = {}
+    before_: dict[str, set[str]] = {}
+    for a, b in edges:
+        after.setdefault(a, set()).add(b)
+        before_.setdefault(b, set()).add(a)
+    size = sum(map(len, after.values()))
+
+    def cut(a: str, b: str) -> None:
+        nonlocal size
+        if b in after.get(a, ()):
+            after[a].discard(b)
+            before_[b].discard(a)
+            size -= 1
+
+    def chain(first: str, onward: dict, into: dict) -> list[str]:
         nodes, seen = [first], {first}
         while True:
             here = nodes[-1]
-            onward = [b if forward else a for a, b in alive if (a if forward else b) == here]
-            into = [a if forward else b for a, b in alive if (b if forward else a) == here]
-            if len(nodes) > 1 and len(into) > 1:
+            if len(nodes) > 1 and len(into.get(here, ())) > 1:
                 return nodes
-            if len(onward) != 1 or onward[0] in seen:
+            nexts = onward.get(here, ())
+            if len(nexts) != 1 or (node := next(iter(nexts))) in seen:
                 return nodes
-            nodes.append(onward[0])
-            seen.add(onward[0])
+            nodes.append(node)
+            seen.add(node)
 
     def total(nodes: list[str], forward: bool) -> float:
         steps = zip(nodes, nodes[1:]) if forward else zip(nodes[1:], nodes)
         return sum(score.get(n, 0.0) for n in nodes) - sum(lost.get(e, 0.0) for e in steps)
 
-    for _ in count():
-        before = len(alive)
+    while True:
+        before = size
         for forward in (True, False):
-            for fork in sorted({a if forward else b for a, b in alive}):
-                first = sorted(b if forward else a for a, b in alive if (a if forward else b) == fork)
+            onward, into = (after, before_) if forward else (before_, after)
+            for fork in sorted(n for n, others in onward.items() if len(others) > 1):
+                first = sorted(onward[fork])
                 if len(first) < 2:
                     continue
                 ways: dict[str, list[list[str]]] = {}
                 for f in first:
-                    nodes = chain(f, forward)
-                    merges = sum((b if forward else a) == nodes[-1] for a, b in alive) > 1
-                    goes_on = any((a if forward else b) == nodes[-1] for a, b in alive)
+                    nodes = chain(f, onward, into)
+                    merges, goes_on = len(into.get(nodes[-1], ())) > 1, bool(onward.get(nodes[-1]))
                     ways.setdefault(nodes[-1] if merges else "" if not goes_on else f"\0{nodes[-1]}", []).append(nodes)
                 for end, group in ways.items():
                     others = len(first) > len(group)
@@ -148,12 +177,15 @@ def _reduce(edges: list[tuple[str, str]], score: dict[str, float], lost: dict[tu
                     inner = [g[:-1] if end else g for g in group]
                     ranked = sorted(zip(inner, group), key=lambda p: (-total(p[1], forward), p[1]))
                     for nodes, whole in ranked[0 if end == "" and others else 1 :]:
-                        gone = set(nodes)
-                        alive = {(a, b) for a, b in alive if a not in gone and b not in gone}
+                        for node in nodes:
+                            for b in list(after.get(node, ())):
+                                cut(node, b)
+                            for a in list(before_.get(node, ())):
+                                cut(a, node)
                         if not nodes:
-                            alive.discard((fork, whole[0]) if forward else (whole[0], fork))
-        if len(alive) == before:
-            return sorted(alive)
+                            cut(*((fork, whole[0]) if forward else (whole[0], fork)))
+        if size == before:
+            return sorted((a, b) for a, others in after.items() for b in others)
 
 
 def reduce_graph(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -240,8 +272,12 @@ def assemble(reads: DataFrame, least: int = 25, error: float = 0.05, longest: in
     def run(g: pd.DataFrame) -> pd.DataFrame:
         seqs = sorted(set(g["seq"]), key=lambda s: (-len(s), s))
         kept: list[str] = []
+        places: dict[str, list[int]] = {}  # a read of at least that length lies in those that hold its first bases
         for s in seqs:
-            if not any(s in k for k in kept):
+            near = places.get(s[:least], ()) if len(s) >= least else range(len(kept))
+            if not any(s in kept[i] for i in near):
+                for part in {s[i : i + least] for i in range(len(s) - least + 1)}:
+                    places.setdefault(part, []).append(len(kept))
                 kept.append(s)
         by_prefix: dict[str, list[int]] = {}
         for i, s in enumerate(kept):

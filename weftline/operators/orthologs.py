@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.seq import codon_position, count_stops, kmers, reverse_complement, strip_trailing_stops, translate
+from weftline.functions.seq import count_stops, kmer_counts, kmer_places, reverse_complement, strip_trailing_stops, translate
 
 from .relational import best_per_key, interval_join
 
@@ -45,20 +45,23 @@ def check_queries(queries: DataFrame, hits: DataFrame, coverage: float = 100, id
     return queries.select("locus").distinct().join(qualified_references(hits, coverage, identity), "locus", "left_anti")
 
 
-def seed_search(queries: DataFrame, targets: DataFrame, k: int = 11, least: int = 2, drop: int = 20, match: int = 2, mismatch: int = -3, both_strands: bool = True, step: int = 1) -> DataFrame:
+def seed_search(queries: DataFrame, targets: DataFrame, k: int = 11, least: int = 2, drop: int = 20, match: int = 2, mismatch: int = -3, both_strands: bool = True, step: int = 1, most_places: int | None = None) -> DataFrame:
     """Similar regions of nucleotide or protein rows by shared k-mers on one diagonal and ungapped extension.
 
     ``queries`` and ``targets`` hold ``name, seq``. Seeds of a diagonal meet by an equi-join on the k-mer and are
     aggregated; only then are sequences joined, and the span between the outer seeds is extended in both directions
-    while the score does not fall ``drop`` below its best. Hits have ``query, target, strand, qlo, qhi, tlo, thi,
+    while the score does not fall ``drop`` below its best. With ``most_places``, k-mers that the targets hold more often
+    than that are taken for repeats and seed nothing, as a mask would have it. Hits have ``query, target, strand, qlo, qhi, tlo, thi,
     bits, id`` with coordinates from 1 on the query's forward strand; bits are this engine's own."""
     from .alignment import extend_diagonals
 
     strands = queries.select("name", F.lit("+").alias("strand"), "seq")
     if both_strands:
         strands = strands.unionByName(queries.select("name", F.lit("-").alias("strand"), reverse_complement("seq").alias("seq")))
-    q = kmers(strands.withColumn("seq", F.upper("seq")), "seq", k, "name", "strand").select(F.col("name").alias("query"), "strand", "kmer", F.col("pos").alias("qpos"))
-    t = kmers(targets, "seq", k, "name").where((F.col("pos") - 1) % step == 0).where(~F.col("kmer").rlike("[a-z]")).select(F.col("name").alias("target"), "kmer", F.col("pos").alias("tpos"))
+    q = kmer_places(strands.withColumn("seq", F.upper("seq")), "seq", k, "name", "strand").select(F.col("name").alias("query"), "strand", "kmer", F.col("pos").alias("qpos"))
+    t = kmer_places(targets, "seq", k, "name").where((F.col("pos") - 1) % step == 0).where(~F.col("kmer").rlike("[a-z]")).select(F.col("name").alias("target"), "kmer", F.col("pos").alias("tpos"))
+    if most_places is not None:
+        t = t.join(t.groupBy("kmer").count().where(F.col("count") > most_places), "kmer", "left_anti")
     seeds = q.join(t, "kmer").groupBy("query", "strand", "target", (F.col("tpos") - F.col("qpos")).alias("diagonal")).agg(F.count("*").alias("seeds"), F.min("qpos").alias("lo"), (F.max("qpos") + k - 1).alias("hi"))
     found = seeds.where(F.col("seeds") >= least)
     found = found.join(strands.select(F.col("name").alias("query"), "strand", F.upper("seq").alias("qseq")), ["query", "strand"]).join(targets.select(F.col("name").alias("target"), F.upper("seq").alias("tseq")), "target")
@@ -106,18 +109,18 @@ def protein_matches(hits: DataFrame, identity: float = 80, coverage: float = 90)
 
 def frame_by_kmers(rows: DataFrame, reference: DataFrame, k: int = 3) -> DataFrame:
     """The frame whose protein shares most k-mers (with multiplicity) with the reference's; none without any."""
-    own = kmers(best_frames(rows), "protein", k, "name", "frame")
-    ref = kmers(reference.select("name", "protein"), "protein", k, "name").select("name", "kmer", "occ")
-    shared = own.join(ref, ["name", "kmer", "occ"]).groupBy("name", "frame").agg(F.count("*").alias("shared"))
+    own = kmer_counts(best_frames(rows), "protein", k, "name", "frame")
+    ref = kmer_counts(reference.select("name", "protein"), "protein", k, "name").withColumnRenamed("times", "_times")
+    shared = own.join(ref, ["name", "kmer"]).groupBy("name", "frame").agg(F.sum(F.least("times", "_times")).alias("shared"))
     return best_per_key(shared, ["name"], [-F.col("shared"), "frame"])
 
 
 def kmer_overlap(left: DataFrame, right: DataFrame, k: int, seq: str = "seq", a: str = "a", b: str = "b") -> DataFrame:
-    """Size of the intersection of k-mer multisets: ``a, b, shared``. The left table is the smaller one: its k-mers
-    sift those of the right before these are numbered."""
-    one = kmers(left, seq, k, a).select(a, "kmer", "occ")
-    two = kmers(right, seq, k, b, among=one).select(b, "kmer", "occ")
-    return one.join(two, ["kmer", "occ"]).groupBy(a, b).agg(F.count("*").alias("shared"))
+    """Size of the intersection of k-mer multisets: ``a, b, shared``, the sum of the lesser counts. The left table is
+    the smaller one: its k-mers sift those of the right before these are counted."""
+    one = kmer_counts(left, seq, k, a).withColumnRenamed("times", "_times")
+    two = kmer_counts(right, seq, k, b, among=one)
+    return one.join(two, "kmer").groupBy(a, b).agg(F.sum(F.least("times", "_times")).alias("shared"))
 
 
 def filter_orthologs(rows: DataFrame, most_stops: int = 0, least_length: int = 100) -> DataFrame:
@@ -125,10 +128,6 @@ def filter_orthologs(rows: DataFrame, most_stops: int = 0, least_length: int = 1
     return rows.where((count_stops(strip_trailing_stops(translate("seq"))) <= most_stops) & (F.length("seq") >= least_length))
 
 
-def in_phase(first, pos):
-    return codon_position(first, pos) == 0
-
-
 def second_best(rows: DataFrame, gap: float = 40) -> DataFrame:
     """Each query's best hit where it is its only one or ahead of the second by ``gap`` in identity."""
     w = Window.partitionBy("query").orderBy(F.col("bits").desc(), "target")

@@ -9,12 +9,18 @@ from weftline.functions.seq import canonical, masked_share
 
 
 def dedup(rows: DataFrame, key: Column, order: list, reduce: str = "first") -> DataFrame:
-    """The first row of each key in the given order.
+    """The first row of each key in the given order; nulls come last in every part of it.
 
     An aggregate with partial maxima, so copies are dropped before the shuffle and a key with many rows does not
     meet whole in one task."""
     whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    return rows.groupBy(key.alias("_key")).agg(F.min_by(whole, F.struct(*order)).alias("_r")).select("_r.*")
+    return rows.groupBy(key.alias("_key")).agg(F.min_by(whole, nulls_last(order)).alias("_r")).select("_r.*")
+
+
+def nulls_last(order: list) -> Column:
+    """An order of several columns as one value, with nulls above all else."""
+    parts = [F.col(c) if isinstance(c, str) else c for c in order]
+    return F.struct(*[x for k, c in enumerate(parts) for x in (c.isNull().alias(f"n{k}"), c.alias(f"v{k}"))])
 
 
 def dedup_either_strand(rows: DataFrame, seq: str, order: list, strand=canonical) -> DataFrame:
@@ -37,19 +43,22 @@ def counts_before_after(before: DataFrame, after: DataFrame, key: str, size: Col
 
 
 def best_per_key(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The best row of each key by a total order. ``order`` holds columns to minimise; use a negative to maximise."""
+    """The best row of each key by a total order. ``order`` holds columns to minimise; use a negative to maximise. A
+    null score never beats another; a key that has no other keeps a row of these."""
     return dedup(rows, F.struct(*keys), order)
 
 
 def best_and_second(rows: DataFrame, keys: list[str], score: str, least_gap: float, ties: list) -> DataFrame:
     """Best and second score of each key, and whether the best is alone or ahead by ``least_gap``.
 
-    Two ranks need no more than the two largest rows of a key, which partial aggregates keep."""
+    Rows without a score count in ``n`` alone; a key without any score has no best and none that is unique. Two ranks
+    need no more than the two largest rows of a key, which partial aggregates keep."""
     pair = F.struct((-F.col(score)).alias("s"), *ties)
-    first = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(pair).alias("_best"))
-    rest = rows.join(first, keys).where(pair > F.col("_best")).groupBy(*keys).agg(F.max(score).alias("second"))
+    first = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.when(F.col(score).isNotNull(), pair)).alias("_best"))
+    rest = rows.where(F.col(score).isNotNull()).join(first, keys).where(pair > F.col("_best")).groupBy(*keys).agg(F.max(score).alias("second"))
     out = first.join(rest, keys, "left").select(*keys, "n", (-F.col("_best.s")).alias("best"), F.col("second"))
-    return out.withColumn("unique_best", F.coalesce(F.col("best") - F.col("second") >= least_gap, F.lit(True)))
+    ahead = F.coalesce(F.col("best") - F.col("second") >= least_gap, F.lit(True))
+    return out.withColumn("unique_best", F.col("best").isNotNull() & ahead)
 
 
 def keep_members(rows: DataFrame, members: DataFrame, key: str) -> DataFrame:
@@ -78,10 +87,12 @@ def pick_taxa(rows: DataFrame, selected: DataFrame | None = None, deselected: Da
 
 
 def divide(rows: DataFrame, members: DataFrame, group: str, member: str) -> DataFrame:
-    """Groups that hold every one of ``members``: relational division by counting distinct ones."""
-    wanted = members.select(member).distinct()
-    found = rows.select(group, member).distinct().join(wanted, member, "left_semi").groupBy(group).agg(F.count("*").alias("_n"))
-    return found.where(F.col("_n") == wanted.agg(F.count("*")).scalar()).select(group)
+    """Groups that hold every one of ``members``: relational division by counting distinct ones. Null members don't
+    count; where there are no members at all, every group holds them."""
+    wanted = members.select(member).where(F.col(member).isNotNull()).distinct().withColumn("_wanted", F.lit(True))
+    marked = rows.select(group, member).join(wanted, member, "left")
+    held = marked.groupBy(group).agg(F.count_distinct(F.when(F.col("_wanted"), F.col(member))).alias("_n"))
+    return held.where(F.col("_n") == wanted.agg(F.count("*")).scalar()).select(group)
 
 
 def at_least(rows: DataFrame, group: str, n: int) -> DataFrame:

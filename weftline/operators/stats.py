@@ -49,10 +49,12 @@ def sample_summary(coding: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def map_statistics(depth: DataFrame, flags: DataFrame) -> DataFrame:
-    """Average depth, mapped and duplicate reads with their percentages for each sample."""
-    per = depth.groupBy("sample").agg(F.avg("depth").alias("d"), F.count("*").alias("sites"))
-    pct = lambda a: F.when(F.col("total") > 0, F.round(F.col(a).cast("double") * 100 / F.col("total"), 2))
-    return flags.join(per, "sample", "left").select("sample", "total", "mapped", pct("mapped").alias("mapped_pct"), "duplicates", pct("duplicates").alias("duplicate_pct"), F.round("d", 2).alias("average_depth"))
+    """Total, mapped, duplicate and uniquely mapped reads of each sample, the percentage of all reads that are uniquely
+    mapped (on target) and the average depth. Samples without a covered place are left out."""
+    per = depth.groupBy("sample").agg(F.avg("depth").alias("d"))
+    out = flags.join(per, "sample").withColumn("unique", F.col("mapped") - F.col("duplicates"))
+    share = F.when(F.col("total") > 0, F.round(F.col("unique").cast("double") * 100 / F.col("total"), 2))
+    return out.select("sample", "total", "mapped", "duplicates", "unique", share.alias("on_target_pct"), F.round("d", 2).alias("average_depth"))
 
 
 def trim_counts(raw: DataFrame, trimmed: DataFrame) -> DataFrame:
@@ -71,21 +73,26 @@ def trim_reads(reads: DataFrame, adaptors: tuple[str, str] = ADAPTORS, quality:
     The quality cut is where the running sum of (quality - threshold) from the end is lowest; then the first place
     where the adaptor matches to the end of the read with a share of mismatches at most. Rules of our own."""
 
-    def cut(seq: str, qual: str, adaptor: str) -> int:
+    def cut(seq: str, qual: str, adaptor: np.ndarray) -> int:
         q = np.frombuffer(qual.encode(), dtype=np.uint8).astype(np.int64) - 33 - quality
         tail = np.cumsum(q[::-1])
         end = len(seq) - (int(np.argmin(tail)) + 1) if len(tail) and tail.min() < 0 else len(seq)
-        s = np.frombuffer(seq[:end].encode(), dtype=np.uint8)
-        a = np.frombuffer(adaptor.encode(), dtype=np.uint8)
-        for at in range(0, max(0, end - least_overlap + 1)):
-            n = min(len(a), end - at)
-            if int((s[at : at + n] != a[:n]).sum()) <= int(n * error):
-                return at
-        return end
+        places = max(0, end - least_overlap + 1)
+        if not places:
+            return end
+        # all places of the adaptor at once: zeros beyond the read's end never count
+        s = np.zeros(end + len(adaptor), dtype=np.uint8)
+        s[:end] = np.frombuffer(seq[:end].encode(), dtype=np.uint8)
+        at = np.lib.stride_tricks.sliding_window_view(s, len(adaptor))[:places]
+        wrong = ((at != adaptor) & (at != 0)).sum(axis=1)
+        fits = np.flatnonzero(wrong <= (np.minimum(len(adaptor), end - np.arange(places)) * error).astype(np.int64))
+        return int(fits[0]) if len(fits) else end
+
+    coded = [np.frombuffer(a.encode(), dtype=np.uint8) for a in adaptors]
 
     @F.pandas_udf("int")
     def ends(seq: pd.Series, qual: pd.Series, mate: pd.Series) -> pd.Series:
-        return pd.Series([cut(s, q, adaptors[int(m) - 1]) for s, q, m in zip(seq, qual, mate)], dtype="int32")
+        return pd.Series([cut(s, q, coded[int(m) - 1]) for s, q, m in zip(seq, qual, mate)], dtype="int32")
 
     found = reads.withColumn("_end", ends("seq", "qual", "mate"))
     out = found.withColumns({"seq": F.substring(F.col("seq"), F.lit(1), F.col("_end")), "qual": F.substring(F.col("qual"), F.lit(1), F.col("_end"))}).drop("_end")

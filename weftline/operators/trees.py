@@ -186,6 +186,14 @@ def clocklike(rows: DataFrame, conf: float = 0.05) -> DataFrame:
     return likelihood_ratio(rows).where(F.col("p") > conf)
 
 
+def paired_trees(trees: DataFrame, constrained: DataFrame) -> DataFrame:
+    """Two tables of trees (``locus, newick``) joined by name: ``locus, newick, constrained``. A locus that either lacks
+    stops the query."""
+    both = trees.select("locus", F.col("newick").alias("_a")).join(constrained.select("locus", F.col("newick").alias("_b")), "locus", "full_outer")
+    sound = F.assert_true(F.col("_a").isNotNull() & F.col("_b").isNotNull(), F.concat(F.lit("no tree of one kind for "), "locus"))
+    return both.select("locus", F.when(sound.isNull(), F.col("_a")).alias("newick"), F.col("_b").alias("constrained"))
+
+
 def monophyletic(tests: DataFrame, conf: float = 0.05) -> DataFrame:
     """Loci whose constrained tree is not rejected (``p``) or is the better one (``constrained_best``)."""
     return tests.where((F.col("p") > conf) | F.col("constrained_best"))

@@ -14,6 +14,11 @@ def _file() -> Column:
     return F.col("_metadata.file_name")
 
 
+def _named(rows: DataFrame, key: str) -> Column:
+    """The key that a file's folder names (``key=...``, as the sinks write it), else the file's name up to a dot."""
+    return F.col(key).cast("string") if key in rows.columns else F.regexp_extract(_file(), r"^([^.]+)", 1)
+
+
 def _order() -> Column:
     """Place of a record in its file: the split's start, then the row's number in the split."""
     return F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
@@ -35,14 +40,16 @@ def fasta(spark: SparkSession, path: str, strict: bool = True, split_names: bool
     Wrapped lines are joined and CR line ends are dropped. Strict: names end at white space, letters are raised,
     the first record of a name in a file wins, and rows that are empty or hold anything but letters, ?, *, - and .
     are left out (``fasta_problems`` lists them). Permissive: case, duplicates and letters stay as they are.
-    Hidden files are passed over. Records split at a line that starts with >, so files are splittable.
+    Hidden files are passed over; the locus is the file's name before its suffix, or that of a folder ``locus=...``. Records split at a line that starts with >, so files are splittable.
     """
-    raw = spark.read.option("lineSep", "\n>").text(path).select(_file().alias("file"), _order().alias("ord"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
+    raw = spark.read.option("lineSep", "\n>").text(path)
+    locus = F.col("locus").cast("string") if "locus" in raw.columns else locus_of(_file())
+    raw = raw.select(_file().alias("file"), locus.alias("locus"), _order().alias("ord"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
     raw = raw.where(F.length(F.trim("value")) > 0)
     body = F.regexp_replace("value", "^>", "")
     header = F.trim(F.substring_index(body, "\n", 1))
     seq = F.when(F.instr(body, "\n") > 0, F.regexp_replace(F.expr("substring(value, instr(value, '\n') + 1)"), r"\s", "")).otherwise(F.lit(""))
-    rows = raw.select("file", locus_of(F.col("file")).alias("locus"), "ord", header.alias("header"), seq.alias("seq")).withColumn("name", F.regexp_extract("header", r"^(\S+)", 1))
+    rows = raw.select("file", "locus", "ord", header.alias("header"), seq.alias("seq")).withColumn("name", F.regexp_extract("header", r"^(\S+)", 1))
     rows = rows.select("file", "locus", "ord", "name", "header", "seq")
     if not strict:
         return rows
@@ -75,7 +82,10 @@ def _fastq(spark: SparkSession, path: str) -> DataFrame:
 
     A line's number in its file is its number in its split and the lines of the splits before, so large plain
     files are read by many tasks; the counts are one row to a split. A gzipped file is one split by its nature."""
-    lines = spark.read.text(path).select(_file().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.regexp_replace("value", "\r$", "").alias("value"))
+    raw = spark.read.text(path)
+    folders = [F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in ("sample", "mate") if k in raw.columns]
+    name = F.concat_ws("/", *folders, _file())  # of a file among those of its folders
+    lines = raw.select(name.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.regexp_replace("value", "\r$", "").alias("value"))
     splits = lines.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     splits = splits.select("file", "block", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"))
@@ -89,18 +99,22 @@ _MATE = r"^(.*)_R([12])\.(?:fq|fastq)(?:\.gz)?$"
 
 
 def reads(spark: SparkSession, path: str) -> DataFrame:
-    """Reads of ``{sample}_R1.fq`` and ``_R2.fq`` files, gzipped too: ``sample, mate, ord, read_id, seq, qual``."""
+    """Reads of ``{sample}_R1.fq`` and ``_R2.fq`` files, gzipped too, or of folders ``sample=.../mate=...`` as the sink
+    writes them: ``sample, mate, ord, read_id, seq, qual``. ``ord`` is a read's place in its file."""
     rows = _fastq(spark, path)
-    return rows.select(F.regexp_extract("file", _MATE, 1).alias("sample"), F.regexp_extract("file", _MATE, 2).cast("int").alias("mate"), "ord", F.regexp_replace("read_id", "/[12]$", "").alias("read_id"), "seq", "qual").where("mate IS NOT NULL")
+    folders = r"^sample=([^/]*)/mate=([12])/"
+    at = lambda i: F.when(F.col("file").rlike(folders), F.regexp_extract("file", folders, i)).otherwise(F.regexp_extract("file", _MATE, i))
+    return rows.select(at(1).alias("sample"), at(2).try_cast("int").alias("mate"), "ord", F.regexp_replace("read_id", "/[12]$", "").alias("read_id"), "seq", "qual").where("mate IS NOT NULL")
 
 
-def read_pairs(rows: DataFrame) -> DataFrame:
-    """Mates joined by their place in the two files: ``sample, pair_id, seq1, qual1, seq2, qual2``.
+def read_pairs(rows: DataFrame, by: str = "ord") -> DataFrame:
+    """Mates joined by their place in the two files, or by ``read_id`` where a sample's reads are in several files:
+    ``sample, pair_id, seq1, qual1, seq2, qual2``.
 
     Rows whose sequence and quality differ in length stop the query."""
     checked = rows.withColumn("seq", F.when(F.assert_true(F.length("seq") == F.length("qual"), F.concat(F.lit("sequence and quality differ in length: "), "read_id")).isNull(), F.col("seq")))
-    one, two = (checked.where(F.col("mate") == m).select("sample", "ord", F.col("read_id").alias(f"id{m}"), F.col("seq").alias(f"seq{m}"), F.col("qual").alias(f"qual{m}")) for m in (1, 2))
-    return one.join(two, ["sample", "ord"]).select("sample", F.col("id1").alias("pair_id"), "seq1", "qual1", "seq2", "qual2")
+    one, two = (checked.where(F.col("mate") == m).select("sample", F.col(by).alias("_by"), F.col("read_id").alias(f"id{m}"), F.col("seq").alias(f"seq{m}"), F.col("qual").alias(f"qual{m}")) for m in (1, 2))
+    return one.join(two, ["sample", "_by"]).select("sample", F.col("id1").alias("pair_id"), "seq1", "qual1", "seq2", "qual2")
 
 
 def single_reads(pairs: DataFrame) -> DataFrame:
@@ -119,6 +133,12 @@ def incomplete_samples(rows: DataFrame) -> DataFrame:
     return rows.groupBy("sample").agg(F.count_distinct("mate").alias("mates")).where("mates <> 2")
 
 
+def unpaired_folders(spark: SparkSession, path: str) -> DataFrame:
+    """Sample folders whose number of gzipped files isn't even: ``folder, files``. Files are listed, not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*gz").load(path)
+    return found.groupBy(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder")).agg(F.count("*").alias("files")).where("files % 2 = 1")
+
+
 def word_list(spark: SparkSession, path: str, name: str = "sample") -> DataFrame:
     """One word to a line; a line of several stops the query. Blank lines are passed over."""
     lines = spark.read.text(path).select(_bare(F.col("value")).alias("w")).where("w <> ''")
@@ -204,13 +224,15 @@ def vcf(spark: SparkSession, path: str) -> DataFrame:
 def depth_table(spark: SparkSession, path: str) -> DataFrame:
     """Depth text files, ``{sample}.depth``: ``sample, chrom, pos, depth``."""
     rows = spark.read.option("sep", "\t").schema("chrom string, pos long, depth long").csv(path)
-    return rows.select(F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1).alias("sample"), "chrom", "pos", "depth")
+    return rows.select(_named(rows, "sample").alias("sample"), "chrom", "pos", "depth")
 
 
 def flagstat(spark: SparkSession, path: str) -> DataFrame:
-    """Flag statistics text files: ``sample, total, duplicates, mapped``."""
-    rows = spark.read.text(path, wholetext=True).select(F.regexp_extract(_file(), r"^([^.]+)", 1).alias("sample"), "value")
-    n = lambda p: F.regexp_extract("value", rf"(?m)^(\d+) \+ \d+ {p}", 1).try_cast("long")
+    """Flag statistics text files: ``sample, total, duplicates, mapped``, reads that passed the quality check and those
+    that failed it taken together."""
+    raw = spark.read.text(path, wholetext=True)
+    rows = raw.select(_named(raw, "sample").alias("sample"), "value")
+    n = lambda p: sum(F.regexp_extract("value", rf"(?m)^(\d+) \+ (\d+) {p}", i).try_cast("long") for i in (1, 2))
     return rows.select("sample", n("in total").alias("total"), n("duplicates").alias("duplicates"), n("mapped").alias("mapped"))
 
 
@@ -223,8 +245,8 @@ def trimming_report(spark: SparkSession, path: str) -> DataFrame:
 
 def newick(spark: SparkSession, path: str) -> DataFrame:
     """The first line of each tree file: ``file, locus, newick``."""
-    rows = spark.read.text(path, wholetext=True).select(_file().alias("file"), F.trim(F.substring_index(F.regexp_replace("value", "\r", ""), "\n", 1)).alias("newick"))
-    return rows.select("file", F.regexp_extract("file", r"^([^.]+)", 1).alias("locus"), "newick")
+    raw = spark.read.text(path, wholetext=True)
+    return raw.select(_file().alias("file"), _named(raw, "locus").alias("locus"), F.trim(F.substring_index(F.regexp_replace("value", "\r", ""), "\n", 1)).alias("newick"))
 
 
 def constraint_groups(spark: SparkSession, path: str) -> DataFrame:

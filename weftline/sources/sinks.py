@@ -31,11 +31,26 @@ def write_report(rows: DataFrame, path: str, missing: str = "NA", order: tuple[s
     (rows.orderBy(*order) if order else rows).coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", missing).csv(path)
 
 
-def write_reads(rows: DataFrame, path: str, records: int = 4_000_000) -> None:
-    """FASTQ by sample, locus (where there is one) and mate; files are bounded by their number of records."""
+def write_enriched(shares: DataFrame, total: int, path: str) -> None:
+    """Loci of each sample and their percentage (``sample, n, pct``) under a line with the number of all loci."""
+    head = shares.sparkSession.createDataFrame([(0, "", f"total\t{total}\n"), (1, "", "sample\tn\tpct")], "part int, key string, line string")
+    line = F.concat_ws("\t", F.col("sample"), F.col("n").cast("string"), F.format_string("%.2f", F.col("pct").cast("double")))
+    _lines(head.unionByName(shares.select(F.lit(2).alias("part"), F.col("sample").alias("key"), line.alias("line"))), path, F.col("line"), ["part", "key"])
+
+
+def write_reads(rows: DataFrame, path: str, most_bytes: int = 400_000_000) -> None:
+    """FASTQ by sample, locus (where there is one) and mate, in files of about ``most_bytes``.
+
+    The bytes of each folder are summed first; its reads are dealt to as many files by a hash of their ids, so that
+    mates lie in files of one number and a folder with most of the reads meets in no one task."""
     keys = [k for k in ("sample", "locus", "mate") if k in rows.columns]
     text = F.concat(F.lit("@"), F.col("read_id"), F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual")).alias("value")
-    rows.select(*keys, text).write.mode("overwrite").option("maxRecordsPerFile", records).partitionBy(*keys).text(path)
+    whole = [k for k in keys if k != "mate"]
+    sizes = rows.groupBy(*keys).agg(F.sum(F.octet_length(text) + 1).alias("_b")).groupBy(*whole).agg(F.ceil(F.max("_b") / most_bytes).alias("_files"))
+    dealt = rows.join(sizes, whole).withColumn("_file", F.pmod(F.xxhash64("read_id"), F.col("_files")).cast("int"))
+    placed = dealt.repartition(*keys, "_file").sortWithinPartitions(*keys, "_file", "read_id")
+    # a partition may hold several files' reads of one folder: no more than one file's bytes go to a part file
+    placed.select(*keys, F.col("_file").alias("file"), text).write.mode("overwrite").partitionBy(*keys, "file").text(path)
 
 
 def two_sections(failed: DataFrame) -> DataFrame:
@@ -67,16 +82,29 @@ def write_nexus(matrix: DataFrame, blocks: DataFrame, path: str) -> None:
 
 
 def write_snps(matrix: DataFrame, path: str) -> None:
-    """SNP matrices out of ``taxon, a1, a2, sums`` (arrays over loci in order) in four codings.
+    """SNP matrices out of ``taxon, a1, a2, sums`` (arrays over loci in order) in four codings, each a whole file.
 
-    NEXUS with two rows to a sample, one-row NEXUS of genotype sums, STRUCTURE (missing: -9) and a table for R
-    (missing: NA)."""
+    NEXUS with two rows to a sample (missing: ?), one-row NEXUS of genotype sums (missing: -), STRUCTURE with two rows
+    to a sample (missing: -9) and a table of sums for R (missing: -)."""
+    size = matrix.agg(F.count("*").alias("n"), F.max(F.size("sums")).alias("loci")).first()
+    n, loci = size.n or 0, max(0, size.loci or 0)
     joined = lambda a, gap, sep="": F.array_join(F.transform(F.col(a), lambda x: F.when(x.isin(".", "-"), F.lit(gap)).otherwise(x)), sep)
-    two = lambda gap, sep: matrix.select("taxon", F.explode(F.array(F.struct(F.lit("a").alias("k"), joined("a1", gap, sep).alias("r")), F.struct(F.lit("b").alias("k"), joined("a2", gap, sep).alias("r")))).alias("x"))
-    _lines(two("?", ""), f"{path}/nexus", F.concat("taxon", F.lit("_"), "x.k", F.lit(" "), "x.r"), ["taxon", "x.k"])
-    _lines(matrix, f"{path}/sums", F.concat("taxon", F.lit(" "), joined("sums", "?")), ["taxon"])
-    _lines(two("-9", "\t"), f"{path}/structure", F.concat("taxon", F.lit("\t"), "x.r"), ["taxon", "x.k"])
-    _lines(matrix, f"{path}/table", F.concat("taxon", F.lit("\t"), joined("sums", "NA", "\t")), ["taxon"])
+
+    def rows(*lines: Column) -> DataFrame:
+        listed = F.posexplode(F.array(*lines)).alias("row", "line")
+        return matrix.select(F.lit(1).alias("part"), "taxon", listed)
+
+    def put(name: str, body: DataFrame, head: str = "", foot: str = "") -> None:
+        ends = [(k, "", 0, t) for k, t in ((0, head), (2, foot)) if t]
+        whole = matrix.sparkSession.createDataFrame(ends, "part int, taxon string, row int, line string").unionByName(body)
+        _lines(whole, f"{path}/{name}", F.col("line"), ["part", "taxon", "row"])
+
+    two = [F.concat("taxon", F.lit(f"_{k}\t"), joined(f"a{k}", "?")) for k in (1, 2)]
+    put("nexus", rows(*two), f"#NEXUS\nBegin characters;\n        Dimensions ntax={2 * n} nchar={loci};\n        Format symbols=\"012\" missing=?;\n        Matrix", ";\nEnd;")
+    one = F.concat("taxon", F.lit("\t"), joined("sums", "-"))
+    put("sums", rows(one), f"#NEXUS\nBegin data;\n        Dimensions ntax={n} nchar={loci};\n        Format datatype=integerdata symbols=\"012\" gap=-;\n        Matrix", "\t;\nEnd;")
+    put("structure", rows(*[F.concat("taxon", F.lit("\t"), joined(f"a{k}", "-9", "\t")) for k in (1, 2)]))
+    put("table", rows(F.concat("taxon", F.lit("\t"), joined("sums", "-", "\t"))))
 
 
 def write_paup_commands(trees: DataFrame, path: str, kind: str = "clock", bootstrap: int = 1000) -> None:
