@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Stored, connected_components, give_back, lean_batches, table
+from .common import Stored, connected_components, fresh, give_back, quoted, table
 
 #: Fixed values of the contract: words of a shingle, seed of XXH64, differing bits that link.
 SHINGLE = 3
 SEED = 42
 RADIUS = 2
-#: Segments of the embedding; a count takes four bits of a cell's number.
-SEGMENTS = 8
+#: Segments of the embedding (two bits each; a count takes two bits of a cell's number) and the groups that these form.
+SEGMENTS = 32
+GROUPS = 5
 _BLOCK = 1 << 17
 #: Near copies in the pipeline: words of a shingle, and the Jaccard similarity of two shingle sets, a ratio of integers.
 NEAR_SHINGLE, NEAR = 5, (4, 5)
@@ -71,7 +72,8 @@ def fingerprints(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
 
 
 def with_fingerprints(docs: DataFrame, text: str = "text", to: str = "fingerprint") -> DataFrame:
-    """``docs`` with the fingerprint of each text, a long with its 64 bits."""
+    """``docs`` with the fingerprint of each text, a long with its 64 bits; zero for a text without words, null included.
+    A column with that name is replaced."""
     kept = docs.drop(to)
     schema = T.StructType(kept.schema.fields + [T.StructField(to, T.LongType())])
 
@@ -81,42 +83,40 @@ def with_fingerprints(docs: DataFrame, text: str = "text", to: str = "fingerprin
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fingerprints(texts).view(np.int64))], names=[*batch.schema.names, to])
         give_back()
 
-    lean_batches(docs.sparkSession)
     return kept.mapInArrow(run, schema)
 
 
 def _cell(fp: Column) -> Column:
-    """Number of the grid cell: the bit counts of the segments."""
-    width = 64 // SEGMENTS
-    total = F.lit(0).cast("long")
-    for s in range(SEGMENTS):
-        total = total + F.shiftleft(F.bit_count(F.shiftrightunsigned(fp, s * width).bitwiseAND(F.lit((1 << width) - 1))).cast("long"), 4 * s)
-    return total
+    """Number of the grid cell: the bit counts of the segments, side by side."""
+    low = F.lit(0x5555555555555555).cast("long")
+    one, two = fp.bitwiseAND(low), F.shiftrightunsigned(fp, 1).bitwiseAND(low)
+    return F.shiftleft(one.bitwiseAND(two), 1).bitwiseOR(one.bitwiseXOR(two))
 
 
-def _offsets(radius: int = RADIUS) -> list[int]:
-    """Half of the cells within the radius by Manhattan distance, as differences of their numbers; zero comes first.
+def _masks(radius: int = RADIUS, groups: int = GROUPS) -> list[int]:
+    """For each choice of all but ``radius`` groups of segments the bits of a cell's number that they take."""
+    from itertools import combinations
 
-    A count that would leave its range turns up as a number that no cell has (counts end well below 15)."""
-    found = {0: 0}
-    for _ in range(radius):
-        for d, size in list(found.items()):
-            for s, sign in ((s, sign) for s in range(SEGMENTS) for sign in (1, -1)):
-                found.setdefault(d + sign * (1 << 4 * s), size + 1)
-    return [0, *sorted(d for d in found if d > 0)]
+    cuts = [2 * (g * SEGMENTS // groups) for g in range(groups + 1)]
+    parts = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:])]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    return [signed(sum(c)) for c in combinations(parts, max(1, groups - radius))]
 
 
 def links(fps: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataFrame:
     """Pairs ``a < b`` of distinct fingerprints (one row each in ``fps``) with ``radius`` differing bits at most.
 
-    Two fingerprints with d differing bits have segment counts at Manhattan distance d at most, so each looks up
-    the cells within the radius (one half of them, as the other end looks up the rest) and bits are compared
-    there. The fingerprints are distinct, so copies of one text make no row more, however many there are.
+    Two fingerprints with d differing bits have segment counts at Manhattan distance d at most, so at most d segments
+    differ in their counts, and some choice of all but d groups of segments has the same counts throughout. The range
+    join over the grid is an equi-join on each choice, and bits are compared there. Of two random fingerprints about one
+    pair in ten million meets. The fingerprints are distinct, so copies of one text make no row more, however many
+    there are.
     """
-    cells = fps.select(F.col(fp).alias("y"), _cell(F.col(fp)).alias("cell"))
-    probes = fps.select(F.col(fp).alias("x"), F.explode(F.transform(F.array(*map(F.lit, _offsets(radius))), lambda d: _cell(F.col(fp)) + d)).alias("cell"))
-    near = probes.join(cells, "cell").where(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= radius).where("x <> y")
-    return near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    groups = max(GROUPS, radius + 1)
+    choices = F.array(*[F.struct(F.lit(k).alias("k"), _cell(F.col(fp)).bitwiseAND(F.lit(m)).alias("v")) for k, m in enumerate(_masks(radius, groups))])
+    spread = fps.select(fp, F.explode(choices).alias("c")).select(fp, "c.k", "c.v")
+    one, two = spread.select(F.col(fp).alias("a"), "k", "v"), spread.select(F.col(fp).alias("b"), "k", "v")
+    return one.join(two, ["k", "v"]).where("a < b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b").distinct()
 
 
 def near_duplicates(marked: DataFrame, key: str = "doc_id", fp: str = "fingerprint") -> DataFrame:
@@ -188,7 +188,6 @@ def with_bands(docs: DataFrame, text: str, node: str, bands: str, shingle: int =
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))], names=[*rest.schema.names, node, bands])
         give_back()
 
-    lean_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 
@@ -270,12 +269,16 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Two hashes of all columns stand for a row, so texts are not stored beside their bands; they are
     shuffled once, for the semi-join whose partitioning also serves to leave one of rows that are equal throughout.
+    Texts without words are copies of each other; a null id comes last. Columns may have any names.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    named = docs.withColumns({"_sh_a": F.xxhash64(*columns), "_sh_b": F.xxhash64(F.lit(1), *columns)})
-    marked = Stored(with_bands(named.select("doc_id", "text", "_sh_a", "_sh_b"), "text", "node", "bands")).df
-    roots = near_copies(named, marked, ["_sh_a", "_sh_b"])
+    columns, prefix = quoted(docs.columns), fresh(docs.columns, "_sh")
+    row = [f"{prefix}_a", f"{prefix}_b"]
+    named = docs.withColumns({row[0]: F.xxhash64(*columns), row[1]: F.xxhash64(F.lit(1), *columns)})
+    marks = Stored(with_bands(named.select("doc_id", "text", *row), "text", "node", "bands"))
+    marked = marks.df
+    roots = near_copies(named, marked, row)
     placed = marked.drop("bands").join(roots, "node", "left").withColumn("_root", F.coalesce("component", "node"))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_sh_a", "_sh_b")
-    chosen = placed.groupBy("_root").agg(F.min_by(F.struct("_sh_a", "_sh_b"), order).alias("c")).select("c.*")
-    return named.join(chosen, ["_sh_a", "_sh_b"], "left_semi").dropDuplicates(["_sh_a", "_sh_b"]).select(*columns)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", *row)
+    chosen = Stored(placed.groupBy("_root").agg(F.min_by(F.struct(*row), order).alias("c")).select("c.*")).df
+    marks.drop()
+    return named.join(chosen, row, "left_semi").dropDuplicates(row).select(*columns)
