@@ -39,6 +39,11 @@ def dedup_either_strand(spark, d):
     return docs.groupBy(F.xxhash64(key), F.md5(key)).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).select("doc_id", "copies")
 
 
+@query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY least(text, reverse(translate(text, 'ATCG', 'TAGC')))")
+def first_of_either_strand(spark, d):
+    return relational.dedup_either_strand(table(spark, d, "documents").select("doc_id", "text"), "text", ["doc_id"]).select("doc_id")
+
+
 @query(
     """WITH u AS (SELECT source, n_chars, row_number() OVER (PARTITION BY least(text, reverse(text)) ORDER BY doc_id) AS k FROM documents)
 SELECT source, count(*) AS n_before, CAST(sum(n_chars) AS BIGINT) AS size_before, count(*) FILTER (k = 1) AS n_after,
