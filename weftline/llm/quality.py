@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Stored, give_back, lean_batches, table
+from .common import REMEMBERED_BYTES, Stored, fresh, give_back, quoted, table
 
 #: Fixed values of the contract.
 SYMBOLS = b"#*$%&|<>"
@@ -21,7 +21,7 @@ CHUNK = 4 << 20
 CACHE = 200_000
 #: Fences of the bands in widths from the quartiles: few characters per token, many, byte fallback, low entropy; their
 #: slack for short texts per root token, and that of the entropy.
-LOW, HIGH, BYTES, ENTROPY, SLACK, ENTROPY_SLACK = 3.0, 6.0, 3.0, 2.0, 0.5, 1.0
+LOW, HIGH, BYTES, ENTROPY, SLACK, ENTROPY_SLACK = 3.0, 6.0, 3.0, 2.0, 0.5, 2.0
 #: The pooled interquartile range counts as so many rows of each group; a group's fences lie further out by this over
 #: the root of its rows, as far as few rows leave its quartiles uncertain.
 PRIOR, UNSURE = 8, 2.0
@@ -48,15 +48,17 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
         self.known: dict[bytes, bytes] = {}
+        self.held = 0
 
     def tokens(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word's tokens, packed as 32-bit integers."""
-        fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > CACHE:
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > CACHE or self.held + sum(map(len, new)) > REMEMBERED_BYTES:
             self.known.clear()
-            fresh = words
-        coded = self.model.encode([w.decode("utf-8", "replace") for w in fresh], num_threads=1)
-        self.known.update(zip(fresh, [array("i", t).tobytes() for t in coded]))
+            self.held, new = 0, words
+        coded = self.model.encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
+        self.known.update(zip(new, [array("i", t).tobytes() for t in coded]))
+        self.held += sum(map(len, new))
         return [self.known[w] for w in words]
 
 
@@ -155,7 +157,6 @@ def measured(docs: DataFrame, text: str = "text", path: str | None = None, prefi
                     start, total = i + 1, 0
         give_back()
 
-    lean_batches(docs.sparkSession)
     return kept.mapInArrow(run, schema)
 
 
@@ -184,29 +185,32 @@ def bands(rows: DataFrame, group: str, prefix: str = "") -> DataFrame:
     Taken over all rows that pass the base rules, exactly on values of three digits: counts of these are what is
     merged, so reruns agree and the state is bounded by the measures' ranges. Each group has its own quartiles,
     however small it is; its width shrinks smoothly towards the mean of the groups' own
-    interquartile ranges in its class."""
-    quartiles = [F.percentile(F.round(prefix + m, 3), [0.25, 0.5, 0.75]).alias(f"_{m}_q") for m in _MEASURES]
-    found = Stored(rows.where(~base_failed(prefix)).groupBy(F.col(group).alias("_group"), _length_class(prefix).alias("_class")).agg(*quartiles, F.count("*").alias("_n"))).df
-    own = lambda m: F.element_at(f"_{m}_q", 3) - F.element_at(f"_{m}_q", 1)
-    pooled = found.groupBy("_class").agg(*[(F.sum(own(m) * F.col("_n")) / F.sum("_n")).alias(f"_{m}_p") for m in _MEASURES])
-    few = 1 + UNSURE / F.sqrt(F.col("_n").cast("double"))
-    width = {f"_{m}_w": (F.col("_n") * own(m) + PRIOR * F.col(f"_{m}_p")) / (F.col("_n") + PRIOR) * few for m in _MEASURES}
-    return found.join(pooled, "_class").withColumns(width).drop(*[f"_{m}_p" for m in _MEASURES])
+    interquartile ranges in its class. Without rows that pass there are no bands."""
+    key, size, n = (f"{prefix}_{x}" for x in ("group", "class", "n"))
+    q, p, w = ({m: f"{prefix}_{m}_{x}" for m in _MEASURES} for x in "qpw")
+    quartiles = [F.percentile(F.round(prefix + m, 3), [0.25, 0.5, 0.75]).alias(q[m]) for m in _MEASURES]
+    found = Stored(rows.where(~base_failed(prefix)).groupBy(F.col(group).alias(key), _length_class(prefix).alias(size)).agg(*quartiles, F.count("*").alias(n))).df
+    own = lambda m: F.element_at(q[m], 3) - F.element_at(q[m], 1)
+    pooled = found.groupBy(size).agg(*[(F.sum(own(m) * F.col(n)) / F.sum(n)).alias(p[m]) for m in _MEASURES])
+    few = 1 + UNSURE / F.sqrt(F.col(n).cast("double"))
+    width = {w[m]: (F.col(n) * own(m) + PRIOR * F.col(p[m])) / (F.col(n) + PRIOR) * few for m in _MEASURES}
+    return found.join(pooled, size).withColumns(width).drop(*p.values())
 
 
 def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> DataFrame:
-    """``rows`` with ``_base_failed`` and ``_kept``.
+    """``rows`` with ``_base_failed`` and ``_kept`` after the prefix.
 
     Each fence rejects by itself: few or many characters per token, much byte fallback, or low entropy of the tokens,
-    all among texts of like length. Fences widen for short texts. Where no row of a group has passed the base rules,
-    these alone decide.
+    all among texts of like length. Fences widen for short texts. Where no row of a group and length has passed the base
+    rules, these alone decide. A null text counts as an empty one and fails them; rows that are equal fare alike.
     """
-    own = edges.drop("_n")
+    key, size = f"{prefix}_group", f"{prefix}_class"
+    own = edges.drop(f"{prefix}_n")
     if edges.count() <= MOST_BROADCAST:
         own = F.broadcast(own)
-    joined = rows.join(own, (rows[group] == own["_group"]) & (_length_class(prefix) == own["_class"]), "left")
-    at = lambda m, i: F.element_at(F.col(f"_{m}_q"), i + 1)
-    range_ = lambda m: F.col(f"_{m}_w")
+    joined = rows.join(own, (rows[group] == own[key]) & (_length_class(prefix) == own[size]), "left")
+    at = lambda m, i: F.element_at(F.col(f"{prefix}_{m}_q"), i + 1)
+    range_ = lambda m: F.col(f"{prefix}_{m}_w")
     root = F.sqrt(F.greatest(F.col(prefix + "n_tokens"), F.lit(1)).cast("double"))
     slack = SLACK / root
     cpt, byte, entropy = (F.col(prefix + m) for m in _MEASURES)
@@ -215,8 +219,8 @@ def judged(rows: DataFrame, group: str, edges: DataFrame, prefix: str = "") -> D
     rejected |= byte > at("byte_share", 2) + BYTES * range_("byte_share") + slack
     rejected |= entropy < at("token_entropy", 0) - ENTROPY * range_("token_entropy") - ENTROPY_SLACK / root
     fails = base_failed(prefix)
-    out = joined.withColumns({"_base_failed": fails, "_kept": ~fails & ~F.coalesce(rejected, F.lit(False))})
-    return out.drop("_group", "_class", *[f"_{m}_{x}" for m in _MEASURES for x in "qw"])
+    out = joined.withColumns({f"{prefix}_base_failed": fails, f"{prefix}_kept": ~fails & ~F.coalesce(rejected, F.lit(False))})
+    return out.drop(key, size, *[f"{prefix}_{m}_{x}" for m in _MEASURES for x in "qw"])
 
 
 def op7_quality(spark, sf_dir: str) -> DataFrame:
@@ -226,7 +230,12 @@ def op7_quality(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep. The bands come from a first pass over all documents, the texts pass again."""
-    rows = measured(docs.withColumn("_q_by", group_of()), prefix="_q_")
-    edges = Stored(bands(rows.select("_q_by", *["_q_" + c for c in (*_COUNTS, *_MEASURES)]), "_q_by", "_q_")).df
-    return judged(rows, "_q_by", edges, "_q_").where("_kept").select(*docs.columns)
+    """Documents that the rules keep, all their columns as they were, whatever these are called.
+
+    Texts are measured once: they are stored with their measures, the bands come from the measures, and what is kept
+    is read back. A null or empty text goes; of rows that are equal all stay or all go; an empty table gives none."""
+    prefix = fresh(docs.columns, "_q")
+    by = f"{prefix}by"
+    rows = Stored(measured(docs.withColumn(by, group_of()), prefix=prefix)).df
+    edges = Stored(bands(rows, by, prefix)).df
+    return judged(rows, by, edges, prefix).where(F.col(f"{prefix}_kept")).select(*quoted(docs.columns))
