@@ -215,7 +215,8 @@ def vcf(spark: SparkSession, path: str) -> DataFrame:
     f = F.split(F.regexp_replace("value", "\r$", ""), "\t")
     rows = text.where(~F.col("value").startswith("#") & (F.length("value") > 0)).select(f.alias("f"))
     at = lambda i: F.try_element_at(F.col("f"), F.lit(i))
-    calls = F.transform(F.slice("f", 10, max(1, len(samples))), lambda g: F.split_part(g, F.lit(":"), F.lit(1)))
+    # as many calls as samples whatever the line holds: a short one has nulls
+    calls = F.transform(F.array(*[F.lit(10 + k) for k in range(max(1, len(samples)))]), lambda k: F.split_part(F.try_element_at("f", k), F.lit(":"), F.lit(1)))
     info = F.str_to_map(at(8), F.lit(";"), F.lit("="))
     gt = F.map_from_arrays(F.array(*map(F.lit, samples)), calls) if samples else F.create_map().cast("map<string,string>")
     return rows.select(at(1).alias("chrom"), at(2).cast("long").alias("pos"), at(3).alias("id"), at(4).alias("ref"), at(5).alias("alt"), at(6).try_cast("double").alias("qual"), at(7).alias("filter"), info.alias("info"), gt.alias("gt"))
