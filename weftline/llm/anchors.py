@@ -23,7 +23,7 @@ from .common import Stored, fresh, quoted
 #: Symbols to a block of the sliding minimum, bytes of text to a slice, distinct fragments that a group may hold.
 BLOCK = 1 << 20
 SLICE = 4 << 20
-MOST = 1_000
+MOST = 20_000
 #: Fragments whose digests a task remembers.
 REMEMBERED = 300_000
 _BASE = 0x9E3779B97F4A7C15
