@@ -27,6 +27,19 @@ def test_targets_follow_the_water_filling(spark):
     assert {r.source for r in got} == set(sizes)
     for r in got:
         assert abs(r.target - want[r.source]) < 1e-6
+    assert sum(r.target for r in got) == 1.5 * sum(sizes.values())  # half a word is not rounded away
+    assert sum(sizes.values()) * 3 % 2 == 0 or sum(r.target for r in got) % 1 == 0.5
+    odd = {"a": 50, "b": 51}
+    got = mixing.source_targets(spark.createDataFrame(list(odd.items()), "source string, size long")).collect()
+    assert sum(r.target for r in got) == 151.5
+
+
+def test_rows_of_one_key_draw_apart(spark):
+    docs = rows(spark, [(None, f"word{i} " * 10, f"s{i % 3}", "en") for i in range(3000)])
+    got = mixing.mix(docs).groupBy("source").agg({"_mix_copies": "sum"}).collect()
+    targets = fill({f"s{i}": 10000 for i in range(3)})
+    for r in got:
+        assert abs(r["sum(_mix_copies)"] * 10 - targets[r["source"]]) < 0.08 * targets[r["source"]]
 
 
 def test_nulls_empty_and_reruns(spark):
