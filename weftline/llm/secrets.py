@@ -156,7 +156,8 @@ def _candidates(text: Column) -> Column:
 
     They hold a letter and a digit, or letters of both cases. Digits alone and letters of one case alone are out of
     scope: numbers of all kinds are as even as random ones."""
-    mixed = F.filter(_found(text, CANDIDATE), lambda x: x["m"].rlike("[0-9].*[A-Za-z]|[A-Za-z].*[0-9]|[a-z].*[A-Z]|[A-Z].*[a-z]"))
+    has = lambda x, c: x["m"].rlike(c)  # noqa: E731  one class at a time, as two with a gap between would be quadratic
+    mixed = F.filter(_found(text, CANDIDATE), lambda x: (has(x, "[0-9]") & has(x, "[A-Za-z]")) | (has(x, "[a-z]") & has(x, "[A-Z]")))
     tested = F.transform(mixed, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), randomness(x["m"]).alias("p")))
     return F.transform(
         F.filter(tested, lambda x: x["p"].isNotNull()),
