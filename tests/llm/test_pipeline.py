@@ -7,7 +7,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from weftline.llm import bpe, mixing, simhash
+from weftline.llm import bpe, mixing
 
 ASSIGN = re.compile(r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 
@@ -27,9 +27,11 @@ def documents():
 
 
 def plain(rows, kept_by_quality):
-    """Rows and copies of the plain version: documents that quality keeps, one of each component, redacted, mixed."""
+    """Rows and copies of the plain version: documents that quality keeps, one of each component of near copies (five-word
+    shingles, a similarity of 0.8 or more, as the job has it for stages), redacted, mixed."""
     rows = [r for r in rows if r[0] in kept_by_quality]
-    fps = simhash.fingerprints([r[1] for r in rows]).tolist()
+    words = [r[1].lower().split() for r in rows]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
     root = list(range(len(rows)))
 
     def find(i):
@@ -39,7 +41,7 @@ def plain(rows, kept_by_quality):
 
     for i in range(len(rows)):
         for j in range(i):
-            if bin(fps[i] ^ fps[j]).count("1") <= 2:
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
                 root[find(i)] = find(j)
     best = {}
     for i, r in enumerate(rows):
@@ -52,7 +54,7 @@ def plain(rows, kept_by_quality):
     for t, s in out.values():
         sizes[s] = sizes.get(s, 0) + len(t.split())
     names = sorted(sizes)
-    weight, target, open_, total = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(names)}, {}, set(names), int(1.5 * sum(sizes.values()))
+    weight, target, open_, total = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(names)}, {}, set(names), 1.5 * sum(sizes.values())
     while open_:
         share = {s: total * weight[s] / sum(weight[x] for x in open_) for s in open_}
         full = {s for s in open_ if share[s] >= 2 * sizes[s]}
@@ -63,7 +65,7 @@ def plain(rows, kept_by_quality):
     copies = {}
     for k, (t, s) in out.items():
         rate = target[s] / sizes[s]
-        draw = int(hashlib.md5(f"{mixing.SEED}|{k}".encode()).hexdigest()[:13], 16) / 2**52
+        draw = int(hashlib.md5(f"{mixing.SEED}|{k}|{s}|{hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest()[:13], 16) / 2**52
         copies[k] = int(rate) + (draw < rate - int(rate))
     return {k: (t, copies[k]) for k, (t, _) in out.items() if copies[k]}
 
@@ -87,6 +89,26 @@ def test_equal_to_the_plain_version(spark, tmp_path):
     assert seen == {k: n for k, (_, n) in want.items()}
 
 
+#: Names that the stages use for columns of their own.
+INNER = "_mix_size _mix_source _mix_source_size _mix_target _mix_copies _mix_copy _q_by _qby _q_group _q_class _qn_words _q_kept _s_base _s_more _s_edges _s_spans _secret_spans _sh_a _sh_b node bands shingles fingerprint component spans kept n_symbols _wl_tid _wl_spans".split()
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_keep_columns_of_any_name(spark, k):
+    name, stage = corpus_pipeline.STAGES[k]
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, text if i % 3 else f"{text} {i} password=hunter2hunter2", "en", f"s{i % 2}", i, *[f"{c}{i}" for c in INNER]) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in INNER))
+    out = stage(spark, docs, "")
+    assert out.columns[: len(docs.columns)] == docs.columns
+    found = out.collect()
+    assert found
+    for r in found:
+        assert [r[c] for c in INNER] == [f"{c}{r.doc_id}" for c in INNER]
+        if name != "secret_scan":
+            assert r.text == rows[r.doc_id][1]
+
+
 @pytest.mark.parametrize("k", range(5))
 def test_stages_take_empty_tables_and_extra_columns(spark, k):
     name, stage = corpus_pipeline.STAGES[k]
@@ -98,3 +120,14 @@ def test_stages_take_empty_tables_and_extra_columns(spark, k):
     assert out.count() >= 0
     if k + 1 < len(corpus_pipeline.STAGES):
         assert out.columns == docs.columns
+
+
+def test_stages_take_very_long_texts(spark):
+    rng_ = random.Random(3)
+    long = " ".join(f"w{rng_.randrange(100000)}" for _ in range(650_000))  # over the slice of 4 MB
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, long, "en", "a", 1), (2, long, "en", "a", 1), (3, "xY1" * 100_000, "en", "b", 1), (4, words, "en", "b", 1)], "doc_id long, text string, lang string, source string, n_chars long").repartition(2)
+    counts = [stage(spark, docs, "").select("doc_id").collect() for _, stage in corpus_pipeline.STAGES]
+    kept = [sorted({r.doc_id for r in c}) for c in counts]
+    assert 3 not in kept[0] and {1, 2} <= set(kept[0])  # one word alone fails the base rules
+    assert kept[1] == [1, 3, 4] and kept[2] == kept[4] == [1, 2, 3, 4] and set(kept[3]) <= {1, 2, 3, 4}
