@@ -207,7 +207,8 @@ def reduce_graph(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def all_paths(edges: DataFrame, most: int = 500, depth: int = 100) -> DataFrame:
     """Simple paths from each start to an end: ``sample, locus, path``. ``most`` paths of each start are kept, the
-    smallest ones: it guards against explosions and is a parameter of the operator.
+    smallest ones: it guards against explosions and is a parameter of the operator. So is ``depth``, the contigs of a path
+    at most: longer ones are not found.
 
     A recursive query: loops are cut as a path never visits a node again."""
     spark = edges.sparkSession
