@@ -104,3 +104,41 @@ def test_stage_removes_edited_copies(spark):
             texts.append(" ".join(words))
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     assert {r.doc_id for r in simhash.stage(spark, docs, "").collect()} == set(five_word_components(texts))
+
+
+def test_sets_are_joined_as_by_brute_force():
+    rng = random.Random(8)
+    for n in (2, 3, 40):
+        base = [rng.randrange(400) for _ in range(60)]
+        sets = []
+        for _ in range(n):
+            some = [x if rng.random() > 0.08 else rng.randrange(400, 9000) for x in base]
+            sets.append(np.unique(np.array(some, dtype=np.uint32)))
+        root = list(range(n))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for i, j in combinations(range(n), 2):
+            a, b = set(sets[i].tolist()), set(sets[j].tolist())
+            if 5 * len(a & b) >= 4 * len(a | b):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+        assert simhash.joined(sets, (4, 5)).tolist() == [find(i) for i in range(n)]
+
+
+def test_large_buckets_are_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PART", 4)
+    rng = random.Random(11)
+    texts = []
+    for _ in range(4):
+        words = [f"w{rng.randrange(3000)}" for _ in range(150)]
+        for _ in range(30):
+            copy = list(words)
+            for _ in range(rng.randrange(1, 6)):
+                copy[rng.randrange(150)] = f"x{rng.randrange(3000)}"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in simhash.stage(spark, docs, "").collect()} == set(five_word_components(texts))

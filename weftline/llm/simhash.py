@@ -22,8 +22,10 @@ _BLOCK = 1 << 17
 NEAR_SHINGLE, NEAR = 5, (4, 5)
 #: Bands of minima that find candidates, and minima of a band: at the similarity 0.8 a pair is missed with probability 7e-5.
 BANDS, MINIMA = 24, 5
-#: Rounds at most in which the texts of a bucket are compared with one of them, and how many pairs a text may leave for the last.
-HUBS, FEW = 4, 8
+#: Texts of a bucket, and bytes of their shingles, that are compared at once; a larger bucket is dealt in parts.
+PART, PART_BYTES = 512, 16 << 20
+#: Shingles whose columns are multiplied at once.
+_WIDE = 4096
 
 
 def _majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -153,16 +155,18 @@ def _bands(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def with_bands(docs: DataFrame, text: str, node: str, bands: str, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """``docs`` without the text but with a hash of its words and its bands, none for a text without a word."""
+def with_bands(docs: DataFrame, text: str, node: str, bands: str, shingles: str, shingle: int = NEAR_SHINGLE) -> DataFrame:
+    """``docs`` without the text but with a hash of its words, its bands (none for a text without a word) and the sorted
+    distinct hashes of its shingles, four bytes each."""
     from xxhash import xxh64_intdigest as xxh64
 
     kept = docs.drop(text)
-    schema = T.StructType(kept.schema.fields + [T.StructField(node, T.LongType()), T.StructField(bands, T.ArrayType(T.LongType()))])
+    added = [T.StructField(node, T.LongType()), T.StructField(bands, T.ArrayType(T.LongType())), T.StructField(shingles, T.BinaryType())]
+    schema = T.StructType(kept.schema.fields + added)
 
     def run(batches):
         for batch in batches:
-            found, nodes, parts, at = [[]] * batch.num_rows, [], [], []
+            found, nodes, sets, parts, at = [[]] * batch.num_rows, [], [], [], []
 
             def settle():
                 if parts:
@@ -176,8 +180,10 @@ def with_bands(docs: DataFrame, text: str, node: str, bands: str, shingle: int =
             for i, value in enumerate(batch.column(batch.schema.get_field_index(text)).to_pylist()):
                 words = _words(value)
                 nodes.append(xxh64(b" ".join(words), SEED))
+                hashes = _shingles(words, shingle) if words else np.zeros(0, dtype=np.uint64)
+                sets.append(np.unique((hashes >> np.uint64(32)).astype(np.uint32)).tobytes())
                 if words:
-                    parts.append(_shingles(words, shingle))
+                    parts.append(hashes)
                     at.append(i)
                     total += len(words)
                 if total >= _BLOCK:
@@ -185,100 +191,127 @@ def with_bands(docs: DataFrame, text: str, node: str, bands: str, shingle: int =
                     total = 0
             settle()
             rest = batch.drop_columns([text])
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))], names=[*rest.schema.names, node, bands])
+            new = [pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*rest.columns, *new], names=[*rest.schema.names, node, bands, shingles])
         give_back()
 
     return docs.mapInArrow(run, schema)
 
 
-def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """``node, shingles``: the sorted distinct shingle hashes of ``text``, packed."""
+def joined(sets: list[np.ndarray], similarity: tuple[int, int]) -> np.ndarray:
+    """For each of some sets (sorted, distinct) the first one that it reaches over pairs with the Jaccard similarity, a
+    ratio of integers, at least. Sizes of all intersections come from products of the columns that two sets share."""
+    up, down = similarity
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    if n == 2:
+        small, large = sizes.min(), sizes.max()
+        both = len(np.intersect1d(*sets, assume_unique=True)) if up * large <= down * small else 0
+        return np.array([0, 0 if down * both >= up * (sizes.sum() - both) else 1])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.r_[True, flat[1:] != flat[:-1]]
+    column = np.cumsum(new) - 1
+    shared = np.bincount(column) > 1
+    keep = shared[column]
+    column, owner = (np.cumsum(shared) - 1)[column[keep]], owner[keep]
+    both = np.zeros((n, n), dtype=np.float32)
+    for a in range(0, int(shared.sum()), _WIDE):
+        here = slice(*np.searchsorted(column, (a, a + _WIDE)))
+        held = np.zeros((n, _WIDE), dtype=np.float32)
+        held[owner[here], column[here] - a] = 1
+        both += held @ held.T
+    both = both.astype(np.int64)
+    linked = down * both >= up * (sizes[:, None] + sizes[None, :] - both)
+    root = np.arange(n)
+    while True:
+        low = np.where(linked, root[None, :], n).min(axis=1, initial=n)
+        low = np.minimum(low, root)
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def _linked(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``a, b``: links enough to join what each part (``bucket, low, high``, rows in a run, by ``node``) has linked."""
 
     def run(batches):
-        for batch in batches:
-            packed = [np.unique(_shingles(_words(t), shingle)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "shingles"])
-        give_back()
-
-    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+        key, nodes, sets, out = None, [], [], ([], [])
 
+        def flush():
+            if len(nodes) > 1:
+                for i, r in enumerate(joined(sets, similarity).tolist()):
+                    if r != i:
+                        out[0].append(nodes[i])
+                        out[1].append(nodes[r])
 
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """The pairs ``a, b`` whose shingle sets have the Jaccard similarity (a ratio of integers) at least."""
-    up, down = similarity
-
-    def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True)) if up * max(len(x), len(y)) <= down * min(len(x), len(y)) else 0
-                keep.append(down * both >= up * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for *now, node, raw in zip(*(batch.column(c).to_pylist() for c in range(5))):
+                if now != key:
+                    flush()
+                    key, nodes, sets = now, [], []
+                nodes.append(node)
+                sets.append(np.frombuffer(raw, dtype=np.uint32))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
+            out = ([], [])
+        flush()
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
         give_back()
 
-    joined = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(run, "a long, b long")
+    return rows.select("bucket", "low", "high", "node", "shingles").mapInArrow(run, "a long, b long")
 
 
-def near_copies(docs: DataFrame, marked: DataFrame, row: list[str], text: str = "text", shingle: int = NEAR_SHINGLE, similarity: tuple[int, int] = NEAR) -> DataFrame:
+def near_copies(marked: DataFrame, similarity: tuple[int, int] = NEAR) -> DataFrame:
     """``node, component`` for the texts that have a near copy: components over all pairs with the similarity.
 
-    ``marked`` (stored) has ``node`` and ``bands`` for the rows of ``docs``, which the columns ``row`` name. At the
-    similarity 0.8 fingerprints of 64 bits differ in ten bits on average and in more than sixteen at times, and a grid of
-    that radius would compare nearly all with all. So candidates share a band of minima, and each pair is checked
-    by its sets of shingles. In the first rounds each text meets one text of its buckets, which unites a large group
-    with few pairs; the last compares every two texts of a bucket that are not united yet, so the components are
-    those of all candidates.
+    ``marked`` (stored) has ``node, bands, shingles``. At the similarity 0.8 fingerprints of 64 bits differ in ten bits on
+    average and in more than sixteen at times, and a grid of that radius would compare nearly all with all. So
+    candidates share a band of minima. Buckets that hold the same texts are one; a bucket's texts are compared by their sets
+    of shingles, and what comes out are links that join what is linked, not the pairs. A bucket too large for one
+    task is dealt in parts, every two of them to a task. Equal texts are one node throughout.
     """
-    nodes = marked.where(F.size("bands") > 0).groupBy("node").agg(F.min(F.struct(*row)).alias("r"), F.first("bands").alias("bands"))
-    places = nodes.select("node", "r", F.posexplode("bands").alias("k", "v")).select("node", "r", F.xxhash64("k", "v").alias("bucket"))
-    full = places.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    entries = Stored(places.join(full, "bucket"))
-    firsts = entries.df.select("node", "r.*").distinct()
-    sets = Stored(_sets(docs.select(*row, F.col(text).alias("text")).join(firsts, row).dropDuplicates(["node"]), shingle))
-    edges, roots = None, None
-    for k in range(HUBS + 1):
-        rooted = entries.df.select("bucket", "node")
-        rooted = rooted.withColumn("root", F.col("node")) if roots is None else rooted.join(roots, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("root"))
-        rooted = Stored(rooted)
-        sized = rooted.df.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node")).alias("one"))
-        mixed = sized.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"), F.min("one").alias("hub")).where("m > 1")
-        some = mixed.agg(F.coalesce(F.sum(((F.col("s") * F.col("s") - F.col("q")) / 2)), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0))).first()
-        last = k == HUBS or (k > 0 and some[0] <= FEW * some[1])
-        if last:
-            left = rooted.df.join(mixed.select("bucket"), "bucket")
-            pairs = left.toDF("bucket", "a", "ra").join(left.toDF("bucket", "b", "rb"), "bucket").where("a < b AND ra <> rb").select("a", "b").distinct()
-        else:
-            met = rooted.df.join(mixed.select("bucket", F.col("hub.node").alias("hub")), "bucket").where("node <> hub")
-            met = met.groupBy("node", "hub").agg(F.count("*").alias("n")).groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best"))
-            pairs = met.select(F.least("node", "best.hub").alias("a"), F.greatest("node", "best.hub").alias("b")).distinct()
-        found = Stored(_similar(pairs, sets.df, similarity)).df
-        edges = found if edges is None else edges.unionByName(found)
-        roots = connected_components(edges)
-        rooted.drop()
-        if last:
-            break
-    entries.drop()
-    sets.drop()
-    return roots
+    nodes = Stored(marked.where(F.size("bands") > 0).groupBy("node").agg(F.first("bands").alias("bands"), F.max(F.octet_length("shingles")).alias("bytes")))
+    places = nodes.df.select("node", "bytes", F.posexplode("bands").alias("k", "v")).select("node", "bytes", F.xxhash64("k", "v").alias("bucket"))
+    mark = F.xxhash64("node")
+    whole = places.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("y")).where("n > 1")
+    parts = F.greatest(F.ceil(F.max("n") / PART), F.ceil(F.max("bytes") / PART_BYTES)).cast("int")
+    buckets = Stored(whole.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"), parts.alias("parts")).select("bucket", "parts"))
+    own = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("node"), F.col("parts"))).otherwise(F.lit(0)).cast("int")
+    entries = places.join(buckets.df, "bucket").select("bucket", "node", "parts", own.alias("own"))
+    dealt = entries.select("bucket", "node", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    dealt = Stored(dealt.select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node"))
+    # merge joins whatever the size: what is looked up grows with the texts
+    sets = marked.select("node", "shingles").join(dealt.df.select("node").distinct().hint("merge"), "node", "left_semi").dropDuplicates(["node"])
+    order = ["bucket", "low", "high"]
+    rows = dealt.df.join(sets, "node").repartition(*order).sortWithinPartitions(*order, "node")
+    edges = Stored(_linked(rows, similarity))
+    for done in (nodes, buckets, dealt):
+        done.drop()
+    return connected_components(edges.df)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the one with the smallest id, then the smallest hash of its row.
 
-    Two hashes of all columns stand for a row, so texts are not stored beside their bands; they are
-    shuffled once, for the semi-join whose partitioning also serves to leave one of rows that are equal throughout.
-    Texts without words are copies of each other; a null id comes last. Columns may have any names.
+    Two hashes of all columns stand for a row, so texts are not stored beside their bands. What is joined with the documents
+    are the rows that go and those that are there twice, the lesser part; of rows that are equal throughout one is
+    left. Texts without words are copies of each other; a null id comes last. Columns may have any names.
     """
     columns, prefix = quoted(docs.columns), fresh(docs.columns, "_sh")
-    row = [f"{prefix}_a", f"{prefix}_b"]
+    row, state = [f"{prefix}_a", f"{prefix}_b"], f"{prefix}_state"
     named = docs.withColumns({row[0]: F.xxhash64(*columns), row[1]: F.xxhash64(F.lit(1), *columns)})
-    marks = Stored(with_bands(named.select("doc_id", "text", *row), "text", "node", "bands"))
-    marked = marks.df
-    roots = near_copies(named, marked, row)
-    placed = marked.drop("bands").join(roots, "node", "left").withColumn("_root", F.coalesce("component", "node"))
+    marks = Stored(with_bands(named.select("doc_id", "text", *row), "text", "node", "bands", "shingles"))
+    roots = Stored(near_copies(marks.df.select("node", "bands", "shingles")))
+    per_row = marks.df.groupBy(*row).agg(F.count("*").alias("times"), F.first("doc_id").alias("doc_id"), F.first("node").alias("node"))
+    placed = Stored(per_row.join(roots.df, "node", "left").select(*row, "times", "doc_id", F.coalesce("component", "node").alias("root")))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", *row)
-    chosen = Stored(placed.groupBy("_root").agg(F.min_by(F.struct(*row), order).alias("c")).select("c.*")).df
-    marks.drop()
-    return named.join(chosen, row, "left_semi").dropDuplicates(row).select(*columns)
+    chosen = placed.df.groupBy("root").agg(F.min_by(F.struct(*row), order).alias("c"))
+    judged = placed.df.join(chosen, "root").select(*row, F.when(F.col("c") != F.struct(*row), 0).when(F.col("times") > 1, 2).alias(state))
+    states = Stored(judged.where(F.col(state).isNotNull())).df
+    for done in (marks, roots, placed):
+        done.drop()
+    known = named.join(states.hint("merge"), row, "left")
+    once = known.where(F.col(state).isNull()).select(*columns)
+    return once.unionByName(known.where(F.col(state) == 2).dropDuplicates(row).select(*columns))
