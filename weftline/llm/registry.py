@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, hnsw, langid, mixing, quality, secrets, simhash, substring, suffixes, tokencounts
+from . import bpe, hnsw, langid, mixing, quality, secrets, simhash, substring, suffixes, tokencounts, whitening
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_langid": langid.op8_langid,
         "op9_secrets": secrets.op9_secrets,
         "op10_mixing": mixing.op10_mixing,
+        "op11_whitening": whitening.op11_whitening,
     }
 
 
