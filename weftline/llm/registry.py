@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, hnsw, langid, mixing, quality, secrets, simhash, substring, suffixes, tokencounts, whitening
+from . import bpe, conversations, hnsw, langid, mixing, quality, secrets, simhash, substring, suffixes, tokencounts, whitening
 
 
 def queries() -> dict:
@@ -18,8 +18,9 @@ def queries() -> dict:
         "op9_secrets": secrets.op9_secrets,
         "op10_mixing": mixing.op10_mixing,
         "op11_whitening": whitening.op11_whitening,
+        "op12_prefix_trie": conversations.op12_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": mixing.ORACLE}
+    return {"op10_mixing": mixing.ORACLE, "op12_prefix_trie": conversations.ORACLE}
