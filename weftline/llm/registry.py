@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, conversations, hnsw, langid, mixing, quality, secrets, simhash, substring, suffixes, tokencounts, whitening
+from . import bpe, conversations, fingerprints, hnsw, langid, mixing, quality, secrets, simhash, substring, suffixes, tokencounts, whitening
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_mixing": mixing.op10_mixing,
         "op11_whitening": whitening.op11_whitening,
         "op12_prefix_trie": conversations.op12_prefix_trie,
+        "op13_fingerprints": fingerprints.op13_fingerprints,
     }
 
 
