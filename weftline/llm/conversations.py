@@ -248,8 +248,8 @@ def rebuilt(turns: DataFrame, block: int = BLOCK, heads: int = HEADS) -> DataFra
 def op12_prefix_trie(spark, sf_dir: str) -> DataFrame:
     """Turns without conv_id belong to no conversation and are left out; equal turns are ordered by their digest; remainders are those of
     division toward zero; an empty table gives no rows."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return prefix_trie(rebuilt(digested(turns)), F.col("kind"), F.col("place"))
+    turns = Stored(digested(table(spark, sf_dir, "conversations"))).df  # texts are read once, not again for the ranges
+    return prefix_trie(rebuilt(turns), F.col("kind"), F.col("place"))
 
 
 #: CRC-32 of a decimal number, a bit at a time: 3988292384 is the reflected polynomial.
