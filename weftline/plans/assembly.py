@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.functions.seq import translate
-from weftline.operators import alignment, contigs, orthologs, relational
+from weftline.operators import alignment, contigs, orthologs, relational, search
 from weftline.sources.readers import single_reads
 
 from .stages import Plan
 
 
-def plan(store: str, word: int = 11, gap: float = 40, similarity: float = 60, coverage: float = 80) -> Plan:
+def plan(store: str, word: int = 11, gap: float = 40, similarity: float = 60, coverage: float = 80, assign_e: float = 1e-4, classify_e: float = 1e-6, most_places: int | None = 10_000) -> Plan:
     """Stages ``dedup, assign, assemble, filter, merge, classify`` over the tables ``pairs, loci`` (``locus, nt, aa``) and
-    ``genome`` (``name, seq``). ``merge`` holds the best contig of each sample and locus, ``classify`` its status."""
+    ``genome`` (``name, seq``). ``merge`` holds the best contig of each sample and locus, ``classify`` its status. Reads are assigned
+    by hits of an e-value of ``assign_e`` at most, contigs classified by those of ``classify_e``; words that the genome
+    holds more than ``most_places`` times are taken for repeats and start no hit there."""
 
     def dedup(spark, t):
         return relational.dedup_pairs(t["pairs"])
 
     def assign(spark, t):
         reads = single_reads(t["dedup"]).select(F.concat_ws("\t", "sample", "read_id").alias("name"), "seq")
-        hits = orthologs.seed_search(t["loci"].select(F.col("locus").alias("name"), F.col("nt").alias("seq")), reads, word)
+        hits = search.gapped_search(t["loci"].select(F.col("locus").alias("name"), F.col("nt").alias("seq")), reads, word, most_e=assign_e)
         hits = hits.select(F.split_part("target", F.lit("\t"), F.lit(1)).alias("sample"), F.split_part("target", F.lit("\t"), F.lit(2)).alias("read_id"), F.col("query").alias("target"), "bits", "strand")
         best = relational.assign_reads(hits)
         return relational.assign_pairs(best, t["dedup"]).withColumnRenamed("target", "locus")
@@ -42,7 +44,7 @@ def plan(store: str, word: int = 11, gap: float = 40, similarity: float = 60, co
 
     def classify(spark, t):
         queries = t["loci"].select(F.concat(F.col("locus"), F.lit("|")).alias("name"), F.col("nt").alias("seq")).unionByName(t["merge"].select(F.concat_ws("|", "locus", "sample").alias("name"), F.col("nf").alias("seq")))
-        hits = orthologs.seed_search(queries, t["genome"], word).join(queries.select(F.col("name").alias("query"), F.length("seq").alias("ql")), "query")
+        hits = search.gapped_search(queries, t["genome"], word, most_e=classify_e, most_places=most_places).join(queries.select(F.col("name").alias("query"), F.length("seq").alias("ql")), "query")
         hits = hits.withColumns({"locus": F.split_part("query", F.lit("|"), F.lit(1)), "sample": F.split_part("query", F.lit("|"), F.lit(2))})
         own = hits.where("sample = ''").select(F.col("locus").alias("query"), "target", "tlo", "thi", "qlo", "qhi", "ql", "id")
         status = orthologs.ortholog_status(hits.where("sample <> ''"), orthologs.qualified_references(own), t["merge"], gap)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import seq
-from weftline.operators import alignment, contigs, orthologs, relational, stats, trees
+from weftline.operators import alignment, contigs, orthologs, relational, search, stats, trees
 
 from . import frames
 from .driver_queries import _CELLS, _CODING, _FRAMES, _MSA, _REF, _coding, _count_sql, _first_row, _likelihoods, _LIKELIHOODS, _msa, _translate_sql, query, table
@@ -225,6 +225,28 @@ def seed_search(spark, d):
     return orthologs.seed_search(queries, rows.select(F.concat(F.lit("t"), "name").alias("name"), "seq"), k=20)
 
 
+_PART_DNA = "translate(md5('a' || p_partkey) || md5('b' || p_partkey) || md5('c' || p_partkey), '0123456789abcdef', 'ACGTACGTACGTACGT')"
+
+
+@query(
+    f"""WITH s AS (SELECT CAST(p_partkey AS VARCHAR) AS name, p_partkey % 2 = 0 AS longer, 1 + p_partkey % 7 AS n, p_partkey % 3 = 0 AS turned, count(*) OVER () AS many FROM part),
+h AS (SELECT *, CASE WHEN longer THEN 80 + n ELSE 80 - n END AS m, CASE WHEN longer THEN 160 - 5 - 2 * n ELSE 160 - 5 - 4 * n END AS score FROM s),
+b AS (SELECT *, (score * 0.625 - ln(0.41)) / ln(2) AS bits, list_reduce(list_prepend(0.0::DOUBLE, list_transform(range(12), lambda i: i::DOUBLE)), lambda l, i: greatest(0.0, ln(greatest(m - l, 1.0) * greatest(96.0 * many - l * many, many) * 0.41) / 0.78)) AS short FROM h)
+SELECT 'q' || name AS query, 't' || name AS target, CASE WHEN turned THEN '-' ELSE '+' END AS strand, CAST(1 AS BIGINT) AS qlo, m AS qhi, CAST(9 AS BIGINT) AS tlo, CAST(88 AS BIGINT) AS thi, CAST(score AS BIGINT) AS score,
+  round(bits, 4) AS bits, CAST(CASE WHEN longer THEN 80 + n ELSE 80 END AS BIGINT) AS columns, CAST(n AS BIGINT) AS gaps, round(log10((m - short) * (96.0 * many - short * many) * pow(2, -bits)), 3) AS log_e FROM b"""
+)
+def gapped_search(spark, d):
+    """Parts of sequences with letters put in or taken out in the middle, every third turned, against all sequences."""
+    digits = F.concat(*[F.md5(F.concat(F.lit(x), F.col("p_partkey").cast("string"))) for x in "abc"])
+    rows = table(spark, d, "part").select("p_partkey", F.col("p_partkey").cast("string").alias("name"), F.translate(digits, "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"))
+    n = (F.col("p_partkey") % 7 + 1).cast("int")
+    second = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.substring(F.lit("TGTCACG"), F.lit(1), n), F.substring("seq", 49, 40))).otherwise(F.substring("seq", F.lit(49) + n, F.lit(40) - n))
+    planted = F.concat(F.substring("seq", 9, 40), second)
+    queries = rows.select(F.concat(F.lit("q"), "name").alias("name"), F.when(F.col("p_partkey") % 3 == 0, seq.reverse_complement(planted)).otherwise(planted).alias("seq"))
+    hits = search.gapped_search(queries, rows.select(F.concat(F.lit("t"), "name").alias("name"), "seq"), k=16, most_e=1e-6)
+    return hits.select("query", "target", "strand", "qlo", "qhi", "tlo", "thi", "score", F.round("bits", 4).alias("bits"), "columns", "gaps", F.round(F.log10("evalue"), 3).alias("log_e"))
+
+
 @query(f"SELECT CAST(s_suppkey AS VARCHAR) AS name, substr({_DNA}, 1, 40) || repeat('a', 40) || substr({_DNA}, 41, 40) AS seq FROM supplier")
 def low_complexity_mask(spark, d):
     rows = _dna(spark, d).select("name", F.concat(F.substring("seq", 1, 40), F.repeat(F.lit("A"), F.lit(40)), F.substring("seq", 41, 40)).alias("seq"))
