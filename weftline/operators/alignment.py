@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.functions import codons
 from weftline.functions.seq import chars, count_letters, coverage, degap, nucleotide_distance, p_distance, thread_back, translate
 
 
@@ -422,19 +423,23 @@ def protein_alignment(dna: str, protein: str, gap: float = -4) -> tuple[int, int
     return best
 
 
-def align_proteins(rows: DataFrame) -> DataFrame:
-    """Contigs against the protein of their locus (``locus, contig, seq, protein``): coordinates, strand, score and similarity."""
+def align_proteins(rows: DataFrame, costs: codons.Costs = codons.Costs()) -> DataFrame:
+    """Contigs against the protein of their locus (``locus, contig, seq, protein``), on the better strand (``+`` on ties).
+
+    The best local alignment has affine gaps of whole codons and may shift the frame. ``stq, edq`` are residues, ``sts, eds`` bases of the strand that is
+    aligned (from 0, ends exclusive); ``sim`` is the percentage of columns that score above zero, ``shifts`` counts shifts of the frame. Contigs
+    without a residue in common, and null or empty sequences, give no row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for r in batch.itertuples():
-                turned = r.seq[::-1].translate(str.maketrans("ATCG", "TAGC"))
-                found = [(s, protein_alignment(x, r.protein)) for s, x in (("+", r.seq), ("-", turned))]
-                found = [(s, f) for s, f in found if f]
-                if found:
-                    s, (_, stq, edq, sts, eds, score) = max(found, key=lambda x: (x[1][5], x[0] == "+"))
-                    out.append((r.locus, r.contig, stq, edq, sts, eds, s, score, round(100 * max(0.0, (score / max(1, edq - stq) + 2) / 7), 2)))
-            yield pd.DataFrame(out, columns=["locus", "contig", "stq", "edq", "sts", "eds", "strand", "score", "sim"])
-
-    return rows.select("locus", "contig", "seq", "protein").mapInPandas(run, "locus string, contig string, stq long, edq long, sts long, eds long, strand string, score double, sim double")
+            turned = [s[::-1].translate(str.maketrans("ATCGatcg", "TAGCtagc")) for s in batch["seq"]]
+            both = codons.best_local_batched([*batch["protein"], *batch["protein"]], [*batch["seq"], *turned], costs)
+            one, two = both[: len(batch)], both[len(batch) :]
+            plus = one[:, 0] >= two[:, 0]
+            found = np.where(plus[:, None], one, two)
+            out = batch[["locus", "contig"]].assign(**{c: found[:, k] for k, c in ((1, "stq"), (2, "edq"), (3, "sts"), (4, "eds"))})
+            out = out.assign(strand=np.where(plus, "+", "-"), score=found[:, 0].astype(float), sim=100 * found[:, 5] / np.maximum(found[:, 6], 1), shifts=found[:, 7])
+            yield out[found[:, 0] > 0]
+
+    there = rows.select("locus", "contig", "seq", "protein").where((F.length("seq") > 0) & (F.length("protein") > 0))
+    return there.mapInPandas(run, "locus string, contig string, stq long, edq long, sts long, eds long, strand string, score double, sim double, shifts long").withColumn("sim", F.round("sim", 2))

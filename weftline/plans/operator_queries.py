@@ -255,6 +255,8 @@ def low_complexity_mask(spark, d):
     return out.select("name", F.concat(F.upper(F.substring("seq", 1, 40)), F.substring("seq", 41, 40), F.upper(F.substring("seq", 81, 40))).alias("seq"))
 
 
+_HEX_CODONS = {"0": "GCA", "1": "GCT", "2": "CGA", "3": "AAC", "4": "GAT", "5": "TGC", "6": "CAG", "7": "GAA", "8": "GGT", "9": "CAT", "a": "ATC", "b": "CTG", "c": "AAA", "d": "TTC", "e": "CCG", "f": "TCT"}
+
 # contigs
 
 
@@ -383,10 +385,23 @@ def assembled_reads(spark, d):
 _ORF = f"p AS (SELECT CAST(s_suppkey AS VARCHAR) AS locus, {_DNA} AS dna FROM supplier), o AS (SELECT locus, dna, {_translate_sql('dna', 0)} AS protein FROM p)"
 
 
-@query(f"WITH {_ORF} SELECT locus, 'x' AS contig, CAST(0 AS BIGINT) AS stq, CAST(32 AS BIGINT) AS edq, CAST(0 AS BIGINT) AS sts, CAST(96 AS BIGINT) AS eds, '+' AS strand, CAST(160 AS DOUBLE) AS score, CAST(100 AS DOUBLE) AS sim FROM o")
+@query(
+    """WITH s AS (SELECT CAST(p_partkey AS VARCHAR) AS locus, p_partkey % 4 AS v, 1 + p_partkey % 5 AS n, p_partkey % 7 = 0 AS turned FROM part)
+SELECT locus, 'x' AS contig, CAST(0 AS BIGINT) AS stq, CAST(32 AS BIGINT) AS edq, CAST(2 AS BIGINT) AS sts, CAST(98 + CASE v WHEN 0 THEN 3 * n WHEN 1 THEN -3 * n WHEN 2 THEN 1 ELSE 2 END AS BIGINT) AS eds,
+  CASE WHEN turned THEN '-' ELSE '+' END AS strand, CAST(CASE v WHEN 0 THEN 160 - 8 - 2 * n WHEN 1 THEN 160 - 5 * n - 8 - 2 * n ELSE 160 - 14 END AS DOUBLE) AS score,
+  CASE v WHEN 0 THEN round(CAST(3200 AS DOUBLE) / (32 + n), 2) WHEN 1 THEN round(CAST(3200 - 100 * n AS DOUBLE) / 32, 2) ELSE 100 END AS sim, CAST(CASE WHEN v >= 2 THEN 1 ELSE 0 END AS BIGINT) AS shifts FROM s"""
+)
 def proteins_to_dna(spark, d):
-    rows = _dna(spark, d).select(F.col("name").alias("locus"), F.lit("x").alias("contig"), "seq", seq.translate("seq").alias("protein"))
-    return alignment.align_proteins(rows)
+    """Coding sequences with codons put in or taken out, or one or two bases put in, some turned, against the proteins that they code for."""
+    codon = F.create_map(*[F.lit(x) for kv in _HEX_CODONS.items() for x in kv])
+    digits = F.md5(F.concat(F.lit("x"), F.col("p_partkey").cast("string")))
+    rows = table(spark, d, "part").select("p_partkey", F.array_join(F.transform(F.split(digits, ""), lambda c: F.element_at(codon, c)), "").alias("nt"))
+    v, n = F.col("p_partkey") % 4, (F.col("p_partkey") % 5 + 1).cast("int")
+    put = F.when(v == 0, F.repeat(F.lit("TGG"), n)).when(v == 1, "").when(v == 2, "G").otherwise("GG")
+    rest = F.when(v == 1, F.substring("nt", F.lit(49) + 3 * n, F.lit(48) - 3 * n)).otherwise(F.substring("nt", 49, 48))
+    made = F.concat(F.lit("CC"), F.substring("nt", 1, 48), put, rest, F.lit("C"))
+    made = F.when(F.col("p_partkey") % 7 == 0, seq.reverse_complement(made)).otherwise(made)
+    return alignment.align_proteins(rows.select(F.col("p_partkey").cast("string").alias("locus"), F.lit("x").alias("contig"), made.alias("seq"), seq.translate("nt").alias("protein")))
 
 
 @query(f"SELECT CAST(s_suppkey AS VARCHAR) AS read_id, CAST(1 + s_suppkey % 2 AS INT) AS mate, substr({_DNA}, 1, 60) AS seq FROM supplier")
@@ -639,9 +654,6 @@ def deviant_rows_dropped(spark, d):
 # the whole way from reads to classified contigs
 
 #: A codon that is no stop for each hexadecimal digit.
-_HEX_CODONS = {"0": "GCA", "1": "GCT", "2": "CGA", "3": "AAC", "4": "GAT", "5": "TGC", "6": "CAG", "7": "GAA", "8": "GGT", "9": "CAT", "a": "ATC", "b": "CTG", "c": "AAA", "d": "TTC", "e": "CCG", "f": "TCT"}
-
-
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS locus, 's' AS sample, 'ortholog' AS status, CAST(96 AS INT) AS bases FROM supplier WHERE s_suppkey < 40")
 def reads_to_orthologs(spark, d):
     """Pairs that tile each locus are deduplicated, assigned, assembled, aligned with the locus's protein, and found again
