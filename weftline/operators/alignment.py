@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.functions import codons
-from weftline.functions.seq import chars, count_letters, coverage, degap, nucleotide_distance, p_distance, thread_back, translate
+from weftline.functions import codons, profiles
+from weftline.functions.seq import chars, count_letters, coverage, degap, kmer_counts, nucleotide_distance, p_distance, thread_back, translate
 
 
 def cells(rows: DataFrame, seq: str = "seq", *keys: str) -> DataFrame:
@@ -276,7 +276,7 @@ def _global(a: str, b: str, match: float = 2, mismatch: float = -1, gap: float =
 
 
 def star_alignment(seqs: list[str]) -> list[str]:
-    """Strings aligned to the longest of them (the first on ties), gaps once made staying made."""
+    """The plain way that :func:`align` is measured against: strings aligned to the longest of them (the first on ties), gaps once made staying made."""
     if not seqs:
         return []
     centre = max(range(len(seqs)), key=lambda i: (len(seqs[i]), -i))
@@ -310,21 +310,49 @@ def star_alignment(seqs: list[str]) -> list[str]:
     return [rows[i] for i in range(len(seqs))]
 
 
-def align(rows: DataFrame, key: str = "locus", seq: str = "seq", order: str = "taxon") -> DataFrame:
-    """Unaligned rows as multiple alignments by a star of pairwise ones. A key's rows are aligned by one task."""
-    bare = rows.withColumn(seq, degap(seq))
+def _pivot_places(rows: DataFrame, key: str, seq: str, k: int, pivots: int) -> DataFrame:
+    """Distances of each row (``_n`` within its key) to some rows of the key, by shared k-mers: ``key, _n, at`` (pivot and distance).
+
+    Pivots are drawn by a hash, so the join grows with the rows, not with their pairs."""
+    drawn = Window.partitionBy(key).orderBy(F.xxhash64(seq), "_n")
+    chosen = rows.withColumn("_d", F.row_number().over(drawn)).where(F.col("_d") <= pivots).select(key, seq, "_d", F.length(seq).alias("_m"))
+    mine = kmer_counts(rows, seq, k, key, "_n")
+    theirs = kmer_counts(chosen, seq, k, key, "_d").withColumnRenamed("times", "_times")
+    shared = mine.join(theirs, [key, "kmer"]).groupBy(key, "_n", "_d").agg(F.sum(F.least("times", "_times")).alias("shared"))
+    both = shared.join(rows.select(key, "_n", F.length(seq).alias("_l")), [key, "_n"]).join(chosen.drop(seq), [key, "_d"])
+    apart = 1 - F.col("shared") / F.greatest(F.lit(1), F.least("_l", "_m") - k + 1)
+    return both.groupBy(key, "_n").agg(F.collect_list(F.struct(F.col("_d").alias("d"), apart.alias("x"))).alias("_at"))
+
+
+def align(rows: DataFrame, key: str = "locus", seq: str = "seq", order: str = "taxon", protein: bool = False, k: int | None = None, pivots: int = 32) -> DataFrame:
+    """Unaligned rows as multiple alignments, progressively: k-mer distances to ``pivots`` rows of each key by a join, a
+    guide tree by mean distance, and profiles aligned along it with affine gaps. Letters come out in upper case.
+
+    Distances of a key's rows are spread over tasks; its merges are made by one task. Rows of a null key form a key; null
+    sequences are empty and all gaps."""
+    k = k or (3 if protein else 6)
+    bare = rows.withColumn(seq, F.upper(degap(F.coalesce(seq, F.lit("")))))
+    numbered = bare.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order, seq)))
+    places = _pivot_places(numbered.select(key, "_n", seq), key, seq, k, pivots)
+    joined = numbered.join(places.withColumnRenamed(key, "_key").withColumnRenamed("_n", "_m"), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_n") == F.col("_m")), "left").drop("_key", "_m")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable").astype({seq: object})
-        return group.assign(**{seq: pd.Series(star_alignment(group[seq].tolist()), index=group.index, dtype=object)})
+        group = group.sort_values("_n", kind="stable").astype({seq: object})
+        at = np.ones((len(group), pivots))
+        for row, found in zip(at, group["_at"], strict=True):
+            for f in found if found is not None else ():
+                row[f["d"] - 1] = f["x"]
+        return group.assign(**{seq: pd.Series(profiles.progressive(group[seq].tolist(), at, protein), index=group.index, dtype=object)}).drop(columns=["_n", "_at"])
 
-    return bare.groupBy(key).applyInPandas(run, bare.schema)
+    # little data and much work: partitions are not merged by their size
+    spread = joined.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return spread.groupBy(key).applyInPandas(run, bare.schema)
 
 
 def align_codons(rows: DataFrame, key: str = "locus") -> DataFrame:
     """Coding rows aligned as proteins and threaded back; rows whose length is no multiple of three are left out."""
     bare = rows.withColumn("seq", degap("seq")).where("length(seq) % 3 = 0 AND length(seq) > 0")
-    aligned = align(bare.withColumns({"_dna": F.col("seq"), "seq": translate("seq")}), key)
+    aligned = align(bare.withColumns({"_dna": F.col("seq"), "seq": translate("seq")}), key, protein=True)
     return aligned.withColumn("seq", thread_back("seq", "_dna")).drop("_dna")
 
 

@@ -533,26 +533,55 @@ def loci_of_enough_difference(spark, d):
     return trees.enough_difference(alignment.mean_distance(_msa(spark, d)), 0.3).select("locus")
 
 
+_FAMILY = "f AS (SELECT p_partkey // 20 AS locus, p_partkey % 20 AS t FROM part)"
+_HEX_MAP = "MAP {" + ", ".join(f"'{h}': '{c}'" for h, c in _HEX_CODONS.items()) + "}"
+
+
+def _family(spark, d) -> DataFrame:
+    """Rows in families of 20: ``locus, t`` and the number of letters that those with a gap lack."""
+    k = F.col("p_partkey")
+    return table(spark, d, "part").select((k / 20).cast("long").alias("locus"), (k % 20).alias("t"))
+
+
+def _beside_first(aligned: DataFrame, letters="seq") -> DataFrame:
+    """Width, bare letters, and letters that are the same as the first row's in their column."""
+    aligned = aligned.withColumn("own", F.col(letters) if isinstance(letters, str) else letters)
+    first = aligned.where("taxon = '00'").select("locus", F.col("own").alias("ref"))
+    same = F.size(F.filter(F.sequence(F.lit(1), F.length("own")), lambda i: (F.substring("own", i, F.lit(1)) == F.substring("ref", i, F.lit(1))) & (F.substring("own", i, F.lit(1)) != "-")))
+    return aligned.join(first, "locus").select("locus", "taxon", F.length("seq").alias("width"), F.replace(F.col("seq"), F.lit("-"), F.lit("")).alias("bare"), same.alias("same"))
+
+
 @query(
-    f"""WITH z AS (SELECT CAST(s_nationkey AS VARCHAR) AS locus, CAST(s_suppkey AS VARCHAR) AS taxon, substr({_DNA}, 1, 60) AS s FROM supplier), f AS (SELECT locus, arg_min(s, taxon) AS one FROM z GROUP BY locus)
-SELECT z.locus, taxon, one AS seq FROM z JOIN f ON z.locus = f.locus WHERE CAST(taxon AS INT) % 4 > 0"""
+    f"""WITH {_FAMILY}, g AS (SELECT locus, t, translate(md5('a' || locus) || md5('b' || locus) || md5('c' || locus), '0123456789abcdef', 'ACGTACGTACGTACGT') AS base, CASE WHEN t % 4 = 0 THEN 0 ELSE 4 + locus % 6 END AS n, 6 + t % 10 AS p, 21 + 25 * (t % 4 - 1) AS a FROM f),
+m AS (SELECT *, CASE WHEN t = 0 THEN base ELSE substr(base, 1, p - 1) || translate(substr(base, p, 1), 'ACGT', 'CGTA') || substr(base, p + 1) END AS s FROM g)
+SELECT CAST(locus AS VARCHAR) AS locus, lpad(CAST(t AS VARCHAR), 2, '0') AS taxon, CAST(96 AS INT) AS width, CASE WHEN n = 0 THEN s ELSE substr(s, 1, a - 1) || substr(s, a + n) END AS bare, CAST(96 - n - (t > 0)::INT AS INT) AS same FROM m"""
 )
-def codons_aligned(spark, d):
-    rows = _dna(spark, d).join(table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("name"), "s_nationkey"), "name").select(F.col("s_nationkey").cast("string").alias("locus"), F.col("name").alias("taxon"), F.substring("seq", 1, 60).alias("seq"))
-    one = rows.groupBy("locus").agg(F.min_by("seq", "taxon").alias("one"))
-    # copies of one sequence, some with gaps at their end, some short of a base: these are left out
-    cut = F.when(F.col("taxon").cast("int") % 4 == 0, F.expr("substring(one, 2)")).otherwise(F.concat("one", F.lit("---")))
-    return alignment.align_codons(rows.join(one, "locus").select("locus", "taxon", cut.alias("seq"))).select("locus", "taxon", "seq")
+def diverged_alignment(spark, d):
+    """Families of rows, each but the first with another letter, three of four with a gap in one of three places."""
+    rows = _family(spark, d)
+    base = F.translate(F.concat(*[F.md5(F.concat(F.lit(x), F.col("locus").cast("string"))) for x in "abc"]), "0123456789abcdef", "ACGTACGTACGTACGT")
+    rows = rows.withColumns({"base": base, "p": (F.col("t") % 10 + 6).cast("int"), "a": (F.col("t") % 4 * 25 - 4).cast("int"), "n": (F.col("locus") % 6 + 4).cast("int")})
+    other = F.concat(F.substring("base", F.lit(1), F.col("p") - 1), F.translate(F.substring("base", F.col("p"), F.lit(1)), "ACGT", "CGTA"), F.substring("base", F.col("p") + 1, F.lit(96)))
+    rows = rows.withColumn("s", F.when(F.col("t") == 0, F.col("base")).otherwise(other))
+    gapped = F.when(F.col("t") % 4 == 0, F.col("s")).otherwise(F.concat(F.substring("s", F.lit(1), F.col("a") - 1), F.substring("s", F.col("a") + F.col("n"), F.lit(96))))
+    return _beside_first(alignment.align(rows.select(F.col("locus").cast("string").alias("locus"), F.lpad(F.col("t").cast("string"), 2, "0").alias("taxon"), gapped.alias("seq"))))
 
 
 @query(
-    f"""WITH z AS (SELECT CAST(s_nationkey AS VARCHAR) AS locus, CAST(s_suppkey AS VARCHAR) AS taxon, substr({_DNA}, 1, 60) AS s FROM supplier), f AS (SELECT locus, arg_min(s, taxon) AS one FROM z GROUP BY locus)
-SELECT z.locus, taxon, one AS seq FROM z JOIN f ON z.locus = f.locus"""
+    f"""WITH {_FAMILY}, g AS (SELECT locus, t, array_to_string(list_transform(string_split(md5('x' || locus), ''), lambda c: {_HEX_MAP}[c]), '') AS base, CASE WHEN t % 4 = 0 THEN 0 ELSE 3 * (1 + locus % 3) END AS n, 4 + 3 * (t % 4) AS p, 25 + 24 * (t % 4 - 1) AS a FROM f),
+m AS (SELECT *, CASE WHEN t = 0 THEN base ELSE substr(base, 1, p - 1) || 'TGG' || substr(base, p + 3) END AS s FROM g)
+SELECT CAST(locus AS VARCHAR) AS locus, lpad(CAST(t AS VARCHAR), 2, '0') AS taxon, CAST(96 AS INT) AS width, CASE WHEN n = 0 THEN s ELSE substr(s, 1, a - 1) || substr(s, a + n) END AS bare, CAST(32 - n // 3 - (t > 0)::INT AS INT) AS same FROM m WHERE t % 10 <> 9"""
 )
-def plain_alignment(spark, d):
-    rows = _dna(spark, d).join(table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("name"), "s_nationkey"), "name").select(F.col("s_nationkey").cast("string").alias("locus"), F.col("name").alias("taxon"), F.substring("seq", 1, 60).alias("seq"))
-    one = rows.groupBy("locus").agg(F.min_by("seq", "taxon").alias("one"))
-    return alignment.align(rows.join(one, "locus").select("locus", "taxon", F.concat(F.lit("-"), "one").alias("seq"))).select("locus", "taxon", "seq")
+def diverged_codons(spark, d):
+    """The same with codons, whose amino acids are compared; of every ten rows one is short of a base and left out."""
+    codon = F.create_map(*[F.lit(x) for kv in _HEX_CODONS.items() for x in kv])
+    base = F.array_join(F.transform(F.split(F.md5(F.concat(F.lit("x"), F.col("locus").cast("string"))), ""), lambda c: F.element_at(codon, c)), "")
+    rows = _family(spark, d).withColumns({"base": base, "p": (F.col("t") % 4 * 3 + 4).cast("int"), "a": (F.col("t") % 4 * 24 + 1).cast("int"), "n": (F.col("locus") % 3 * 3 + 3).cast("int")})
+    other = F.concat(F.substring("base", F.lit(1), F.col("p") - 1), F.lit("TGG"), F.substring("base", F.col("p") + 3, F.lit(96)))
+    rows = rows.withColumn("s", F.when(F.col("t") == 0, F.col("base")).otherwise(other))
+    gapped = F.when(F.col("t") % 4 == 0, F.col("s")).otherwise(F.concat(F.substring("s", F.lit(1), F.col("a") - 1), F.substring("s", F.col("a") + F.col("n"), F.lit(96))))
+    rows = rows.withColumn("seq", F.when(F.col("t") % 10 == 9, F.substring(gapped, F.lit(2), F.lit(96))).otherwise(gapped))
+    return _beside_first(alignment.align_codons(rows.select(F.col("locus").cast("string").alias("locus"), F.lpad(F.col("t").cast("string"), 2, "0").alias("taxon"), "seq")), seq.translate("seq"))
 
 
 # statistics
