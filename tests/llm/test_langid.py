@@ -49,6 +49,24 @@ def test_sample_is_bounded_in_rows_and_takes_whole_texts(spark):
     assert len(held) == 5 and all(len(x.split()) == 800 for x in held)
 
 
+def test_repeated_rows_count_once(spark):
+    """A hundred thousand copies of a row beside few other documents: the language stays, the copies are one document of the sample."""
+    others = spark.createDataFrame([(i, " ".join(t.split()), g) for i, t, g, _ in corpus(300, 6)], "doc_id long, text string, lang string")
+    for k in range(3):
+        copies = spark.range(100_000).select(F.lit(10_000 + k).cast("long").alias("doc_id"), F.lit(f"the copied text {'abc'[k]}").alias("text"), F.lit("en").alias("lang"))
+        held = langid.learn(others.unionByName(copies))
+        assert set(held) == set(WORDS)
+        lines = held["en"].split(b"\n")[:-1]
+        assert 60 < len(lines) <= 200 and sum(x.startswith(b"the copied") for x in lines) <= 1
+
+
+def test_sample_is_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 90_000)
+    docs = spark.createDataFrame([(i, f"word{i} " * 1000, "en" if i % 2 else "de") for i in range(100)], "doc_id long, text string, lang string")
+    held = langid.learn(docs)
+    assert set(held) == {"de", "en"} and all(4 <= len(raw.split(b"\n")) - 1 <= 6 for raw in held.values())
+
+
 def test_too_many_languages_are_an_error(spark):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"), F.col("id").cast("string").alias("lang"))
     with pytest.raises(ValueError):

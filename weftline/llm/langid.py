@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import Stored, table
 
 #: Bound of the sample that dictionaries are made of: whole texts of so many documents of each language, none of which is
-#: longer than this in bytes; and how many languages there may be.
+#: longer than this in bytes; bytes of all languages together, and of one, as the compressor's window is no longer; and how
+#: many languages there may be.
 SAMPLE_DOCS = 200
 LONGEST = 1 << 16
+SAMPLE_BYTES = 64 << 20
+DICTIONARY_BYTES = 2 << 20
 MOST_LANGS = 256
 LEVEL = 3
 #: Texts are coded in blocks, so the dictionary counts as much at their end as at their start.
@@ -35,27 +38,38 @@ def letters(text: str) -> bytes:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = SAMPLE_DOCS, longest: int = LONGEST) -> dict[str, bytes]:
     """A dictionary of raw content for each non-null language.
 
-    The sample is bounded in rows: ``per_lang`` documents of each language, those with the smallest hash of their key
-    and text among the ones of ``longest`` bytes at most. Sampled texts are taken whole. A language's rows are counted
-    first and a share of the hashes is drawn that holds more than enough of them, so no language is ranked in one task.
-    Null and empty texts are passed over, repeated rows once each; more than ``MOST_LANGS`` languages are an error.
+    The sample is bounded in rows and bytes: ``per_lang`` distinct documents of each language, those with the smallest hash of
+    their key and text among the ones of ``longest`` bytes at most, as far as they fit in an even share of ``SAMPLE_BYTES``
+    and in ``DICTIONARY_BYTES``. Sampled texts are taken whole. Hashes and lengths alone are looked at first: a language's distinct
+    hashes are counted by a sketch and a share of them is drawn that holds more than enough, so no language is ranked in one task and
+    repeated rows count once. Then the chosen texts come to the driver. Null and empty texts are passed over; a language that has only
+    longer ones is not learned; more than ``MOST_LANGS`` languages are an error.
     """
     draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.md5(F.col(text)))), 1, 13), 16, 10).cast("long")
-    known = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0) & (F.octet_length(text) <= longest))
-    rows = known.groupBy(F.col(lang).alias("lang")).count().limit(MOST_LANGS + 1).collect()
+    known = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0) & (F.octet_length(text) <= longest)).select(F.col(lang).alias("lang"), draw.alias("draw"), F.col(text).alias("text"))
+    slim = Stored(known.select("lang", "draw", F.octet_length("text").alias("bytes")))
+    rows = slim.df.groupBy("lang").agg(F.approx_count_distinct("draw", 0.02).alias("n")).limit(MOST_LANGS + 1).collect()
     if len(rows) > MOST_LANGS:
         raise ValueError(f"more than {MOST_LANGS} languages")
     if not rows:
         return {}
-    # of n rows drawn with the probability p, fewer than per_lang are left once in a great many runs
-    share = {r.lang: min(1.0, (per_lang + 6 * per_lang**0.5 + 10) / r["count"]) for r in rows}
-    limit = F.create_map(*[F.lit(x) for lang_, p in share.items() for x in (lang_, int(p * (1 << 52)))])
-    some = known.where(draw < F.element_at(limit, F.col(lang))).select(F.col(lang).alias("lang"), draw.alias("draw"), F.col(text).alias("text")).collect()
-    by: dict[str, list[tuple[int, str]]] = {}
-    for r in some:
-        by.setdefault(r.lang, []).append((r.draw, r.text))
+    # of n hashes drawn with the probability p, fewer than per_lang are left once in a great many runs; a quarter more for the sketch's error
+    share = {r.lang: min(1.0, 1.25 * (per_lang + 6 * per_lang**0.5 + 10) / max(1, r.n)) for r in rows}
+    below = lambda most: F.col("draw") < F.element_at(F.create_map(*[F.lit(x) for pair in most.items() for x in pair]), F.col("lang"))
+    by: dict[str, list[tuple[int, int]]] = {}
+    for r in slim.df.where(below({g: int(p * (1 << 52)) for g, p in share.items()})).distinct().collect():
+        by.setdefault(r.lang, []).append((r.draw, r.bytes))
+    slim.drop()
+    most, chosen = min(DICTIONARY_BYTES, SAMPLE_BYTES // len(rows)), {}
+    for g, drawn in by.items():
+        drawn.sort()
+        room = [k for k in range(1, min(per_lang, len(drawn)) + 1) if sum(b for _, b in drawn[:k]) <= most]
+        chosen[g] = drawn[max(room, default=1) - 1][0] + 1
+    texts: dict[str, list[tuple[int, str]]] = {}
+    for r in known.where(below(chosen)).dropDuplicates(["lang", "draw"]).collect():
+        texts.setdefault(r.lang, []).append((r.draw, r.text))
     # the first of the draw come last, as the end of a dictionary is found first
-    return {k: b"".join(letters(t) + b"\n" for _, t in sorted(v)[:per_lang][::-1]) for k, v in sorted(by.items())}
+    return {g: b"".join(letters(t) + b"\n" for _, t in sorted(v)[::-1]) for g, v in sorted(texts.items())}
 
 
 @lru_cache(maxsize=2)
