@@ -196,15 +196,32 @@ def scan(docs: DataFrame, text: str, prefix: str) -> DataFrame:
     return docs.withColumns({f"{prefix}_base": F.concat(*[_of_kind(a, k) for k, a in enumerate(kinds)]), f"{prefix}_more": _candidates(body)})
 
 
+def _last_to(spans: Column, at: Column) -> Column:
+    """The last of some spans, sorted and apart from each other, that starts at ``at`` or before; null without one. A binary search."""
+    n = F.size(spans)
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2((n + 1).cast("double"))).cast("int")))
+    middle = lambda a: F.shiftright(a["lo"] + a["hi"], 1)
+    pair = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
+    step = lambda a, _: F.when(F.get(spans, middle(a))["start"] <= at, pair(middle(a) + 1, a["hi"])).otherwise(pair(a["lo"], middle(a)))
+    return F.aggregate(steps, pair(F.lit(0), n), step, lambda a: F.get(spans, a["lo"] - 1))
+
+
 def decide(scanned: DataFrame, prefix: str, to: str, alpha: float = ALPHA) -> DataFrame:
-    """What ``scan`` gave (stored, as it is read twice) with all spans in ``to``."""
+    """What ``scan`` gave (stored, as it is read twice) with all spans in ``to``. Spans of one kind are apart from each other, so
+    whether one of a kind holds a string is decided by a search for a place, however many there are."""
     base, more, known = (f"{prefix}_{x}" for x in ("base", "more", "edges"))
+    apart = [f"{prefix}_kind{k}" for k in range(len(KINDS) - 1)]
     found = scanned.select(F.explode(more).alias("c")).select("c.stratum", "c.bin")
     edges = discoveries(found, alpha).agg(F.map_from_entries(F.collect_list(F.struct("stratum", "bin")))).scalar()
-    held = F.col(base)
-    reported = lambda x: (x["bin"] >= F.coalesce(F.element_at(F.col(known), x["stratum"]), F.lit(MOST_BINS + 1))) & ~F.exists(held, lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"]))
+    inside = lambda x: F.coalesce(F.greatest(*[_last_to(F.col(c), x["start"])["end"] for c in apart]) >= x["end"], F.lit(False))
+    reported = lambda x: (x["bin"] >= F.coalesce(F.element_at(F.col(known), x["stratum"]), F.lit(MOST_BINS + 1))) & ~inside(x)
     random = F.filter(F.col(more), reported)
-    return scanned.withColumn(known, edges).withColumn(to, F.array_sort(F.concat(held, _of_kind(random, len(KINDS) - 1)))).drop(base, more, known)
+    split = scanned.withColumns({known: edges} | {c: _kept_kind(F.col(base), k) for k, c in enumerate(apart)})
+    return split.withColumn(to, F.array_sort(F.concat(F.col(base), _of_kind(random, len(KINDS) - 1)))).drop(base, more, known, *apart)
+
+
+def _kept_kind(spans: Column, kind: int) -> Column:
+    return F.filter(spans, lambda x: x["kind"] == kind)
 
 
 def find_secrets(docs: DataFrame, text: str = "text", alpha: float = ALPHA, to: str = "_secret_spans") -> DataFrame:
@@ -221,14 +238,26 @@ def find_secrets(docs: DataFrame, text: str = "text", alpha: float = ALPHA, to:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each union of overlapping spans replaced by a mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda a, x: F.when(
-        x["start"] >= a["at"],
-        F.struct(x["end"].alias("at"), F.concat(a["out"], F.substring(text, a["at"] + 1, x["start"] - a["at"]), F.lit(mark)).alias("out")),
-    ).otherwise(F.struct(F.greatest(a["at"], x["end"]).alias("at"), a["out"].alias("out")))
-    whole = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    """The text with each union of overlapping spans replaced by a mark.
+
+    A span begins a union if none before it reaches it; of each kind only the last one before can. The text is cut once at
+    the unions, in an encoding of four bytes each, where a place needs no search."""
+    kinds = range(len(KINDS))
+
+    def begun(v: Column) -> Column:
+        ends = lambda x: [F.coalesce(_last_to(v[f"k{k}"], x["start"] - F.when(x["kind"] > k, 0).otherwise(1))["end"], F.lit(0)) for k in kinds]
+        reached = F.transform(v["spans"], lambda x: F.struct(x["start"].alias("start"), F.greatest(*ends(x)).alias("before")))
+        return F.filter(reached, lambda x: x["before"] <= x["start"])
+
+    def pieces(v: Column) -> Column:
+        part = lambda a, b: F.decode(F.substring(v["raw"], a * 4 + 1, (b - a) * 4), "UTF-32")
+        last = F.greatest(*[F.coalesce(F.try_element_at(v[f"k{k}"], F.lit(-1))["end"], F.lit(0)) for k in kinds])
+        tail = F.decode(F.substring(v["raw"], last * 4 + 1, F.octet_length(v["raw"])), "UTF-32")
+        return F.array_join(F.concat(F.transform(begun(v), lambda x: part(x["before"], x["start"])), F.array(tail)), mark)
+
+    split = lambda v: F.struct(v["raw"].alias("raw"), v["spans"].alias("spans"), *[_kept_kind(v["spans"], k).alias(f"k{k}") for k in kinds])
+    given = F.struct(F.encode(text, "UTF-32").alias("raw"), spans.alias("spans"))
+    return F.when(F.size(spans) > 0, _let(_let(given, split), pieces)).otherwise(text)
 
 
 def _listed(spans: Column) -> Column:
