@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import re
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: What is compared: letters in upper case, or bases.
+LETTERS, BASES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGT"
 #: Bases that an IUPAC code stands for.
 IUPAC = {"M": "AC", "R": "AG", "W": "AT", "S": "CG", "Y": "CT", "K": "GT", "V": "ACG", "H": "ACT", "D": "AGT", "B": "CGT", "N": "ACGT"}
 #: The standard genetic code, codons in the order of the bases TCAG.
@@ -84,11 +88,27 @@ def codon_position(first, pos) -> Column:
 
 
 
-def _counted(a, b, both, differs) -> Column:
-    """(comparable, different) places of two strings of one length."""
-    zipped = F.zip_with(chars(a), chars(b), lambda x, y: F.when(both(x, y), F.when(differs(x, y), 2).otherwise(1)).otherwise(0))
-    n = lambda k: F.size(F.filter(zipped, lambda v: v >= k))
-    return F.struct(n(1).alias("n"), n(2).alias("diff"))
+def bit_planes(s, letters: str) -> Column:
+    """A string as bits: for each 64 places a long for each binary digit of a letter's number in ``letters``, from 1 (0: none of them)."""
+    digits = len(letters).bit_length()
+    clean = F.regexp_replace(_col(s), "[^" + re.escape(letters) + "]", "-")
+    rows = [["0", *("01"[n >> d & 1] for n in range(1, len(letters) + 1))] for d in range(digits)]
+    word = lambda c: F.struct(*[F.conv(F.translate(c, "-" + letters, "".join(bits)), 2, -10).cast("long").alias(f"p{d}") for d, bits in enumerate(rows)])
+    return F.transform(F.regexp_extract_all(clean, F.lit("(?s).{1,64}"), F.lit(0)), lambda c: word(F.rpad(c, 64, "-")))
+
+
+def compared(a: Column, b: Column, letters: str) -> Column:
+    """(comparable, different) places of the bit planes of two strings: 64 places a step."""
+    digits = [f"p{d}" for d in range(len(letters).bit_length())]
+    any_ = lambda cs: functools.reduce(lambda x, y: x.bitwiseOR(y), cs)
+    pair = lambda x, y: F.struct(any_([x[d] for d in digits]).bitwiseAND(any_([y[d] for d in digits])).alias("both"), any_([x[d].bitwiseXOR(y[d]) for d in digits]).alias("other"))
+    count = lambda v: F.coalesce(F.bit_count(v), F.lit(0))  # noqa: E731  places past the shorter string are null
+    step = lambda t, v: F.struct((t["n"] + count(v["both"])).alias("n"), (t["diff"] + count(v["both"].bitwiseAND(v["other"]))).alias("diff"))
+    return F.aggregate(F.zip_with(a, b, pair), F.struct(F.lit(0).alias("n"), F.lit(0).alias("diff")), step)
+
+
+def _counted(a, b, letters: str) -> Column:
+    return compared(bit_planes(a, letters), bit_planes(b, letters), letters)
 
 
 def hamming(a, b) -> Column:
@@ -98,22 +118,23 @@ def hamming(a, b) -> Column:
 
 def comparable_mismatches(a, b) -> Column:
     """Places where both hold a letter, ? or * and differ."""
-    ok = lambda c: c.rlike(r"^[A-Z?*]$")
-    return _counted(a, b, lambda x, y: ok(x) & ok(y), lambda x, y: x != y)["diff"]
+    return _counted(a, b, LETTERS + "?*")["diff"]
 
 
 def p_distance(a, b, least=0) -> Column:
     """Share of places with letters in both that differ, rounded to three digits; null under ``least`` such places."""
-    ok = lambda c: c.rlike(r"^[A-Z]$")
-    counted = _counted(a, b, lambda x, y: ok(x) & ok(y), lambda x, y: x != y)
-    return F.when((counted["n"] > 0) & (counted["n"] >= _lit(least)), F.round(counted["diff"].cast("double") / counted["n"], 3))
+    counted = _counted(a, b, LETTERS)
+    return _held(counted, lambda c: F.when((c["n"] > 0) & (c["n"] >= _lit(least)), F.round(c["diff"].cast("double") / c["n"], 3)))
 
 
 def nucleotide_distance(a, b) -> Column:
     """Uncorrected distance over places with a base in both; null without any."""
-    ok = lambda c: c.rlike("^[ACGT]$")
-    counted = _counted(a, b, lambda x, y: ok(x) & ok(y), lambda x, y: x != y)
-    return F.when(counted["n"] > 0, counted["diff"].cast("double") / counted["n"])
+    return _held(_counted(a, b, BASES), lambda c: F.when(c["n"] > 0, c["diff"].cast("double") / c["n"]))
+
+
+def _held(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _lit(x) -> Column:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.functions import codons, profiles
-from weftline.functions.seq import chars, count_letters, coverage, degap, kmer_counts, nucleotide_distance, p_distance, thread_back, translate
+from weftline.functions.seq import BASES, LETTERS, bit_planes, chars, compared, count_letters, coverage, degap, kmer_counts, p_distance, thread_back, translate
 
 
 def cells(rows: DataFrame, seq: str = "seq", *keys: str) -> DataFrame:
@@ -175,35 +177,101 @@ def poor_blocks(rows: DataFrame, least_bases: int = 10, least_cover: float = 0.6
     return out.join(keep, key, "left_semi")
 
 
-def pairwise(rows: DataFrame, key: str = "locus", distance=nucleotide_distance) -> DataFrame:
-    """Distance of each pair of rows of a key, one row to a pair: ``key, a, b, d``."""
-    one, two = (rows.select(key, F.col("taxon").alias(n), F.col("seq").alias(f"_{n}")) for n in ("a", "b"))
-    return one.join(two, key).where("a < b").select(key, "a", "b", distance("_a", "_b").alias("d"))
+def pairwise(rows: DataFrame, key: str = "locus", letters: str = BASES) -> DataFrame:
+    """Distance of each pair of rows of a key, one row to a pair: ``key, a, b, d`` (share of the places with ``letters`` in both that
+    differ; null without any). A row is turned to bits once, a pair takes a few steps for each 64 places."""
+    planes = rows.select(key, "taxon", bit_planes("seq", letters).alias("_p"))
+    one, two = (planes.select(key, F.col("taxon").alias(n), F.col("_p").alias(f"_{n}")) for n in ("a", "b"))
+    found = one.join(two, key).where("a < b").select(key, "a", "b", compared(F.col("_a"), F.col("_b"), letters).alias("_c"))
+    return found.select(key, "a", "b", F.when(F.col("_c.n") > 0, F.col("_c.diff").cast("double") / F.col("_c.n")).alias("d"))
+
+
+#: Rows of a block; every two blocks of a key are compared by a task.
+BLOCK_ROWS = 256
+
+
+def pair_sums(rows: DataFrame, keys: list[str], letters: str = BASES, digits: int | None = None, beyond: float | None = None, by_row: bool = False, block: int = BLOCK_ROWS) -> DataFrame:
+    """Sums over the pairs of rows of each key, without a row to a pair: ``keys, a, b, n, total``.
+
+    ``n`` pairs that have comparable places, and the sum of their distances (each rounded to ``digits``, if given; halves up): for each two
+    blocks of a key's rows, with null ``a`` and ``b``; ``by_row`` for each row ``a`` of a block instead. Pairs
+    ``beyond`` a distance come as rows of their own (``a, b, 1, distance``). Two blocks are compared by products of their letters'
+    indicators, so a key of many rows is many tasks. Pairs of one name are left out, as are null names and sequences.
+    """
+    named = rows.where(F.col("taxon").isNotNull() & F.col("seq").isNotNull()).select(*keys, F.col("taxon").cast("string").alias("taxon"), "seq")
+    many = named.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("_many"))
+    same = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    dealt = named.join(many.select("_many", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]), same).withColumn("_own", F.pmod(F.xxhash64("taxon", "seq"), F.col("_many")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_many") - 1)))
+    dealt = dealt.select(*keys, F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), "_own", "taxon", "seq")
+    schema = T.StructType([*[rows.schema[k] for k in keys], T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("n", T.LongType()), T.StructField("total", T.DoubleType())])
+
+    def run(group: pa.Table) -> pa.Table:
+        low, high = group.column("_low")[0].as_py(), group.column("_high")[0].as_py()
+        own, names = group.column("_own").to_numpy(), np.array(group.column("taxon").to_pylist(), dtype=object)
+        raw = [np.frombuffer(s.encode("latin-1", "replace"), dtype=np.uint8) for s in group.column("seq").to_pylist()]
+        codes = np.zeros((len(raw), max(map(len, raw))), dtype=np.uint8)
+        for row, r in zip(codes, raw, strict=True):
+            row[: len(r)] = r
+        first = np.flatnonzero(own == low)
+        second = np.flatnonzero(own == high)
+        valid = np.isin(codes, np.frombuffer(letters.encode(), dtype=np.uint8))
+        n = valid[first].astype(np.float32) @ valid[second].T.astype(np.float32)
+        equal = np.zeros_like(n)
+        for letter in np.unique(codes[valid]):
+            equal += (codes[first] == letter).astype(np.float32) @ (codes[second] == letter).T.astype(np.float32)
+        n, equal = n.astype(np.int64), equal.astype(np.int64)
+        x, y = names[first][:, None], names[second][None, :]
+        on = (n > 0) & (x != y) & ((x < y) if low == high else True)
+        diff, safe = n - equal, np.maximum(n, 1)
+        d = diff / safe if digits is None else (2 * 10**digits * diff + safe) // (2 * safe) / 10**digits
+        out = []
+        if by_row:
+            for side, axis in ((first, 1), (second, 0)):
+                counts, sums = on.sum(axis=axis), np.where(on, d, 0).sum(axis=axis)
+                out += [(names[i], None, int(c), float(t)) for i, c, t in zip(side, counts, sums, strict=True) if c]
+        else:
+            out.append((None, None, int(on.sum()), float(d[on].sum())))
+        if beyond is not None:
+            out += [(*sorted((names[first[i]], names[second[j]])), 1, float(d[i, j])) for i, j in zip(*np.nonzero(on & (d > beyond)), strict=True)]
+        columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.string(), pa.int64(), pa.float64()), strict=True)] if out else [pa.array([], t) for t in (pa.string(), pa.string(), pa.int64(), pa.float64())]
+        shared = [group.column(k).combine_chunks().take(pa.array(np.zeros(len(out), dtype=np.int64))) for k in keys]
+        return pa.Table.from_arrays([*shared, *columns], names=[*keys, "a", "b", "n", "total"])
+
+    # little data and much work: partitions are not merged by their size
+    dealt = dealt.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_low", "_high")
+    return dealt.groupBy(*keys, "_low", "_high").applyInArrow(run, schema)
 
 
-def mean_distance(rows: DataFrame, key: str = "locus", distance=nucleotide_distance) -> DataFrame:
-    return pairwise(rows, key, distance).groupBy(key).agg(F.avg("d").alias("mean_distance"))
+def mean_distance(rows: DataFrame, key: str = "locus", letters: str = BASES, digits: int | None = None) -> DataFrame:
+    """Mean over the pairs of each key's rows: ``key, mean_distance``, null without a pair that can be compared. Keys of one row
+    have none."""
+    sums = pair_sums(rows, [key], letters, digits).groupBy(key).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    pairs = rows.groupBy(key).agg(F.count_distinct("taxon").alias("_t")).where("_t > 1").select(key)
+    return sums.join(pairs, key, "left_semi").select(key, F.when(F.col("n") > 0, F.col("total") / F.col("n")).alias("mean_distance"))
 
 
 def drop_deviant(rows: DataFrame, most: float = 0.4, key: str = "locus") -> DataFrame:
     """Rows without those that are far from others: of each distant pair, by falling distance, the row with the larger
     mean distance goes (the later name on ties) unless one of the two is gone already.
 
-    The rule depends on its order, so a key's pairs are handled by one task; the pairs themselves are built and
-    rounded by expressions."""
-    pairs = pairwise(rows, key, lambda a, b: p_distance(a, b)).where("d IS NOT NULL")
+    The rule depends on its order, so a key's distant pairs are handled by one task; means are sums from blocks of rows, and
+    of the other pairs nothing is kept."""
+    sums = pair_sums(rows, [key], LETTERS, 3, most, by_row=True)
+    means = sums.where("b IS NULL").groupBy(key, "a").agg((F.sum("total") / F.sum("n")).alias("mean"))
+    far = sums.where("b IS NOT NULL").select(key, "a", "b", F.col("total").alias("d"))
+    far = far.join(means.withColumnRenamed("mean", "ma"), [key, "a"]).join(means.select(key, F.col("a").alias("b"), F.col("mean").alias("mb")), [key, "b"])
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
-        both = pd.concat([group[["a", "d"]], group[["b", "d"]].rename(columns={"b": "a"})])
-        mean = both.groupby("a")["d"].mean()
         gone: set[str] = set()
-        for r in group[group["d"] > most].sort_values(["d", "a", "b"], ascending=[False, True, True]).itertuples():
-            if r.a not in gone and r.b not in gone:
-                gone.add(max((mean[r.a], r.a), (mean[r.b], r.b))[1])
+        ordered = group.sort_values(["d", "a", "b"], ascending=[False, True, True])
+        for a, b, x, y in zip(ordered["a"], ordered["b"], ordered["ma"], ordered["mb"], strict=True):
+            if a not in gone and b not in gone:
+                gone.add(max((x, a), (y, b))[1])
         return pd.DataFrame([(group[key].iloc[0], t) for t in sorted(gone)], columns=[key, "taxon"], dtype=object)
 
     kind = rows.schema[key].dataType
-    gone = pairs.groupBy(key).applyInPandas(choose, T.StructType([T.StructField(key, kind), T.StructField("taxon", T.StringType())]))
+    gone = far.groupBy(key).applyInPandas(choose, T.StructType([T.StructField(key, kind), T.StructField("taxon", T.StringType())]))
     return rows.join(gone, [key, "taxon"], "left_anti")
 
 

@@ -7,9 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.seq import count_letters, p_distance
+from weftline.functions.seq import LETTERS, count_letters
 
-from .alignment import pairwise
+from .alignment import mean_distance, pair_sums
 
 
 def locus_statistics(rows: DataFrame, key: str = "locus", seq: str = "seq") -> DataFrame:
@@ -28,7 +28,7 @@ def locus_statistics(rows: DataFrame, key: str = "locus", seq: str = "seq") -> D
 
 def coding_summary(rows: DataFrame) -> DataFrame:
     """Locus statistics with the mean p-distance of its pairs."""
-    mean = pairwise(rows).groupBy("locus").agg(F.round(F.avg("d"), 3).alias("mean_pdis"))
+    mean = mean_distance(rows).select("locus", F.round("mean_distance", 3).alias("mean_pdis"))
     return locus_statistics(rows).join(mean, "locus", "left")
 
 
@@ -36,8 +36,8 @@ def flanking_summary(blocks: DataFrame, least: int = 20) -> DataFrame:
     """Length of each flank and the mean distance of its pairs, which short flanks lack: ``locus, side, length, mean_pdis``."""
     sides = blocks.select("locus", "taxon", F.explode(F.create_map(F.lit("left"), F.col("left"), F.lit("right"), F.col("right"))).alias("side", "seq"))
     length = sides.groupBy("locus", "side").agg(F.max(F.length("seq")).alias("length"))
-    named = sides.where(F.length("seq") >= least).withColumn("ls", F.struct("locus", "side"))
-    mean = pairwise(named, "ls", lambda a, b: p_distance(a, b)).groupBy("ls").agg(F.round(F.avg("d"), 3).alias("mean_pdis")).select("ls.locus", "ls.side", "mean_pdis")
+    sums = pair_sums(sides.where(F.length("seq") >= least), ["locus", "side"], LETTERS, 3)
+    mean = sums.groupBy("locus", "side").agg(F.round(F.sum("total") / F.nullif(F.sum("n"), F.lit(0)), 3).alias("mean_pdis"))
     return length.join(mean, ["locus", "side"], "left")
 
 
