@@ -361,3 +361,22 @@ def test_sides_that_lack_rows(spark):
     assert got(trees.paired_trees(one, two), "locus", "constrained") == [("a", "(a);"), ("b", "(b);")]
     with pytest.raises(Exception, match="no tree"):
         trees.paired_trees(one, two.limit(1)).collect()
+
+
+def test_a_ladder_of_a_hundred_thousand_taxa(spark):
+    n = 100_000
+    text = "(" * n + "t0" + "".join(f":1,t{i}:{i + 1})" for i in range(1, n + 1)) + ";"
+    cut = trees.restrict_tree(text, {f"t{i}" for i in range(0, n + 1, 2)})
+    nodes = trees.parse_newick(cut)
+    far = []
+    for _, parent, _, length in nodes:
+        far.append(0 if parent is None else far[parent] + (length or 0))
+    place = {name: k for k, (_, _, name, _) in enumerate(nodes) if name}
+    assert len(place) == n // 2 + 1
+    for i in (2, 4, 50_000, n - 2):
+        k = place[f"t{i}"]
+        assert far[place["t0"]] - far[nodes[k][1]] + nodes[k][3] == 2 * i + 1
+    assert trees.parse_newick(trees.write_newick(nodes)) == nodes
+    rows = spark.createDataFrame([("l", text), ("none", None), ("one", "a;")], "locus string, newick string")
+    got = trees.tree_rows(rows).groupBy("locus").agg(F.count("*").alias("n"), F.max("from_root").alias("far")).collect()
+    assert sorted(map(tuple, got)) == [("l", 2 * n + 1, float(n + 1)), ("one", 1, 0.0)]

@@ -6,7 +6,7 @@ import math
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _TOKEN = re.compile(r"\s*([(),;]|:\s*[-+0-9.eE]+|'(?:[^']|'')*'|[^(),:;\s]+)")
@@ -45,11 +45,22 @@ def write_newick(nodes) -> str:
     for n in nodes:
         children.setdefault(n[1], []).append(n)
 
-    def render(n) -> str:
-        inner = ",".join(render(c) for c in children.get(n[0], []))
-        return (f"({inner})" if inner else "") + (n[2] or "") + (f":{plain(n[3])}" if n[3] is not None else "")
-
-    return render(children[None][0]) + ";"
+    out, todo = [], [children[None][0]]
+    while todo:  # a stack, as trees may be deeper than Python's calls
+        n = todo.pop()
+        if isinstance(n, str):
+            out.append(n)
+            continue
+        tail = (n[2] or "") + (f":{plain(n[3])}" if n[3] is not None else "")
+        below = children.get(n[0], [])
+        if not below:
+            out.append(tail)
+            continue
+        out.append("(")
+        todo.append(")" + tail)
+        for k, c in enumerate(reversed(below)):
+            todo += [",", c] if k else [c]
+    return "".join(out) + ";"
 
 
 def restrict_tree(text: str, taxa: set[str], unroot: bool = True) -> str | None:
@@ -88,14 +99,11 @@ def restrict_tree(text: str, taxa: set[str], unroot: bool = True) -> str | None:
             a, b = nodes[inner][3], nodes[other][3]
             nodes[other][3] = None if a is None and b is None else (a or 0.0) + (b or 0.0)
             keep[root] = [*keep[inner], other]
-    out = [(root, None, nodes[root][2], None)]
-
-    def walk(i: int) -> None:
-        for c in keep[i]:
-            out.append((c, i, nodes[c][2], nodes[c][3]))
-            walk(c)
-
-    walk(root)
+    out, todo = [], [(root, None)]
+    while todo:
+        i, parent = todo.pop()
+        out.append((i, parent, nodes[i][2], None if parent is None else nodes[i][3]))
+        todo += [(c, i) for c in reversed(keep[i])]
     return write_newick(out)
 
 
@@ -110,15 +118,30 @@ def restrict_trees(trees: DataFrame, taxa: DataFrame) -> DataFrame:
     return trees.join(present, "locus").select("locus", restrict("newick", "_taxa").alias("newick"), F.size("_taxa").alias("n_taxa"))
 
 
-def tree_rows(trees: DataFrame) -> DataFrame:
-    """Nodes of each tree: ``locus, node, parent, name, branch_length``."""
+class NewickNodes:
+    """The nodes of a tree as rows: a table function, for DataFrames (:func:`tree_rows`) and, once registered, for SQL."""
+
+    def eval(self, newick: str):
+        if newick is None:
+            return
+        nodes, far = parse_newick(newick), []
+        for node, parent, name, length in nodes:  # parents come first
+            far.append(0.0 if parent is None else far[parent] + (length or 0.0))
+            yield node, parent, name, length, far[node]
 
-    def run(batches):
-        for batch in batches:
-            rows = [(r.locus, *n) for r in batch.itertuples() for n in parse_newick(r.newick)]
-            yield pd.DataFrame(rows, columns=["locus", "node", "parent", "name", "branch_length"]).astype({"parent": "Int64", "branch_length": "float64"})
 
-    return trees.select("locus", "newick").mapInPandas(run, "locus string, node long, parent long, name string, branch_length double")
+newick_nodes = F.udtf(NewickNodes, returnType="node: bigint, parent: bigint, name: string, branch_length: double, from_root: double")
+
+
+def register(spark: SparkSession) -> None:
+    """The table function ``newick_nodes(text)`` for ``LATERAL`` in SQL."""
+    spark.udtf.register("newick_nodes", newick_nodes)
+
+
+def tree_rows(trees: DataFrame) -> DataFrame:
+    """Nodes of each tree: ``locus, node, parent, name, branch_length, from_root`` (the sum of lengths from the root), by a lateral join
+    with the table function. Trees of any depth; null texts have no nodes."""
+    return trees.select("locus", "newick").lateralJoin(newick_nodes(F.col("newick").outer())).drop("newick")
 
 
 def rename_taxa(rows: DataFrame) -> DataFrame:

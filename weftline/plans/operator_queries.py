@@ -622,6 +622,35 @@ def restricted_trees(spark, d):
     return _sorted_children(out)
 
 
+_LADDERS = f"""{_FAMILY}, tips AS (SELECT locus, t FROM f WHERE t = 0 OR (t + locus) % 3 <> 0), enough AS (SELECT locus FROM tips GROUP BY locus HAVING count(*) > 2)"""
+
+
+def _ladders(spark, d) -> DataFrame:
+    """A tree for each family: tips hang on a ladder of edges of length 1, the t-th by a branch of length t + 1."""
+    listed = _family(spark, d).groupBy("locus").agg(F.array_sort(F.collect_list(F.col("t").cast("int"))).alias("ts"))
+    hung = F.aggregate(F.filter("ts", lambda t: t > 0), F.lit("t0"), lambda a, t: F.concat(F.lit("("), a, F.lit(":1,t"), t.cast("string"), F.lit(":"), (t + 1).cast("string"), F.lit(")")))
+    return listed.select("locus", F.concat(hung, F.lit(";")).alias("newick"))
+
+
+@query(f"WITH {_LADDERS} SELECT t.locus, 't' || t AS name, CAST(2 * t + 1 AS DOUBLE) AS apart FROM tips t WHERE t > 0 AND locus IN (FROM enough)")
+def restricted_ladders(spark, d):
+    """Trees restricted to some of their tips, and how far each tip is from the lowest one: the same as in the whole tree."""
+    tips = _family(spark, d).where((F.col("t") == 0) | ((F.col("t") + F.col("locus")) % 3 != 0))
+    cut = trees.restrict_trees(_ladders(spark, d), tips.select("locus", F.concat(F.lit("t"), F.col("t").cast("string")).alias("taxon"))).where("n_taxa > 2")
+    nodes = trees.tree_rows(cut)
+    first = nodes.where("name = 't0'").select("locus", F.col("from_root").alias("lowest"))
+    above = nodes.select("locus", F.col("node").alias("parent"), F.col("from_root").alias("above"))
+    return nodes.where("name IS NOT NULL AND name <> 't0'").join(first, "locus").join(above, ["locus", "parent"]).select("locus", "name", F.round(F.col("lowest") - F.col("above") + F.col("branch_length"), 6).alias("apart"))
+
+
+@query(f"WITH {_FAMILY}, m AS (SELECT locus, max(t) AS n FROM f GROUP BY locus) SELECT f.locus, 't' || t AS name, CAST(CASE WHEN t = 0 THEN n ELSE n - t + t + 1 END AS DOUBLE) AS from_root, CAST(2 * n + 1 AS BIGINT) AS nodes FROM f JOIN m ON f.locus = m.locus WHERE n > 0")
+def nodes_of_ladders(spark, d):
+    """Tips of each tree with their distance from the root, by the table function in SQL."""
+    trees.register(spark)
+    made = _ladders(spark, d).where("newick <> 't0;'")
+    return spark.sql("SELECT locus, name, from_root, n AS nodes FROM (SELECT locus, x.name, x.from_root, count(*) OVER (PARTITION BY locus) AS n FROM {made}, LATERAL newick_nodes(newick) AS x) WHERE name IS NOT NULL", made=made)
+
+
 def _sorted_children(rows: DataFrame) -> DataFrame:
     """The order of a tree's branches means nothing: those of the root in the order of their names."""
     inner = F.regexp_extract("newick", r"^\((.*)\);$", 1)
