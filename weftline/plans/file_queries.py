@@ -106,6 +106,14 @@ def reads_round_trip(spark, d):
     return readers.read_pairs(readers.reads(spark, path), by="read_id").select("sample", "pair_id", "seq1", "seq2")
 
 
+@query(f"WITH {_READS} SELECT sample, read_id AS pair_id, seq AS seq1, reverse(seq) AS seq2 FROM r")
+def reads_by_ranges(spark, d):
+    """Files read by ranges far smaller than they are, plain ones and gzipped ones, without an exchange of lines."""
+    path = folder(spark)
+    sinks.write_reads(_reads(spark, d), path, most_bytes=200_000)
+    return readers.read_pairs(readers.reads(spark, path, part_bytes=10_000), by="read_id").select("sample", "pair_id", "seq1", "seq2")
+
+
 @query(f"WITH {_READS} SELECT sample, read_id || '/' || m AS read_id, CAST(m AS INT) AS mate, CASE WHEN m = 1 THEN seq ELSE reverse(seq) END AS seq FROM r, (VALUES (1), (2)) t(m)")
 def single_reads(spark, d):
     pairs = readers.read_pairs(_reads(spark, d).withColumn("ord", F.col("read_id")))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from weftline.functions.seq import count_letters, header_fields, is_nucleotide
 
+from . import fastq
+
 FASTA_SUFFIX = "(?i)\\.(fa|fas|fasta)"
 
 
@@ -98,10 +100,14 @@ def _fastq(spark: SparkSession, path: str) -> DataFrame:
 _MATE = r"^(.*)_R([12])\.(?:fq|fastq)(?:\.gz)?$"
 
 
-def reads(spark: SparkSession, path: str) -> DataFrame:
+def reads(spark: SparkSession, path: str, part_bytes: int | None = None) -> DataFrame:
     """Reads of ``{sample}_R1.fq`` and ``_R2.fq`` files, gzipped too, or of folders ``sample=.../mate=...`` as the sink
-    writes them: ``sample, mate, ord, read_id, seq, qual``. ``ord`` is a read's place in its file."""
-    rows = _fastq(spark, path)
+    writes them: ``sample, mate, ord, read_id, seq, qual``. ``ord`` is a read's place in its file.
+
+    With ``part_bytes`` files are read by ranges of bytes that begin at a record (``sources.fastq``): no line is shuffled, and
+    the path is a file or folder of a store that pyarrow can open. Without, lines are numbered and put together, from any path or
+    pattern that Spark can read."""
+    rows = _fastq(spark, path) if part_bytes is None else fastq.numbered(fastq.fastq(spark, path, part_bytes))
     folders = r"^sample=([^/]*)/mate=([12])/"
     at = lambda i: F.when(F.col("file").rlike(folders), F.regexp_extract("file", folders, i)).otherwise(F.regexp_extract("file", _MATE, i))
     return rows.select(at(1).alias("sample"), at(2).try_cast("int").alias("mate"), "ord", F.regexp_replace("read_id", "/[12]$", "").alias("read_id"), "seq", "qual").where("mate IS NOT NULL")
