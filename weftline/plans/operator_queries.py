@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import seq
-from weftline.operators import alignment, contigs, orthologs, relational, search, stats, trees
+from weftline.operators import alignment, contigs, orthologs, relational, search, stats, strings, trees
 
 from . import frames
 from .driver_queries import _CELLS, _CODING, _FRAMES, _MSA, _REF, _coding, _count_sql, _first_row, _likelihoods, _LIKELIHOODS, _msa, _translate_sql, query, table
@@ -228,6 +228,11 @@ def seed_search(spark, d):
 _PART_DNA = "translate(md5('a' || p_partkey) || md5('b' || p_partkey) || md5('c' || p_partkey), '0123456789abcdef', 'ACGTACGTACGTACGT')"
 
 
+def _part_dna(spark, d) -> DataFrame:
+    digits = F.concat(*[F.md5(F.concat(F.lit(x), F.col("p_partkey").cast("string"))) for x in "abc"])
+    return table(spark, d, "part").select("p_partkey", F.translate(digits, "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"))
+
+
 @query(
     f"""WITH s AS (SELECT CAST(p_partkey AS VARCHAR) AS name, p_partkey % 2 = 0 AS longer, 1 + p_partkey % 7 AS n, p_partkey % 3 = 0 AS turned, count(*) OVER () AS many FROM part),
 h AS (SELECT *, CASE WHEN longer THEN 80 + n ELSE 80 - n END AS m, CASE WHEN longer THEN 160 - 5 - 2 * n ELSE 160 - 5 - 4 * n END AS score FROM s),
@@ -237,8 +242,7 @@ SELECT 'q' || name AS query, 't' || name AS target, CASE WHEN turned THEN '-' EL
 )
 def gapped_search(spark, d):
     """Parts of sequences with letters put in or taken out in the middle, every third turned, against all sequences."""
-    digits = F.concat(*[F.md5(F.concat(F.lit(x), F.col("p_partkey").cast("string"))) for x in "abc"])
-    rows = table(spark, d, "part").select("p_partkey", F.col("p_partkey").cast("string").alias("name"), F.translate(digits, "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"))
+    rows = _part_dna(spark, d).withColumn("name", F.col("p_partkey").cast("string"))
     n = (F.col("p_partkey") % 7 + 1).cast("int")
     second = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.substring(F.lit("TGTCACG"), F.lit(1), n), F.substring("seq", 49, 40))).otherwise(F.substring("seq", F.lit(49) + n, F.lit(40) - n))
     planted = F.concat(F.substring("seq", 9, 40), second)
@@ -382,6 +386,28 @@ def assembled_reads(spark, d):
     return contigs.assemble(rows.select("sample", "locus", tiles)).select("locus", "contig", "seq")
 
 
+@query(f"SELECT 'all' AS locus, {_PART_DNA} AS seq FROM part")
+def assembled_by_joins(spark, d):
+    """The reads of all sequences in one locus, put together without meeting in one task."""
+    rows = _part_dna(spark, d)
+    tiles = F.explode(F.transform(F.sequence(F.lit(1), F.lit(57), F.lit(8)), lambda i: F.substring("seq", i, F.lit(40)))).alias("seq")
+    return strings.assemble(rows.select(F.lit("s").alias("sample"), F.lit("all").alias("locus"), tiles)).select("locus", "seq")
+
+
+@query(
+    f"""WITH p AS (SELECT p_partkey AS k, {_PART_DNA} AS dna FROM part), c AS (SELECT unnest(range(9)) AS c)
+SELECT k || '.' || c AS read_id, CASE WHEN c BETWEEN 5 AND 7 THEN substr(dna, 1, 49) || translate(substr(dna, 50, 1), 'ACGT', 'CGTA') || substr(dna, 51) ELSE dna END AS seq, CAST(c = 8 AS INT) AS n_corrected FROM p, c WHERE k % 3 = 0 OR c NOT BETWEEN 5 AND 7"""
+)
+def corrected_reads(spark, d):
+    """Copies of sequences of which one has a wrong base, and in every third sequence an allele that three copies have."""
+    k, c = F.col("p_partkey"), F.col("c")
+    rows = _part_dna(spark, d).select("p_partkey", "seq", F.explode(F.sequence(F.lit(0), F.lit(8))).alias("c")).where((k % 3 == 0) | ~c.between(5, 7))
+    other = lambda at: F.overlay("seq", F.translate(F.substring("seq", at, F.lit(1)), "ACGT", "CGTA"), at, F.lit(1))
+    seen = F.when(c == 8, other((k % 30 + 10).cast("int"))).when(c >= 5, other(F.lit(50))).otherwise(F.col("seq"))
+    reads = rows.select(F.lit("s").alias("sample"), F.concat_ws(".", k.cast("string"), c.cast("string")).alias("read_id"), seen.alias("seq"))
+    return strings.correct_reads(reads).select("read_id", "seq", F.col("n_corrected").cast("int").alias("n_corrected"))
+
+
 _ORF = f"p AS (SELECT CAST(s_suppkey AS VARCHAR) AS locus, {_DNA} AS dna FROM supplier), o AS (SELECT locus, dna, {_translate_sql('dna', 0)} AS protein FROM p)"
 
 

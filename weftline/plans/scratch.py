@@ -39,3 +39,10 @@ def put_lines(rows: DataFrame, *keys: str, **options) -> str:
     path = folder(rows.sparkSession)
     rows.select(*keys, F.col("value")).coalesce(1).write.options(**options).partitionBy(*keys).text(path) if keys else rows.select("value").coalesce(1).write.options(**options).text(path)
     return path
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """The rows, written to a new folder and read again: their lineage is cut and nothing is worked out twice."""
+    path = folder(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
