@@ -457,35 +457,6 @@ def extend_diagonals(found: DataFrame, drop: int, match: int, mismatch: int) ->
     return found.mapInPandas(run, schema)
 
 
-def mask(rows: DataFrame, seq: str, window: int, most: float) -> DataFrame:
-    """Windows whose triplets repeat (the sum of c(c-1)/2 over triplets, per triplet, beyond ``most``) in lower case."""
-
-    @F.pandas_udf("string")
-    def masked(column: pd.Series) -> pd.Series:
-        def one(s: str | None) -> str | None:
-            if s is None or len(s) < 3:
-                return s
-            codes = [s[i : i + 3].upper() for i in range(len(s) - 2)]
-            low = np.zeros(len(s), dtype=bool)
-            width = min(window, len(s)) - 2
-            counts: dict[str, int] = {}
-            score = 0
-            for i, c in enumerate(codes):
-                score += counts.get(c, 0)
-                counts[c] = counts.get(c, 0) + 1
-                if i >= width:
-                    old = codes[i - width]
-                    counts[old] -= 1
-                    score -= counts[old]
-                if i >= width - 1 and score > most * max(1, width - 1):
-                    low[i - width + 1 : i + 3] = True
-            return "".join(c.lower() if m else c for c, m in zip(s, low))
-
-        return column.map(one)
-
-    return rows.withColumn(seq, masked(seq))
-
-
 def protein_alignment(dna: str, protein: str, gap: float = -4) -> tuple[int, int, int, int, int, float] | None:
     """Best local alignment of a protein with the three forward frames of a sequence: frame, the protein's start and
     end, the sequence's start and end in bases, and the score (match 5, mismatch -2); None without one."""

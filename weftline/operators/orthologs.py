@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.functions import complexity
 from weftline.functions.seq import count_stops, kmer_counts, kmer_places, reverse_complement, strip_trailing_stops, translate
 
 from .relational import best_per_key, interval_join
@@ -68,11 +70,24 @@ def seed_search(queries: DataFrame, targets: DataFrame, k: int = 11, least: int
     return extend_diagonals(found, drop, match, mismatch)
 
 
+def _masked(rows: DataFrame, seq: str, rule) -> DataFrame:
+    @F.pandas_udf("string")
+    def lowered(column: pd.Series) -> pd.Series:
+        there = column.notna()
+        return column.where(~there, pd.Series(rule(column[there].tolist()), index=column.index[there], dtype=object))
+
+    return rows.withColumn(seq, lowered(seq))
+
+
 def mask_low_complexity(rows: DataFrame, seq: str = "seq", window: int = 32, most: float = 2.0) -> DataFrame:
-    """Low-complexity regions in lower case: windows in which triplets repeat too much (a score of our own)."""
-    from .alignment import mask
+    """Low-complexity regions of nucleotides in lower case: windows in which triplets repeat too much (a score of our own)."""
+    return _masked(rows, seq, lambda strings: complexity.repeated_triplets(strings, window, most))
+
 
-    return mask(rows, seq, window, most)
+def mask_proteins(rows: DataFrame, seq: str = "seq", window: int = 12, trigger: float = 2.2, extend: float = 2.5) -> DataFrame:
+    """Low-complexity segments of proteins in lower case: windows of low entropy (``trigger`` bits) and those beside them that are nearly
+    as low (``extend``)."""
+    return _masked(rows, seq, lambda strings: complexity.low_entropy(strings, window, trigger, extend))
 
 
 def best_frames(rows: DataFrame, seq: str = "seq") -> DataFrame:

@@ -251,12 +251,34 @@ def gapped_search(spark, d):
     return hits.select("query", "target", "strand", "qlo", "qhi", "tlo", "thi", "score", F.round("bits", 4).alias("bits"), "columns", "gaps", F.round(F.log10("evalue"), 3).alias("log_e"))
 
 
-@query(f"SELECT CAST(s_suppkey AS VARCHAR) AS name, substr({_DNA}, 1, 40) || repeat('a', 40) || substr({_DNA}, 41, 40) AS seq FROM supplier")
+@query(
+    f"""WITH p AS (SELECT s_suppkey AS k, upper(substr({_DNA}, 1, 40) || repeat('A', 20 + s_suppkey % 20) || substr({_DNA}, 41, 40)) AS seq FROM supplier),
+w AS (SELECT k, i, list_transform(range(30), lambda x: substr(seq, i + x, 3)) AS t FROM (SELECT k, seq, unnest(range(1, length(seq) - 30)) AS i FROM p)),
+hit AS (SELECT k, i FROM w WHERE list_sum(list_transform(list_distinct(t), lambda y: len(list_filter(t, lambda z: z = y)) * (len(list_filter(t, lambda z: z = y)) - 1) / 2)) > 6.0 * 29),
+low AS (SELECT DISTINCT k, i + x AS at FROM hit, (SELECT unnest(range(32)) AS x))
+SELECT CAST(p.k AS VARCHAR) AS name, string_agg(CASE WHEN low.at IS NULL THEN substr(seq, c.at, 1) ELSE lower(substr(seq, c.at, 1)) END, '' ORDER BY c.at) AS seq
+FROM (SELECT k, seq, unnest(range(1, length(seq) + 1)) AS at FROM p) c JOIN p USING (k, seq) LEFT JOIN low ON low.k = c.k AND low.at = c.at GROUP BY p.k"""
+)
 def low_complexity_mask(spark, d):
-    rows = _dna(spark, d).select("name", F.concat(F.substring("seq", 1, 40), F.repeat(F.lit("A"), F.lit(40)), F.substring("seq", 41, 40)).alias("seq"))
-    out = orthologs.mask_low_complexity(rows, most=6.0)
-    # letters within a window of the run may be lowered too: those are raised again
-    return out.select("name", F.concat(F.upper(F.substring("seq", 1, 40)), F.substring("seq", 41, 40), F.upper(F.substring("seq", 81, 40))).alias("seq"))
+    run = F.repeat(F.lit("A"), (F.col("name").cast("int") % 20 + 20).cast("int"))
+    rows = _dna(spark, d).select("name", F.concat(F.substring("seq", 1, 40), run, F.substring("seq", 41, 40)).alias("seq"))
+    return orthologs.mask_low_complexity(rows, most=6.0)
+
+
+@query(
+    """WITH p AS (SELECT p_partkey AS k, substr(m, 1, 16) || repeat('Q', 4 + p_partkey % 12) || substr(m, 17) AS seq FROM (SELECT p_partkey, translate(md5('p' || p_partkey), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS m FROM part)),
+w AS (SELECT k, i, string_split(substr(seq, i, 12), '') AS t FROM (SELECT k, seq, unnest(range(1, length(seq) - 10)) AS i FROM p)),
+h AS (SELECT k, i, -list_sum(list_transform(list_distinct(t), lambda y: len(list_filter(t, lambda z: z = y)) / 12.0 * log2(len(list_filter(t, lambda z: z = y)) / 12.0))) AS bits FROM w),
+near AS (SELECT k, i, bits, i - row_number() OVER (PARTITION BY k ORDER BY i) AS run FROM h WHERE bits <= 2.5),
+seg AS (SELECT k, min(i) AS lo, max(i) + 11 AS hi FROM near GROUP BY k, run HAVING min(bits) <= 2.2)
+SELECT CAST(c.k AS VARCHAR) AS name, string_agg(CASE WHEN EXISTS (SELECT 1 FROM seg WHERE seg.k = c.k AND c.at BETWEEN seg.lo AND seg.hi) THEN lower(substr(seq, c.at, 1)) ELSE substr(seq, c.at, 1) END, '' ORDER BY c.at) AS seq
+FROM (SELECT k, seq, unnest(range(1, length(seq) + 1)) AS at FROM p) c GROUP BY c.k"""
+)
+def protein_mask(spark, d):
+    """Proteins with a run of one residue that is long enough in some of them."""
+    k, letters = F.col("p_partkey"), F.translate(F.md5(F.concat(F.lit("p"), F.col("p_partkey").cast("string"))), "0123456789abcdef", "ACDEFGHIKLMNPQRS")
+    rows = table(spark, d, "part").select(k.cast("string").alias("name"), F.concat(F.substring(letters, 1, 16), F.repeat(F.lit("Q"), (k % 12 + 4).cast("int")), F.substring(letters, 17, 16)).alias("seq"))
+    return orthologs.mask_proteins(rows)
 
 
 _HEX_CODONS = {"0": "GCA", "1": "GCT", "2": "CGA", "3": "AAC", "4": "GAT", "5": "TGC", "6": "CAG", "7": "GAA", "8": "GGT", "9": "CAT", "a": "ATC", "b": "CTG", "c": "AAA", "d": "TTC", "e": "CCG", "f": "TCT"}
