@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import time
+import uuid
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -213,7 +217,7 @@ def all_paths(edges: DataFrame, most: int = 500, depth: int = 100) -> DataFrame:
     A recursive query: loops are cut as a path never visits a node again."""
     spark = edges.sparkSession
     degrees = node_degrees(edges)
-    name = f"_edges_{abs(hash(edges)) % 10**9}"
+    name = f"_edges_{uuid.uuid4().hex}"
     edges.select(*LOCUS, "src", "dst").createOrReplaceTempView(name)
     degrees.createOrReplaceTempView(f"{name}_d")
     found = spark.sql(
@@ -225,6 +229,8 @@ def all_paths(edges: DataFrame, most: int = 500, depth: int = 100) -> DataFrame:
           WHERE NOT array_contains(w.path, e.dst) AND w.depth < {depth})
         SELECT w.sample, w.locus, w.path FROM walk w JOIN {name}_d d ON w.sample = d.sample AND w.locus = d.locus AND w.node = d.node WHERE d.is_end"""
     )
+    for view in (name, f"{name}_d"):  # the plan holds what they stood for
+        spark.catalog.dropTempView(view)
     ranked = found.groupBy(*LOCUS, F.element_at("path", 1).alias("start")).agg(F.slice(F.array_sort(F.collect_set("path")), 1, most).alias("p"))
     return ranked.select(*LOCUS, F.explode("p").alias("path"))
 
@@ -263,18 +269,27 @@ def best_contigs(rows: DataFrame, similarity: float = 60, length_pct: float = 80
     return best_per_key(ok, LOCUS, [-F.col("score"), -F.length("seq"), "contig"])
 
 
-def assemble(reads: DataFrame, least: int = 25, error: float = 0.05, longest: int = 400) -> DataFrame:
+def assemble(reads: DataFrame, least: int = 25, error: float = 0.05, longest: int = 400, seconds: float | None = None) -> DataFrame:
     """A small overlap-layout assembly of the reads of each sample and locus: ``sample, locus, contig, seq``.
 
     Reads that others hold are dropped; the rest are joined by their best suffix-prefix overlap where it is mutual, and
-    chains are merged. Meant for the reads of one locus; a group is handled by one task."""
+    chains are merged. Meant for the reads of one locus; a group is handled by one task. A group that has not ended after ``seconds``
+    gives one row with a null contig instead (:func:`assemble_all` goes on with it)."""
     schema = "sample string, locus string, contig string, seq string"
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return joined(g, math.inf if seconds is None else time.monotonic() + seconds)
+        except TimeoutError:
+            return pd.DataFrame([(g["sample"].iloc[0], g["locus"].iloc[0], None, None)], columns=["sample", "locus", "contig", "seq"])
+
+    def joined(g: pd.DataFrame, until: float) -> pd.DataFrame:
         seqs = sorted(set(g["seq"]), key=lambda s: (-len(s), s))
         kept: list[str] = []
         places: dict[str, list[int]] = {}  # a read of at least that length lies in those that hold its first bases
         for s in seqs:
+            if time.monotonic() > until:
+                raise TimeoutError
             near = places.get(s[:least], ()) if len(s) >= least else range(len(kept))
             if not any(s in kept[i] for i in near):
                 for part in {s[i : i + least] for i in range(len(s) - least + 1)}:
@@ -286,6 +301,8 @@ def assemble(reads: DataFrame, least: int = 25, error: float = 0.05, longest: in
         right: dict[int, tuple[int, int]] = {}
         left: dict[int, tuple[int, int]] = {}
         for i, s in enumerate(kept):
+            if time.monotonic() > until:
+                raise TimeoutError
             for at in range(max(1, len(s) - longest), len(s) - least + 1):
                 for j in by_prefix.get(s[at : at + least], ()):
                     n = len(s) - at
@@ -309,3 +326,22 @@ def assemble(reads: DataFrame, least: int = 25, error: float = 0.05, longest: in
         return pd.DataFrame([(g["sample"].iloc[0], g["locus"].iloc[0], f"contig-{k}", s) for k, s in enumerate(out)], columns=["sample", "locus", "contig", "seq"])
 
     return reads.select("sample", "locus", "seq").groupBy(*LOCUS).applyInPandas(run, schema)
+
+
+def assemble_all(reads: DataFrame, most_reads: int = 20_000, seconds: float = 60, least: int = 25, error: float = 0.05, longest: int = 400) -> DataFrame:
+    """Contigs of loci of all sizes: ``sample, locus, contig, seq, how``.
+
+    A locus of ``most_reads`` distinct reads at most is assembled by one task (``group``) within ``seconds``; the others, and those whose
+    time was up, by joins over all tasks (``joins``), which give the same. So no locus holds a stage, and none is left out. Null
+    reads are passed over."""
+    from . import strings
+
+    distinct = strings.stored(reads.where(F.col("seq").isNotNull()).select(*LOCUS, "seq").distinct())
+    sizes = distinct.groupBy(*LOCUS).count()
+    small = distinct.join(sizes.where(F.col("count") <= most_reads).select(*LOCUS), LOCUS, "left_semi")
+    done = strings.stored(assemble(small, least, error, longest, seconds))
+    ended = done.where(F.col("contig").isNotNull()).withColumn("how", F.lit("group"))
+    rest = strings.stored(sizes.where(F.col("count") > most_reads).select(*LOCUS).unionByName(done.where(F.col("contig").isNull()).select(*LOCUS)))
+    if rest.isEmpty():
+        return ended
+    return ended.unionByName(strings.assemble(distinct.join(rest, LOCUS, "left_semi"), least, error, longest).withColumn("how", F.lit("joins")))

@@ -11,11 +11,12 @@ from weftline.sources.readers import single_reads
 from .stages import Plan
 
 
-def plan(store: str, word: int = 11, gap: float = 40, similarity: float = 60, coverage: float = 80, assign_e: float = 1e-4, classify_e: float = 1e-6, most_places: int | None = 10_000) -> Plan:
+def plan(store: str, word: int = 11, gap: float = 40, similarity: float = 60, coverage: float = 80, assign_e: float = 1e-4, classify_e: float = 1e-6, most_places: int | None = 10_000, most_reads: int = 20_000, seconds: float = 60) -> Plan:
     """Stages ``dedup, assign, assemble, filter, merge, classify`` over the tables ``pairs, loci`` (``locus, nt, aa``) and
     ``genome`` (``name, seq``). ``merge`` holds the best contig of each sample and locus, ``classify`` its status. Reads are assigned
     by hits of an e-value of ``assign_e`` at most, contigs classified by those of ``classify_e``; words that the genome
-    holds more than ``most_places`` times are taken for repeats and start no hit there."""
+    holds more than ``most_places`` times are taken for repeats and start no hit there. Loci of more than ``most_reads`` reads, and those that
+    one task has not assembled in ``seconds``, are assembled by joins."""
 
     def dedup(spark, t):
         return relational.dedup_pairs(t["pairs"])
@@ -29,7 +30,7 @@ def plan(store: str, word: int = 11, gap: float = 40, similarity: float = 60, co
 
     def assemble(spark, t):
         both = t["assign"].select("sample", "locus", F.explode(F.array("seq1", F.reverse(F.translate("seq2", "ATCG", "TAGC")))).alias("seq"))
-        return contigs.assemble(both)
+        return contigs.assemble_all(both, most_reads, seconds).drop("how")
 
     def filter_(spark, t):
         rows = t["assemble"].join(t["loci"].select("locus", F.col("aa").alias("protein")), "locus")

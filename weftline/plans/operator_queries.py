@@ -791,3 +791,21 @@ def stream_run(spark, d):
     out, marks = folder(spark), folder(spark)
     streams.run_available(streams.window_counts(streams.dedup(rows, "event_id")), out, marks)
     return spark.read.parquet(out).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+_FIRST = """r AS (SELECT o_orderstatus AS sample, CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 2 AS f, translate(substr(md5(CAST(o_custkey AS VARCHAR)), 1, 12), '0123456789abcdef', 'ACGTACGTACGTACGT') AS s, o_orderkey % 3 = 0 AS turned FROM orders),
+t AS (SELECT sample, id, f, CASE WHEN turned THEN reverse(translate(s, 'ACGT', 'TGCA')) ELSE s END AS seq FROM r)"""
+
+
+@query(f"WITH {_FIRST} SELECT sample, id, seq FROM (SELECT *, row_number() OVER (PARTITION BY sample, least(seq, reverse(translate(seq, 'ACGT', 'TGCA'))) ORDER BY f, id) AS k FROM t) WHERE k = 1")
+def first_seen_over_restarts(spark, d):
+    """A stream that is stopped after the first half of the reads and goes on with the second."""
+    from weftline.streaming import streams
+
+    s = F.translate(F.substring(F.md5(F.col("o_custkey").cast("string")), 1, 12), "0123456789abcdef", "ACGTACGTACGTACGT")
+    rows = table(spark, d, "orders").select(F.col("o_orderstatus").alias("sample"), F.col("o_orderkey").cast("string").alias("id"), F.when(F.col("o_orderkey") % 3 == 0, seq.reverse_complement(s)).otherwise(s).alias("seq"), (F.col("o_orderkey") % 2).alias("f"))
+    inbox, out, marks = folder(spark), folder(spark), folder(spark)
+    for half in (0, 1):
+        rows.where(F.col("f") == half).drop("f").write.mode("append").parquet(inbox)
+        streams.run_stateful(streams.first_of_either_strand(streams.arriving(spark, inbox, rows.drop("f").schema, 10_000)), out, marks)
+    return spark.read.parquet(out)

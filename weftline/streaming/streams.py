@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from weftline.functions.seq import canonical
 
 
 def arriving(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 16) -> DataFrame:
@@ -36,3 +42,49 @@ def sessions(rows: DataFrame, gap: str = "30 minutes") -> DataFrame:
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Process what there is and stop; a later call goes on from there."""
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
+
+
+class _FirstSeen(StatefulProcessor):
+    """Keeps of each key the id of the first row: the one that came in the first batch, the smallest there."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "id string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self.seen.exists():
+            for _ in rows:
+                pass
+            return
+        best = None
+        for batch in rows:
+            low = batch.sort_values("id", kind="stable").iloc[:1]
+            best = low if best is None or low["id"].iloc[0] < best["id"].iloc[0] else best
+        if best is not None:
+            self.seen.update((str(best["id"].iloc[0]),))
+            yield best[["sample", "id", "seq"]]
+
+    def close(self) -> None:
+        pass
+
+
+def first_of_either_strand(reads: DataFrame) -> DataFrame:
+    """``sample, id, seq`` of the reads (the same columns, strings) whose sequence no read before has on either strand, per sample.
+
+    What is kept for each sequence is its first read's id, for as long as the stream's checkpoint stands: a restart goes on with
+    it. Within a batch the smallest id is first. Rows without a sequence or an id are left out. Needs :func:`run_stateful`."""
+    keyed = reads.where("seq IS NOT NULL AND id IS NOT NULL").select("sample", "id", "seq", F.xxhash64(canonical(F.col("seq"))).alias("_h"), canonical(F.col("seq")).alias("_c"))
+    return keyed.groupBy("sample", "_h", "_c").transformWithStateInPandas(statefulProcessor=_FirstSeen(), outputStructType="sample string, id string, seq string", outputMode="Append", timeMode="none")
+
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def run_stateful(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """:func:`run_available` for streams whose state is our own: it is kept by RocksDB, which the setting names while they run."""
+    conf = stream.sparkSession.conf
+    before = conf.get(_PROVIDER, None)
+    conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        run_available(stream, path, checkpoint)
+    finally:
+        conf.unset(_PROVIDER) if before is None else conf.set(_PROVIDER, before)
