@@ -131,3 +131,14 @@ def test_stages_take_very_long_texts(spark):
     kept = [sorted({r.doc_id for r in c}) for c in counts]
     assert 3 not in kept[0] and {1, 2} <= set(kept[0])  # one word alone fails the base rules
     assert kept[1] == [1, 3, 4] and kept[2] == kept[4] == [1, 2, 3, 4] and set(kept[3]) <= {1, 2, 3, 4}
+
+
+def test_tables_on_the_way_are_dropped(spark, tmp_path):
+    """After a run one stored table is left: the input of the last stage."""
+    from weftline.llm.common import written
+
+    rows = [(i, f"the words of document number {i} are " + " ".join(f"w{(i * 7 + k) % 90}" for k in range(60)), "en", f"s{i % 3}", 0) for i in range(120)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    before = written()
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert len(written() - before) == 1 and out.count() > 0

@@ -8,6 +8,7 @@ import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,7 +132,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
+def written() -> set[str]:
+    """Paths of the tables that are stored now."""
+    return set(_written)
+
+
+def drop_but(kept: Stored, before: set[str]) -> None:
+    """Drop what has been stored since ``before`` (of :func:`written`), but ``kept``: tables that went into it and no more."""
+    for path in set(_written) - before - {kept.path}:
+        _delete(_written.pop(path), path)
+
+
 def give_back() -> None:
     """Hand freed memory back to the system at a task's end: workers are reused, and an idle one keeps its pages."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not this C library
         ctypes.CDLL(None).malloc_trim(0)
