@@ -71,3 +71,9 @@ def test_kmers_number_repeats(spark):
 def test_sizes_and_durations():
     assert seq.parse_size("1G") == 1 << 30 and seq.parse_size("200") == 200 << 20
     assert (seq.duration(59), seq.duration(61), seq.duration(3661)) == ("59s", "1m 1s", "1h 1m 1s")
+
+
+def test_sizes_of_a_column(spark):
+    texts = ["1G", "200", "0.5K", "3tb", " 7m ", "x", "", None, "-1G", ".5M"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(seq.size_bytes("t")).collect()]
+    assert got == [1 << 30, 200 << 20, 512, 3 << 40, 7 << 20, None, None, None, None, 1 << 19]

@@ -270,6 +270,14 @@ def parse_size(text: str, unit: str = "M") -> int:
     return int(float(number) * 1024**power)
 
 
+def size_bytes(size, unit: str = "M") -> Column:
+    """:func:`parse_size` of a column; null where a string is no size."""
+    text = F.upper(F.trim(_col(size)))
+    number, letter = F.regexp_extract(text, r"^([0-9]*\.?[0-9]+)[KMGT]?B?$", 1), F.regexp_extract(text, r"([KMGT])B?$", 1)
+    power = F.instr(F.lit("KMGT"), F.when(letter == "", F.lit(unit)).otherwise(letter))
+    return F.when(number != "", F.floor(number.cast("double") * F.pow(F.lit(1024.0), power.cast("double"))).cast("long"))
+
+
 def duration(seconds: int) -> str:
     """Hours, minutes and seconds in words that are short."""
     h, m, s = seconds // 3600, seconds // 60 % 60, seconds % 60

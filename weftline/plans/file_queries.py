@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators import matrices, relational, stats
+from weftline.operators import alignment, matrices, relational, stats
 from weftline.sources import readers, sinks
 
 from .driver_queries import _CODING, _GT, _LIKELIHOODS, _LOCI, _MSA, _coding, _likelihoods, _loci, _msa, query, table
@@ -379,3 +379,40 @@ def frame_report(spark, d):
     path = folder(spark)
     sinks.write_report(table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("locus"), (F.col("s_suppkey") % 4).alias("frame")), path, order=("locus",))
     return spark.read.option("sep", "\t").option("header", True).schema("locus string, frame long").csv(path)
+
+
+@query(
+    f"""WITH {_MSA}, c AS (SELECT locus, taxon, i, substr(seq, CAST(i AS INT), 1) AS b FROM msa, range(1, (SELECT max(length(seq)) + 1 FROM msa)) t(i)),
+n AS (SELECT locus, i, count(*) FILTER (b = 'A') AS a, count(*) FILTER (b = 'T') AS t, count(*) FILTER (b = 'C') AS c, count(*) FILTER (b = 'G') AS g FROM c GROUP BY ALL)
+SELECT replace(locus, '#', '-') AS locus, 'consensus' AS name, string_agg(CASE WHEN greatest(a, t, c, g) = 0 THEN '?' WHEN a = greatest(a, t, c, g) THEN 'A' WHEN t = greatest(a, t, c, g) THEN 'T' WHEN c = greatest(a, t, c, g) THEN 'C' ELSE 'G' END, '' ORDER BY i) AS seq FROM n GROUP BY locus"""
+)
+def consensus_files(spark, d):
+    """The consensus of each alignment, written as FASTA and read again."""
+    path = folder(spark)
+    rows = alignment.consensus(_msa(spark, d)).withColumn("locus", F.replace(F.col("locus"), F.lit("#"), F.lit("-")))
+    sinks.write_fasta(rows.withColumn("taxon", F.lit("consensus")), path)
+    return readers.fasta(spark, path).select("locus", "name", "seq")
+
+
+@query(
+    f"""WITH {_MSA}, k AS (SELECT locus, seq FROM msa), s AS (SELECT locus, count(*) AS rows, max(length(seq)) AS length, sum(length(seq)) AS chars,
+  sum(length(seq) - length(translate(seq, 'ACGT', ''))) AS bases, sum(length(seq) - length(translate(seq, 'GC', ''))) AS gc, sum(length(seq) - length(translate(seq, '-?N', ''))) AS missing FROM k GROUP BY locus)
+SELECT CAST(row_number() OVER (ORDER BY locus) AS INT) AS line, locus, CAST(rows AS INT) AS rows, CAST(length AS INT) AS length, CASE WHEN bases > 0 THEN round(CAST(gc AS DOUBLE) * 100 / bases, 2) END AS gc_pct, round(CAST(missing AS DOUBLE) * 100 / chars, 2) AS missing_pct FROM s"""
+)
+def coding_report(spark, d):
+    """The statistics of each locus as a report in one file: its lines in their order, read again."""
+    path = folder(spark)
+    sinks.write_report(stats.coding_summary(_msa(spark, d)).drop("mean_pdis"), path, order=("locus",))
+    text = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.trim("value"), "\n")).alias("line", "value")).where("line > 0 AND value <> ''")
+    part = F.split("value", "\t")
+    number = lambda i, kind: F.when(F.get(part, F.lit(i)) != "NA", F.get(part, F.lit(i))).cast(kind)
+    return text.select("line", F.get(part, F.lit(0)).alias("locus"), number(1, "int").alias("rows"), number(2, "int").alias("length"), number(3, "double").alias("gc_pct"), number(4, "double").alias("missing_pct"))
+
+
+_PAIRS = """pr AS (SELECT a.locus, list_filter(range(1, length(a.seq) + 1), lambda i: contains('ACGT', substr(a.seq, i, 1)) AND contains('ACGT', substr(b.seq, i, 1))) AS ok, a.seq AS s1, b.seq AS s2 FROM msa a JOIN msa b ON a.locus = b.locus AND a.taxon < b.taxon),
+dd AS (SELECT locus, CASE WHEN len(ok) > 0 THEN CAST(len(list_filter(ok, lambda i: substr(s1, i, 1) <> substr(s2, i, 1))) AS DOUBLE) / len(ok) END AS x FROM pr)"""
+
+
+@query(f"WITH {_MSA}, {_PAIRS}, m AS (SELECT locus, round(avg(x), 3) AS mean_pdis FROM dd GROUP BY locus) SELECT DISTINCT msa.locus, mean_pdis FROM msa LEFT JOIN m ON m.locus = msa.locus")
+def coding_summary(spark, d):
+    return stats.coding_summary(_msa(spark, d)).select("locus", "mean_pdis")

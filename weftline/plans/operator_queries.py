@@ -89,9 +89,10 @@ def short_names(spark, d):
     return trees.rename_taxa(table(spark, d, "nation").select(F.col("n_regionkey").cast("string").alias("locus"), F.col("n_name").alias("taxon")))
 
 
-@query("FROM (VALUES ('1G', CAST(1073741824 AS BIGINT)), ('200M', 209715200), ('7', 7340032), ('0.5K', 512)) t(size, bytes)")
+@query("SELECT p_partkey, CAST(p_size AS BIGINT) * [1048576, 1024, 1048576, 1073741824][1 + p_partkey % 4] AS bytes FROM part")
 def sizes_in_bytes(spark, d):
-    return spark.createDataFrame([(t, seq.parse_size(t)) for t in ("1G", "200M", "7", "0.5K")], "size string, bytes long")
+    unit = F.element_at(F.array(*map(F.lit, ("", "k", "MB", "G"))), (F.col("p_partkey") % 4 + 1).cast("int"))
+    return table(spark, d, "part").select("p_partkey", seq.size_bytes(F.concat(F.col("p_size").cast("string"), unit)).alias("bytes"))
 
 
 @query("SELECT s_suppkey, CASE WHEN t >= 3600 THEN t // 3600 || 'h ' ELSE '' END || CASE WHEN t >= 60 THEN t // 60 % 60 || 'm ' ELSE '' END || t % 60 || 's' AS took FROM (SELECT s_suppkey, s_suppkey * 97 AS t FROM supplier)")
@@ -724,10 +725,28 @@ def paired_trees(spark, d):
     return trees.paired_trees(n.select(key, F.col("n_name").alias("newick")), n.select(key, F.concat("n_name", F.col("n_regionkey").cast("string")).alias("newick")))
 
 
-@query(f"SELECT locus, round(exp(-(ln_free - ln_clock)), 9) AS p FROM ({_LIKELIHOODS}) WHERE exp(-(ln_free - ln_clock)) > 0.05")
+_CLOCKS = f"SELECT locus, 2 + 2 * (CAST(locus AS INT) % 3) AS n_taxa, ln_free - ln_clock AS x FROM ({_LIKELIHOODS})"
+_CLOCK_P = "CASE n_taxa WHEN 4 THEN exp(-x) ELSE exp(-x) * (1 + x) END"
+
+
+@query(f"SELECT locus, CAST(n_taxa - 2 AS INT) AS df, round({_CLOCK_P}, 9) AS p FROM ({_CLOCKS}) WHERE n_taxa >= 3 AND {_CLOCK_P} > 0.05")
 def clock_tests(spark, d):
-    rows = _likelihoods(spark, d).withColumn("n_taxa", F.lit(4))  # two degrees of freedom have a closed form
-    return trees.clocklike(rows).select("locus", F.round("p", 9).alias("p"))
+    """Trees of two taxa, which have no clock to test, of four and of six: two and four degrees of freedom have a closed form."""
+    rows = _likelihoods(spark, d).withColumn("n_taxa", (F.col("locus").cast("int") % 3 * 2 + 2).cast("int"))
+    return trees.clocklike(rows).select("locus", "df", F.round("p", 9).alias("p"))
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS locus, CAST(CASE WHEN p_partkey % 3 = 0 THEN 5 ELSE 10 END AS DOUBLE) AS score FROM part")
+def best_without_stops(spark, d):
+    """Two alignments of a contig: the better one has a stop within in every third contig, a stop at its end in others."""
+    k = F.col("p_partkey")
+    codon = F.create_map(*[F.lit(x) for kv in _HEX_CODONS.items() for x in kv])
+    nt = F.array_join(F.transform(F.split(F.md5(F.concat(F.lit("x"), k.cast("string"))), ""), lambda c: F.element_at(codon, c)), "")
+    made = F.when(k % 3 == 0, F.concat(F.substring(nt, 1, 48), F.lit("TAA"), F.substring(nt, 49, 48))).when(k % 3 == 1, F.concat(nt, F.lit("TGA"))).otherwise(nt)
+    rows = table(spark, d, "part").select(F.lit("s").alias("sample"), k.cast("string").alias("locus"), F.lit("c").alias("contig"), made.alias("seq"))
+    both = F.array(F.struct(F.lit(10.0).alias("score"), F.lit(0).alias("sts"), F.length("seq").alias("eds")), F.struct(F.lit(5.0).alias("score"), F.lit(3).alias("sts"), F.lit(45).alias("eds")))
+    rows = rows.select("*", F.inline(both)).withColumns({"sim": F.lit(90.0), "stq": F.lit(0)})
+    return contigs.best_alignments(rows).select("locus", "score")
 
 
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS locus FROM supplier WHERE (s_suppkey % 100) / 100.0 > 0.05 OR s_suppkey % 3 = 0")

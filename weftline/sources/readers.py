@@ -56,8 +56,9 @@ def fasta(spark: SparkSession, path: str, strict: bool = True, split_names: bool
     if not strict:
         return rows
     rows = rows.withColumn("seq", F.upper("seq")).where(_sound())
-    best = F.min_by(F.struct("locus", "header", "seq"), F.col("ord")).alias("r")
-    return rows.groupBy("file", "name").agg(best, F.min("ord").alias("ord")).select("file", "r.locus", "ord", "name", "r.header", "r.seq")
+    best = F.min_by(F.struct("header", "seq"), F.col("ord")).alias("r")
+    # files in folders of different loci may have one name
+    return rows.groupBy("file", "locus", "name").agg(best, F.min("ord").alias("ord")).select("file", "locus", "ord", "name", "r.header", "r.seq")
 
 
 def _sound() -> Column:
@@ -69,7 +70,7 @@ def fasta_problems(spark: SparkSession, path: str) -> DataFrame:
     rows = fasta(spark, path, strict=False).withColumn("seq", F.upper("seq"))
     sort = F.when(F.length("seq") == 0, "empty").when(~_sound(), "alphabet")
     bad = rows.select("file", "name", sort.alias("problem")).where("problem IS NOT NULL")
-    twice = rows.where(_sound()).groupBy("file", "name").count().where("count > 1").select("file", "name", F.lit("duplicate").alias("problem"))
+    twice = rows.where(_sound()).groupBy("file", "locus", "name").count().where("count > 1").select("file", "name", F.lit("duplicate").alias("problem"))
     return bad.unionByName(twice)
 
 
