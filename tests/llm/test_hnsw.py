@@ -95,9 +95,21 @@ def test_audit_does_not_count_own_ids():
     hits = np.zeros((1500, 1500), dtype=bool)
     hits[q, node] = True
     assert hits[np.arange(100), 1400 + np.arange(100)].all()
-    few = hnsw.Graph(np.arange(1500), vectors[np.r_[:1400, :100]].astype(np.float32) * np.r_[np.ones(1400), -np.ones(100)].astype(np.float32)[:, None])
-    few.within = lambda queries, cosine, ef: (np.array([ef]), np.array([0]))
-    assert few.audited(few.unit, few.ids, 0.95)[0][0].tolist() == [1500]
+
+
+def test_the_graph_answers_where_links_are_few():
+    """Two shards of 6,000 vectors with 40 links: the audit has planted queries, no beam ends in comparing with all."""
+    rng = np.random.default_rng(10)
+    a, b = rng.normal(size=(6000, 64)), rng.normal(size=(6000, 64))
+    b[:40] = a[:40] + 0.15 * rng.normal(size=(40, 64))
+    one, two = hnsw.Graph(np.arange(6000), a.astype(np.float32)), hnsw.Graph(np.arange(6000, 12000), b.astype(np.float32))
+    for x, y in ((one, two), (two, one)):
+        _, recall, ef = y.audited(x.unit, x.ids, 0.95)
+        assert recall >= hnsw.RECALL and hnsw.WIDE * ef < 6000, (recall, ef)
+    keys, _ = hnsw._pairs(one, two, 0.95)
+    true = {(int(p), int(q)) for p, q in zip(*np.nonzero(one.unit @ two.unit.T >= 0.95))}
+    got = {(int(k) // 6000, int(k) % 6000) for k in keys}
+    assert 30 <= len(true) and got <= true and len(got) >= 0.97 * len(true)
 
 
 def clusters(seed, n, dim=16, spread=0.075):

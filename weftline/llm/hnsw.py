@@ -15,9 +15,9 @@ from .common import Stored, connected_components, table
 COSINE = 0.95
 #: Neighbours of a node above the ground level and on it, beam while building, first beam while searching.
 M, M0, EF_BUILD, EF = 12, 24, 48, 48
-#: An audit compares so many queries at a time with brute force, until so many have a true link; the beam doubles until
-#: this share of their true links is found.
-AUDIT, LINKED, RECALL = 512, 64, 0.98
+#: An audit compares so many drawn queries with brute force, and so many planted ones: nodes of the shard moved to a cosine in this
+#: range beyond the threshold. The beam doubles until this share of their true links is found.
+AUDIT, PLANTED, MOVED, RECALL, ENOUGH = 256, 256, (0.002, 0.02), 0.98, 32
 #: Places of a node for links that reconnect islands, and links of each island.
 SPARE, BRIDGES = 4, 4
 #: A beam of one in so many of a shard's vectors costs more than comparing with all of them, which then is done.
@@ -254,39 +254,53 @@ class Graph:
         pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
         return pairs[:, 0], pairs[:, 1]
 
+    def planted(self, cosine: float) -> np.ndarray:
+        """Queries that have a link by their making: drawn nodes, each moved at random until its cosine with itself is
+        little more than the threshold. A task that is run again plants the same."""
+        order = np.argsort(_spread(self.ids), kind="stable")[:PLANTED]
+        rng = np.random.default_rng(len(self.ids))
+        near = self.unit[order].astype(np.float64)
+        noise = rng.normal(size=near.shape)
+        noise -= np.einsum("nd,nd->n", noise, near)[:, None] * near
+        length = np.linalg.norm(noise, axis=1, keepdims=True)
+        c = np.minimum(1.0, cosine + rng.uniform(*MOVED, size=(len(order), 1)))
+        c = np.where(length > 1e-9, c, 1.0)  # one dimension leaves nowhere to go
+        return (c * near + np.sqrt(1 - c * c) * noise / np.maximum(length, 1e-9)).astype(np.float32)
+
     def audited(self, queries: np.ndarray, keys: np.ndarray, cosine: float) -> tuple[tuple[np.ndarray, np.ndarray] | None, float, int]:
         """``within`` with beams widened until the audit passes; also the recall that was measured and the beam.
 
-        The audit takes the queries in the order of hashes of their ids and compares their links with brute force over
-        the shard, those with themselves left out, until enough have a true link; recall is the mean over these. A
-        block with too few is compared by brute force throughout. Beams that are wide for the shard end there too."""
-        order = np.argsort((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20), kind="stable")
-        chosen, truth, at = [], [], 0
-        step = max(16, min(AUDIT, CELLS // max(1, len(self.ids))))
-        while at < len(order) and sum(map(len, chosen)) < LINKED:
-            part = order[at : at + step]
-            exact = queries[part] @ self.unit.T >= cosine
-            exact &= keys[part][:, None] != self.ids
-            some = exact.any(axis=1)
-            chosen.append(part[some])
-            truth.append(exact[some])
-            at += len(part)
-        chosen, exact = (np.concatenate(x) for x in (chosen, truth)) if chosen else (order, np.zeros((0, len(self.ids)), dtype=bool))
-        if len(chosen) < LINKED:
-            return self.within(queries, cosine, len(self.ids)), 1.0, len(self.ids)
+        The audit's size is fixed: the first queries in the order of hashes of their ids, whose links with themselves are left out, and
+        planted ones, so that recall is measured however few links there are. Both are compared with brute force over the
+        shard; recall is the mean over those that have a true link, or that over the drawn ones of them if it is less and these are ``ENOUGH``. A beam that is wide for the shard ends in comparing with
+        all of it, as that costs less."""
+        chosen = np.argsort(_spread(keys), kind="stable")[:AUDIT]
+        asked = np.concatenate([queries[chosen], self.planted(cosine)])
+        if not len(asked) or not len(self.ids):
+            return self.within(queries, cosine, EF), 1.0, EF
+        step = max(1, CELLS // len(self.ids))
+        exact = np.concatenate([asked[k : k + step] @ self.unit.T >= cosine for k in range(0, len(asked), step)])
+        exact[: len(chosen)] &= keys[chosen][:, None] != self.ids
+        some = exact.any(axis=1)
+        asked, exact, drawn = asked[some], exact[some], int(some[: len(chosen)].sum())
         ef = EF
         while True:
-            found = self.within(queries[chosen], cosine, ef)
+            found = self.within(asked, cosine, ef)
             if found is None:
                 return None, 1.0, ef
             hits = np.zeros_like(exact)
             hits[found] = True
-            recall = float(((hits & exact).sum(axis=1) / exact.sum(axis=1)).mean())
+            each = (hits & exact).sum(axis=1) / exact.sum(axis=1)
+            recall = float(min(each.mean(), each[:drawn].mean() if drawn >= ENOUGH else 1.0))
             if recall >= RECALL or WIDE * ef >= len(self.ids):
                 return self.within(queries, cosine, ef), recall, ef
             ef *= 2
 
 
+def _spread(ids: np.ndarray) -> np.ndarray:
+    return (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
+
+
 def _unpack(column, kind: str, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(-1, width)
 
