@@ -278,6 +278,13 @@ def size_bytes(size, unit: str = "M") -> Column:
     return F.when(number != "", F.floor(number.cast("double") * F.pow(F.lit(1024.0), power.cast("double"))).cast("long"))
 
 
+def duration_words(seconds) -> Column:
+    """:func:`duration` of a column of whole seconds."""
+    t = _col(seconds).cast("long")
+    part = lambda least, size, unit: F.when(t >= least, F.concat((F.floor(t / size) % F.lit(1 << 40 if size == 3600 else 60)).cast("string"), F.lit(unit))).otherwise("")
+    return F.when(t.isNotNull(), F.concat(part(3600, 3600, "h "), part(60, 60, "m "), (t % 60).cast("string"), F.lit("s")))
+
+
 def duration(seconds: int) -> str:
     """Hours, minutes and seconds in words that are short."""
     h, m, s = seconds // 3600, seconds // 60 % 60, seconds % 60

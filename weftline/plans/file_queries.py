@@ -243,9 +243,9 @@ _SNPS = """s AS (SELECT n_name AS taxon, n_regionkey AS r, CAST(n_nationkey % 2
 @query(
     f"""WITH {_SNPS} SELECT 'structure' AS kind, taxon || chr(9) || x || chr(9) || '-9' AS value FROM s UNION ALL SELECT 'structure', taxon || chr(9) || y || chr(9) || '-9' FROM s
 UNION ALL SELECT 'nexus', taxon || '_1' || chr(9) || x || '?' FROM s UNION ALL SELECT 'nexus', taxon || '_2' || chr(9) || y || '?' FROM s
-UNION ALL SELECT 'nexus', unnest(['#NEXUS', 'Begin characters;', '        Dimensions ntax=' || 2 * (SELECT count(*) FROM s) || ' nchar=2;', '        Format symbols="012" missing=?;', '        Matrix', ';', 'End;'])
+UNION ALL SELECT 'nexus', unnest(['#NEXUS', 'Begin characters;', 'Dimensions ntax=' || 2 * (SELECT count(*) FROM s) || ' nchar=2;', 'Format symbols="012" missing=?;', 'Matrix', ';', 'End;'])
 UNION ALL SELECT 'sums', taxon || chr(9) || (CAST(x AS INT) + CAST(y AS INT)) || '-' FROM s
-UNION ALL SELECT 'sums', unnest(['#NEXUS', 'Begin data;', '        Dimensions ntax=' || (SELECT count(*) FROM s) || ' nchar=2;', '        Format datatype=integerdata symbols="012" gap=-;', '        Matrix', chr(9) || ';', 'End;'])
+UNION ALL SELECT 'sums', unnest(['#NEXUS', 'Begin data;', 'Dimensions ntax=' || (SELECT count(*) FROM s) || ' nchar=2;', 'Format datatype=integerdata symbols="012" gap=-;', 'Matrix', chr(9) || ';', 'End;'])
 UNION ALL SELECT 'table', taxon || chr(9) || (CAST(x AS INT) + CAST(y AS INT)) || chr(9) || '-' FROM s"""
 )
 def snp_files(spark, d):

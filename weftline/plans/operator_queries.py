@@ -97,8 +97,7 @@ def sizes_in_bytes(spark, d):
 
 @query("SELECT s_suppkey, CASE WHEN t >= 3600 THEN t // 3600 || 'h ' ELSE '' END || CASE WHEN t >= 60 THEN t // 60 % 60 || 'm ' ELSE '' END || t % 60 || 's' AS took FROM (SELECT s_suppkey, s_suppkey * 97 AS t FROM supplier)")
 def durations(spark, d):
-    rows = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") * 97).alias("t"))
-    return rows.mapInPandas(lambda parts: (p.assign(took=p["t"].map(seq.duration))[["s_suppkey", "took"]] for p in parts), "s_suppkey long, took string")
+    return table(spark, d, "supplier").select("s_suppkey", seq.duration_words(F.col("s_suppkey") * 97).alias("took"))
 
 
 # reads and hits

@@ -71,7 +71,7 @@ def write_supermatrix(matrix: DataFrame, path: str) -> None:
 
 
 def write_nexus(matrix: DataFrame, blocks: DataFrame, path: str) -> None:
-    """A supermatrix as NEXUS with a character set for each locus (``locus, start, end``)."""
+    """A supermatrix as NEXUS with a character set for each locus (``locus, start, end``), a file that one task writes."""
     size = matrix.agg(F.count("*").alias("n"), F.max(F.length("seq")).alias("len")).first()
     lines = matrix.sparkSession.createDataFrame(
         [(0, "", "#NEXUS\nBEGIN DATA;"), (0, "a", f"DIMENSIONS NTAX={size.n or 0} NCHAR={size.len or 0};\nFORMAT DATATYPE=DNA MISSING=? GAP=-;\nMATRIX"), (2, "", ";\nEND;\nBEGIN SETS;"), (4, "", "END;")], "part int, key string, line string"
@@ -81,8 +81,14 @@ def write_nexus(matrix: DataFrame, blocks: DataFrame, path: str) -> None:
     _lines(lines.unionByName(rows).unionByName(sets), path, F.col("line"), ["part", "key"])
 
 
+#: The lines with which the NEXUS format opens a block of characters and one of data.
+_NEXUS_TWO_ROWS = ("#NEXUS", "Begin characters;", "Dimensions ntax={n} nchar={loci};", 'Format symbols="012" missing=?;', "Matrix")
+_NEXUS_SUMS = ("#NEXUS", "Begin data;", "Dimensions ntax={n} nchar={loci};", 'Format datatype=integerdata symbols="012" gap=-;', "Matrix")
+
+
 def write_snps(matrix: DataFrame, path: str) -> None:
-    """SNP matrices out of ``taxon, a1, a2, sums`` (arrays over loci in order) in four codings, each a whole file.
+    """SNP matrices out of ``taxon, a1, a2, sums`` (arrays over loci in order) in four codings, each a whole file that one task
+    writes: programs that read them want one file.
 
     NEXUS with two rows to a sample (missing: ?), one-row NEXUS of genotype sums (missing: -), STRUCTURE with two rows
     to a sample (missing: -9) and a table of sums for R (missing: -)."""
@@ -100,9 +106,9 @@ def write_snps(matrix: DataFrame, path: str) -> None:
         _lines(whole, f"{path}/{name}", F.col("line"), ["part", "taxon", "row"])
 
     two = [F.concat("taxon", F.lit(f"_{k}\t"), joined(f"a{k}", "?")) for k in (1, 2)]
-    put("nexus", rows(*two), f"#NEXUS\nBegin characters;\n        Dimensions ntax={2 * n} nchar={loci};\n        Format symbols=\"012\" missing=?;\n        Matrix", ";\nEnd;")
+    put("nexus", rows(*two), "\n".join(_NEXUS_TWO_ROWS).format(n=2 * n, loci=loci), ";\nEnd;")
     one = F.concat("taxon", F.lit("\t"), joined("sums", "-"))
-    put("sums", rows(one), f"#NEXUS\nBegin data;\n        Dimensions ntax={n} nchar={loci};\n        Format datatype=integerdata symbols=\"012\" gap=-;\n        Matrix", "\t;\nEnd;")
+    put("sums", rows(one), "\n".join(_NEXUS_SUMS).format(n=n, loci=loci), "\t;\nEnd;")
     put("structure", rows(*[F.concat("taxon", F.lit("\t"), joined(f"a{k}", "-9", "\t")) for k in (1, 2)]))
     put("table", rows(F.concat("taxon", F.lit("\t"), joined("sums", "-", "\t"))))
 
