@@ -91,8 +91,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     ``edges`` holds ``a`` and ``b`` of one orderable type. Alternating large-star and small-star rounds: each
     node's edges are hung on its smallest neighbour until the edge set is a forest of stars. A round is a few
-    shuffles of at most the edges themselves, so neither a hub nor a long chain meets in one task beyond a
-    partial aggregate. Each round is written to the shared folder, which keeps the lineage short. Edges with a null
+    shuffles of at most the edges themselves; long chains shrink by rounds. A hub's edges meet in partial aggregates and in joins on
+    its id, where it is adaptive execution that splits them. Each round is written to the shared folder, which keeps the lineage short. Edges with a null
     end, repeated edges and loops add nothing; without edges there are no rows.
     """
     spark = edges.sparkSession

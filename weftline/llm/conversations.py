@@ -247,7 +247,8 @@ def rebuilt(turns: DataFrame, block: int = BLOCK, heads: int = HEADS) -> DataFra
 
 def op12_prefix_trie(spark, sf_dir: str) -> DataFrame:
     """Turns without conv_id belong to no conversation and are left out; equal turns are ordered by their digest; remainders are those of
-    division toward zero; an empty table gives no rows."""
+    division toward zero; an empty table gives no rows. Of a text, however long, its digest and its number of words go on; a conversation
+    may have any number of turns and span partitions."""
     turns = Stored(digested(table(spark, sf_dir, "conversations"))).df  # texts are read once, not again for the ranges
     return prefix_trie(rebuilt(turns), F.col("kind"), F.col("place"))
 

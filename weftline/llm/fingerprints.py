@@ -100,7 +100,8 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket:
 
 def op13_fingerprints(spark, sf_dir: str) -> DataFrame:
     """``near_*`` is the share of the smaller text's retained hashes that the larger one has; where one of two has none, 1 for equal
-    fingerprints (equal texts), else 0. Repeated rows are each other's next; null ids come last."""
+    fingerprints (equal texts), else 0. Repeated rows are each other's next; null ids come last. Texts are whole, however long: a row is
+    worked on by itself. An empty table gives no rows."""
     rows = with_next(table(spark, sf_dir, "documents"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))

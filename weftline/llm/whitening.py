@@ -172,7 +172,8 @@ def fit(vectors: DataFrame, vector: str = "embedding", components: int = COMPONE
 
     Entries are taken in units (``SCALE``, ``SHIFT``), sums are exact, and rows are centred before they are multiplied. What
     comes to the driver is a sum and a row of R for each dimension. Null and empty vectors, vectors with null or non-finite
-    entries and those of another length take no part; repeated rows count each time.
+    entries and those of another length take no part; repeated rows count each time. Components of equal eigenvalues
+    are some orthonormal directions of their space.
     """
     rows = vectors.select(_doubles(vector).alias("v"))
     most = rows.where(_sound(F.col("v"))).groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).first()
