@@ -509,4 +509,6 @@ def align_proteins(rows: DataFrame, costs: codons.Costs = codons.Costs()) -> Dat
             yield out[found[:, 0] > 0]
 
     there = rows.select("locus", "contig", "seq", "protein").where((F.length("seq") > 0) & (F.length("protein") > 0))
+    # little data and much work: a small file is one partition otherwise
+    there = there.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return there.mapInPandas(run, "locus string, contig string, stq long, edq long, sts long, eds long, strand string, score double, sim double, shifts long").withColumn("sim", F.round("sim", 2))

@@ -172,7 +172,8 @@ def _extended(rows: DataFrame, scoring: Scoring, band: int, x_drop: int) -> Data
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i < 3 else pa.int64()) for i, c in enumerate(zip(*found, strict=True))], names=[x.split()[0] for x in _HIT.split(", ")])
 
-    return rows.mapInArrow(run, _HIT)
+    # little data and much work: partitions are not merged by their size, and a hot target's hits are spread
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(run, _HIT)
 
 
 def gapped_search(
