@@ -142,3 +142,82 @@ def test_large_buckets_are_dealt_in_parts(spark, monkeypatch):
             texts.append(" ".join(copy))
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     assert {r.doc_id for r in simhash.stage(spark, docs, "").collect()} == set(five_word_components(texts))
+
+
+def test_wide_fingerprints_are_majorities_of_bits():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (1, 2, 9, 254, 255, 256, 1300)]
+    got = simhash.wide_fingerprints(sets, 3)
+    for s, row in zip(sets, got.tolist()):
+        for w, word in enumerate(row):
+            step = (w + 1) * 0x9E3779B97F4A7C15 % (1 << 64)
+            mixed = [int(x) for x in simhash.mix(s + np.uint64(step))]
+            assert word == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in mixed) > len(s))
+
+
+def test_fingerprints_are_grouped_as_by_brute_force(monkeypatch):
+    rng = random.Random(6)
+    fps = [rng.getrandbits(128) for _ in range(20)]
+    for _ in range(90):
+        x = rng.choice(fps)
+        for b in rng.sample(range(128), rng.choice([3, 9, 10, 11, 12])):
+            x ^= 1 << b
+        fps.append(x)
+    root = list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(fps)), 2):
+        if bin(fps[i] ^ fps[j]).count("1") <= 10:
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    want = [find(i) for i in range(len(fps))]
+    assert len(set(want)) < len(fps) - 30
+    words = [np.array([f >> s & (1 << 64) - 1 for f in fps], dtype=np.uint64) for s in (0, 64)]
+    for pairs in (1, 700, 1 << 17):
+        monkeypatch.setattr(simhash, "_PAIRS", pairs)
+        assert simhash.grouped(words, 10).tolist() == want
+
+
+def test_candidates_of_the_stage_share_a_cell_of_bit_counts(spark, monkeypatch):
+    """Rows of a bucket hang together by bits, and those near each other in one cell of counts share a bucket."""
+    rng = random.Random(7)
+    fps = []
+    for _ in range(12):
+        base = [rng.getrandbits(64) for _ in range(7)]
+        for _ in range(5):
+            fps.append([x ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for x in base])
+    fps.append(list(fps[0]))  # equal fingerprints, another text
+    signed = [np.array(f, dtype=np.uint64).view(np.int64).tolist() for f in fps]
+    nodes = spark.createDataFrame([(i, f, 100) for i, f in enumerate(signed)], "node long, fps array<long>, bytes int")
+
+    def cells(f):
+        counts = [(x >> 2 * s & 1) + (x >> 2 * s + 1 & 1) for x in f for s in range(30)]
+        return {(g, tuple(counts[5 * g : 5 * g + 5])) for g in range(42)}
+
+    distance = lambda f, g: sum(bin(x ^ y).count("1") for x, y in zip(f[:2], g[:2]))
+    want = {(i, j) for i, j in combinations(range(len(fps)), 2) if distance(fps[i], fps[j]) <= 36 and cells(fps[i]) & cells(fps[j])}
+    for part in (simhash.CELL_PART, 2):
+        monkeypatch.setattr(simhash, "CELL_PART", part)
+        buckets = {}
+        for r in simhash.buckets_of(nodes, 5).collect():
+            buckets.setdefault(r.bucket, []).append(r.node)
+        got = {p for b in buckets.values() for p in combinations(sorted(set(b)), 2)}
+        assert want <= got and all(i % 60 // 5 == j % 60 // 5 for i, j in got)
+
+
+def test_the_stage_finds_pairs_at_the_threshold(spark):
+    """Pairs of texts whose five-word shingles have the similarity 0.8 to 0.82; fingerprints of 64 bits differ in ten."""
+    rng = random.Random(13)
+    rows = []
+    for i in range(300):
+        words = [f"w{rng.randrange(100000)}" for _ in range(139)]  # 135 shingles, of which three edits apart take 15
+        edited = list(words)
+        for at in (20, 60, 100):
+            edited[at] = "x"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(edited))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in simhash.stage(spark, docs, "").orderBy("doc_id").collect()] == list(range(0, 600, 2))

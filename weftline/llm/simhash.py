@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .anchors import mix
 from .common import Stored, connected_components, fresh, give_back, quoted, table
 
 #: Fixed values of the contract: words of a shingle, seed of XXH64, differing bits that link.
@@ -20,8 +21,16 @@ GROUPS = 5
 _BLOCK = 1 << 17
 #: Near copies in the pipeline: words of a shingle, and the Jaccard similarity of two shingle sets, a ratio of integers.
 NEAR_SHINGLE, NEAR = 5, (4, 5)
-#: Bands of minima that find candidates, and minima of a band: at the similarity 0.8 a pair is missed with probability 7e-5.
-BANDS, MINIMA = 24, 5
+#: Words of a wide fingerprint whose bits are compared, and the bits of these that may differ: 19 of 128 do on average at the
+#: similarity 0.8, 64 in unlike texts.
+COMPARED, NEAR_RADIUS = 2, 36
+#: Chances that two texts have a segment's count in common: at the similarity 0.8 (a bit differs with probability 0.151) and
+#: unlike ones; and the chance that no grid has a pair at the similarity 0.8 in one cell.
+ALIKE, UNLIKE, MISSED = 0.732, 0.375, 1e-4
+#: Segments of a cell in a grid of wide fingerprints: so many at least, and more where two of CELL rows would share one.
+LEAST_SEGMENTS, CELL = 5, 1 << 14
+#: Rows of a cell that are compared at once; a larger cell is dealt in parts. Pairs in a block of the comparison.
+CELL_PART, _PAIRS = 1 << 15, 1 << 17
 #: Texts of a bucket, and bytes of their shingles, that are compared at once; a larger bucket is dealt in parts.
 PART, PART_BYTES = 512, 16 << 20
 #: Shingles whose columns are multiplied at once.
@@ -141,63 +150,159 @@ def op6_simhash(spark, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _bands(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """For consecutive runs of hashes (none empty), a hash of the minima of each band: one row a run."""
-    from xxhash import xxh64_intdigest as xxh64
-
-    starts = np.cumsum(sizes) - sizes
-    out = np.zeros((len(sizes), BANDS), dtype=np.uint64)
-    for k in range(BANDS * MINIMA):
-        mask, factor = (np.uint64(xxh64(f"{x}{k}", SEED)) for x in "mf")
-        low = np.minimum.reduceat((hashes ^ mask) * (factor | np.uint64(1)), starts)
-        mixed = (out[:, k % BANDS] ^ low) * np.uint64(0x9E3779B97F4A7C15)
-        out[:, k % BANDS] = mixed ^ (mixed >> np.uint64(29))
+def grids(rows: int) -> tuple[int, int]:
+    """Segments of a cell and words of the wide fingerprints for a table of so many rows.
+
+    A word's 32 segments make ``32 // segments`` grids, none with a segment of another. With more segments unlike texts
+    share fewer cells and so do near copies, hence more grids: 42 up to two million rows, 80 at fifteen million."""
+    segments = LEAST_SEGMENTS
+    while segments < SEGMENTS // 2 and rows * UNLIKE**segments > CELL:
+        segments += 1
+    wanted = np.log(MISSED) / np.log1p(-(ALIKE**segments))
+    return segments, max(COMPARED, int(np.ceil(wanted / (SEGMENTS // segments))))
+
+
+def wide_fingerprints(sets: list[np.ndarray], words: int) -> np.ndarray:
+    """SimHash of some sets of hashes (none empty), 64 bits for each of ``words`` ways to mix them: one row a set."""
+    ways = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    out = np.zeros((len(sets), words), dtype=np.uint64)
+    for i, hashes in enumerate(sets):
+        counts = np.zeros(64 * words, dtype=np.int64)
+        for a in range(0, len(hashes), 255):  # as many ones as a byte can count
+            mixed = mix(hashes[a : a + 255, None] + ways)
+            counts += np.unpackbits(mixed.astype("<u8").view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+        out[i] = np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")
     return out
 
 
-def with_bands(docs: DataFrame, text: str, node: str, bands: str, shingles: str, shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """``docs`` without the text but with a hash of its words, its bands (none for a text without a word) and the sorted
-    distinct hashes of its shingles, four bytes each."""
+def with_wide_fingerprints(docs: DataFrame, text: str, node: str, fps: str, shingles: str, words: int, shingle: int = NEAR_SHINGLE) -> DataFrame:
+    """``docs`` without the text but with a hash of its words, the wide fingerprint of its distinct shingles (none for a text
+    without a word) and the sorted distinct hashes of its shingles, four bytes each."""
     from xxhash import xxh64_intdigest as xxh64
 
     kept = docs.drop(text)
-    added = [T.StructField(node, T.LongType()), T.StructField(bands, T.ArrayType(T.LongType())), T.StructField(shingles, T.BinaryType())]
+    added = [T.StructField(node, T.LongType()), T.StructField(fps, T.ArrayType(T.LongType())), T.StructField(shingles, T.BinaryType())]
     schema = T.StructType(kept.schema.fields + added)
 
     def run(batches):
         for batch in batches:
-            found, nodes, sets, parts, at = [[]] * batch.num_rows, [], [], [], []
-
-            def settle():
-                if parts:
-                    rows = _bands(np.concatenate(parts), np.array([len(p) for p in parts])).view(np.int64).tolist()
-                    for i, row in zip(at, rows):
-                        found[i] = row
-                    parts.clear()
-                    at.clear()
-
-            total = 0
-            for i, value in enumerate(batch.column(batch.schema.get_field_index(text)).to_pylist()):
-                words = _words(value)
-                nodes.append(xxh64(b" ".join(words), SEED))
-                hashes = _shingles(words, shingle) if words else np.zeros(0, dtype=np.uint64)
+            nodes, found, sets = [], [], []
+            for value in batch.column(batch.schema.get_field_index(text)).to_pylist():
+                at = _words(value)
+                nodes.append(xxh64(b" ".join(at), SEED))
+                hashes = np.unique(_shingles(at, shingle)) if at else np.zeros(0, dtype=np.uint64)
+                found.append(wide_fingerprints([hashes], words)[0].view(np.int64).tolist() if at else [])
                 sets.append(np.unique((hashes >> np.uint64(32)).astype(np.uint32)).tobytes())
-                if words:
-                    parts.append(hashes)
-                    at.append(i)
-                    total += len(words)
-                if total >= _BLOCK:
-                    settle()
-                    total = 0
-            settle()
             rest = batch.drop_columns([text])
             new = [pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*rest.columns, *new], names=[*rest.schema.names, node, bands, shingles])
+            yield pa.RecordBatch.from_arrays([*rest.columns, *new], names=[*rest.schema.names, node, fps, shingles])
         give_back()
 
     return docs.mapInArrow(run, schema)
 
 
+def _differing(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Bits that differ between fingerprints, given as an array for each word."""
+    out = np.bitwise_count(one[0] ^ two[0])
+    for x, y in zip(one[1:], two[1:]):
+        out += np.bitwise_count(x ^ y)
+    return out
+
+
+def grouped(fps: list[np.ndarray], radius: int = NEAR_RADIUS) -> np.ndarray:
+    """For each of some fingerprints (an array for each word, three at most) the first one that it reaches over pairs with
+    ``radius`` differing bits.
+
+    The range of the grid comes first: the Manhattan distance of all segments' counts, which differing bits are never
+    below. A count is written as that many ones, so the distance is a number of differing bits as well."""
+    low, n = np.uint64(0x5555555555555555), len(fps[0])
+    halves = [(f & low, (f >> np.uint64(1)) & low) for f in fps]
+    counts = [x | y | ((x & y) << np.uint64(1)) for x, y in halves]
+    root, step = np.arange(n), max(1, _PAIRS // max(n, 1))
+    for a in range(0, n, step):
+        at = np.flatnonzero(_differing([c[a : a + step, None] for c in counts], [c[None, a:] for c in counts]) <= radius)
+        i, j = np.divmod(at, n - a)
+        i, j = i[j > i] + a, j[j > i] + a
+        within = _differing([f[i] for f in fps], [f[j] for f in fps]) <= radius
+        i, j = i[within], j[within]
+        while len(i):
+            ends = root[i], root[j]
+            apart = ends[0] != ends[1]
+            i, j = i[apart], j[apart]
+            np.minimum.at(root, np.maximum(*ends)[apart], np.minimum(*ends)[apart])
+            while (root[root] != root).any():
+                root = root[root]
+    return root
+
+
+def _candidates(rows: DataFrame, radius: int) -> DataFrame:
+    """``f1, f2`` of the rows of each part of a cell (``grid, cell, low, high``, rows in a run, sorted by ``f1, f2``) that
+    have a near row there, and the ``f1`` of the first one that they reach as ``root``."""
+    names = ["grid", "cell", "low", "high", "root", "f1", "f2"]
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+
+    def settled(group):
+        one, two = (x.view(np.uint64) for x in group[4:])
+        first = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+        root = grouped([one[first], two[first]], radius)
+        times = np.bincount(root, weights=np.diff(np.r_[first, len(one)]), minlength=len(first))
+        some = times[root] > 1
+        kept = [x[first[some]] for x in group]
+        return [*kept[:4], group[4][first[root[some]]], *kept[4:]]
+
+    def batch_of(parts):
+        columns = [np.concatenate(x) for x in zip(*parts)] if parts else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names=names)
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if held is not None:
+                now = [np.concatenate(x) for x in zip(held, now)]
+            n = len(now[0])
+            if not n:
+                continue
+            cuts = np.flatnonzero(np.any([x[1:] != x[:-1] for x in now[:4]], axis=0)) + 1
+            cuts = [0, *cuts.tolist(), n]
+            yield batch_of([settled([x[a:b] for x in now]) for a, b in zip(cuts[:-2], cuts[1:-1])])
+            held = [x[cuts[-2] :] for x in now]
+        if held is not None:
+            yield batch_of([settled(held)])
+        give_back()
+
+    schema = "grid int, cell long, low int, high int, root long, f1 long, f2 long"
+    return rows.select("grid", "cell", "low", "high", "f1", "f2").mapInArrow(run, schema)
+
+
+def _cells(fps: Column, segments: int) -> Column:
+    """Cells of a wide fingerprint, one in each grid: the counts of its segments there, side by side."""
+    mask = F.lit((1 << 2 * segments) - 1)
+    of_word = lambda fp: F.array(*[F.shiftrightunsigned(_cell(fp), 2 * segments * g).bitwiseAND(mask) for g in range(SEGMENTS // segments)])
+    return F.flatten(F.transform(fps, of_word))
+
+
+def buckets_of(nodes: DataFrame, segments: int, radius: int = NEAR_RADIUS) -> DataFrame:
+    """``bucket, node, bytes``: the candidates, by a range join over grids of segments' bit counts.
+
+    ``nodes`` (stored) has ``node, fps, bytes``. Rows of one cell of a grid meet; a bucket is what hangs together there by
+    the Manhattan distance of all counts, then by bits. A cell too large for one task is dealt in parts, every two of
+    them to a task. Equal fingerprints are compared once."""
+    spread = nodes.select(F.col("fps")[0].alias("f1"), F.col("fps")[1].alias("f2"), F.posexplode(_cells(F.col("fps"), segments)).alias("grid", "cell"))
+    parts = F.ceil(F.col("count") / CELL_PART).cast("int")
+    large = Stored(spread.groupBy("grid", "cell").count().where(F.col("count") > CELL_PART).select("grid", "cell", parts.alias("parts")))
+    # at most a row for each CELL_PART rows, so it may be broadcast
+    entries = spread.join(F.broadcast(large.df), ["grid", "cell"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = F.pmod(F.xxhash64("f1", "f2"), F.col("parts")).cast("int")
+    dealt = entries.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    order = ["grid", "cell", "low", "high"]
+    dealt = dealt.select("grid", "cell", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "f1", "f2")
+    found = _candidates(dealt.repartition(*order).sortWithinPartitions(*order, "f1", "f2"), radius)
+    named = found.select(F.xxhash64(*order, "root").alias("bucket"), "f1", "f2")
+    known = nodes.select(F.col("fps")[0].alias("f1"), F.col("fps")[1].alias("f2"), "node", "bytes")
+    return named.join(known.hint("merge"), ["f1", "f2"]).select("bucket", "node", "bytes")
+
+
 def joined(sets: list[np.ndarray], similarity: tuple[int, int]) -> np.ndarray:
     """For each of some sets (sorted, distinct) the first one that it reaches over pairs with the Jaccard similarity, a
     ratio of integers, at least. Sizes of all intersections come from products of the columns that two sets share."""
@@ -263,18 +368,20 @@ def _linked(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     return rows.select("bucket", "low", "high", "node", "shingles").mapInArrow(run, "a long, b long")
 
 
-def near_copies(marked: DataFrame, similarity: tuple[int, int] = NEAR) -> DataFrame:
+def near_copies(marked: DataFrame, segments: int, similarity: tuple[int, int] = NEAR) -> DataFrame:
     """``node, component`` for the texts that have a near copy: components over all pairs with the similarity.
 
-    ``marked`` (stored) has ``node, bands, shingles``. At the similarity 0.8 fingerprints of 64 bits differ in ten bits on
-    average and in more than sixteen at times, and a grid of that radius would compare nearly all with all. So
-    candidates share a band of minima. Buckets that hold the same texts are one; a bucket's texts are compared by their sets
+    ``marked`` (stored) has ``node, fps, shingles``. At the similarity 0.8 fingerprints of 64 bits differ in ten bits on
+    average and in more than sixteen at times; a single grid of that radius would compare nearly all with all. So a
+    fingerprint has more words, each of which makes some grids of fewer segments, and candidates share a cell in one of
+    them. At the similarity 0.8 a pair is missed with a probability of 1e-4 or so (0.007 for sets of five shingles and
+    four of them). Buckets that hold the same texts are one; a bucket's texts are compared by their sets
     of shingles, and what comes out are links that join what is linked, not the pairs. A bucket too large for one
     task is dealt in parts, every two of them to a task. Equal texts are one node throughout.
     """
-    nodes = Stored(marked.where(F.size("bands") > 0).groupBy("node").agg(F.first("bands").alias("bands"), F.max(F.octet_length("shingles")).alias("bytes")))
-    places = nodes.df.select("node", "bytes", F.posexplode("bands").alias("k", "v")).select("node", "bytes", F.xxhash64("k", "v").alias("bucket"))
-    mark = F.xxhash64("node")
+    nodes = Stored(marked.where(F.size("fps") > 0).groupBy("node").agg(F.first("fps").alias("fps"), F.max(F.octet_length("shingles")).alias("bytes")))
+    stored = Stored(buckets_of(nodes.df, segments))
+    places, mark = stored.df, F.xxhash64("node")
     whole = places.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("y")).where("n > 1")
     parts = F.greatest(F.ceil(F.max("n") / PART), F.ceil(F.max("bytes") / PART_BYTES)).cast("int")
     buckets = Stored(whole.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"), parts.alias("parts")).select("bucket", "parts"))
@@ -287,7 +394,7 @@ def near_copies(marked: DataFrame, similarity: tuple[int, int] = NEAR) -> DataFr
     order = ["bucket", "low", "high"]
     rows = dealt.df.join(sets, "node").repartition(*order).sortWithinPartitions(*order, "node")
     edges = Stored(_linked(rows, similarity))
-    for done in (nodes, buckets, dealt):
+    for done in (nodes, stored, buckets, dealt):
         done.drop()
     return connected_components(edges.df)
 
@@ -295,15 +402,16 @@ def near_copies(marked: DataFrame, similarity: tuple[int, int] = NEAR) -> DataFr
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the one with the smallest id, then the smallest hash of its row.
 
-    Two hashes of all columns stand for a row, so texts are not stored beside their bands. What is joined with the documents
+    Two hashes of all columns stand for a row, so texts are not stored beside their fingerprints. What is joined with the documents
     are the rows that go and those that are there twice, the lesser part; of rows that are equal throughout one is
     left. Texts without words are copies of each other; a null id comes last. Columns may have any names.
     """
     columns, prefix = quoted(docs.columns), fresh(docs.columns, "_sh")
     row, state = [f"{prefix}_a", f"{prefix}_b"], f"{prefix}_state"
     named = docs.withColumns({row[0]: F.xxhash64(*columns), row[1]: F.xxhash64(F.lit(1), *columns)})
-    marks = Stored(with_bands(named.select("doc_id", "text", *row), "text", "node", "bands", "shingles"))
-    roots = Stored(near_copies(marks.df.select("node", "bands", "shingles")))
+    segments, words = grids(docs.count())
+    marks = Stored(with_wide_fingerprints(named.select("doc_id", "text", *row), "text", "node", "fps", "shingles", words))
+    roots = Stored(near_copies(marks.df.select("node", "fps", "shingles"), segments))
     per_row = marks.df.groupBy(*row).agg(F.count("*").alias("times"), F.first("doc_id").alias("doc_id"), F.first("node").alias("node"))
     placed = Stored(per_row.join(roots.df, "node", "left").select(*row, "times", "doc_id", F.coalesce("component", "node").alias("root")))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", *row)
