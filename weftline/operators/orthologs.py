@@ -64,9 +64,9 @@ def seed_search(queries: DataFrame, targets: DataFrame, k: int = 11, least: int
     t = kmer_places(targets, "seq", k, "name").where((F.col("pos") - 1) % step == 0).where(~F.col("kmer").rlike("[a-z]")).select(F.col("name").alias("target"), "kmer", F.col("pos").alias("tpos"))
     if most_places is not None:
         t = t.join(t.groupBy("kmer").count().where(F.col("count") > most_places), "kmer", "left_anti")
-    seeds = q.join(t, "kmer").groupBy("query", "strand", "target", (F.col("tpos") - F.col("qpos")).alias("diagonal")).agg(F.count("*").alias("seeds"), F.min("qpos").alias("lo"), (F.max("qpos") + k - 1).alias("hi"))
+    seeds = q.join(t.hint("merge"), "kmer").groupBy("query", "strand", "target", (F.col("tpos") - F.col("qpos")).alias("diagonal")).agg(F.count("*").alias("seeds"), F.min("qpos").alias("lo"), (F.max("qpos") + k - 1).alias("hi"))
     found = seeds.where(F.col("seeds") >= least)
-    found = found.join(strands.select(F.col("name").alias("query"), "strand", F.upper("seq").alias("qseq")), ["query", "strand"]).join(targets.select(F.col("name").alias("target"), F.upper("seq").alias("tseq")), "target")
+    found = found.join(strands.select(F.col("name").alias("query"), "strand", F.upper("seq").alias("qseq")).hint("merge"), ["query", "strand"]).join(targets.select(F.col("name").alias("target"), F.upper("seq").alias("tseq")).hint("merge"), "target")
     return extend_diagonals(found, drop, match, mismatch)
 
 
@@ -126,7 +126,8 @@ def frame_by_kmers(rows: DataFrame, reference: DataFrame, k: int = 3) -> DataFra
     """The frame whose protein shares most k-mers (with multiplicity) with the reference's; none without any."""
     own = kmer_counts(best_frames(rows), "protein", k, "name", "frame")
     ref = kmer_counts(reference.select("name", "protein"), "protein", k, "name").withColumnRenamed("times", "_times")
-    shared = own.join(ref, ["name", "kmer"]).groupBy("name", "frame").agg(F.sum(F.least("times", "_times")).alias("shared"))
+    # a file's size says little of its k-mers': no broadcast
+    shared = own.join(ref.hint("merge"), ["name", "kmer"]).groupBy("name", "frame").agg(F.sum(F.least("times", "_times")).alias("shared"))
     return best_per_key(shared, ["name"], [-F.col("shared"), "frame"])
 
 
