@@ -381,13 +381,14 @@ def star_alignment(seqs: list[str]) -> list[str]:
 def _pivot_places(rows: DataFrame, key: str, seq: str, k: int, pivots: int) -> DataFrame:
     """Distances of each row (``_n`` within its key) to some rows of the key, by shared k-mers: ``key, _n, at`` (pivot and distance).
 
-    Pivots are drawn by a hash, so the join grows with the rows, not with their pairs."""
+    Pivots are drawn by a hash, so the join grows with the rows, not with their pairs. Nothing is broadcast: what Spark
+    estimates from the size of a file is far below what its k-mers take."""
     drawn = Window.partitionBy(key).orderBy(F.xxhash64(seq), "_n")
     chosen = rows.withColumn("_d", F.row_number().over(drawn)).where(F.col("_d") <= pivots).select(key, seq, "_d", F.length(seq).alias("_m"))
     mine = kmer_counts(rows, seq, k, key, "_n")
     theirs = kmer_counts(chosen, seq, k, key, "_d").withColumnRenamed("times", "_times")
-    shared = mine.join(theirs, [key, "kmer"]).groupBy(key, "_n", "_d").agg(F.sum(F.least("times", "_times")).alias("shared"))
-    both = shared.join(rows.select(key, "_n", F.length(seq).alias("_l")), [key, "_n"]).join(chosen.drop(seq), [key, "_d"])
+    shared = mine.join(theirs.hint("merge"), [key, "kmer"]).groupBy(key, "_n", "_d").agg(F.sum(F.least("times", "_times")).alias("shared"))
+    both = shared.join(rows.select(key, "_n", F.length(seq).alias("_l")).hint("merge"), [key, "_n"]).join(chosen.drop(seq).hint("merge"), [key, "_d"])
     apart = 1 - F.col("shared") / F.greatest(F.lit(1), F.least("_l", "_m") - k + 1)
     return both.groupBy(key, "_n").agg(F.collect_list(F.struct(F.col("_d").alias("d"), apart.alias("x"))).alias("_at"))
 
@@ -402,7 +403,7 @@ def align(rows: DataFrame, key: str = "locus", seq: str = "seq", order: str = "t
     bare = rows.withColumn(seq, F.upper(degap(F.coalesce(seq, F.lit("")))))
     numbered = bare.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order, seq)))
     places = _pivot_places(numbered.select(key, "_n", seq), key, seq, k, pivots)
-    joined = numbered.join(places.withColumnRenamed(key, "_key").withColumnRenamed("_n", "_m"), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_n") == F.col("_m")), "left").drop("_key", "_m")
+    joined = numbered.join(places.withColumnRenamed(key, "_key").withColumnRenamed("_n", "_m").hint("merge"), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_n") == F.col("_m")), "left").drop("_key", "_m")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_n", kind="stable").astype({seq: object})
