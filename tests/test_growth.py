@@ -10,7 +10,7 @@ def plan_of(rows) -> str:
     return rows._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["frame_by_kmers", "diverged_alignment", "diverged_codons"])
+@pytest.mark.parametrize("name", ["frame_by_kmers", "diverged_alignment", "diverged_codons", "gapped_search", "seed_search"])
 def test_kmers_are_not_broadcast(spark, name):
     assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) >= 10 << 20
     assert "Broadcast" not in plan_of(driver_queries.QUERIES[name](spark, SMALL))

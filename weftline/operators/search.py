@@ -58,7 +58,7 @@ def segments(queries: DataFrame, targets: DataFrame, k: int, step: int = 1, most
     if most_places is not None:
         t = t.join(t.groupBy("kmer").count().where(F.col("count") > most_places).select("kmer"), "kmer", "left_anti")
     pair = ["query", "strand", "target"]
-    seeds = q.join(t, "kmer").select(*pair, "q", (F.col("t") - F.col("q")).alias("diagonal")).repartition(*pair)
+    seeds = q.join(t.hint("merge"), "kmer").select(*pair, "q", (F.col("t") - F.col("q")).alias("diagonal")).repartition(*pair)
     line = Window.partitionBy(*pair, "diagonal").orderBy("q")
     new = F.coalesce((F.col("q") - F.lag("q").over(line) > k).cast("int"), F.lit(1))
     return seeds.withColumn("run", new).withColumn("run", F.sum("run").over(line)).groupBy(*pair, "diagonal", "run").agg(F.min("q").alias("qlo"), (F.max("q") - F.min("q") + k).alias("size"), F.count("*").alias("seeds")).drop("run")
@@ -134,11 +134,11 @@ def _reached(chains: DataFrame, targets: DataFrame, lengths: DataFrame, band: in
     """``chains`` with the part of the target that an extension can reach (``tseq``, from ``tfrom``), put together from pieces, so that
     a long target is never sent whole and does not meet all its hits in one task."""
     cut = targets.where(F.length("seq") > 0).select(F.col("name").alias("target"), F.posexplode(F.expr(f"transform(sequence(0, length(seq) - 1, {piece}), at -> substring(seq, at + 1, {piece}))")).alias("piece", "part"))
-    ends = chains.join(lengths, "query").withColumns({"tfrom": F.greatest(F.lit(0), F.col("lowest") - band), "tto": F.col("qlen") + F.col("highest") + band})
+    ends = chains.join(lengths.hint("merge"), "query").withColumns({"tfrom": F.greatest(F.lit(0), F.col("lowest") - band), "tto": F.col("qlen") + F.col("highest") + band})
     first, last = (F.floor(F.col("tfrom") / piece)).cast("int"), F.floor((F.col("tto") - 1) / piece).cast("int")
     wanted = ends.withColumn("piece", F.explode(F.sequence(first, F.greatest(first, last))))
     start = F.col("piece").cast("long") * piece
-    met = wanted.join(cut, ["target", "piece"]).withColumn("part", F.substring("part", F.greatest(F.lit(0), F.col("tfrom") - start).cast("int") + 1, F.least(F.lit(piece), F.col("tto") - start).cast("int") - F.greatest(F.lit(0), F.col("tfrom") - start).cast("int")))
+    met = wanted.join(cut.hint("merge"), ["target", "piece"]).withColumn("part", F.substring("part", F.greatest(F.lit(0), F.col("tfrom") - start).cast("int") + 1, F.least(F.lit(piece), F.col("tto") - start).cast("int") - F.greatest(F.lit(0), F.col("tfrom") - start).cast("int")))
     parts = F.array_sort(F.collect_list(F.struct("piece", "part")))
     return met.groupBy("query", "strand", "target", "lowest", "highest", "anchors", "qlen", "tfrom").agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("tseq"))
 
@@ -196,7 +196,7 @@ def gapped_search(
         strands = strands.unionByName(queries.select("name", F.lit("-").alias("strand"), reverse_complement("seq").alias("seq")))
     lengths = queries.select(F.col("name").alias("query"), F.length("seq").cast("long").alias("qlen"))
     chains = chained(segments(strands, targets, k, step, most_places), scoring, reach, most_shift, least)
-    rows = _reached(chains, targets, lengths, band, piece).join(strands.select(F.col("name").alias("query"), "strand", F.col("seq").alias("qseq")), ["query", "strand"])
+    rows = _reached(chains, targets, lengths, band, piece).join(strands.select(F.col("name").alias("query"), "strand", F.col("seq").alias("qseq")).hint("merge"), ["query", "strand"])
     hits = _extended(rows, scoring, band, x_drop).distinct()
     hits = hits.withColumns({"bits": bit_score(F.col("score"), scoring), "evalue": e_value(F.col("score"), F.col("qlen"), size[0], size[1], scoring), "id": F.col("matches") * 100.0 / F.col("columns")})
     spans = F.col("qhi") - F.col("qlo") + F.col("thi") - F.col("tlo") + 2
