@@ -1,6 +1,8 @@
+import random
+
 import pytest
-from pyspark.sql import functions as F
 
+from weftline.operators import strings
 from weftline.plans import driver_queries, file_queries, operator_queries  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
@@ -19,3 +21,28 @@ def test_kmers_are_not_broadcast(spark, name):
 @pytest.mark.parametrize("name", ["diverged_alignment", "diverged_codons"])
 def test_families_are_aligned_once(spark, name):
     assert plan_of(driver_queries.QUERIES[name](spark, SMALL)).count("FlatMapGroupsInPandas") == 1
+
+
+def test_a_kmer_solid_by_chance_spoils_no_right_base(spark):
+    """Another sequence shares the wrong read's letters up to a place, and those after it but one."""
+    rng = random.Random(4)
+    right, at = "".join(rng.choices("ACGT", k=96)), 38
+    turned = str.maketrans("ACGT", "CGTA")
+    wrong = right[:at] + right[at].translate(turned) + right[at + 1 :]
+    other = "".join(rng.choices("ACGT", k=30)) + wrong[35:56] + right[56].translate(turned) + right[57:60] + right[60].translate(turned) + "".join(rng.choices("ACGT", k=40))
+    rows = [("s", f"r{i}", right) for i in range(5)] + [("s", f"o{i}", other) for i in range(5)] + [("s", "w", wrong)]
+    got = {r.read_id: (r.seq, r.n_corrected) for r in strings.correct_reads(spark.createDataFrame(rows, "sample string, read_id string, seq string")).collect()}
+    assert got == {**{f"r{i}": (right, 0) for i in range(5)}, **{f"o{i}": (other, 0) for i in range(5)}, "w": (right, 1)}
+
+
+def test_chance_seeds_between_suppliers(spark, tmp_path):
+    """Of these suppliers two share 22 letters by chance, and one has letters that its other strand has too."""
+    import duckdb
+
+    spark.createDataFrame([(19065,), (4550,), (52748,)], "s_suppkey long").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    got = driver_queries.QUERIES["seed_search"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW supplier AS SELECT * FROM '{tmp_path}/supplier.parquet/*.parquet'")
+    want = con.execute(driver_queries.ORACLES["seed_search"])
+    assert got.columns == [c[0] for c in want.description]
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
