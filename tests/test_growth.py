@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from weftline.operators import strings
+from weftline.operators import alignment, strings
 from weftline.plans import driver_queries, file_queries, operator_queries  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
@@ -46,3 +46,19 @@ def test_chance_seeds_between_suppliers(spark, tmp_path):
     want = con.execute(driver_queries.ORACLES["seed_search"])
     assert got.columns == [c[0] for c in want.description]
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def test_equal_rows_are_compared_once(spark):
+    """Rows of one name are no pair, whatever they hold; 700 rows of four kinds meet in one block."""
+    seqs = ["ACGT-A", "ACGA-A", "TCGA", "------"]
+    rows = [("l", f"t{i % 650}", seqs[i % 3 if i % 50 else 3]) for i in range(700)]
+    sums = alignment.pair_sums(spark.createDataFrame(rows, "locus string, taxon string, seq string"), ["locus"]).cache()
+    assert sums.where("n > 0").count() == 1
+    want_n, want = 0, 0.0
+    for i, (_, a, s) in enumerate(rows):
+        for _, b, t in rows[:i]:
+            ok = [(x, y) for x, y in zip(s, t) if x in "ACGT" and y in "ACGT"]
+            if a != b and ok:
+                want_n, want = want_n + 1, want + sum(x != y for x, y in ok) / len(ok)
+    got = sums.groupBy("locus").sum("n", "total").first()
+    assert got["sum(n)"] == want_n and got["sum(total)"] == pytest.approx(want, rel=1e-12)

@@ -196,35 +196,28 @@ def pair_sums(rows: DataFrame, keys: list[str], letters: str = BASES, digits: in
     ``n`` pairs that have comparable places, and the sum of their distances (each rounded to ``digits``, if given; halves up): for each two
     blocks of a key's rows, with null ``a`` and ``b``; ``by_row`` for each row ``a`` of a block instead. Pairs
     ``beyond`` a distance come as rows of their own (``a, b, 1, distance``). Two blocks are compared by products of their letters'
-    indicators, so a key of many rows is many tasks. Pairs of one name are left out, as are null names and sequences.
+    indicators, so a key of many rows is many tasks. Pairs of one name are left out, as are null names and sequences. Without
+    ``by_row`` and ``beyond`` equal rows of a key are compared once, and their pairs counted.
     """
     named = rows.where(F.col("taxon").isNotNull() & F.col("seq").isNotNull()).select(*keys, F.col("taxon").cast("string").alias("taxon"), "seq")
-    many = named.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("_many"))
-    same = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    dealt = named.join(many.select("_many", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]), same).withColumn("_own", F.pmod(F.xxhash64("taxon", "seq"), F.col("_many")).cast("int"))
-    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_many") - 1)))
-    dealt = dealt.select(*keys, F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), "_own", "taxon", "seq")
+    if not by_row and beyond is None:
+        repeated = named.groupBy(*keys, "taxon").agg(F.count("*").alias("_w")).where("_w > 1").drop("_w").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, "taxon"])])
+        met = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*keys, "taxon"])])
+        alike = _weighed_sums(named.join(repeated, met, "left_semi"), [*keys, "taxon"], letters, digits, block)
+        found = _weighed_sums(named, keys, letters, digits, block).unionByName(alike.select(*keys, (-F.col("n")).alias("n"), (-F.col("total")).alias("total")))
+        nothing = F.lit(None).cast("string")
+        return found.select(*keys, nothing.alias("a"), nothing.alias("b"), "n", "total")
+    dealt = _dealt(named, keys, block, "taxon", "seq")
     schema = T.StructType([*[rows.schema[k] for k in keys], T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("n", T.LongType()), T.StructField("total", T.DoubleType())])
 
     def run(group: pa.Table) -> pa.Table:
         low, high = group.column("_low")[0].as_py(), group.column("_high")[0].as_py()
         own, names = group.column("_own").to_numpy(), np.array(group.column("taxon").to_pylist(), dtype=object)
-        raw = [np.frombuffer(s.encode("latin-1", "replace"), dtype=np.uint8) for s in group.column("seq").to_pylist()]
-        codes = np.zeros((len(raw), max(map(len, raw))), dtype=np.uint8)
-        for row, r in zip(codes, raw, strict=True):
-            row[: len(r)] = r
         first = np.flatnonzero(own == low)
         second = np.flatnonzero(own == high)
-        valid = np.isin(codes, np.frombuffer(letters.encode(), dtype=np.uint8))
-        n = valid[first].astype(np.float32) @ valid[second].T.astype(np.float32)
-        equal = np.zeros_like(n)
-        for letter in np.unique(codes[valid]):
-            equal += (codes[first] == letter).astype(np.float32) @ (codes[second] == letter).T.astype(np.float32)
-        n, equal = n.astype(np.int64), equal.astype(np.int64)
+        n, d = _block_distances(group.column("seq").to_pylist(), first, second, letters, digits)
         x, y = names[first][:, None], names[second][None, :]
         on = (n > 0) & (x != y) & ((x < y) if low == high else True)
-        diff, safe = n - equal, np.maximum(n, 1)
-        d = diff / safe if digits is None else (2 * 10**digits * diff + safe) // (2 * safe) / 10**digits
         out = []
         if by_row:
             for side, axis in ((first, 1), (second, 0)):
@@ -238,11 +231,56 @@ def pair_sums(rows: DataFrame, keys: list[str], letters: str = BASES, digits: in
         shared = [group.column(k).combine_chunks().take(pa.array(np.zeros(len(out), dtype=np.int64))) for k in keys]
         return pa.Table.from_arrays([*shared, *columns], names=[*keys, "a", "b", "n", "total"])
 
-    # little data and much work: partitions are not merged by their size
-    dealt = dealt.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_low", "_high")
     return dealt.groupBy(*keys, "_low", "_high").applyInArrow(run, schema)
 
 
+def _dealt(rows: DataFrame, keys: list[str], block: int, *columns: str) -> DataFrame:
+    """Each row at every two blocks of its key that its own block belongs to: ``keys, _low, _high, _own`` and the columns."""
+    many = rows.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("_many"))
+    same = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    dealt = rows.join(many.select("_many", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]), same).withColumn("_own", F.pmod(F.xxhash64(*columns), F.col("_many")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_many") - 1)))
+    dealt = dealt.select(*keys, F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"), "_own", *columns)
+    # little data and much work: partitions are not merged by their size
+    return dealt.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_low", "_high")
+
+
+def _block_distances(seqs: list[str], first: np.ndarray, second: np.ndarray, letters: str, digits: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Comparable places of each row of ``first`` and each of ``second``, and their distances (0 without such places)."""
+    raw = [np.frombuffer(s.encode("latin-1", "replace"), dtype=np.uint8) for s in seqs]
+    codes = np.zeros((len(raw), max(map(len, raw))), dtype=np.uint8)
+    for row, r in zip(codes, raw, strict=True):
+        row[: len(r)] = r
+    valid = np.isin(codes, np.frombuffer(letters.encode(), dtype=np.uint8))
+    n = valid[first].astype(np.float32) @ valid[second].T.astype(np.float32)
+    equal = np.zeros_like(n)
+    for letter in np.unique(codes[valid]):
+        equal += (codes[first] == letter).astype(np.float32) @ (codes[second] == letter).T.astype(np.float32)
+    n, equal = n.astype(np.int64), equal.astype(np.int64)
+    diff, safe = n - equal, np.maximum(n, 1)
+    return n, diff / safe if digits is None else (2 * 10**digits * diff + safe) // (2 * safe) / 10**digits
+
+
+def _weighed_sums(rows: DataFrame, keys: list[str], letters: str, digits: int | None, block: int) -> DataFrame:
+    """``keys, n, total`` over all pairs of rows of a key, whatever their names, for each two blocks of its distinct sequences."""
+    weighed = rows.groupBy(*keys, "seq").agg(F.count("*").alias("_w"))
+    schema = T.StructType([*[rows.schema[k] for k in keys], T.StructField("n", T.LongType()), T.StructField("total", T.DoubleType())])
+
+    def run(group: pa.Table) -> pa.Table:
+        low, high = group.column("_low")[0].as_py(), group.column("_high")[0].as_py()
+        own, w = group.column("_own").to_numpy(), group.column("_w").to_numpy()
+        first, second = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        n, d = _block_distances(group.column("seq").to_pylist(), first, second, letters, digits)
+        pairs = np.outer(w[first], w[second])
+        if low == high:  # each two once; equal rows are 0 apart
+            pairs = np.triu(pairs, 1) + np.diag(w[first] * (w[first] - 1) // 2)
+        pairs = np.where(n > 0, pairs, 0)
+        shared = [group.column(k).combine_chunks().take(pa.array([0], pa.int64())) for k in keys]
+        return pa.Table.from_arrays([*shared, pa.array([int(pairs.sum())], pa.int64()), pa.array([float((pairs * d).sum())], pa.float64())], names=[*keys, "n", "total"])
+
+    return _dealt(weighed, keys, block, "seq", "_w").groupBy(*keys, "_low", "_high").applyInArrow(run, schema)
+
+
 def mean_distance(rows: DataFrame, key: str = "locus", letters: str = BASES, digits: int | None = None) -> DataFrame:
     """Mean over the pairs of each key's rows: ``key, mean_distance``, null without a pair that can be compared. Keys of one row
     have none."""
