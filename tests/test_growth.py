@@ -1,8 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from weftline.operators import alignment, strings
+from weftline.operators import alignment, contigs, relational, strings
 from weftline.plans import driver_queries, file_queries, operator_queries  # noqa: F401
 
 SMALL = "/root/testdata/sf0.001"
@@ -62,3 +63,28 @@ def test_equal_rows_are_compared_once(spark):
                 want_n, want = want_n + 1, want + sum(x != y for x, y in ok) / len(ok)
     got = sums.groupBy("locus").sum("n", "total").first()
     assert got["sum(n)"] == want_n and got["sum(total)"] == pytest.approx(want, rel=1e-12)
+
+
+def test_reciprocal_nearest_makes_no_pairs(spark):
+    """The same as by all pairs, with ties, equal values and rows without one."""
+    rng = random.Random(6)
+    side = lambda n: [(rng.choice([1, 1, 2, None, 3]), k, rng.choice([None, *(x / 4 for x in range(40))])) for k in range(n)]
+    rows = [side(60), side(80)]
+    rows[0].append((7, 90, None)), rows[1].extend([(7, 91, 1.0), (7, 90, None)])
+    one, two = (spark.createDataFrame(r, f"k int, {n} long, v double") for r, n in zip(rows, "ab"))
+    pairs = one.join(two.withColumnRenamed("v", "w"), "k").select("a", "b", F.abs(F.col("v") - F.col("w")).alias("d"))
+    want = relational.reciprocal_best(pairs, pairs, ["d", "b"], ["d", "a"])
+    got = relational.reciprocal_nearest(one, two, ["k"], "a", "b")
+    assert sorted(map(tuple, got.select("a", "b").collect())) == sorted(map(tuple, want.collect())) != []
+    plan = plan_of(driver_queries.QUERIES["reciprocal_best"](spark, SMALL))
+    assert plan.count("Join") == 1, plan
+
+
+def test_equal_strings_overlap_once(spark):
+    """Forty rows of two strings: what is tried is four pairs of strings, not 1,600 of rows."""
+    rows = spark.createDataFrame([(1, k, ("abcdef", "defabc")[k % 2]) for k in range(40)] + [(2, 50, "abcdef"), (2, 51, None)], "g int, i long, a_seq string")
+    got = contigs.suffix_prefix_of_groups(rows, rows.select("g", F.col("i").alias("j"), F.col("a_seq").alias("b_seq")), ["g"], most=6, least=3, error=0.0)
+    want = [(1, i, j, 6 if i % 2 == j % 2 else 3, 0) for i in range(40) for j in range(40)] + [(2, 50, 50, 6, 0)]
+    assert sorted(map(tuple, got.select("g", "i", "j", "olp", "mismatches").collect())) == want
+    plan = plan_of(driver_queries.QUERIES["suffix_prefix_overlap"](spark, SMALL))
+    assert plan.count("Join") == 3, plan

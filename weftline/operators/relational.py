@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.seq import canonical, masked_share
@@ -185,6 +185,27 @@ def reciprocal_best(forward: DataFrame, backward: DataFrame, order_forward: list
     return there.join(back, ["a", "b"])
 
 
+def _nearest(rows: DataFrame, others: DataFrame, on: list[str], own: str, other: str) -> DataFrame:
+    """The row of ``others`` whose value ``v`` is nearest to each row's, the smallest ``other`` on ties: ``own, other``."""
+    kinds = others.groupBy(*on, "v").agg(F.min(other).alias("_o"))
+    both = rows.select(*on, "v", F.col(own).alias("_own"), F.lit(None).cast(kinds.schema["_o"].dataType).alias("_o"), F.lit(True).alias("_mine")).unionByName(kinds.select(*on, "v", F.lit(None).cast(rows.schema[own].dataType).alias("_own"), "_o", F.lit(False).alias("_mine")))
+    met = F.when(~F.col("_mine") & F.col("v").isNotNull(), F.struct("v", "_o"))
+    side = lambda order: F.last(met, ignorenulls=True).over(Window.partitionBy(*on).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    found = both.select("_own", "_mine", "v", side(F.col("v").asc()).alias("_below"), side(F.col("v").desc()).alias("_above"), F.min("_o").over(Window.partitionBy(*on)).alias("_any")).where("_mine")
+    apart = lambda c: F.when(F.col("v").isNotNull() & F.col(c).isNotNull(), F.struct(F.abs(F.col("v") - F.col(f"{c}.v")).alias("d"), F.col(f"{c}._o").alias("o")))
+    best = F.coalesce(F.least(apart("_below"), apart("_above")), F.when(F.col("_any").isNotNull(), F.struct(F.lit(None).cast("double").alias("d"), F.col("_any").alias("o"))))
+    return found.where(best.isNotNull()).groupBy(F.col("_own").alias(own)).agg(F.min_by(best, F.struct(best["d"].isNull(), best)).alias("_b")).select(own, F.col("_b.o").alias(other))
+
+
+def reciprocal_nearest(left: DataFrame, right: DataFrame, on: list[str], a: str, b: str) -> DataFrame:
+    """Pairs of rows of equal keys that are each other's nearest by their values ``v``: ``a, b``. Of equally near ones the smallest is nearest;
+    rows without a value are near to none, and nearest to the smallest where there is no other.
+
+    The nearest value lies next to a row's own in their order, on either side, so pairs are not made: rows of a key are sorted and walked over."""
+    one, two = (t.where(" AND ".join(f"`{k}` IS NOT NULL" for k in on)).withColumn("v", F.col("v").cast("double")).withColumn("v", F.when(~F.isnan("v"), F.col("v"))) for t in (left, right))
+    return _nearest(one, two, on, a, b).join(_nearest(two, one, on, b, a), [a, b])
+
+
 def group_share(rows: DataFrame, group: str, member: str) -> DataFrame:
     """Distinct members of each group and the percentage of all members: ``group, n, pct``."""
     total = rows.agg(F.count_distinct(member)).scalar()

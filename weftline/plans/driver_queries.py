@@ -159,9 +159,9 @@ b AS (SELECT s_suppkey, c_custkey, row_number() OVER (PARTITION BY c_custkey ORD
 SELECT a.s_suppkey AS a, a.c_custkey AS b FROM a JOIN b USING (s_suppkey, c_custkey) WHERE a.k = 1 AND b.k = 1"""
 )
 def reciprocal_best(spark, d):
-    s, c = table(spark, d, "supplier"), table(spark, d, "customer")
-    pairs = s.join(c, s.s_nationkey == c.c_nationkey).select(F.col("s_suppkey").alias("a"), F.col("c_custkey").alias("b"), F.abs(F.col("s_acctbal") - F.col("c_acctbal")).alias("d"))
-    return relational.reciprocal_best(pairs, pairs, ["d", "b"], ["d", "a"])
+    s = table(spark, d, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("a"), F.col("s_acctbal").alias("v"))
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("b"), F.col("c_acctbal").alias("v"))
+    return relational.reciprocal_nearest(s, c, ["nation"], "a", "b").select("a", "b")
 
 
 @query(
@@ -273,8 +273,8 @@ def suffix_prefix_overlap(spark, d):
     part = table(spark, d, "part")
     a = part.select("p_brand", "p_size", "p_partkey", F.col("p_name").alias("a_seq"))
     b = part.select("p_brand", "p_size", F.col("p_partkey").alias("q_partkey"), F.col("p_name").alias("b_seq"))
-    pairs = a.join(b, ["p_brand", "p_size"]).where("p_partkey <> q_partkey").select("p_partkey", "q_partkey", "a_seq", "b_seq")
-    return contigs.suffix_prefix(pairs, most=12, least=4, error=0.25).select("p_partkey", "q_partkey", "olp", "mismatches")
+    found = contigs.suffix_prefix_of_groups(a, b, ["p_brand", "p_size"], most=12, least=4, error=0.25)
+    return found.where("p_partkey <> q_partkey").select("p_partkey", "q_partkey", "olp", "mismatches")
 
 
 _CODING = "translate(CAST(o_orderkey * 7919 + o_custkey AS VARCHAR) || CAST(o_orderkey * 104729 AS VARCHAR), '0123456789', 'ACGTACGTTA')"
