@@ -86,6 +86,12 @@ def one_snp_per_locus(variants: DataFrame, seed: str = "1") -> DataFrame:
     return one_per_group(polymorphic(variants), ["chrom"], seed, "chrom", "pos")
 
 
+def missing_calls(variants: DataFrame) -> DataFrame:
+    """Missing calls of each sample and the loci it has calls of, present or not: ``taxon, missing, loci``. Counts alone: no sample's calls meet."""
+    rows = variants.select(F.explode("gt").alias("taxon", "call"))
+    return rows.groupBy("taxon").agg(F.count_if(F.col("call").rlike(r"^\..\.$")).alias("missing"), F.count("*").alias("loci"))
+
+
 def snp_matrix(variants: DataFrame) -> DataFrame:
     """Alleles and sums of each sample over the loci in order: ``taxon, a1, a2, sums, missing``."""
     rows = variants.select("chrom", "pos", F.explode("gt").alias("taxon", "call")).withColumn("g", genotype("call"))
