@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators import alignment, contigs, relational, strings
 from weftline.plans import driver_queries, file_queries, operator_queries  # noqa: F401
+from weftline.sources import fastq
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -88,3 +89,15 @@ def test_equal_strings_overlap_once(spark):
     assert sorted(map(tuple, got.select("g", "i", "j", "olp", "mismatches").collect())) == want
     plan = plan_of(driver_queries.QUERIES["suffix_prefix_overlap"](spark, SMALL))
     assert plan.count("Join") == 3, plan
+
+
+def test_many_ranges_share_tasks(spark, tmp_path):
+    """3,000 ranges of bytes of a file are some 64 tasks, and hold each read once."""
+    (tmp_path / "a_R1.fq").write_text("".join(f"@r{i}\nACGT\n+\nIIII\n" for i in range(4000)))
+    found = fastq.fastq(spark, str(tmp_path), 20)
+    assert 60 <= found.rdd.getNumPartitions() <= 130
+    assert sorted(r.ord for r in fastq.numbered(found).collect()) == list(range(4000))
+
+
+def test_calls_are_counted_not_collected(spark):
+    assert "collect_list" not in plan_of(driver_queries.QUERIES["snp_missing"](spark, SMALL))

@@ -15,6 +15,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 #: Bytes of a range, of a read from a file, and records of a batch.
 PART_BYTES = 64 << 20
 _READ = 4 << 20
+#: Ranges are tasks of their own up to so many; beyond, a task reads several one after the other, of so many bytes at most. What a gzipped byte counts as.
+_TASKS, _TASK_BYTES, _UNPACKED = 64, 64 << 20, 5
 _BATCH = 16_384
 #: Names of files that are read of a folder: also those that Spark's text sink gives.
 _NAME = re.compile(r"\.(?:fq|fastq|txt)(\.gz)?$")
@@ -23,7 +25,7 @@ _FORMAT = "weftline_fastq"
 
 
 @dataclass
-class _Range(InputPartition):
+class _Range:
     path: str
     label: str
     part: int
@@ -31,6 +33,11 @@ class _Range(InputPartition):
     end: int | None  # None: to the end, gzipped
 
 
+@dataclass
+class _Ranges(InputPartition):
+    ranges: list[_Range]
+
+
 def _store(path: str):
     from pyarrow import fs
 
@@ -39,10 +46,10 @@ def _store(path: str):
     return fs.LocalFileSystem(), path
 
 
-def _blocks(file, packed: bool) -> Iterator[bytes]:
+def _blocks(file, packed: bool, size: int = _READ) -> Iterator[bytes]:
     """Bytes of an open file from where it stands; a gzipped file may have several members."""
     unpack = zlib.decompressobj(31) if packed else None
-    while block := file.read(_READ):
+    while block := file.read(size):
         while unpack and block:
             yield unpack.decompress(block)
             block = unpack.unused_data
@@ -52,13 +59,13 @@ def _blocks(file, packed: bool) -> Iterator[bytes]:
             yield block
 
 
-def _lines(file, start: int, packed: bool) -> Iterator[tuple[int, bytes]]:
+def _lines(file, start: int, packed: bool, size: int = _READ) -> Iterator[tuple[int, bytes]]:
     """Lines that begin at ``start`` or later, with their offsets."""
     at, rest, skip = start, b"", start > 0
     if skip:
         at -= 1
         file.seek(at)
-    for block in _blocks(file, packed):
+    for block in _blocks(file, packed, size):
         lines = (rest + block).split(b"\n")
         rest = lines.pop()
         for line in lines:
@@ -75,7 +82,7 @@ def records(file, start: int, end: int | None, packed: bool) -> Iterator[tuple[b
 
     A line that begins with @ is a header if the second after it begins with +: after a quality's line that is a sequence. A
     record of fewer than four lines ends a file; a record of another form is an error."""
-    lines = _lines(file, start, packed)
+    lines = _lines(file, start, packed, _READ if end is None else min(_READ, max(1 << 14, end - start)))
     held: list[tuple[int, bytes]] = []
     if start:
         for line in lines:
@@ -107,29 +114,39 @@ class FastqReader(DataSourceReader):
         store, path = _store(self.path)
         top = store.get_file_info(path)
         files = [top] if top.type == fs.FileType.File else store.get_file_info(fs.FileSelector(path, recursive=True))
-        out = []
+        found = []
         for f in sorted(files, key=lambda f: f.path):
             inside = f.path[len(path) :].strip("/").split("/") if f is not top else [f.base_name]
             if f.type != fs.FileType.File or not (f is top or _NAME.search(f.base_name)) or any(x.startswith(("_", ".")) for x in inside):
                 continue
             label = "/".join([*(x for x in inside[:-1] if x.startswith(("sample=", "mate="))), f.base_name])
             ranges = [(0, None)] if f.base_name.endswith(".gz") else [(a, min(f.size, a + self.bytes)) for a in range(0, f.size, self.bytes)]
-            out += [_Range(f.path, label, k, a, b) for k, (a, b) in enumerate(ranges)]
+            found += [(f.size * _UNPACKED if b is None else b - a, _Range(f.path, label, k, a, b)) for k, (a, b) in enumerate(ranges)]
+        # a task for each of many small ranges would take longer to start than to read
+        most = min(_TASK_BYTES, sum(size for size, _ in found) // _TASKS) if len(found) > _TASKS else 0
+        out, held = [], 0
+        for size, r in found:
+            if not out or held + size > most:
+                out.append(_Ranges([]))
+                held = 0
+            out[-1].ranges.append(r)
+            held += size
         return out
 
     def read(self, partition):
         if partition is None:  # no file at all
             return
         store, _ = _store(self.path)
-        with store.open_input_file(partition.path) as file:
-            rows: list[tuple] = []
-            for n, (header, seq, qual) in enumerate(records(file, partition.start, partition.end, partition.end is None)):
-                rows.append((partition.label, partition.part, n, (header[1:].split() or [b""])[0].decode(), seq.decode(), qual.decode()))
-                if len(rows) == _BATCH:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
+        rows: list[tuple] = []
+        for r in partition.ranges:
+            with store.open_input_file(r.path) as file:
+                for n, (header, seq, qual) in enumerate(records(file, r.start, r.end, r.end is None)):
+                    rows.append((r.label, r.part, n, (header[1:].split() or [b""])[0].decode(), seq.decode(), qual.decode()))
+                    if len(rows) == _BATCH:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
+                        rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
 
 
 class FastqSource(DataSource):
