@@ -1,11 +1,13 @@
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from weftline.operators import alignment, contigs, relational, strings
 from weftline.plans import driver_queries, file_queries, operator_queries  # noqa: F401
 from weftline.sources import fastq
+from weftline.streaming import streams
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -101,3 +103,19 @@ def test_many_ranges_share_tasks(spark, tmp_path):
 
 def test_calls_are_counted_not_collected(spark):
     assert "collect_list" not in plan_of(driver_queries.QUERIES["snp_missing"](spark, SMALL))
+
+
+def test_state_of_reads_needs_no_frame_for_each_sequence():
+    class Seen:
+        value = None
+        exists = lambda self: self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+    first = streams._FirstSeen()
+    first.seen = Seen()
+    rows = [Row(sample="s", id=i, seq="ACG") for i in ("3", "12", "2")]
+    assert list(first.handleInputRows(("s",), iter(rows), None)) == [rows[1]] and first.seen.value == ("12",)
+    late = iter([Row(sample="s", id="0", seq="ACG")])
+    assert list(first.handleInputRows(("s",), late, None)) == [] == list(late)
