@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from weftline.operators import alignment, contigs, relational, strings
-from weftline.plans import driver_queries, file_queries, operator_queries  # noqa: F401
+from weftline.plans import driver_queries, file_queries, operator_queries, scratch  # noqa: F401
 from weftline.sources import fastq
 from weftline.streaming import streams
 
@@ -119,3 +120,10 @@ def test_state_of_reads_needs_no_frame_for_each_sequence():
     assert list(first.handleInputRows(("s",), iter(rows), None)) == [rows[1]] and first.seen.value == ("12",)
     late = iter([Row(sample="s", id="0", seq="ACG")])
     assert list(first.handleInputRows(("s",), late, None)) == [] == list(late)
+
+
+def test_a_round_s_table_goes_when_the_next_is_written(spark):
+    old = scratch.stored(spark.range(5))
+    path = old.inputFiles()[0].removeprefix("file:")
+    new = scratch.replaced(old, old.where("id > 1"))
+    assert new.count() == 3 and not os.path.exists(os.path.dirname(path.replace("///", "/")))
